@@ -27,9 +27,21 @@ def breakdown(df: DataFrame, date_col: str, value_col: str, ordered: bool = True
     return out.orderBy(F.col("txn_day").desc(), F.col("filter_value").asc()) if ordered else out
 
 
-def money(col: str) -> Column:
-    """Exact money sum: decimal(18,2) per row, summed, reported as double."""
-    return F.sum(F.col(col).cast("decimal(18,2)"))
+def cents(col) -> Column:
+    """Money value as whole cents (rounded like a cast to decimal(18,2))."""
+    c = F.col(col) if isinstance(col, str) else col
+    return (c.cast("decimal(18,2)") * 100).cast("long")
+
+
+def money(col) -> Column:
+    """Exact money sum as decimal(38,2).
+
+    Rows are summed as long cents: the aggregate keeps a fixed-width long
+    buffer (hash aggregate fast path, combinable map-side) instead of the
+    BigDecimal buffer a decimal(28,2) sum needs; the scale is put back once
+    per group.
+    """
+    return (F.sum(cents(col)).cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
 
 
 def kpi_rollup(df: DataFrame, date_col: str = "txn_date", line_col: str = "line",

@@ -139,7 +139,7 @@ def tier_summary(tiers: DataFrame) -> DataFrame:
     """V6: users and amount per month and tier."""
     return (tiers.groupBy("month_start", "tier_name")
             .agg(F.count(F.lit(1)).cast("bigint").alias("users"),
-                 F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount")))
+                 money("amount").cast("double").alias("amount")))
 
 
 def retention(df: DataFrame, user: str, period: Column, step: str = "month") -> DataFrame:
@@ -202,6 +202,6 @@ def deposit_summary(df: DataFrame, group_cols, amount_col: str) -> DataFrame:
     """V9: deposit count, total, smallest and largest per group."""
     return (df.groupBy(*group_cols)
             .agg(F.count(F.lit(1)).cast("bigint").alias("deposits"),
-                 F.sum(F.col(amount_col).cast("decimal(18,2)")).cast("double").alias("total_amount"),
+                 money(amount_col).cast("double").alias("total_amount"),
                  F.min(amount_col).cast("double").alias("min_amount"),
                  F.max(amount_col).cast("double").alias("max_amount")))
