@@ -97,7 +97,9 @@ def period_filter(df: DataFrame, period_col: str | None, value=None) -> DataFram
     t = df.schema[period_col].dataType
     lit = F.lit(value).cast(t) if not isinstance(t, T.StringType) else F.lit(str(value))
     picked = df.filter(c == lit)
-    return picked
+    # A value that is not one of the periods is an invalid choice → all rows
+    # (a one-row probe job, not a count).
+    return df if picked.isEmpty() else picked
 
 
 def export_period(df: DataFrame, period_col: str | None, value, path: str, order_cols=(),
