@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factkeeper.session import checkpoint_root
+
 
 class VersionedTable:
     """A parquet table stored as ``<root>/v=<id>/`` plus a ``_current`` pointer."""
@@ -67,16 +69,22 @@ def replace_days(df: DataFrame, path: str, date_col: str, days) -> None:
     the window that became empty get an empty partition file written too, so
     a windowed delete with no new rows still empties the day (a plain
     dynamic overwrite would keep the stale rows).
+
+    ``df`` is usually derived from ``path`` itself, so the changed days are
+    first cut from their lineage with a reliable checkpoint in the shared
+    checkpoint folder: the overwrite can then never delete rows a (re)running
+    task still has to read.
     """
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    checkpoint_root(spark)
     days = sorted(set(days))
-    day_rows = df.filter(F.col(date_col).isin(days))
+    day_rows = df.filter(F.col(date_col).isin(days)).checkpoint(eager=True)
     present = {r[0] for r in day_rows.select(date_col).distinct().collect()}
     empty_days = [d for d in days if d not in present]
-    day_rows.write.mode("overwrite").partitionBy(date_col).parquet(path)
+    (day_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_col).parquet(path))
     if empty_days:
         # An empty frame with the schema, one per day: overwrite that partition.
         for d in empty_days:
             part = f"{path}/{date_col}={d}"
-            df.limit(0).drop(date_col).write.mode("overwrite").parquet(part)
+            day_rows.limit(0).drop(date_col).write.mode("overwrite").parquet(part)

@@ -40,11 +40,18 @@ def with_bom(df: DataFrame, skip=()) -> DataFrame:
 
 
 def _ordered(df: DataFrame, order_cols, parts: int | None, lead=()) -> DataFrame:
+    """Range-partition on the order columns, sort each part.
+
+    Without ``parts`` the count is ``spark.sql.shuffle.partitions`` and AQE
+    coalesces small ranges, so part files track the data size rather than
+    the core count; the range bounds come from a sample, so a hot year or
+    key is split over several parts instead of landing in one task.
+    """
     cols = [*lead, *order_cols]
     if not cols:
         return df
-    n = parts or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    ranged = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def write_csv(df: DataFrame, path: str, order_cols=(), bom: bool = False, header: bool = True,

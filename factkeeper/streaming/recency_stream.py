@@ -1,11 +1,20 @@
 """Recency upkeep from a stream of new events.
 
 New event files are read with Structured Streaming; each micro-batch
-(``foreachBatch``) folds its events into the per-user daily fact and then
-refreshes recency for the users it touched only (``refresh_changed``). The
-table lives in a ``VersionedTable`` under the shared checkpoint folder; a
-batch writes version ``<epoch>`` and a replayed epoch (after a failure) is
-skipped, so the end state is the same as one batch run over all events.
+(``foreachBatch``) does work proportional to the batch and the number of
+users, never to the whole history:
+
+* its per-(user, day) partial measures are written to
+  ``<state>/daily/date=<d>/epoch=<e>/`` (dynamic partition overwrite, so a
+  replayed epoch rewrites the same folders — idempotent);
+* the per-user recency table (last activity, last deposit) is folded with
+  the batch's per-user maxima into version ``<e>`` of a ``VersionedTable``.
+  A stream of events only appends, so folding MAX is exact here (deletes and
+  key moves of the stored fact go through ``recency.refresh_changed``).
+
+The stamped fact is a read-time view: partial rows merged per (user, day)
+and joined to the per-user table; ``days_inactive`` is computed for the
+``as_of`` of the read. Its rows equal one batch run over all events.
 """
 
 from __future__ import annotations
@@ -15,55 +24,74 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factkeeper.functions.scalar import days_between
 from factkeeper.operators import recency
 from factkeeper.plans import testmodel as tm
 from factkeeper.plans.table_store import VersionedTable
 from factkeeper.session import scratch_path
 
-MEASURES = ["deposit_cases", "deposit_amount", "withdraw_cases", "withdraw_amount", "bonus",
-            "total_bet", "total_bet_amount", "last_purchase"]
 
+class RecencyState:
+    """Folders of one stream's state under ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.daily_path = f"{self.root}/daily"
+        self.keys = VersionedTable(spark, f"{self.root}/keys")
 
-def fold_batch(table: DataFrame | None, batch: DataFrame, as_of: date) -> DataFrame:
-    """One micro-batch: merge the batch's partial day rows into the fact for
-    the (user, day) pairs it touches, then refresh those users' recency."""
-    parts = tm.daily_aggregates(batch)
-    if table is None:
-        return recency.recency(tm.staging_columns(parts, keep_raw=True), "user_unique", as_of)
-    pairs = parts.select("user_unique", "date").distinct()
-    old = table.join(pairs, ["user_unique", "date"], "left_semi").select(
-        "user_unique", "date", *MEASURES)
-    keep = table.join(pairs, ["user_unique", "date"], "left_anti")
-    new_rows = tm.staging_columns(tm.merge_daily(old.unionByName(parts)), keep_raw=True)
-    combined = keep.unionByName(new_rows, allowMissingColumns=True)
-    touched = parts.select(F.col("user_unique").alias("key")).distinct()
-    return recency.refresh_changed(combined, touched, "user_unique", as_of)
+    def committed_epoch(self) -> int:
+        v = self.keys.current()
+        return -1 if v is None else int(v)
+
+    def fold(self, batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id <= self.committed_epoch():
+            return  # replayed epoch: already folded in
+        parts = tm.daily_aggregates(batch).withColumn("epoch", F.lit(epoch_id))
+        # 1. partial day rows of this epoch (idempotent: same folders on replay)
+        (parts.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date", "epoch").parquet(self.daily_path))
+        # 2. per-user maxima folded into the previous version of the key table
+        deposited = F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0
+        batch_keys = (parts.groupBy("user_unique")
+                      .agg(F.max("date").alias("a"), F.max(F.when(deposited, F.col("date"))).alias("d")))
+        if self.keys.exists():
+            prev = self.keys.read()
+            merged = prev.join(batch_keys, "user_unique", "full").select(
+                "user_unique",
+                F.greatest(recency.LAST_ACTIVITY, "a").alias(recency.LAST_ACTIVITY),
+                F.greatest(recency.LAST_DEPOSIT, "d").alias(recency.LAST_DEPOSIT))
+        else:
+            merged = batch_keys.select("user_unique", F.col("a").alias(recency.LAST_ACTIVITY),
+                                       F.col("d").alias(recency.LAST_DEPOSIT))
+        self.keys.write(merged, str(epoch_id))   # pointer switch commits the epoch
+
+    def read(self, as_of: date) -> DataFrame:
+        """The stamped daily fact as of the last committed epoch."""
+        committed = self.committed_epoch()
+        parts = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") <= committed)
+        fact = tm.staging_columns(tm.merge_daily(parts.drop("epoch")), keep_raw=True)
+        keys = self.keys.read().withColumn(recency.DAYS_INACTIVE,
+                                           days_between(as_of, recency.LAST_DEPOSIT))
+        return fact.join(keys, "user_unique", "left")
 
 
 def recency_stream(spark: SparkSession, source_dir: str, as_of: date, glob: str = "events.parquet",
                    state_root: str | None = None, max_files_per_trigger: int | None = None,
-                   processing_time: str | None = None) -> DataFrame:
-    """Run the stream over every file present (``availableNow``) and return
-    the resulting table. ``processing_time='1 hour'`` instead keeps it
-    running on an hourly trigger (I4); the caller then owns the query."""
-    state_root = state_root or scratch_path(spark, "recency-stream")
-    store = VersionedTable(spark, f"{state_root}/table")
+                   processing_time: str | None = None):
+    """Fold every event file present (``availableNow``) and return the
+    stamped fact. With ``processing_time='1 hour'`` the stream keeps running
+    on an hourly trigger (I4) and the running query is returned instead."""
+    state = RecencyState(spark, state_root or scratch_path(spark, "recency-stream"))
     schema = spark.read.parquet(f"{source_dir}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source_dir)
-
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        done = store.current()
-        if done is not None and int(done) >= epoch_id:
-            return  # replayed epoch: already folded in
-        current = store.read() if done is not None else None
-        store.write(fold_batch(current, batch, as_of), str(epoch_id))
-
-    writer = (events.writeStream.foreachBatch(on_batch)
-              .option("checkpointLocation", f"{state_root}/checkpoint"))
+    writer = (events.writeStream.foreachBatch(lambda df, e: state.fold(df, e))
+              .option("checkpointLocation", f"{state.root}/checkpoint"))
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
     writer.trigger(availableNow=True).start().awaitTermination()
-    return store.read()
+    return state.read(as_of)

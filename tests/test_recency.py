@@ -63,5 +63,19 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_path):
     cols = ["unique_key", "user_unique", "date", "deposit_cases", "deposit_amount", "unique_code",
             "last_activity_days", "last_deposit_date", "days_inactive"]
     assert sorted(out.select(*cols).collect()) == sorted(batch.select(*cols).collect())
-    versions = [p for p in os.listdir(tmp_path / "state" / "table") if p.startswith("v=")]
-    assert len(versions) == 3   # one version per micro-batch
+    versions = [p for p in os.listdir(tmp_path / "state" / "keys") if p.startswith("v=")]
+    assert len(versions) == 3   # one key-table version per micro-batch
+    epochs = {p.name for p in (tmp_path / "state" / "daily").glob("date=*/epoch=*")}
+    assert epochs == {"epoch=0", "epoch=1", "epoch=2"}
+
+
+def test_replayed_epoch_is_skipped(spark, tmp_path):
+    from factkeeper.streaming.recency_stream import RecencyState
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    state = RecencyState(spark, str(tmp_path / "st"))
+    state.fold(events, 0)
+    state.fold(events, 0)          # replay after a failure: no double counting
+    out = state.read(date(2024, 2, 1))
+    batch = recency.recency(tm.staging(spark, SF), "user_unique", date(2024, 2, 1))
+    cols = ["unique_key", "deposit_cases", "deposit_amount", "last_deposit_date"]
+    assert sorted(out.select(*cols).collect()) == sorted(batch.select(*cols).collect())
