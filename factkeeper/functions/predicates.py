@@ -66,7 +66,18 @@ def on_dates(df: DataFrame, col: str, days) -> Column:
     days = sorted(set(days))
     if isinstance(t, T.DateType):
         return F.col(col).isin([typed_lit(d, t) for d in days])
-    return reduce(or_, [in_window(df, col, d, d + timedelta(days=1)) for d in days])
+    return reduce(or_, [in_window(df, col, lo, hi) for lo, hi in day_runs(days)])
+
+
+def day_runs(days) -> list[tuple[date, date]]:
+    """Consecutive days merged into half-open ranges: [1,2,3,5] → [1,4), [5,6)."""
+    runs: list[list[date]] = []
+    for d in sorted(set(days)):
+        if runs and runs[-1][1] == d:
+            runs[-1][1] = d + timedelta(days=1)
+        else:
+            runs.append([d, d + timedelta(days=1)])
+    return [(lo, hi) for lo, hi in runs]
 
 
 def year_is(df: DataFrame, col: str, year: int) -> Column:

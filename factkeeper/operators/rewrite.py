@@ -161,9 +161,20 @@ def replace_yesterday_today(target, source, spec: SyncSpec, as_of: date, run_ts,
     return window_replace(target, source, spec, start, end, run_ts, stamp_type)
 
 
+def keys_hit_days(target: DataFrame, keys: DataFrame, key: str, date_column: str) -> list:
+    """Days of ``target`` holding any of ``keys``.
+
+    Only the (key, day) projection of the target is joined, never whole
+    rows; the result is bounded by the number of days the table spans.
+    """
+    day = F.to_date(F.col(date_column)).alias("__day")
+    hits = target.select(key, day).join(keys, on=key, how="left_semi")
+    return sorted(r[0] for r in hits.select("__day").distinct().collect() if r[0] is not None)
+
+
 def upsert_window(target: DataFrame, source: DataFrame, key: str, date_column: str,
                   start, end, newest, run_ts: datetime, nulls_first=(),
-                  stamp_type: str = "timestamp") -> DataFrame:
+                  stamp_type: str = "timestamp", prune_days: bool = True) -> DataFrame:
     """Delete the target's window, then insert the source's window
     rows with ``ON CONFLICT (key) DO UPDATE`` (all columns).
 
@@ -171,13 +182,28 @@ def upsert_window(target: DataFrame, source: DataFrame, key: str, date_column: s
     moved. Source rows sharing a key collapse to the newest by ``newest``
     (the reference's pick among them is arbitrary). NULL keys never conflict:
     all such rows are inserted and kept.
+
+    With ``prune_days`` the conflict search first finds the days whose rows
+    hold a source key (``keys_hit_days``); only those days' rows go through
+    the anti join, all other days pass through without a shuffle — and are
+    the days a date-partitioned writer has to rewrite besides the window.
     """
     target = ensure_column(target, SYNC_STAMP, stamp_type, F.lit(run_ts))
     src = source.filter(in_window(source, date_column, start, end))
     src = latest_per_key(src, [key], newest, nulls_first, keep_null_keys=True)
     src = _stamp(src, run_ts, stamp_type)
+    src_keys = src.select(key).filter(F.col(key).isNotNull())
     kept = delete_where(target, in_window(target, date_column, start, end))
-    kept = kept.join(src.select(key).filter(F.col(key).isNotNull()), on=key, how="left_anti")
+    if prune_days:
+        days = keys_hit_days(kept, src_keys, key, date_column)
+        if not days:
+            return _align(kept, src)
+        hit = on_dates(kept, date_column, days)
+        untouched = delete_where(kept, hit)
+        touched = kept.filter(hit).join(src_keys, on=key, how="left_anti")
+        kept = untouched.unionByName(touched)
+    else:
+        kept = kept.join(src_keys, on=key, how="left_anti")
     return _align(kept, src)
 
 

@@ -116,3 +116,10 @@ def test_quality_checks(spark):
     assert [(r.k, r.l, r.n) for r in dup] == [(1, 1, 2)]
     rec = quality.reconcile(df, df.dropDuplicates()).first()
     assert (rec.source_rows, rec.target_rows, rec.difference) == (5, 3, 2)
+
+
+def test_day_runs():
+    from factkeeper.functions.predicates import day_runs
+    d = date
+    assert day_runs([d(2024, 1, 3), d(2024, 1, 1), d(2024, 1, 2), d(2024, 1, 5)]) == [
+        (d(2024, 1, 1), d(2024, 1, 4)), (d(2024, 1, 5), d(2024, 1, 6))]
