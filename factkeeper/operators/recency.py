@@ -64,12 +64,16 @@ def refresh_changed(table: DataFrame, keys: DataFrame, key: str, as_of: date,
     """Recompute recency only for ``keys`` (column ``key``).
 
     ``table`` is the table after the change, carrying the recency columns of
-    the previous run. Rows of untouched keys pass through unchanged; rows of
-    changed keys (``left_semi``) get a fresh recompute — recompute, not fold,
-    because a MAX cannot be undone when the newest row is deleted.
+    the previous run. The changed keys' rows are picked with a semi join,
+    recomputed per key (recompute, not fold: a MAX cannot be undone when the
+    newest row is deleted) and written back with ``update_from`` — rows of
+    other keys do not match and keep their values. For a small change set
+    both joins are broadcast by AQE, so the table itself is never shuffled.
     """
-    keys = keys.select(F.col("key").alias(key))
+    keys = keys.select(F.col("key").alias(key)).filter(F.col(key).isNotNull())
     touched = table.join(keys, on=key, how="left_semi")
-    untouched = table.join(keys, on=key, how="left_anti")
-    return untouched.unionByName(recency(touched, key, as_of, date_col, deposit_col)
-                                 .select(*table.columns))
+    per_key = key_recency(touched, key, date_col, deposit_col).withColumn(
+        DAYS_INACTIVE, days_between(as_of, LAST_DEPOSIT))
+    return update_from(table, per_key, [key],
+                       {LAST_ACTIVITY: LAST_ACTIVITY, LAST_DEPOSIT: LAST_DEPOSIT,
+                        DAYS_INACTIVE: DAYS_INACTIVE}, unique=True)
