@@ -98,7 +98,48 @@ def csv_rows(spark, sf):
     return csv_row_count(spark, path)
 
 
+def sync_run_log(spark, sf):
+    """Run a windowed replace, write the synced rows (counted while
+    writing) and return the run-log row."""
+    from factkeeper.functions.time_windows import recent_days
+    from factkeeper.operators import rewrite
+    from factkeeper.plans.testmodel import ORDERS_AS_OF, RUN_TS
+    orders = _orders(spark, sf)
+    spec = rewrite.SyncSpec(date_column="o_orderdate", filter_column="o_orderpriority",
+                            values=["1-URGENT", "2-HIGH"], activity_columns=["o_totalprice"])
+    start, end = recent_days(ORDERS_AS_OF, spec.days_back)
+    rows = E.write_counted(rewrite.sync_rows(orders, spec, start, end), scratch_path(spark, "sync"))
+    return E.run_log_row(spark, "usc", "orders", "orders_copy", f"{start} .. {end}", rows,
+                         RUN_TS, RUN_TS, "OK")
+
+
+def schema_conform(spark, sf):
+    """Check the contract, build the target schema from a column
+    catalog extract and cast the table to it (absent columns become NULL)."""
+    from factkeeper.sources.tables import conform, require_columns, to_struct
+    orders = require_columns(_orders(spark, sf), ["o_orderkey", "o_totalprice", "o_orderdate"])
+    catalog_rows = [
+        {"name": "o_orderkey", "data_type": "bigint", "is_nullable": "NO"},
+        {"name": "o_totalprice", "data_type": "numeric", "numeric_precision": 18, "numeric_scale": 2},
+        {"name": "o_orderdate", "data_type": "date"},
+        {"name": "o_orderpriority", "data_type": "character varying"},
+        {"name": "o_comment", "data_type": "text"},
+    ]
+    out = conform(orders, to_struct(catalog_rows))
+    return out.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+def utf8_decode(spark, sf):
+    """text stored as bytes, decoded back (hex when not valid UTF-8)."""
+    from factkeeper.functions.scalar import utf8_or_hex
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("raw"))
+    return docs.select("doc_id", utf8_or_hex("raw").alias("text"))
+
+
 QUERIES = {
+    "sync_run_log": sync_run_log,
+    "schema_conform": schema_conform,
+    "utf8_decode": utf8_decode,
     "export_year_slices": export_year_slices,
     "export_month": export_month,
     "export_capped_parts": export_capped_parts,
@@ -136,4 +177,15 @@ select user_id, cast(ts as date) as first_deposit_date, value as first_deposit_a
         "period_values": "select distinct cast(year(o_orderdate) as integer) as period from orders "
                          "where o_orderdate is not null",
         "csv_row_count": "select count(*) as rows from documents",
+        "sync_run_log": """
+select 'usc' as market, 'orders' as source, 'orders_copy' as target,
+  '2001-07-29 .. 2001-08-01' as date_range, count(*) as rows_inserted,
+  timestamptz '2024-02-01 06:00:00+00' as started, timestamptz '2024-02-01 06:00:00+00' as finished,
+  'OK' as status, '' as message
+from orders where o_orderdate >= timestamp '2001-07-29' and o_orderdate < timestamp '2001-08-01'
+  and o_orderpriority in ('1-URGENT', '2-HIGH') and coalesce(o_totalprice, 0) > 0""",
+        "schema_conform": "select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, "
+                          "cast(o_orderdate as date) as o_orderdate, o_orderpriority, "
+                          "cast(null as varchar) as o_comment from orders",
+        "utf8_decode": "select doc_id, text from documents",
     }

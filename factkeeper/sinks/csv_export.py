@@ -161,6 +161,19 @@ def run_log_row(spark: SparkSession, market: str, source: str, target: str, date
         RUN_LOG_SCHEMA)
 
 
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                  partition_by=()) -> int:
+    """Write ``df`` and return how many rows were written, counted by an
+    ``Observation`` in the same job (no separate COUNT(*) scan)."""
+    from pyspark.sql import Observation
+    obs = Observation("written")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return int(obs.get["rows"])
+
+
 def append_run_log(row: DataFrame, path: str) -> None:
     """Append to the run-log table (parquet)."""
     row.coalesce(1).write.mode("append").parquet(path)
