@@ -20,6 +20,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -54,6 +55,23 @@ def build_session(master: str | None = None, app: str = "factkeeper",
     return spark
 
 
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Shuffle sizing for a job that shuffles about ``shuffle_bytes``.
+
+    The initial partition count gives ~``target_partition_bytes`` per reduce
+    task (so sorts and hash maps fit executor memory instead of spilling);
+    AQE then coalesces small partitions and splits skewed join partitions.
+    E.g. 100 TB scanned with ~20 TB shuffled → ~160k initial partitions.
+    """
+    n = max(200, min(500_000, -(-shuffle_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -90,5 +108,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["BASE_CONF", "build_session", "checkpoint_root", "scratch_path",
+__all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path",
            "cut_lineage", "local_path"]
