@@ -216,14 +216,21 @@ def mapped_replace(target: DataFrame, source: DataFrame, days, mapping=None,
     Zero source rows still deletes: the days end up empty.
     """
     mapping = list(mapping or SERVING_MAPPING)
-    require_columns(source, [s for s, _ in mapping], "source")
-    projected = source.filter(on_dates(source, date_column, days)).select(
-        *[(blank_if_null(s) if s in blank_cols else F.col(s)).alias(t) for s, t in mapping])
+    projected = mapped_rows(source, days, mapping, date_column, blank_cols)
     tgt_date = dict(mapping).get(date_column, date_column)
     kept = delete_where(target, on_dates(target, tgt_date, days))
     return _align(kept, projected)
 
 
+def mapped_rows(source: DataFrame, days, mapping=None, date_column: str = "date",
+                blank_cols=BLANK_WHEN_NULL) -> DataFrame:
+    """The rows W4/W5 insert: the source's rows of ``days`` through ``mapping``."""
+    mapping = list(mapping or SERVING_MAPPING)
+    require_columns(source, [s for s, _ in mapping], "source")
+    return source.filter(on_dates(source, date_column, days)).select(
+        *[(blank_if_null(s) if s in blank_cols else F.col(s)).alias(t) for s, t in mapping])
+
+
 def full_load(target: DataFrame, source: DataFrame, truncate: bool) -> DataFrame:
     """Truncate-and-load, or append to what is there."""
     if truncate:

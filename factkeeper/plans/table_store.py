@@ -62,29 +62,36 @@ class VersionedTable:
         return self.write(query())
 
 
-def replace_days(df: DataFrame, path: str, date_col: str, days) -> None:
-    """Rewrite only the given days of a table partitioned by ``date_col``.
+def replace_days(df: DataFrame, path: str, date_col: str, days, cut_lineage: bool = True) -> int:
+    """Rewrite only the given days of a table partitioned by ``date_col``;
+    returns the number of rows written.
 
     Dynamic partition overwrite replaces the days that have rows; days of
     the window that became empty get an empty partition file written too, so
     a windowed delete with no new rows still empties the day (a plain
     dynamic overwrite would keep the stale rows).
 
-    ``df`` is usually derived from ``path`` itself, so the changed days are
-    first cut from their lineage with a reliable checkpoint in the shared
-    checkpoint folder: the overwrite can then never delete rows a (re)running
-    task still has to read.
+    When ``df`` is derived from ``path`` itself (``cut_lineage``), the changed
+    days are first cut from their lineage with a reliable checkpoint in the
+    shared checkpoint folder: the overwrite can then never delete rows a
+    (re)running task still has to read.
     """
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
-    checkpoint_root(spark)
     days = sorted(set(days))
-    day_rows = df.filter(F.col(date_col).isin(days)).checkpoint(eager=True)
-    present = {r[0] for r in day_rows.select(date_col).distinct().collect()}
-    empty_days = [d for d in days if d not in present]
-    (day_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    day_rows = df.filter(F.col(date_col).isin(days))
+    if cut_lineage:
+        checkpoint_root(spark)
+        day_rows = day_rows.checkpoint(eager=True)
+    obs = Observation("replace_days")
+    counted = day_rows.observe(obs, F.count(F.lit(1)).alias("rows"),
+                               F.collect_set(F.col(date_col)).alias("days"))
+    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
-    if empty_days:
-        # An empty frame with the schema, one per day: overwrite that partition.
-        for d in empty_days:
-            part = f"{path}/{date_col}={d}"
-            day_rows.limit(0).drop(date_col).write.mode("overwrite").parquet(part)
+    present = set(obs.get["days"] or [])
+    for d in days:
+        if d not in present:
+            # overwrite that day's folder with an empty file of the schema
+            day_rows.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{path}/{date_col}={d}")
+    return int(obs.get["rows"])
