@@ -56,16 +56,19 @@ def run_steps(df: DataFrame, steps, on_error: str = "continue"):
     return df, df.sparkSession.createDataFrame(log, STEP_LOG_SCHEMA)
 
 
-def serving_steps(as_of: date, line_recodes: dict | None = None, short_key: bool = False):
+def serving_steps(as_of: date, line_recodes: dict | None = None, short_key: bool = False,
+                  name_col: str = "user_name", tiebreak: str = "uniquekey"):
     """The serving-table chain: recode lines → latest unique code per user →
-    user key → recency per user key."""
+    user key → recency per user key. Column names default to the serving
+    table's; ``tiebreak`` orders rows of the same day (the row address in
+    the reference, a unique key here)."""
     recodes = LINE_RECODES if line_recodes is None else line_recodes
-    key_parts = ("update_unique_code", "line") if short_key else ("username", "update_unique_code", "line")
+    key_parts = ("update_unique_code", "line") if short_key else (name_col, "update_unique_code", "line")
     return [
         Step("recode_lines", lambda d: d.withColumn("line", recode("line", recodes))),
         Step("latest_unique_code", lambda d: update.spread_latest(
             d, "user_unique", "unique_code", "update_unique_code",
-            newest=["date", "unique_key"], nulls_first=["date"])),
+            newest=["date", tiebreak], nulls_first=["date"])),
         Step("user_key", lambda d: rewrite.set_column(d, "userkey", strict_concat(*key_parts))),
         Step("recency", lambda d: recency.recency(d, "userkey", as_of)),
     ]
@@ -74,7 +77,8 @@ def serving_steps(as_of: date, line_recodes: dict | None = None, short_key: bool
 def daily_chain(stg: DataFrame, as_of: date, line_recodes: dict | None = None,
                 on_error: str = "stop"):
     """All of the serving chain on a staging-shaped frame."""
-    return run_steps(stg, serving_steps(as_of, line_recodes), on_error)
+    return run_steps(stg, serving_steps(as_of, line_recodes, name_col="username",
+                                        tiebreak="unique_key"), on_error)
 
 
 __all__ = ["Step", "run_steps", "serving_steps", "daily_chain", "STEP_LOG_SCHEMA"]

@@ -40,3 +40,32 @@ def test_hourly_trigger_mode(spark, tmp_path):
         q.stop()
     out = RecencyState(spark, str(tmp_path / "s")).read(date(2024, 2, 1))
     assert out.count() == tm.staging(spark, SF).count()
+
+
+def test_daily_run_end_to_end(spark, tmp_path):
+    from factkeeper.operators.rewrite import SyncSpec
+    from factkeeper.plans.maintenance import Market, daily_run
+    from factkeeper.plans.table_store import VersionedTable
+    stg = tm.staging(spark, SF)
+    staging_path, serving_path = str(tmp_path / "staging"), str(tmp_path / "serving")
+    stg.filter(F.col("txn_date") < F.lit(date(2024, 1, 20))).write.partitionBy("txn_date").parquet(staging_path)
+    (stg.select(*[F.col(s).alias(t) for s, t in
+                  __import__("factkeeper.operators.rewrite", fromlist=["x"]).SERVING_MAPPING],
+                "user_unique")
+     .withColumn("squad_lead", F.lit(None).cast("string"))
+     .withColumn("tier_label", F.lit(None).cast("string"))
+     .write.partitionBy("date").parquet(serving_path))
+    spec = SyncSpec(date_column="txn_date", filter_column="line", mode="all", days_back=20)
+    leads = spark.createDataFrame([("L1", "Ann"), ("L2", "Bo")], "line string, lead string")
+    market = Market("usc", line_recodes={}, squad_leads=leads, tier_stamp=True)
+    log = daily_run(spark, stg, staging_path, serving_path, str(tmp_path / "views"),
+                    date(2024, 1, 31), spec, market, report_path=str(tmp_path / "report"))
+    statuses = {r.step_name: r.status for r in log.collect()}
+    assert set(statuses.values()) == {"OK"}, statuses
+    serving = VersionedTable(spark, str(tmp_path / "views" / "usc" / "serving")).read()
+    assert serving.count() == spark.read.parquet(serving_path).count()
+    assert serving.filter(F.col("line") == "L1").select("squad_lead").distinct().first()[0] == "Ann"
+    assert serving.filter(F.col("tier_name").isNotNull()).count() > 0
+    staged = spark.read.parquet(staging_path)
+    assert staged.filter(F.col("txn_date") >= F.lit(date(2024, 1, 20))).count() > 0   # A filled the window
+    assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() > 0
