@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factkeeper.functions.scalar import days_between
+from factkeeper.functions.scalar import days_between, distinct_from
 from factkeeper.operators.update import update_from
 
 # The three columns the refresh writes.
@@ -55,7 +55,7 @@ def changed_keys(changes: DataFrame, new_key: str = "new_key", old_key: str = "o
     """Keys to refresh — the new key of inserts/updates, the old key of
     deletes and of updates that moved a row to another key (IS DISTINCT FROM)."""
     new = changes.select(F.col(new_key).alias("key"))
-    old = changes.select(F.col(old_key).alias("key"))
+    old = changes.filter(distinct_from(old_key, new_key)).select(F.col(old_key).alias("key"))
     return new.unionByName(old).filter(F.col("key").isNotNull()).distinct()
 
 

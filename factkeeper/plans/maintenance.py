@@ -54,73 +54,93 @@ def _tier_stamp(f: DataFrame, bands, c: views.FactCols) -> DataFrame:
          "movement_status": "movement_status"}, unique=True).drop("__ms")
 
 
-def maintenance_plan(market: Market) -> list:
-    """Pipeline C after the key/recency chain, in the reference's order.
-
-    Entries are ``(name, fn, kind)``: ``fn(fact)`` returns a frame; kind
-    'update' replaces the fact, 'view' is stored as its own table.
-    """
+def maintenance_updates(market: Market) -> list:
+    """Column updates of pipeline C after the key/recency chain, in order:
+    ``(name, fn)`` with ``fn(fact) -> fact``."""
     c = views.FactCols(cases="deposit_cases")
     bands = market.bands
-    deposits = lambda f: f.filter(F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0)
-    plan = []
+    steps = []
     if market.squad_leads is not None:
-        plan.append(("squad_lead", lambda f: update.conditional_update(
-            f, market.squad_leads, "line", "squad_lead", "lead", broadcast_rows=100_000), "update"))
-    plan += [
-        ("monthly_summary", lambda f: views.monthly_summary(f, c), "view"),
-        ("line_summary", lambda f: views.line_summary(f, c), "view"),
-        ("daily_summary", lambda f: views.daily_summary(f, c), "view"),
-        ("quarter_summary", lambda f: views.quarter_summary(f, c), "view"),
-        ("tier_monthly", lambda f: views.tier_monthly(f, bands, c), "view"),
-        ("tier_summary", lambda f: views.tier_summary(views.tier_monthly(f, bands, c)), "view"),
-        ("tier_label", lambda f: update.update_from(f, _tier_by_key(f, bands), ["userkey", "line"],
-                                                    {"tier_label": "tier_name"}, unique=True), "update"),
-    ]
+        steps.append(("squad_lead", lambda f: update.conditional_update(
+            f, market.squad_leads, "line", "squad_lead", "lead", broadcast_rows=100_000)))
+    steps.append(("tier_label", lambda f: update.update_from(
+        f, _tier_by_key(f, bands), ["userkey", "line"], {"tier_label": "tier_name"}, unique=True)))
     if market.tier_stamp:
-        plan.append(("tier_stamp", lambda f: _tier_stamp(f, bands, c), "update"))
-    plan += [
-        ("retention_daily", lambda f: views.retention(f, "user_unique", F.col("date"), "day"), "view"),
+        steps.append(("tier_stamp", lambda f: _tier_stamp(f, bands, c)))
+    return steps
+
+
+def maintenance_views(market: Market) -> list:
+    """Views of pipeline C: ``(name, fn)`` with ``fn(serving) -> view``.
+
+    None of them reads a column the updates write, so they are built from
+    the stored serving table after the updates (same rows as the reference's
+    interleaved order)."""
+    c = views.FactCols(cases="deposit_cases")
+    bands = market.bands
+
+    def deposits(f):
+        return f.filter(F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0)
+
+    return [
+        ("monthly_summary", lambda f: views.monthly_summary(f, c)),
+        ("line_summary", lambda f: views.line_summary(f, c)),
+        ("daily_summary", lambda f: views.daily_summary(f, c)),
+        ("quarter_summary", lambda f: views.quarter_summary(f, c)),
+        ("tier_monthly", lambda f: views.tier_monthly(f, bands, c)),
+        ("tier_summary", lambda f: views.tier_summary(views.tier_monthly(f, bands, c))),
+        ("retention_daily", lambda f: views.retention(f, "user_unique", F.col("date"), "day")),
         ("retention_monthly", lambda f: views.retention(f, "user_unique", views.month_start("date"),
-                                                        "month"), "view"),
+                                                        "month")),
         ("new_depositors", lambda f: views.new_depositors(deposits(f), "user_unique", "date",
-                                                          "deposit_amount", "uniquekey"), "view"),
-        ("new_depositor_txns", lambda f: views.new_depositor_txns(deposits(f), "user_unique", "date"),
-         "view"),
-        ("serving", lambda f: f, "view"),
+                                                          "deposit_amount", "uniquekey")),
+        ("new_depositor_txns", lambda f: views.new_depositor_txns(deposits(f), "user_unique", "date")),
     ]
-    return plan
 
 
 def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root: str,
                      market: Market, on_error: str = "continue"):
-    """Pipeline C on the serving table; returns (new serving frame, step log).
+    """Pipeline C on the serving table; returns (stored serving frame, step log).
 
-    The key/recency chain is one plan (two keyed shuffles); then each view
-    is written as a new version of its own table and each update extends the
-    fact's plan; the serving table itself is written last.
+    The key/recency chain and the column updates form one plan, which is
+    written once as a new version of the serving table; every view is then
+    built from that stored version (plain scans), so the chain's shuffles run
+    once, not once per view, and the write cuts the lineage.
     """
     fact, log = run_steps(serving, serving_steps(as_of, market.line_recodes, market.short_key),
                           on_error)
-    failed = log.filter(F.col("status") == "ERROR").count() > 0
-    rows = []
-    if not (failed and on_error == "stop"):
-        first = log.count() + 1
-        for i, (name, fn, kind) in enumerate(maintenance_plan(market), start=first):
-            started = datetime.now()
-            try:
-                out = fn(fact)
-                if kind == "update":
-                    out.schema  # analysis errors surface here
-                    fact = out
-                else:
-                    VersionedTable(spark, f"{root}/{market.name}/{name}").write(out)
-                rows.append((i, name, "OK", "", started, datetime.now()))
-            except Exception as e:  # noqa: BLE001 - logged like the reference's runner
-                rows.append((i, name, "ERROR", str(e).splitlines()[0][:500], started, datetime.now()))
-                if on_error == "stop":
-                    break
-    return fact, log.unionByName(spark.createDataFrame(rows, STEP_LOG_SCHEMA))
+    rows, stop = [], on_error == "stop" and log.filter(F.col("status") == "ERROR").count() > 0
+    n = log.count()
+
+    def run(name, fn):
+        nonlocal n, stop
+        n += 1
+        started = datetime.now()
+        try:
+            fn()
+            rows.append((n, name, "OK", "", started, datetime.now()))
+        except Exception as e:  # noqa: BLE001 - logged like the reference's runner
+            rows.append((n, name, "ERROR", str(e).splitlines()[0][:500], started, datetime.now()))
+            stop = on_error == "stop"
+
+    def apply(fn):
+        nonlocal fact
+        out = fn(fact)
+        out.schema  # analysis errors surface here
+        fact = out
+
+    store = VersionedTable(spark, f"{root}/{market.name}/serving")
+    for name, fn in maintenance_updates(market):
+        if not stop:
+            run(name, lambda fn=fn: apply(fn))
+    if not stop:
+        run("serving", lambda: store.write(fact))
+    stored = store.read() if store.exists() else fact
+    for name, fn in maintenance_views(market):
+        if not stop:
+            run(name, lambda name=name, fn=fn: VersionedTable(
+                spark, f"{root}/{market.name}/{name}").write(fn(stored)))
+    return stored, log.unionByName(spark.createDataFrame(rows, STEP_LOG_SCHEMA))
 
 
 def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving_path: str,
@@ -150,4 +170,4 @@ def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving
     return log
 
 
-__all__ = ["Market", "maintenance_plan", "maintain_serving", "daily_run"]
+__all__ = ["Market", "maintenance_updates", "maintenance_views", "maintain_serving", "daily_run"]

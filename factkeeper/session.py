@@ -103,10 +103,5 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for driver-side checks in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path",
-           "cut_lineage", "local_path"]
+           "cut_lineage"]
