@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factkeeper.functions.scalar import days_between, distinct_from
-from factkeeper.operators.update import update_from
+from factkeeper.operators.update import key_side, update_from
 
 # The three columns the refresh writes.
 LAST_ACTIVITY = "last_activity_days"      # a DATE, despite its name
@@ -70,7 +70,7 @@ def refresh_changed(table: DataFrame, keys: DataFrame, key: str, as_of: date,
     other keys do not match and keep their values. For a small change set
     both joins are broadcast by AQE, so the table itself is never shuffled.
     """
-    keys = keys.select(F.col("key").alias(key)).filter(F.col(key).isNotNull())
+    keys = key_side(keys.select(F.col("key").alias(key)).filter(F.col(key).isNotNull()))
     touched = table.join(keys, on=key, how="left_semi")
     per_key = key_recency(touched, key, date_col, deposit_col).withColumn(
         DAYS_INACTIVE, days_between(as_of, LAST_DEPOSIT))

@@ -15,7 +15,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factkeeper.session import scratch_path
+
 _MATCHED = "__matched"
+# Session setting: write per-key results before joining them back ("true"/"false").
+MATERIALIZE_CONF = "factkeeper.materializeKeySide"
+
+
+def key_side(df: DataFrame) -> DataFrame:
+    """Store a per-key result (one row per key) before it is joined back.
+
+    AQE can only split a skewed join partition when both join inputs are
+    plain shuffles; an aggregate feeding the join directly blocks it, and a
+    key holding a third of the rows would then be joined in one task. The
+    per-key rows are written to the shared checkpoint folder and read back:
+    both sides get ordinary shuffles (the hot partition is split across
+    tasks), the file size lets the planner broadcast a small side, and the
+    lineage is cut. The table is small next to the fact (one row per key).
+    """
+    spark = df.sparkSession
+    if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
+        return df
+    path = scratch_path(spark, "key-side")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def newest_order(newest, nulls_first=()) -> Column:
@@ -81,8 +104,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 def _join_matched(target: DataFrame, src: DataFrame, keys, renames: dict,
                   broadcast_rows: int | None) -> DataFrame:
-    src = src.select(*keys, *[F.col(s).alias(a) for s, a in renames.items()],
-                     F.lit(True).alias(_MATCHED))
+    src = key_side(src.select(*keys, *[F.col(s).alias(a) for s, a in renames.items()],
+                              F.lit(True).alias(_MATCHED)))
     if broadcast_rows:
         src = bounded_broadcast(src, broadcast_rows)
     return target.join(src, on=list(keys), how="left")

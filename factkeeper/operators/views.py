@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factkeeper.operators.kpi import money
+from factkeeper.operators.update import key_side
 
 
 @dataclass
@@ -192,8 +193,8 @@ def new_depositor_txns(df: DataFrame, user: str, date_col: str) -> DataFrame:
     First month per user (combinable min), then a semi join on (user, month)
     — the fact itself is shuffled once, never collected per user.
     """
-    firsts = (df.filter(F.col(user).isNotNull()).groupBy(user)
-              .agg(F.min(month_start(date_col)).alias("__m")))
+    firsts = key_side(df.filter(F.col(user).isNotNull()).groupBy(user)
+                      .agg(F.min(month_start(date_col)).alias("__m")))
     keyed = df.withColumn("__m", month_start(date_col))
     return keyed.join(firsts, on=[user, "__m"], how="left_semi").drop("__m")
 

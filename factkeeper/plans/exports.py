@@ -180,7 +180,7 @@ select user_id, cast(ts as date) as first_deposit_date, value as first_deposit_a
         "sync_run_log": """
 select 'usc' as market, 'orders' as source, 'orders_copy' as target,
   '2001-07-29 .. 2001-08-01' as date_range, count(*) as rows_inserted,
-  timestamptz '2024-02-01 06:00:00+00' as started, timestamptz '2024-02-01 06:00:00+00' as finished,
+  timestamp '2024-02-01 06:00:00' as started, timestamp '2024-02-01 06:00:00' as finished,
   'OK' as status, '' as message
 from orders where o_orderdate >= timestamp '2001-07-29' and o_orderdate < timestamp '2001-08-01'
   and o_orderpriority in ('1-URGENT', '2-HIGH') and coalesce(o_totalprice, 0) > 0""",

@@ -24,8 +24,8 @@ STEP_LOG_SCHEMA = T.StructType([
     T.StructField("step_name", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
-    T.StructField("started", T.TimestampType()),
-    T.StructField("finished", T.TimestampType()),
+    T.StructField("started", T.TimestampNTZType()),
+    T.StructField("finished", T.TimestampNTZType()),
 ])
 
 

@@ -145,8 +145,8 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("target", T.StringType()),
     T.StructField("date_range", T.StringType()),
     T.StructField("rows_inserted", T.LongType()),
-    T.StructField("started", T.TimestampType()),
-    T.StructField("finished", T.TimestampType()),
+    T.StructField("started", T.TimestampNTZType()),
+    T.StructField("finished", T.TimestampNTZType()),
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
 ])
