@@ -84,6 +84,18 @@ class SyncSpec:
         if self.mode == "all":
             self.values = []
 
+    @classmethod
+    def from_config(cls, cfg: dict) -> "SyncSpec":
+        """From a per-market sync config (keys ``date_column``, ``filter_column``,
+        ``line_filter_mode``, ``line_values``, ``days_back``, ``order_column``);
+        batch sizes and connection settings have no meaning here."""
+        return cls(date_column=cfg.get("date_column", "txn_date"),
+                   filter_column=cfg.get("filter_column", "agent_code"),
+                   mode=cfg.get("line_filter_mode", "specific"),
+                   values=list(cfg.get("line_values", [])),
+                   days_back=int(cfg.get("days_back", 3)),
+                   order_column=cfg.get("order_column", "unique_key"))
+
     @property
     def auto_values(self) -> bool:
         """'all', or 'specific' with an empty list: values come from the data."""
