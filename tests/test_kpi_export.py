@@ -4,7 +4,6 @@ import glob
 import os
 from datetime import date
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factkeeper.functions.scalar import parse_date_multi, strict_concat
