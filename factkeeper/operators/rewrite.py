@@ -134,11 +134,19 @@ def _stamp(df: DataFrame, run_ts, stamp_type: str) -> DataFrame:
 
 
 def _align(target: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Target-only columns become NULL; a source column the target lacks is an error."""
-    extra = [c for c in new_rows.columns if c not in target.columns]
+    """Append ``new_rows`` as an INSERT would: cast to the target's column
+    types, target-only columns NULL; a source column the target lacks is an
+    error (ANSI casts raise on values that do not fit, like the database)."""
+    return target.unionByName(as_target(target, new_rows))
+
+
+def as_target(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` in the target's columns and types (missing columns NULL)."""
+    extra = [c for c in rows.columns if c not in target.columns]
     if extra:
         raise ValueError(f"target has no column(s): {', '.join(extra)}")
-    return target.unionByName(new_rows, allowMissingColumns=True).select(*target.columns)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None))
+                         .cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
 def window_replace(target: DataFrame, source: DataFrame, spec: SyncSpec, start, end,
@@ -246,7 +254,7 @@ def mapped_rows(source: DataFrame, days, mapping=None, date_column: str = "date"
 def full_load(target: DataFrame, source: DataFrame, truncate: bool) -> DataFrame:
     """Truncate-and-load, or append to what is there."""
     if truncate:
-        return source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
+        return as_target(target, source)
     return _align(target, source)
 
 

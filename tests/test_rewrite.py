@@ -149,3 +149,17 @@ def test_full_load_truncate_and_append(spark):
     b = spark.createDataFrame([(2,)], "id int")
     assert rows(rewrite.full_load(a, b, truncate=True), "id") == [(2,)]
     assert rows(rewrite.full_load(a, b, truncate=False), "id") == [(1,), (2,)]
+
+
+def test_inserted_rows_take_target_types(spark):
+    from decimal import Decimal
+    target = spark.createDataFrame([("a", date(2024, 1, 20), "X", 1, Decimal("1.50"))],
+                                   "unique_key string, txn_date date, agent_code string, "
+                                   "deposit_cases int, deposit_amount decimal(18,2)")
+    source = spark.createDataFrame([("n", date(2024, 1, 29), "X", 2, 2.345)],
+                                   "unique_key string, txn_date date, agent_code string, "
+                                   "deposit_cases bigint, deposit_amount double")
+    out = rewrite.replace_recent_days(target, source, SyncSpec(values=["X"], activity_columns=ACT),
+                                      date(2024, 1, 31), RUN)
+    assert dict(out.dtypes)["deposit_amount"] == "decimal(18,2)"
+    assert dict(out.dtypes)["deposit_cases"] == "int"
