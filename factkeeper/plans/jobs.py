@@ -50,15 +50,6 @@ def periods_between(start: date, end: date, grain: str) -> list[date]:
     return out
 
 
-def _aligned(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """Target's columns and types; target-only columns NULL of their type."""
-    extra = [c for c in rows.columns if c not in target.columns]
-    if extra:
-        raise ValueError(f"target has no column(s): {', '.join(extra)}")
-    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None))
-                         .cast(f.dataType).alias(f.name) for f in target.schema.fields])
-
-
 def _stamped(rows: DataFrame, target: DataFrame, run_ts: datetime) -> DataFrame:
     if rewrite.SYNC_STAMP in target.columns:
         return rows.withColumn(rewrite.SYNC_STAMP,
@@ -71,7 +62,7 @@ def _rewrite(target: DataFrame, path: str, part_col: str, periods, new_rows: Dat
     """Overwrite ``periods`` with ``keep(rows of those periods) ∪ new_rows``.
 
     ``keep=None`` means nothing of those periods survives (no read)."""
-    rows = _aligned(new_rows, target)
+    rows = rewrite.as_target(target, new_rows)
     if keep is not None:
         old = keep(target.filter(F.col(part_col).isin(list(periods))))
         rows = old.select(*target.columns).unionByName(rows)
