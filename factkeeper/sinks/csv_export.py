@@ -80,12 +80,19 @@ def export_by_year(df: DataFrame, year_col: str, path: str, order_cols=(), bom:
 
 
 def export_month(df: DataFrame, date_col: str, month: str, base: str, name: str,
-                 order_cols=(), bom: bool = True, parts: int | None = None) -> str:
-    """Rows of month ``YYYY-MM`` to ``<base>/<name>_<YYYYMM>``."""
+                 order_cols=(), bom: bool = True, parts: int | None = None,
+                 write_if_empty: bool = True) -> str | None:
+    """Rows of month ``YYYY-MM`` to ``<base>/<name>_<YYYYMM>``.
+
+    An empty month gives a header-only file, or — ``write_if_empty=False``,
+    the other export variant — no file at all (``None`` is returned).
+    """
     start, end = month_of(month)
     path = f"{base}/{name}_{start:%Y%m}"
-    write_csv(df.filter(in_window(df, date_col, start, end)), path, order_cols, bom,
-              parts=parts)
+    rows = df.filter(in_window(df, date_col, start, end))
+    if not write_if_empty and rows.isEmpty():
+        return None
+    write_csv(rows, path, order_cols, bom, parts=parts)
     return path
 
 

@@ -122,3 +122,14 @@ def test_day_runs():
     d = date
     assert day_runs([d(2024, 1, 3), d(2024, 1, 1), d(2024, 1, 2), d(2024, 1, 5)]) == [
         (d(2024, 1, 1), d(2024, 1, 4)), (d(2024, 1, 5), d(2024, 1, 6))]
+
+
+def test_export_month_empty_variants(spark, tmp_out):
+    df = spark.createDataFrame([(1, date(2024, 1, 5))], "id int, d date")
+    assert E.export_month(df, "d", "2024-02", tmp_out, "t", write_if_empty=False) is None
+    path = E.export_month(df, "d", "2024-02", tmp_out, "t", order_cols=["id"], bom=False)
+    assert path.endswith("t_202402")
+    text = "".join(open(f).read() for f in glob.glob(f"{path}/part-*.csv"))
+    assert text.strip() == "id,d"   # header only
+    dec = E.export_month(df, "d", "2024-01", tmp_out, "t", order_cols=["id"], bom=False)
+    assert dec.endswith("t_202401")
