@@ -55,8 +55,12 @@ def _ordered(df: DataFrame, order_cols, parts: int | None, lead=()) -> DataFrame
 
 
 def write_csv(df: DataFrame, path: str, order_cols=(), bom: bool = False, header: bool = True,
-              max_rows_per_file: int | None = None, parts: int | None = None) -> str:
-    """The whole table as CSV, ordered by ``order_cols``."""
+              max_rows_per_file: int | None = None, parts: int | None = None,
+              write_if_empty: bool = True) -> str | None:
+    """The whole table as CSV, ordered by ``order_cols``; with
+    ``write_if_empty=False`` an empty table writes nothing (returns None)."""
+    if not write_if_empty and df.isEmpty():
+        return None
     out = _ordered(df, list(order_cols), parts)
     if bom:
         out = with_bom(out)
@@ -90,10 +94,7 @@ def export_month(df: DataFrame, date_col: str, month: str, base: str, name: str,
     start, end = month_of(month)
     path = f"{base}/{name}_{start:%Y%m}"
     rows = df.filter(in_window(df, date_col, start, end))
-    if not write_if_empty and rows.isEmpty():
-        return None
-    write_csv(rows, path, order_cols, bom, parts=parts)
-    return path
+    return write_csv(rows, path, order_cols, bom, parts=parts, write_if_empty=write_if_empty)
 
 
 def period_values(df: DataFrame, period_col: str) -> DataFrame:
@@ -117,10 +118,11 @@ def period_filter(df: DataFrame, period_col: str | None, value=None) -> DataFram
 
 
 def export_period(df: DataFrame, period_col: str | None, value, path: str, order_cols=(),
-                  bom: bool = True, max_rows_per_file: int | None = SHEET_ROW_LIMIT - 1) -> str:
+                  bom: bool = True, max_rows_per_file: int | None = SHEET_ROW_LIMIT - 1,
+                  write_if_empty: bool = True) -> str | None:
     """Period slice, in parts that fit a spreadsheet (header + data)."""
     return write_csv(period_filter(df, period_col, value), path, order_cols, bom,
-                     max_rows_per_file=max_rows_per_file)
+                     max_rows_per_file=max_rows_per_file, write_if_empty=write_if_empty)
 
 
 def share_ready(df: DataFrame, drop_cols=()) -> DataFrame:
