@@ -4,7 +4,7 @@ root, run the job, read the stored table back."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -62,7 +62,28 @@ def year_reload_job(spark, sf):
     return spark.read.parquet(path)
 
 
+def incremental_serving(spark, sf):
+    """The serving store: built from an older state of the last two days,
+    then the two days copied in and only the touched users refreshed."""
+    from factkeeper.plans.serving_store import ServingStore
+    from factkeeper.plans.testmodel import EVENT_BANDS
+    stg = catalog._stg(spark, sf)
+    mapping = rewrite.SERVING_MAPPING + [("user_unique", "user_unique")]
+    fresh = stg.select(*[F.col(s).alias(t) for s, t in mapping])
+    days = two_days_back(EVENTS_AS_OF)
+    on_days = F.col("date").isin(days)
+    stale = (fresh.withColumn("unique_code", F.when(on_days, F.lit("OLD")).otherwise(F.col("unique_code")))
+             .withColumn("deposit_cases", F.when(on_days, F.lit(0)).otherwise(F.col("deposit_cases"))))
+    store = ServingStore(spark, scratch_path(spark, "serving-store"), EVENT_BANDS, {"L4": "L9"})
+    store.build(stale)
+    store.copy_days(stg, days, mapping)
+    return store.read(EVENTS_AS_OF + timedelta(days=1)).select(
+        "uniquekey", "line", "update_unique_code", "userkey", "last_activity_days",
+        "last_deposit_date", "days_inactive", "tier_label")
+
+
 QUERIES = {
+    "incremental_serving": incremental_serving,
     "sync_job_recent_days": sync_job_recent_days,
     "mapped_copy_job": mapped_copy_job,
     "upsert_job_month": upsert_job_month,
@@ -70,10 +91,28 @@ QUERIES = {
 }
 
 
+def _incremental_serving_sql() -> str:
+    chain = O._recency_chain_sql()
+    body, final = chain.rsplit("\nselect ", 1)
+    tiers = """tiers as (
+  select userkey, line, case when amount >= 0.01 and amount < 500.0 then 'BRONZE'
+    when amount >= 500.0 and amount < 800.0 then 'SILVER'
+    when amount >= 800.0 and amount < 1e18 then 'GOLD' end as tier_label
+  from (select userkey, line, cast(sum(cast(deposit_amount as decimal(18,2))) as double) as amount
+        from keyed where userkey is not null group by userkey, line))"""
+    return (body + ",\n" + tiers + """
+select s.unique_key as uniquekey, s.line, s.update_unique_code, s.userkey, r.last_activity_days,
+  r.last_deposit_date, cast(datediff('day', r.last_deposit_date, date '2024-02-01') as integer) as days_inactive,
+  t.tier_label
+from keyed s left join r on s.userkey = r.k
+left join tiers t on s.userkey = t.userkey and s.line = t.line""")
+
+
 def oracle_sql() -> dict[str, str]:
     in_win = "txn_date >= date '2024-01-28' and txn_date < date '2024-01-31'"
     day = "cast(date_trunc('month', o_orderdate) as date) as o_month"
     return {
+        "incremental_serving": _incremental_serving_sql(),
         "sync_job_recent_days": O.w(O.STAGING) + f"""
 select unique_key, txn_date, line, deposit_cases * 10 as deposit_cases,
   cast(deposit_amount as double) as deposit_amount
