@@ -60,20 +60,23 @@ class ServingStore:
 
     def _per_user(self, rows: DataFrame):
         """Latest code, recency and tier label for the users in ``rows`` (all
-        of each user's rows must be present)."""
-        latest = latest_per_key(rows, [USER], ["date", self.tiebreak], nulls_first=["date"],
-                                cols=["unique_code"]).withColumnRenamed("unique_code",
-                                                                        "update_unique_code")
-        keyed = (rows.join(key_side(latest), USER, "inner")
-                 .withColumn("userkey", strict_concat(*self.key_parts)))
+        of each user's rows must be present). Two passes over ``rows``: the
+        latest code per user, then one aggregate per (user, key, line) from
+        which recency and tiers both follow; each is stored once."""
+        latest = key_side(latest_per_key(rows, [USER], ["date", self.tiebreak],
+                                         nulls_first=["date"], cols=["unique_code"])
+                          .withColumnRenamed("unique_code", "update_unique_code"))
+        keyed = (rows.join(latest, USER, "inner")
+                 .withColumn("userkey", strict_concat(*self.key_parts))
+                 .filter(F.col("userkey").isNotNull()))
         deposited = F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0
-        rec = (keyed.filter(F.col("userkey").isNotNull()).groupBy(USER, "userkey")
-               .agg(F.max("date").alias(recency.LAST_ACTIVITY),
-                    F.max(F.when(deposited, F.col("date"))).alias(recency.LAST_DEPOSIT)))
-        tiers = (keyed.filter(F.col("userkey").isNotNull()).groupBy(USER, "userkey", "line")
-                 .agg(kpi.money("deposit_amount").cast("double").alias("amount"))
-                 .withColumn("tier_label", views.band(F.col("amount"), self.bands))
-                 .filter(F.col("tier_label").isNotNull()).drop("amount"))
+        by_line = key_side(keyed.groupBy(USER, "userkey", "line").agg(
+            F.max("date").alias("__a"), F.max(F.when(deposited, F.col("date"))).alias("__d"),
+            kpi.money("deposit_amount").cast("double").alias("__amount")))
+        rec = by_line.groupBy(USER, "userkey").agg(F.max("__a").alias(recency.LAST_ACTIVITY),
+                                                   F.max("__d").alias(recency.LAST_DEPOSIT))
+        tiers = (by_line.withColumn("tier_label", views.band(F.col("__amount"), self.bands))
+                 .filter(F.col("tier_label").isNotNull()).select(USER, "userkey", "line", "tier_label"))
         return latest, rec, tiers
 
     STAMPED = ["update_unique_code", "userkey", recency.LAST_ACTIVITY, recency.LAST_DEPOSIT,
