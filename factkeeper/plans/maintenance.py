@@ -98,6 +98,11 @@ def maintenance_views(market: Market) -> list:
     ]
 
 
+def _write_view(table: VersionedTable, frame: DataFrame) -> None:
+    table.write(frame)
+    table.prune(keep=2)   # the previous version stays for readers still on it
+
+
 def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root: str,
                      market: Market, on_error: str = "continue"):
     """Pipeline C on the serving table; returns (stored serving frame, step log).
@@ -134,12 +139,12 @@ def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root:
         if not stop:
             run(name, lambda fn=fn: apply(fn))
     if not stop:
-        run("serving", lambda: store.write(fact))
+        run("serving", lambda: store.write(fact) and store.prune(keep=2))
     stored = store.read() if store.exists() else fact
     for name, fn in maintenance_views(market):
         if not stop:
-            run(name, lambda name=name, fn=fn: VersionedTable(
-                spark, f"{root}/{market.name}/{name}").write(fn(stored)))
+            run(name, lambda name=name, fn=fn: _write_view(
+                VersionedTable(spark, f"{root}/{market.name}/{name}"), fn(stored)))
     return stored, log.unionByName(spark.createDataFrame(rows, STEP_LOG_SCHEMA))
 
 

@@ -96,6 +96,7 @@ class ServingStore:
             return table.read().join(touched, USER, "left_anti").unionByName(new)
         for table, new in ((self.latest, latest), (self.recency, rec), (self.tiers, tiers)):
             table.write(merged(table, new))
+            table.prune(keep=2)   # the previous version stays for readers still on it
 
     # ------------------------------------------------------------ daily change
     def copy_days(self, staging: DataFrame, days, mapping) -> int:

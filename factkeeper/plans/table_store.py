@@ -56,6 +56,35 @@ class VersionedTable:
          .write.mode("overwrite").text(self._pointer))
         return version
 
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+    def versions(self) -> list[str]:
+        """Version ids, oldest first (by folder modification time)."""
+        fs, jvm = self._fs()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        if not fs.exists(root):
+            return []
+        found = [(st.getModificationTime(), st.getPath().getName()[2:])
+                 for st in fs.listStatus(root)
+                 if st.isDirectory() and st.getPath().getName().startswith("v=")]
+        return [v for _, v in sorted(found)]
+
+    def prune(self, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` versions; the current version is
+        always kept (readers of an older version must have finished)."""
+        current = self.current()
+        old = self.versions()[:-keep] if keep > 0 else self.versions()
+        fs, jvm = self._fs()
+        dropped = []
+        for v in old:
+            if v != current:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}"), True)
+                dropped.append(v)
+        return dropped
+
     def refresh(self, query) -> str:
         """V1: ``REFRESH MATERIALIZED VIEW [CONCURRENTLY]``: run the view's
         query into a new version, readers switch when it is complete."""

@@ -29,3 +29,14 @@ def test_replace_days_empties_days_without_new_rows(spark, tmp_out):
     replace_days(new, path, "date", days)
     got = sorted((r.date, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(date(2024, 1, 1), 1), (date(2024, 1, 2), 20)]
+
+
+def test_prune_keeps_newest_and_current(spark, tmp_out):
+    import time
+    store = VersionedTable(spark, f"{tmp_out}/p")
+    for i in range(4):
+        store.write(spark.createDataFrame([(i,)], "v int"), str(i))
+        time.sleep(0.05)
+    assert store.versions() == ["0", "1", "2", "3"]
+    assert store.prune(keep=2) == ["0", "1"]
+    assert store.versions() == ["2", "3"] and [r.v for r in store.read().collect()] == [3]
