@@ -27,11 +27,15 @@ ACTIVITY_COLUMNS = [
 ]
 
 
-def typed_lit(value, dtype: T.DataType) -> Column:
-    """A literal of the column's type (folded at plan time)."""
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)) and isinstance(value, date) \
-            and not isinstance(value, datetime):
-        return F.lit(value.isoformat()).cast(dtype)
+def typed_lit(value, dtype) -> Column:
+    """A literal of the column's type (folded at plan time).
+
+    Dates and datetimes go through their text form: a ``timestamp_ntz`` keeps
+    the wall-clock value as written, a ``timestamp`` reads it in the session
+    time zone — never in the Python process's local zone."""
+    if isinstance(value, (date, datetime)):
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, datetime)
+                     else value.isoformat()).cast(dtype)
     return F.lit(value).cast(dtype)
 
 

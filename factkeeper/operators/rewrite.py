@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factkeeper.functions.predicates import (
-    ACTIVITY_COLUMNS, in_values, in_window, is_active, not_true, on_dates, year_is,
+    ACTIVITY_COLUMNS, in_values, in_window, is_active, not_true, on_dates, typed_lit, year_is,
 )
 from factkeeper.functions.scalar import blank_if_null
 from factkeeper.functions.time_windows import recent_days, yesterday_today
@@ -130,7 +130,7 @@ def sync_rows(source: DataFrame, spec: SyncSpec, start, end) -> DataFrame:
 
 
 def _stamp(df: DataFrame, run_ts, stamp_type: str) -> DataFrame:
-    return df.withColumn(SYNC_STAMP, F.lit(run_ts).cast(stamp_type))
+    return df.withColumn(SYNC_STAMP, typed_lit(run_ts, stamp_type))
 
 
 def _align(target: DataFrame, new_rows: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def window_replace(target: DataFrame, source: DataFrame, spec: SyncSpec, start,
     reference stops before deleting); that check is a one-row job.
     ``stamp_type`` is ``timestamp`` (with zone) or ``timestamp_ntz``.
     """
-    target = ensure_column(target, SYNC_STAMP, stamp_type, F.lit(run_ts))
+    target = ensure_column(target, SYNC_STAMP, stamp_type, typed_lit(run_ts, stamp_type))
     if spec.auto_values and auto_value_list(source, spec, start, end).isEmpty():
         return target
     kept = delete_where(target, in_window(target, spec.date_column, start, end))
@@ -208,7 +208,7 @@ def upsert_window(target: DataFrame, source: DataFrame, key: str, date_column: s
     the anti join, all other days pass through without a shuffle — and are
     the days a date-partitioned writer has to rewrite besides the window.
     """
-    target = ensure_column(target, SYNC_STAMP, stamp_type, F.lit(run_ts))
+    target = ensure_column(target, SYNC_STAMP, stamp_type, typed_lit(run_ts, stamp_type))
     src = source.filter(in_window(source, date_column, start, end))
     src = latest_per_key(src, [key], newest, nulls_first, keep_null_keys=True)
     src = _stamp(src, run_ts, stamp_type)

@@ -24,7 +24,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.functions.predicates import in_window, on_dates
+from factkeeper.functions.predicates import in_window, on_dates, typed_lit
 from factkeeper.functions.time_windows import days_in, first_of_next_month, year_window
 from factkeeper.operators import rewrite
 from factkeeper.operators.update import latest_per_key
@@ -53,7 +53,7 @@ def periods_between(start: date, end: date, grain: str) -> list[date]:
 def _stamped(rows: DataFrame, target: DataFrame, run_ts: datetime) -> DataFrame:
     if rewrite.SYNC_STAMP in target.columns:
         return rows.withColumn(rewrite.SYNC_STAMP,
-                               F.lit(run_ts).cast(target.schema[rewrite.SYNC_STAMP].dataType))
+                               typed_lit(run_ts, target.schema[rewrite.SYNC_STAMP].dataType))
     return rows
 
 

@@ -163,3 +163,15 @@ def test_inserted_rows_take_target_types(spark):
                                       date(2024, 1, 31), RUN)
     assert dict(out.dtypes)["deposit_amount"] == "decimal(18,2)"
     assert dict(out.dtypes)["deposit_cases"] == "int"
+
+
+def test_stamp_is_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        target = spark.createDataFrame([("a", date(2024, 1, 20), "X", 1, None)], SCHEMA)
+        out = rewrite.replace_recent_days(target, target.limit(0), SyncSpec(values=["X"], activity_columns=ACT),
+                                          date(2024, 1, 31), RUN, stamp_type="timestamp_ntz")
+        assert out.first().last_synced_at == RUN
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
