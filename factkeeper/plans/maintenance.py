@@ -98,9 +98,10 @@ def maintenance_views(market: Market) -> list:
     ]
 
 
-def _write_view(table: VersionedTable, frame: DataFrame) -> None:
+def _write_view(table: VersionedTable, frame: DataFrame) -> int:
     table.write(frame)
     table.prune(keep=2)   # the previous version stays for readers still on it
+    return table.last_rows
 
 
 def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root: str,
@@ -122,10 +123,11 @@ def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root:
         n += 1
         started = datetime.now()
         try:
-            fn()
-            rows.append((n, name, "OK", "", started, datetime.now()))
+            written = fn()
+            rows.append((n, name, "OK", "", written, started, datetime.now()))
         except Exception as e:  # noqa: BLE001 - logged like the reference's runner
-            rows.append((n, name, "ERROR", str(e).splitlines()[0][:500], started, datetime.now()))
+            rows.append((n, name, "ERROR", str(e).splitlines()[0][:500], None, started,
+                         datetime.now()))
             stop = on_error == "stop"
 
     def apply(fn):
@@ -139,7 +141,7 @@ def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root:
         if not stop:
             run(name, lambda fn=fn: apply(fn))
     if not stop:
-        run("serving", lambda: store.write(fact) and store.prune(keep=2))
+        run("serving", lambda: _write_view(store, fact))
     stored = store.read() if store.exists() else fact
     for name, fn in maintenance_views(market):
         if not stop:

@@ -24,6 +24,7 @@ STEP_LOG_SCHEMA = T.StructType([
     T.StructField("step_name", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
+    T.StructField("rowcount", T.LongType()),
     T.StructField("started", T.TimestampNTZType()),
     T.StructField("finished", T.TimestampNTZType()),
 ])
@@ -48,9 +49,10 @@ def run_steps(df: DataFrame, steps, on_error: str = "continue"):
             out = step.fn(df)
             out.schema  # analysis happens here
             df = out
-            log.append((i, step.name, "OK", "", started, datetime.now()))
+            log.append((i, step.name, "OK", "", None, started, datetime.now()))
         except Exception as e:  # noqa: BLE001 - every failure is logged
-            log.append((i, step.name, "ERROR", str(e).splitlines()[0][:500], started, datetime.now()))
+            log.append((i, step.name, "ERROR", str(e).splitlines()[0][:500], None, started,
+                        datetime.now()))
             if on_error == "stop":
                 break
     return df, df.sparkSession.createDataFrame(log, STEP_LOG_SCHEMA)

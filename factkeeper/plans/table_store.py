@@ -24,6 +24,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self.last_rows: int | None = None
 
     @property
     def _pointer(self) -> str:
@@ -46,14 +47,18 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.root}/v={version}")
 
     def write(self, df: DataFrame, version: str | None = None) -> str:
-        """Write ``df`` as a new version, then switch the pointer to it."""
+        """Write ``df`` as a new version, then switch the pointer to it. The
+        rows written are counted in the same job (``last_rows``)."""
+        from pyspark.sql import Observation
         version = version or uuid.uuid4().hex
-        w = df.write.mode("overwrite")
+        obs = Observation("versioned_write")
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.root}/v={version}")
         (self.spark.createDataFrame([(version,)], "value string").coalesce(1)
          .write.mode("overwrite").text(self._pointer))
+        self.last_rows = int(obs.get["rows"])
         return version
 
     def _fs(self):

@@ -64,6 +64,8 @@ def test_daily_run_end_to_end(spark, tmp_path):
     assert set(statuses.values()) == {"OK"}, statuses
     serving = VersionedTable(spark, str(tmp_path / "views" / "usc" / "serving")).read()
     assert serving.count() == spark.read.parquet(serving_path).count()
+    counts = {r.step_name: r.rowcount for r in log.collect()}
+    assert counts["serving"] == serving.count() and counts["tier_label"] is None
     assert serving.filter(F.col("line") == "L1").select("squad_lead").distinct().first()[0] == "Ann"
     assert serving.filter(F.col("tier_name").isNotNull()).count() > 0
     staged = spark.read.parquet(staging_path)
