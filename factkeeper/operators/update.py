@@ -36,7 +36,7 @@ def key_side(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
         return df
-    path = scratch_path(spark, "key-side")
+    path = scratch_path(spark, "key-side", temporary=True)
     df.write.parquet(path)
     return spark.read.parquet(path)
 

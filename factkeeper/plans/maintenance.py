@@ -21,6 +21,7 @@ from factkeeper.operators import kpi, rewrite, update, views
 from factkeeper.plans import jobs
 from factkeeper.plans.steps import STEP_LOG_SCHEMA, run_steps, serving_steps
 from factkeeper.plans.table_store import VersionedTable
+from factkeeper.session import release_scratch
 from factkeeper.sinks.csv_export import write_csv
 
 
@@ -174,6 +175,7 @@ def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving
         rolled = kpi.kpi_union({market.name: staged.filter(
             (F.col("txn_date") >= F.lit(lo)) & (F.col("txn_date") < F.lit(hi)))})
         write_csv(kpi.kpi_report(rolled).drop("market_order"), report_path, parts=1)
+    release_scratch(spark)   # every output is written; intermediate tables can go
     return log
 
 

@@ -92,9 +92,35 @@ def checkpoint_root(spark: SparkSession) -> str:
 _FALLBACK: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/factkeeper/{label}-{uuid.uuid4().hex[:12]}"
+def scratch_path(spark: SparkSession, label: str, temporary: bool = False) -> str:
+    """A fresh, never reused folder below the shared checkpoint root.
+
+    ``temporary`` folders (intermediate tables such as stored per-key
+    results) are recorded and removed by ``release_scratch``."""
+    path = f"{checkpoint_root(spark)}/factkeeper/{label}-{uuid.uuid4().hex[:12]}"
+    if temporary:
+        _TEMPORARY.append(path)
+    return path
+
+
+_TEMPORARY: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the temporary folders made so far; returns how many.
+
+    Call only when no DataFrame still to be run reads them — e.g. at the end
+    of a job whose outputs are all written (``maintenance.daily_run`` does)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _TEMPORARY:
+        path = jvm.org.apache.hadoop.fs.Path(_TEMPORARY.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            n += 1
+    return n
 
 
 def cut_lineage(df):
@@ -104,4 +130,4 @@ def cut_lineage(df):
 
 
 __all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path",
-           "cut_lineage"]
+           "release_scratch", "cut_lineage"]

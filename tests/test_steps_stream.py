@@ -71,3 +71,5 @@ def test_daily_run_end_to_end(spark, tmp_path):
     staged = spark.read.parquet(staging_path)
     assert staged.filter(F.col("txn_date") >= F.lit(date(2024, 1, 20))).count() > 0   # A filled the window
     assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() > 0
+    from factkeeper import session
+    assert session._TEMPORARY == []          # intermediate per-key tables released
