@@ -56,6 +56,8 @@ def main(argv=None, spark=None) -> dict:
     cmd("export-month", "--source", "--out", "--date-column", "--month", "--name", "--order")
     cmd("export-table", "--source", "--out", "--order", "--period-column", "--period", "--max-rows")
     cmd("count-csv", "--path")
+    cmd("maintain", "--serving", "--root", "--short-key", "--tier-stamp", "--squad-leads",
+        "--on-error")
     args = p.parse_args(argv)
     spark = spark or build_session()
     as_of = _day(args.as_of)
@@ -110,6 +112,14 @@ def main(argv=None, spark=None) -> dict:
                                       max_rows_per_file=int(args.max_rows or E.SHEET_ROW_LIMIT - 1))
     elif args.cmd == "count-csv":
         out["rows"] = csv_row_count(spark, args.path).first()[0]
+    elif args.cmd == "maintain":
+        from factkeeper.plans.maintenance import Market, maintain_serving
+        market = Market(args.market or "market", short_key=bool(args.short_key),
+                        tier_stamp=bool(args.tier_stamp),
+                        squad_leads=read(args.squad_leads) if args.squad_leads else None)
+        _, log = maintain_serving(spark, read(args.serving), as_of, args.root, market,
+                                  on_error=args.on_error or "continue")
+        out["steps"] = {r.step_name: r.status for r in log.collect()}
     print(json.dumps(out, default=str))
     return out
 

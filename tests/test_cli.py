@@ -29,3 +29,14 @@ def test_cli_sync_export_count(spark, tmp_path):
     rep = cli.main(["kpi-report", "--source", src, "--out", str(tmp_path / "rep"), "--as-of", "2024-01-31"],
                    spark=spark)
     assert spark.read.option("header", True).csv(rep["path"]).count() > 0
+
+
+def test_cli_maintain(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from factkeeper.operators.rewrite import SERVING_MAPPING
+    stg = tm.staging(spark, SF)
+    serving = str(tmp_path / "serving")
+    stg.select(*[F.col(s).alias(t) for s, t in SERVING_MAPPING], "user_unique").write.parquet(serving)
+    out = cli.main(["maintain", "--serving", serving, "--root", str(tmp_path / "views"),
+                    "--market", "myr", "--short-key", "1", "--as-of", "2024-02-01"], spark=spark)
+    assert set(out["steps"].values()) == {"OK"} and "retention_monthly" in out["steps"]
