@@ -2,13 +2,14 @@
 
 A job must never overwrite the folder it reads from (the overwrite deletes
 the input half way). Each write therefore goes to a new version folder and
-only then is the ``_current`` pointer switched — readers of the old version
+only then is it committed (a new marker file) — readers of the old version
 are never disturbed (the "CONCURRENTLY" of a view refresh). Writers of a
 date-partitioned table can instead replace only the days they changed.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,13 @@ from factkeeper.session import checkpoint_root
 
 
 class VersionedTable:
-    """A parquet table stored as ``<root>/v=<id>/`` plus a ``_current`` pointer."""
+    """A parquet table stored as ``<root>/v=<id>/`` plus commit markers.
+
+    A version becomes current when its marker ``<root>/_commits/<seq>_<id>``
+    is created, after its data is completely written. Markers are only ever
+    added (an atomic file create), never overwritten, so a reader sees either
+    the old or the new version; the current version is the newest marker.
+    """
 
     def __init__(self, spark: SparkSession, root: str, partition_by=()):
         self.spark = spark
@@ -26,16 +33,23 @@ class VersionedTable:
         self.partition_by = list(partition_by)
         self.last_rows: int | None = None
 
-    @property
-    def _pointer(self) -> str:
-        return f"{self.root}/_current"
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+    def _commits(self) -> list[tuple[str, str]]:
+        """(marker name, version id), oldest first."""
+        fs, jvm = self._fs()
+        marks = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
+        if not fs.exists(marks):
+            return []
+        names = sorted(st.getPath().getName() for st in fs.listStatus(marks))
+        return [(n, n.split("_", 1)[1]) for n in names if "_" in n]
 
     def current(self) -> str | None:
-        try:
-            rows = self.spark.read.text(self._pointer).take(1)
-        except Exception:  # no pointer yet
-            return None
-        return rows[0][0].strip() if rows else None
+        commits = self._commits()
+        return commits[-1][1] if commits else None
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -47,8 +61,8 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.root}/v={version}")
 
     def write(self, df: DataFrame, version: str | None = None) -> str:
-        """Write ``df`` as a new version, then switch the pointer to it. The
-        rows written are counted in the same job (``last_rows``)."""
+        """Write ``df`` as a new version, then commit it. The rows written are
+        counted in the same job (``last_rows``)."""
         from pyspark.sql import Observation
         version = version or uuid.uuid4().hex
         obs = Observation("versioned_write")
@@ -56,38 +70,31 @@ class VersionedTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.root}/v={version}")
-        (self.spark.createDataFrame([(version,)], "value string").coalesce(1)
-         .write.mode("overwrite").text(self._pointer))
+        fs, jvm = self._fs()
+        marker = f"{self.root}/_commits/{time.time_ns():020d}_{version}"
+        fs.create(jvm.org.apache.hadoop.fs.Path(marker), False).close()
         self.last_rows = int(obs.get["rows"])
         return version
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
     def versions(self) -> list[str]:
-        """Version ids, oldest first (by folder modification time)."""
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        if not fs.exists(root):
-            return []
-        found = [(st.getModificationTime(), st.getPath().getName()[2:])
-                 for st in fs.listStatus(root)
-                 if st.isDirectory() and st.getPath().getName().startswith("v=")]
-        return [v for _, v in sorted(found)]
+        """Committed version ids, oldest first."""
+        return [v for _, v in self._commits()]
 
     def prune(self, keep: int = 2) -> list[str]:
-        """Delete all but the newest ``keep`` versions; the current version is
-        always kept (readers of an older version must have finished)."""
-        current = self.current()
-        old = self.versions()[:-keep] if keep > 0 else self.versions()
+        """Delete all but the newest ``keep`` committed versions (data and
+        marker); the current version is always kept."""
+        commits = self._commits()
+        old = commits[:-keep] if keep > 0 else commits[:-1]
         fs, jvm = self._fs()
+        current = commits[-1][1] if commits else None
         dropped = []
-        for v in old:
-            if v != current:
+        for marker, v in old:
+            if v == current:
+                continue
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{marker}"), False)
+            if v not in [c for _, c in commits[len(old):]]:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}"), True)
-                dropped.append(v)
+            dropped.append(v)
         return dropped
 
     def refresh(self, query) -> str:
