@@ -65,7 +65,7 @@ class RecencyState:
         else:
             merged = batch_keys.select("user_unique", F.col("a").alias(recency.LAST_ACTIVITY),
                                        F.col("d").alias(recency.LAST_DEPOSIT))
-        self.keys.write(merged, str(epoch_id))   # pointer switch commits the epoch
+        self.keys.write(merged, str(epoch_id))   # the commit marker commits the epoch
         self.keys.prune(keep=2)
 
     def read(self, as_of: date) -> DataFrame:
