@@ -22,6 +22,27 @@ _MATCHED = "__matched"
 MATERIALIZE_CONF = "factkeeper.materializeKeySide"
 
 
+def _bytes(text: str) -> int:
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    t = text.strip().lower()
+    num = t.rstrip("kmgtb")
+    return int(float(num) * units.get(t[len(num):] or "b", 1))
+
+
+def _planner_broadcasts(df: DataFrame) -> bool:
+    """True when the optimizer's size estimate of ``df`` is within the
+    broadcast threshold, so any join on it is planned as a broadcast join.
+
+    Without cost-based statistics the estimate of an aggregate is scaled
+    from its input's size, an upper bound of the real result."""
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    if limit <= 0:
+        return False
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
 def key_side(df: DataFrame) -> DataFrame:
     """Store a per-key result (one row per key) before it is joined back.
 
@@ -32,10 +53,14 @@ def key_side(df: DataFrame) -> DataFrame:
     both sides get ordinary shuffles (the hot partition is split across
     tasks), the file size lets the planner broadcast a small side, and the
     lineage is cut. The table is small next to the fact (one row per key).
+    When the planner will broadcast the per-key side anyway (its estimated
+    size is under the broadcast threshold) nothing is written.
     """
     spark = df.sparkSession
     if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
         return df
+    if _planner_broadcasts(df):
+        return df   # broadcast join: no shuffle on this key, nothing to split
     path = scratch_path(spark, "key-side", temporary=True)
     df.write.parquet(path)
     return spark.read.parquet(path)
