@@ -43,7 +43,7 @@ def _planner_broadcasts(df: DataFrame) -> bool:
     return size <= limit
 
 
-def key_side(df: DataFrame) -> DataFrame:
+def key_side(df: DataFrame, force: bool = False) -> DataFrame:
     """Store a per-key result (one row per key) before it is joined back.
 
     AQE can only split a skewed join partition when both join inputs are
@@ -54,13 +54,16 @@ def key_side(df: DataFrame) -> DataFrame:
     tasks), the file size lets the planner broadcast a small side, and the
     lineage is cut. The table is small next to the fact (one row per key).
     When the planner will broadcast the per-key side anyway (its estimated
-    size is under the broadcast threshold) nothing is written.
+    size is under the broadcast threshold) nothing is written. ``force``
+    always stores it — for a snapshot that must not follow later changes of
+    its input (e.g. read before that input is overwritten).
     """
     spark = df.sparkSession
-    if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
-        return df
-    if _planner_broadcasts(df):
-        return df   # broadcast join: no shuffle on this key, nothing to split
+    if not force:
+        if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
+            return df
+        if _planner_broadcasts(df):
+            return df   # broadcast join: no shuffle on this key, nothing to split
     path = scratch_path(spark, "key-side", temporary=True)
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -108,7 +108,7 @@ class ServingStore:
         def users_on_days() -> DataFrame:
             f = self.spark.read.parquet(self.fact_path)
             return f.filter(F.col("date").isin(list(days)) & F.col(USER).isNotNull()).select(USER)
-        before = key_side(users_on_days().distinct())          # stored before the overwrite
+        before = key_side(users_on_days().distinct(), force=True)   # stored before the overwrite
         n = jobs.mapped_copy_job(self.spark, staging, self.fact_path, days, mapping)
         touched = key_side(before.unionByName(users_on_days()).distinct())
         rows = self.fact().join(touched, USER, "left_semi")   # all rows of touched users
