@@ -83,3 +83,20 @@ def test_bounded_broadcast_falls_back_above_bound(spark):
     plan2 = b2._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan1.lower()
     assert "broadcast" not in plan2.lower()
+
+
+def test_key_side_stores_only_when_join_would_shuffle(spark):
+    from factkeeper.operators.update import _bytes, _planner_broadcasts, key_side
+    assert _bytes("10485760b") == 10 << 20 and _bytes("10m") == 10 << 20 and _bytes("1g") == 1 << 30
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert _planner_broadcasts(small)
+    assert key_side(small) is small                      # broadcast join ahead: nothing written
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = key_side(small)
+        assert stored is not small and sorted(r.k for r in stored.collect()) == list(range(10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    forced = key_side(small, force=True)
+    assert "parquet" in forced._jdf.queryExecution().optimizedPlan().toString().lower()
