@@ -7,7 +7,10 @@ its own. A null ``text`` is an empty one unless an operator says otherwise.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -168,3 +171,22 @@ class Links:
         """Rows that aren't their own root, and their roots."""
         rows = np.flatnonzero(self.root != np.arange(len(self.root)))
         return rows, self.root[rows]
+
+
+# -- the package on the workers -----------------------------------------------
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, as ``--py-files`` would, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(target))

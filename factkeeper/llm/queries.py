@@ -4,20 +4,54 @@ parameters, to its whole table and derives the digest columns from its output.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factkeeper.llm import simhash_trie
+from factkeeper.llm import bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
+from factkeeper.llm.common import ship_package
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def default_tokenizer() -> str:
+    """Path of the public byte-level tokenizer file, the default of the encoding query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_disclosure.detect(_table(spark, sf_dir))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for kind in pii_disclosure.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii_disclosure.joined(out.base), 256).alias("base_sha256"),
+                      pii_disclosure.joined(out.spans).alias("spans"))
+
+
+def op4_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe_lexicon.encode(_table(spark, sf_dir), default_tokenizer())
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_lang_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir).select("doc_id", "text", "lang")
+    out = lang_backoff.identify(docs)
+    return out.select("doc_id", F.coalesce(lang_backoff.held_out(), F.lit(False)).alias("held_out"), "lang_pred",
+                      F.col("lang_score").alias("score"))
 
 
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = simhash_trie.simhash_dedup(_documents(spark, sf_dir), shingle=4, budget=4)
+    out = simhash_trie.simhash_dedup(_table(spark, sf_dir), shingle=4, budget=4)
     return out.select("doc_id", simhash_trie.hex16(out.fp).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op3_pii_disclosure": op3_pii_disclosure,
+    "op4_bpe_lexicon": op4_bpe_lexicon,
+    "op5_lang_backoff": op5_lang_backoff,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
