@@ -196,6 +196,11 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
+def counted(spans: Column, kind: str) -> Column:
+    """Spans of one kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def sanitise(text: str | None, spans: list) -> str | None:
     """Base spans become their kind in brackets, terms go; spans that overlap are taken as one,
     named by its first base kind."""
