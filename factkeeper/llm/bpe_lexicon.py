@@ -273,6 +273,13 @@ class Encoder:
         return b"".join([tokens[i] for i in np.frombuffer(packed, dtype="<u4").tolist()]).decode("utf-8", "replace")
 
 
+def default_tokenizer() -> str:
+    """Path of the public byte-level tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def load_tokenizer(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -312,3 +319,9 @@ def encode(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WORDS) ->
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string"))
+
+
+def encode_stage(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` (packed) and digests of the ids and of the decoded text."""
+    return encode(docs, tokenizer_path).select(
+        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.llm import bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
+from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
 from factkeeper.llm.common import ship_package
 
 
@@ -15,11 +15,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def default_tokenizer() -> str:
-    """Path of the public byte-level tokenizer file, the default of the encoding query."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+def op2_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_wand.find_matches(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
 def op3_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +27,7 @@ def op3_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe_lexicon.encode(_table(spark, sf_dir), default_tokenizer())
+    out = bpe_lexicon.encode(_table(spark, sf_dir), bpe_lexicon.default_tokenizer())
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -48,6 +45,7 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_bm25_wand": op2_bm25_wand,
     "op3_pii_disclosure": op3_pii_disclosure,
     "op4_bpe_lexicon": op4_bpe_lexicon,
     "op5_lang_backoff": op5_lang_backoff,
