@@ -129,7 +129,7 @@ def rolled(r: np.ndarray, k: int) -> np.ndarray:
         left >>= 1
         if left:
             cur = cur[:len(cur) - size] * q + cur[size:]
-            q, size = q * q, size * 2
+            q, size = np.uint64(int(q) ** 2 & (1 << 64) - 1), size * 2
     return mix(out)
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
+from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, license_minhash, pii_disclosure, simhash_trie, toxic_crf
 from factkeeper.llm.common import ship_package
 
 
@@ -39,6 +39,17 @@ def op5_lang_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("lang_score").alias("score"))
 
 
+def op6_license_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_minhash.scan(_table(spark, sf_dir))
+
+
+def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir)
+    out = toxic_crf.score(docs, toxic_crf.fit(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", toxic_crf.held_out().alias("held_out"), "score",
+                      (out.score >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_trie.simhash_dedup(_table(spark, sf_dir), shingle=4, budget=4)
     return out.select("doc_id", simhash_trie.hex16(out.fp).alias("fingerprint"), "component_id")
@@ -49,6 +60,8 @@ QUERIES = {
     "op3_pii_disclosure": op3_pii_disclosure,
     "op4_bpe_lexicon": op4_bpe_lexicon,
     "op5_lang_backoff": op5_lang_backoff,
+    "op6_license_minhash": op6_license_minhash,
+    "op8_toxic_crf": op8_toxic_crf,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
