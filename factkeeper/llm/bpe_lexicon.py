@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import text_slices
+from factkeeper.llm.common import stored, text_slices
 
 LEXICON_WORDS = 50_000
 LONGEST_WORD = 64
@@ -212,7 +212,8 @@ class Lexicon:
 
 
 def frequent_pieces(docs: DataFrame, most: int) -> list[str]:
-    """The ``most`` frequent pieces of all texts (ties by piece)."""
+    """The frequent pieces of all texts: those with at least the lowest count, in sixteenths
+    of a doubling, that ``most`` pieces at most reach. No more than these reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
 
@@ -230,8 +231,17 @@ def frequent_pieces(docs: DataFrame, most: int) -> list[str]:
 
     counts = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "piece string, n long")
               .groupBy("piece").agg(F.sum("n").alias("n")))
-    top = counts.filter(F.octet_length("piece") <= LONGEST_WORD).orderBy(F.desc("n"), "piece").limit(most)
-    return [r[0] for r in top.select("piece").collect()]
+    counts = stored(counts.filter((F.col("n") > 1) & (F.octet_length("piece") <= LONGEST_WORD))
+                    .withColumn("step", F.floor(F.log2("n") * 16)), "bpe-pieces")
+    total, least = 0, None
+    for step, n in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += n
+        if total > most:
+            break
+        least = step
+    if least is None:
+        return []
+    return [r[0] for r in counts.filter(F.col("step") >= least).select("piece").collect()]
 
 
 class Encoder:
@@ -240,23 +250,27 @@ class Encoder:
     def __init__(self, raw: str, block: bytes):
         self.merges, self.lexicon = Merges(raw), Lexicon(block)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.added = re.compile("|".join(map(re.escape, self.merges.added))) if self.merges.added else None
 
     def _word(self, piece: str) -> bytes:
+        packed = self.older.get(piece) or self._fresh(piece)
+        if len(self.known) >= CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        if len(piece) <= LONGEST_WORD:
+            self.known[piece] = packed
+        return packed
+
+    def _fresh(self, piece: str) -> bytes:
         word = piece.encode()
         ids = self.lexicon.ids(word)
         if ids is None:
             ids = self.merges.ids(word)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
-        if len(word) <= LONGEST_WORD:
-            self.known[piece] = packed
-        return packed
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
-        known, word = self.known.get, self._word
-        return b"".join([known(p) or word(p) for p in pieces(text)])
+        word = self._word
+        return b"".join([self.known.get(p) or word(p) for p in pieces(text)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""

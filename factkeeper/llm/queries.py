@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, license_minhash, pii_disclosure, simhash_trie, toxic_crf
+from factkeeper.llm import bm25_wand, bpe_lexicon, embed_ego, lang_backoff, license_minhash, phrase_automata, pii_disclosure, simhash_trie, toxic_crf
 from factkeeper.llm.common import ship_package
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrase_automata.substring_dedup(_table(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_wand.find_matches(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
@@ -50,18 +55,24 @@ def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (out.score >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
 
 
+def op9_embed_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_ego.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_trie.simhash_dedup(_table(spark, sf_dir), shingle=4, budget=4)
     return out.select("doc_id", simhash_trie.hex16(out.fp).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_phrase_automata": op1_phrase_automata,
     "op2_bm25_wand": op2_bm25_wand,
     "op3_pii_disclosure": op3_pii_disclosure,
     "op4_bpe_lexicon": op4_bpe_lexicon,
     "op5_lang_backoff": op5_lang_backoff,
     "op6_license_minhash": op6_license_minhash,
     "op8_toxic_crf": op8_toxic_crf,
+    "op9_embed_ego": op9_embed_ego,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
