@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.llm import bm25_wand, bpe_lexicon, embed_ego, lang_backoff, license_minhash, phrase_automata, pii_disclosure, simhash_trie, toxic_crf
+from factkeeper.llm import bm25_wand, bpe_lexicon, embed_ego, lang_backoff, license_minhash, phrase_automata, pii_disclosure, prefix_free, simhash_trie, toxic_crf
 from factkeeper.llm.common import ship_package
 
 
@@ -48,6 +48,12 @@ def op6_license_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_minhash.scan(_table(spark, sf_dir))
 
 
+def op7_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_free.byte_dedup(_table(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", prefix_free.removed(out.spans).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir)
     out = toxic_crf.score(docs, toxic_crf.fit(docs, _table(spark, sf_dir, "labels")))
@@ -71,6 +77,7 @@ QUERIES = {
     "op4_bpe_lexicon": op4_bpe_lexicon,
     "op5_lang_backoff": op5_lang_backoff,
     "op6_license_minhash": op6_license_minhash,
+    "op7_prefix_free": op7_prefix_free,
     "op8_toxic_crf": op8_toxic_crf,
     "op9_embed_ego": op9_embed_ego,
     "op10_simhash_trie": op10_simhash_trie,
