@@ -54,11 +54,11 @@ def split_item(text: str) -> tuple[list[str], list[str]]:
     return w[:cut], w[cut:]
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    """Distinct runs of ``SHINGLE`` words; of fewer words the whole run."""
+def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
+    """Distinct runs of ``size`` words; of fewer words the whole run."""
     if not words:
         return set()
-    return {tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
 def sure_share(n: int) -> float:
@@ -67,8 +67,9 @@ def sure_share(n: int) -> float:
     return min(1.0, max((half / 2 + n / 2) / n, 0.0), PASSAGE_WORDS / n) if n > half else 1.0
 
 
-def _share(part: set, of: set) -> float:
-    return len(part & of) / len(part) if part else 1.0
+def share(part: set, words: list[str]) -> float:
+    """Share of a part's shingles (all of one size) that stand in ``words``."""
+    return len(part & shingles(words, len(next(iter(part))))) / len(part) if part else 1.0
 
 
 @dataclass
@@ -156,8 +157,8 @@ class Index:
                 if (d, i) in best and best[d, i][1] >= score:
                     continue
                 n, at = len(self.items[i]), lo - int(base[d])
-                near = shingles(docs[d][max(0, at - n):at + PASSAGE_WORDS + n])
-                over = _share(self.whole[i], near), _share(self.question[i], near), _share(self.answer[i], near)
+                near = docs[d][max(0, at - n):at + PASSAGE_WORDS + n]
+                over = share(self.whole[i], near), share(self.question[i], near), share(self.answer[i], near)
                 if over[0] >= MIN_OVERLAP and min(over[1:]) >= MIN_PART_OVERLAP:
                     best[d, i] = (at, score, *over)
         return [(d, self.item_ids[i], *x) for (d, i), x in sorted(best.items())]

@@ -169,13 +169,18 @@ def disclosing_terms(near: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame
             .filter((doubt <= MAX_DOUBT_BITS) & (gain >= MIN_GAIN_BITS)).select("value", "word"))
 
 
-def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``base`` and ``spans`` (arrays of kind, start, stop) for every row.
+def detect(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``base`` and ``spans`` (arrays of kind, start, stop) for every row.
 
     ``base`` is in the order of ``KINDS``, then start; ``spans`` holds these and the
     terms behind them. A null text counts as empty. A row that is repeated comes out as
     often, each time with the same spans; an empty table gives an empty one."""
-    d = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((*keep, "text"))])
+    return _marked(docs, ["doc_id"]).select("doc_id", F.col("__base").alias("base"), F.col("__spans").alias("spans"))
+
+
+def _marked(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns to keep, with ``__base`` and ``__spans``."""
+    d = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
     d = d.withColumn("text", F.col("text").cast("string"))
     lean = found(d)
     if "text" not in keep:
@@ -184,11 +189,11 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     near = base.select(F.col("__rid").alias("rid"), F.explode("__near").alias("x")).select("rid", "x.*")
     terms = disclosing_terms(near.select("rid", "value", "word").distinct(), d, base.count())
     spans = (near.join(terms, ["value", "word"], "left_semi").select("rid", "start", "stop").distinct()
-             .groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(
-                 F.lit(TERM).alias("kind"), "start", "stop"))).alias("terms")))
-    out = base.join(spans, base["__rid"] == spans["rid"], "left")
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__base").alias("base"),
-                      F.concat("__base", F.coalesce("terms", F.expr(f"cast(array() as {_SPANS})"))).alias("spans"))
+             .groupBy(F.col("rid").alias("__of_rid")).agg(F.array_sort(F.collect_list(F.struct(
+                 F.lit(TERM).alias("kind"), "start", "stop"))).alias("__terms")))
+    out = base.join(spans, F.col("__rid") == F.col("__of_rid"), "left")
+    return out.select(*[F.col(f"`{c}`") for c in keep], "__base",
+                      F.concat("__base", F.coalesce("__terms", F.expr(f"cast(array() as {_SPANS})"))).alias("__spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -224,7 +229,7 @@ def sanitise(text: str | None, spans: list) -> str | None:
 def sanitise_stage(docs: DataFrame) -> DataFrame:
     """``docs`` with sanitised texts; other columns, ``n_chars`` apart, and rows without findings as they were."""
     names, schema = docs.columns, docs.schema
-    marked = detect(docs, keep=tuple(names)).drop("base").withColumnRenamed("spans", "__spans")
+    marked = _marked(docs, names).drop("__base")
     text_at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

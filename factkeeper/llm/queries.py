@@ -84,5 +84,42 @@ QUERIES = {
 }
 
 
+_OP1_SQL = """
+WITH words AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+') IF x <> ''] AS w FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM starts) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + o AS p FROM later, range(0, 20) AS t(o)
+), each AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM words
+), kept AS (
+  SELECT e.doc_id, count(*) FILTER (g.p IS NOT NULL) AS n_removed, string_agg(e.x, ' ' ORDER BY e.p) FILTER (g.p IS NULL) AS t
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.p = g.p GROUP BY e.doc_id
+)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
+"""
+
+_OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a
+), low AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN low ON e.vec_id = low.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the operators that it can express; tests hold the others against brute force."""
+    return {"op1_phrase_automata": _OP1_SQL, "op9_embed_ego": _OP9_SQL}

@@ -56,13 +56,13 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
+    """``doc_id, told, fp``: a hash that tells texts apart, and the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("told"), pa.array(fps.view(np.int64))], ["doc_id", "told", "fp"])
 
-    return doc_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return doc_text(docs).withColumn("told", F.xxhash64("text")).mapInArrow(run, "doc_id long, told long, fp long")
 
 
 def _cuts(blocks: int) -> list[tuple[int, int]]:
@@ -243,6 +243,17 @@ def _last_start(t: pa.Table) -> int:
     return int(np.argmax(same))
 
 
+def _linked(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """``doc_id, told, fp, component_id``."""
+    fps = stored(fingerprints(docs, shingle), "fingerprints")
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprint-nodes")
+    comp = components(similar_fingerprints(nodes.select("fp"), budget))
+    named = nodes.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
+    lows = named.groupBy("c").agg(F.min("low").alias("component_id"))
+    of_fp = named.join(lows, "c").select("fp", "component_id")
+    return fps.join(of_fp, "fp").select("doc_id", "told", "fp", "component_id")
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``.
 
@@ -250,13 +261,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFra
     Null or wordless texts have fingerprint 0 and link like others. Rows with a null
     ``doc_id`` link too, but name no component: it is null if no other row is in it.
     Repeated rows come out as often as they came in; an empty table gives an empty one."""
-    fps = stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprint-nodes")
-    comp = components(similar_fingerprints(nodes.select("fp"), budget))
-    named = nodes.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
-    lows = named.groupBy("c").agg(F.min("low").alias("component_id"))
-    of_fp = named.join(lows, "c").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return _linked(docs, shingle, budget).select("doc_id", "fp", "component_id")
 
 
 def hex16(fp: Column) -> Column:
@@ -265,12 +270,13 @@ def hex16(fp: Column) -> Column:
 
 
 def near_dedup_stage(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component that of its smallest ``doc_id``
-    (one row of any that repeat it). Rows with a null ``doc_id`` can't be named and stay."""
-    out = stored(simhash_dedup(docs, shingle, budget), "simhash-out")
-    keep = out.filter("doc_id = component_id").groupBy("doc_id").count()
-    ids = keep.select(F.col("doc_id").alias("__kept_id"))
-    named = docs.join(ids, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    if keep.filter("count > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The rows of ``docs`` that stay: of each component one row, of its smallest ``doc_id``
+    (of texts that repeat it, the first by hash). Rows with a null ``doc_id`` can't be named and stay."""
+    named = _linked(docs, shingle, budget).filter("doc_id = component_id")
+    keep = stored(named.groupBy("doc_id").agg(F.min("told").alias("told"), F.count(F.lit(1)).alias("n")), "simhash-kept")
+    ids = keep.select(F.col("doc_id").alias("__kept_id"), F.col("told").alias("__kept_text"))
+    left = docs.join(ids, (F.col("doc_id") == F.col("__kept_id"))
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col("__kept_text")), "left_semi")
+    if keep.filter("n > 1").limit(1).count():
+        left = left.dropDuplicates(["doc_id"])
+    return left.unionByName(docs.filter(F.col("doc_id").isNull()))
