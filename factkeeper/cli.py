@@ -16,10 +16,10 @@ from datetime import date, datetime
 from factkeeper.functions.time_windows import (
     month_window, recent_days, two_days_back, yesterday_and_today, yesterday_today,
 )
-from factkeeper.operators import kpi
+from factkeeper.operators import quality
 from factkeeper.operators.rewrite import SERVING_MAPPING, SERVING_EXTRA, SyncSpec
 from factkeeper.plans import jobs
-from factkeeper.session import build_session
+from factkeeper.session import build_session, scratch_scope
 from factkeeper.sinks import csv_export as E
 from factkeeper.sources.tables import csv_row_count
 
@@ -43,7 +43,7 @@ def main(argv=None, spark=None) -> dict:
         c.add_argument("--log")
         c.add_argument("--market", default="")
         for o in opts:
-            c.add_argument(o, required=o in ("--source", "--target", "--out", "--path"))
+            c.add_argument(o, required=o in ("--source", "--target", "--out", "--path", "--bands"))
         return c
 
     cmd("sync-recent", "--config", "--source", "--target")
@@ -51,15 +51,25 @@ def main(argv=None, spark=None) -> dict:
     cmd("sync-month", "--source", "--target", "--key", "--date-column", "--part-column", "--newest")
     cmd("copy-serving", "--source", "--target", "--days", "--with-extra")
     cmd("reload-year", "--source", "--target", "--date-column", "--year", "--part-column", "--grain")
+    cmd("full-load", "--source", "--target", "--key", "--part-column", "--append")
+    cmd("reconcile", "--source", "--target")
+    cmd("duplicate-keys", "--source", "--key")
     cmd("kpi-report", "--source", "--out", "--tables")
     cmd("export-year", "--source", "--out", "--year-column", "--order", "--no-bom")
-    cmd("export-month", "--source", "--out", "--date-column", "--month", "--name", "--order")
+    cmd("export-month", "--source", "--out", "--date-column", "--month", "--name", "--order", "--no-bom")
     cmd("export-table", "--source", "--out", "--order", "--period-column", "--period", "--max-rows")
     cmd("count-csv", "--path")
-    cmd("maintain", "--serving", "--root", "--short-key", "--tier-stamp", "--squad-leads",
-        "--on-error")
+    cmd("maintain", "--serving", "--root", "--bands", "--short-key", "--tier-stamp", "--squad-leads",
+        "--customers", "--on-error")
     args = p.parse_args(argv)
     spark = spark or build_session()
+    with scratch_scope(spark):
+        out = _run(spark, args)
+    print(json.dumps(out, default=str))
+    return out
+
+
+def _run(spark, args) -> dict:
     as_of = _day(args.as_of)
     run_ts = datetime.now()
     read = spark.read.parquet
@@ -89,14 +99,19 @@ def main(argv=None, spark=None) -> dict:
                                            args.date_column or "date", int(args.year),
                                            part_col=args.part_column, grain=args.grain or "day",
                                            log_path=args.log, market=args.market)
+    elif args.cmd == "full-load":
+        out |= jobs.full_load_job(spark, read(args.source), args.target, args.key or "unique_key",
+                                  part_col=args.part_column, truncate=not args.append,
+                                  log_path=args.log, market=args.market)
+    elif args.cmd == "reconcile":
+        out |= quality.reconcile(read(args.source), read(args.target)).first().asDict()
+    elif args.cmd == "duplicate-keys":
+        out["keys"] = quality.duplicate_keys(read(args.source), (args.key or "unique_key").split(",")).count()
     elif args.cmd == "kpi-report":
-        lo, hi = recent_days(as_of, 1)
-        frames = {}
-        for name, path in (t.split("=", 1) for t in args.tables.split(",")) if args.tables \
-                else [("source", args.source)]:
-            df = read(path)
-            frames[name] = df.filter((df.txn_date >= lo) & (df.txn_date < hi))
-        E.write_csv(kpi.kpi_report(kpi.kpi_union(frames)).drop("market_order"), args.out, parts=1)
+        from factkeeper.plans.maintenance import kpi_report_run
+        tables = (dict(t.split("=", 1) for t in args.tables.split(",")) if args.tables
+                  else {"source": args.source})
+        out["rows"] = kpi_report_run(spark, tables, as_of, args.out, args.log)
         out["path"] = args.out
     elif args.cmd == "export-year":
         out["path"] = E.export_by_year(read(args.source), args.year_column or "year", args.out,
@@ -105,7 +120,8 @@ def main(argv=None, spark=None) -> dict:
     elif args.cmd == "export-month":
         out["path"] = E.export_month(read(args.source), args.date_column or "txn_date",
                                      args.month or f"{as_of:%Y-%m}", args.out, args.name or "export",
-                                     order_cols=(args.order or "txn_date,unique_key").split(","))
+                                     order_cols=(args.order or "txn_date,unique_key").split(","),
+                                     bom=not args.no_bom)
     elif args.cmd == "export-table":
         out["path"] = E.export_period(read(args.source), args.period_column, args.period, args.out,
                                       order_cols=(args.order or "unique_key").split(","),
@@ -114,13 +130,14 @@ def main(argv=None, spark=None) -> dict:
         out["rows"] = csv_row_count(spark, args.path).first()[0]
     elif args.cmd == "maintain":
         from factkeeper.plans.maintenance import Market, maintain_serving
-        market = Market(args.market or "market", short_key=bool(args.short_key),
+        bands = [(name, float(lo), float(hi)) for name, lo, hi in json.loads(args.bands)]
+        market = Market(args.market or "market", bands, short_key=bool(args.short_key),
+                        customers=read(args.customers) if args.customers else None,
                         tier_stamp=bool(args.tier_stamp),
                         squad_leads=read(args.squad_leads) if args.squad_leads else None)
         _, log = maintain_serving(spark, read(args.serving), as_of, args.root, market,
                                   on_error=args.on_error or "continue")
         out["steps"] = {r.step_name: r.status for r in log.collect()}
-    print(json.dumps(out, default=str))
     return out
 
 

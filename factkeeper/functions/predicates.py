@@ -88,7 +88,7 @@ def year_is(df: DataFrame, col: str, year: int) -> Column:
     """The row belongs to ``year``.
 
     Date/timestamp columns become a range (pushable); integer columns an
-    equality; text years are parsed with ``try_cast`` so bad text is no match.
+    equality; text years are parsed, and text that is no number raises, like a cast.
     """
     t = _dtype(df, col)
     if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -96,7 +96,7 @@ def year_is(df: DataFrame, col: str, year: int) -> Column:
         return in_window(df, col, lo, hi)
     if isinstance(t, (T.IntegralType, T.DecimalType, T.FractionalType)):
         return F.col(col).cast("int") == F.lit(year)
-    return F.expr(f"try_cast(`{col}` as int)") == F.lit(year)
+    return _text_year(col) == F.lit(year)
 
 
 def year_of(df: DataFrame, col: str) -> Column:
@@ -106,7 +106,14 @@ def year_of(df: DataFrame, col: str) -> Column:
         return F.year(F.col(col)).cast("int")
     if isinstance(t, (T.IntegralType, T.DecimalType, T.FractionalType)):
         return F.col(col).cast("int")
-    return F.expr(f"try_cast(`{col}` as int)")
+    return _text_year(col)
+
+
+def _text_year(col: str) -> Column:
+    """A text year as INT; NULL stays NULL, other text raises whatever the ANSI setting."""
+    c = F.col(col)
+    bad = F.raise_error(F.concat(F.lit(f"{col} is not a year: "), c)).cast("int")
+    return F.coalesce(c.try_cast("int"), F.when(c.isNotNull(), bad))
 
 
 def not_true(pred: Column) -> Column:

@@ -14,8 +14,8 @@ LINE_RECODES = {
     "OK188": "OK188SG",
 }
 
-# Text date layouts tried in this order; first that parses wins.
-DATE_LAYOUTS = ["yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "MM/dd/yyyy"]
+# Text date layouts tried in this order (padded or not); first that parses wins.
+DATE_LAYOUTS = ["yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "M/d/yyyy"]
 
 
 def strict_concat(*parts, sep: str = "-") -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factkeeper.functions.scalar import slash_date, thousands
 
@@ -27,21 +28,17 @@ def breakdown(df: DataFrame, date_col: str, value_col: str, ordered: bool = True
     return out.orderBy(F.col("txn_day").desc(), F.col("filter_value").asc()) if ordered else out
 
 
-def cents(col) -> Column:
-    """Money value as whole cents (rounded like a cast to decimal(18,2))."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (c.cast("decimal(18,2)") * 100).cast("long")
+def money(df: DataFrame, col: str) -> Column:
+    """Exact sum of ``df``'s column.
 
-
-def money(col) -> Column:
-    """Exact money sum as decimal(38,2).
-
-    Rows are summed as long cents: the aggregate keeps a fixed-width long
-    buffer (hash aggregate fast path, combinable map-side) instead of the
-    BigDecimal buffer a decimal(28,2) sum needs; the scale is put back once
-    per group.
-    """
-    return (F.sum(cents(col)).cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+    Decimals and whole numbers are summed at their own scale (Spark widens the
+    sum's precision by ten digits; more raises). Floating columns are read as
+    the decimal that they print as, with 18 places, so that the sum does not
+    depend on the order of the rows."""
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, (T.DecimalType, T.IntegralType)):
+        return F.sum(c.cast("decimal(38,0)") if isinstance(df.schema[col].dataType, T.IntegralType) else c)
+    return F.sum(c.cast("decimal(38,18)"))
 
 
 def kpi_rollup(df: DataFrame, date_col: str = "txn_date", line_col: str = "line",
@@ -52,8 +49,8 @@ def kpi_rollup(df: DataFrame, date_col: str = "txn_date", line_col: str = "line"
     active = F.coalesce(F.col(cases_col), F.lit(0)) > 0
     return (df.groupBy(F.col(date_col).alias("txn_date"), F.col(line_col).alias("line"))
             .agg(F.coalesce(F.sum(cases_col), F.lit(0)).cast("bigint").alias("deposit_cases"),
-                 F.coalesce(money(amount_col), F.lit(0)).cast("double").alias("deposit_amount"),
-                 F.coalesce(money(profit_col), F.lit(0)).cast("double").alias("net_profit"),
+                 F.coalesce(money(df, amount_col), F.lit(0)).cast("double").alias("deposit_amount"),
+                 F.coalesce(money(df, profit_col), F.lit(0)).cast("double").alias("net_profit"),
                  F.count_distinct(F.when(active, F.col(user_col))).cast("int").alias("active_members")))
 
 
@@ -74,8 +71,8 @@ def kpi_union(frames: dict, date_col="txn_date", line_col="line", user_col="user
     return (stacked.groupBy("table_name", "market_order", "txn_date",
                             F.coalesce(F.col("line"), F.lit("")).alias("line"))
             .agg(F.coalesce(F.sum("deposit_cases"), F.lit(0)).cast("bigint").alias("deposit_cases"),
-                 F.coalesce(money("deposit_amount"), F.lit(0)).cast("double").alias("deposit_amount"),
-                 F.coalesce(money("net_profit"), F.lit(0)).cast("double").alias("net_profit"),
+                 F.coalesce(money(stacked, "deposit_amount"), F.lit(0)).cast("double").alias("deposit_amount"),
+                 F.coalesce(money(stacked, "net_profit"), F.lit(0)).cast("double").alias("net_profit"),
                  F.count_distinct(F.when(active, F.col("user_unique"))).cast("int")
                  .alias("active_members")))
 

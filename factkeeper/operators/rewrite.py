@@ -182,14 +182,14 @@ def replace_yesterday_today(target, source, spec: SyncSpec, as_of: date, run_ts,
 
 
 def keys_hit_days(target: DataFrame, keys: DataFrame, key: str, date_column: str) -> list:
-    """Days of ``target`` holding any of ``keys``.
+    """Days of ``target`` holding any of ``keys``; None stands for the rows without one.
 
     Only the (key, day) projection of the target is joined, never whole
     rows; the result is bounded by the number of days the table spans.
     """
     day = F.to_date(F.col(date_column)).alias("__day")
     hits = target.select(key, day).join(keys, on=key, how="left_semi")
-    return sorted(r[0] for r in hits.select("__day").distinct().collect() if r[0] is not None)
+    return sorted((r[0] for r in hits.select("__day").distinct().collect()), key=lambda d: (d is not None, d))
 
 
 def upsert_window(target: DataFrame, source: DataFrame, key: str, date_column: str,
@@ -218,7 +218,10 @@ def upsert_window(target: DataFrame, source: DataFrame, key: str, date_column: s
         days = keys_hit_days(kept, src_keys, key, date_column)
         if not days:
             return _align(kept, src)
-        hit = on_dates(kept, date_column, days)
+        known = [d for d in days if d is not None]
+        hit = on_dates(kept, date_column, known) if known else F.lit(False)
+        if len(known) < len(days):
+            hit = F.col(date_column).isNull() | F.coalesce(hit, F.lit(False))
         untouched = delete_where(kept, hit)
         touched = kept.filter(hit).join(src_keys, on=key, how="left_anti")
         kept = untouched.unionByName(touched)

@@ -7,7 +7,8 @@ matched NULL still overwrites, and the row count of the target never changes.
 The source is first made unique per key with an aggregate, never with a
 window: ``max_by(row, order)`` is combined map-side, so a key that holds a
 third of all rows is reduced to one row per map task before the shuffle,
-instead of being sorted whole in one task.
+instead of being sorted whole in one task. Its buffer is a struct, which Spark
+aggregates by sorting, so each map task sorts its own input by key first.
 """
 
 from __future__ import annotations
@@ -18,55 +19,23 @@ from pyspark.sql import functions as F
 from factkeeper.session import scratch_path
 
 _MATCHED = "__matched"
-# Session setting: write per-key results before joining them back ("true"/"false").
-MATERIALIZE_CONF = "factkeeper.materializeKeySide"
 
 
-def _bytes(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-    t = text.strip().lower()
-    num = t.rstrip("kmgtb")
-    return int(float(num) * units.get(t[len(num):] or "b", 1))
-
-
-def _planner_broadcasts(df: DataFrame) -> bool:
-    """True when the optimizer's size estimate of ``df`` is within the
-    broadcast threshold, so any join on it is planned as a broadcast join.
-
-    Without cost-based statistics the estimate of an aggregate is scaled
-    from its input's size, an upper bound of the real result."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    if limit <= 0:
-        return False
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
-def key_side(df: DataFrame, force: bool = False) -> DataFrame:
+def key_side(df: DataFrame) -> DataFrame:
     """Store a per-key result (one row per key) before it is joined back.
 
     AQE can only split a skewed join partition when both join inputs are
     plain shuffles; an aggregate feeding the join directly blocks it, and a
     key holding a third of the rows would then be joined in one task. The
-    per-key rows are written to the shared checkpoint folder and read back:
-    both sides get ordinary shuffles (the hot partition is split across
-    tasks), the file size lets the planner broadcast a small side, and the
-    lineage is cut. The table is small next to the fact (one row per key).
-    When the planner will broadcast the per-key side anyway (its estimated
-    size is under the broadcast threshold) nothing is written. ``force``
-    always stores it — for a snapshot that must not follow later changes of
-    its input (e.g. read before that input is overwritten).
+    per-key rows are therefore always written to the shared checkpoint folder
+    and read back: both sides get ordinary shuffles (the hot partition is
+    split across tasks), AQE and the file size decide about a broadcast, and
+    the result is a snapshot that does not follow later changes of its input.
     """
     spark = df.sparkSession
-    if not force:
-        if spark.conf.get(MATERIALIZE_CONF, "true").lower() != "true":
-            return df
-        if _planner_broadcasts(df):
-            return df   # broadcast join: no shuffle on this key, nothing to split
     path = scratch_path(spark, "key-side", temporary=True)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def newest_order(newest, nulls_first=()) -> Column:
@@ -120,28 +89,14 @@ def _unique_source(source: DataFrame, keys, value_cols, newest=None, nulls_first
             .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in value_cols]))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is one small job (``limit(max_rows+1).count()``); above the
-    bound the frame is returned unhinted and the join shuffles as usual.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _join_matched(target: DataFrame, src: DataFrame, keys, renames: dict,
-                  broadcast_rows: int | None) -> DataFrame:
+def _join_matched(target: DataFrame, src: DataFrame, keys, renames: dict) -> DataFrame:
     src = key_side(src.select(*keys, *[F.col(s).alias(a) for s, a in renames.items()],
                               F.lit(True).alias(_MATCHED)))
-    if broadcast_rows:
-        src = bounded_broadcast(src, broadcast_rows)
     return target.join(src, on=list(keys), how="left")
 
 
 def update_from(target: DataFrame, source: DataFrame, keys, assignments: dict,
-                newest=None, nulls_first=(), broadcast_rows: int | None = None,
-                unique: bool = False) -> DataFrame:
+                newest=None, nulls_first=(), unique: bool = False) -> DataFrame:
     """``UPDATE t SET a = s.b ... FROM s WHERE t.k = s.k``.
 
     ``assignments`` maps target column → source column (or a Column over the
@@ -162,7 +117,7 @@ def update_from(target: DataFrame, source: DataFrame, keys, assignments: dict,
     else:
         src = _unique_source(src, keys, value_cols, newest, nulls_first)
     renames = {v: f"__new{i}" for i, v in enumerate(value_cols)}
-    joined = _join_matched(target, src, keys, renames, broadcast_rows)
+    joined = _join_matched(target, src, keys, renames)
     matched = F.coalesce(F.col(_MATCHED), F.lit(False))
     out_cols = []
     new_cols = list(assignments)
@@ -179,7 +134,7 @@ def update_from(target: DataFrame, source: DataFrame, keys, assignments: dict,
 
 
 def backfill(target: DataFrame, source: DataFrame, key: str, cols, newest=None,
-             nulls_first=(), broadcast_rows: int | None = None) -> DataFrame:
+             nulls_first=()) -> DataFrame:
     """``SET c = COALESCE(t.c, s.c)`` for ``cols`` where the key matches.
 
     The reference only touches rows with a NULL among ``cols``; coalescing the
@@ -189,7 +144,7 @@ def backfill(target: DataFrame, source: DataFrame, key: str, cols, newest=None,
     cols = list(cols)
     src = _unique_source(source, [key], cols, newest, nulls_first)
     renames = {c: f"__src_{c}" for c in cols}
-    joined = _join_matched(target, src, [key], renames, broadcast_rows)
+    joined = _join_matched(target, src, [key], renames)
     out = []
     for c in target.columns:
         if c in cols:
@@ -200,7 +155,7 @@ def backfill(target: DataFrame, source: DataFrame, key: str, cols, newest=None,
 
 
 def conditional_update(target: DataFrame, lookup: DataFrame, key: str, col: str,
-                       lookup_col: str, broadcast_rows: int | None = None) -> DataFrame:
+                       lookup_col: str) -> DataFrame:
     """``SET col = f(key) WHERE col IS NULL OR col != f(key)``.
 
     ``lookup`` holds ``f`` as rows (key, value). If ``f`` gives NULL (no row,
@@ -208,7 +163,7 @@ def conditional_update(target: DataFrame, lookup: DataFrame, key: str, col: str,
     true.
     """
     src = _unique_source(lookup, [key], [lookup_col])
-    joined = _join_matched(target, src, [key], {lookup_col: "__lk"}, broadcast_rows)
+    joined = _join_matched(target, src, [key], {lookup_col: "__lk"})
     old, new = F.col(col) if col in target.columns else F.lit(None), F.col("__lk")
     value = F.when(old.isNull() | (old != new), new).otherwise(old)
     out = [value.alias(c) if c == col else F.col(c) for c in target.columns]

@@ -34,9 +34,9 @@ def _cases(c: FactCols) -> Column:
     return F.coalesce(F.sum(c.cases), F.lit(0)).cast("bigint")
 
 
-def _measures(c: FactCols) -> list:
+def _measures(df: DataFrame, c: FactCols) -> list:
     return [_cases(c).alias("deposit_cases"),
-            F.coalesce(money(c.amount), F.lit(0)).cast("double").alias("deposit_amount"),
+            F.coalesce(money(df, c.amount), F.lit(0)).cast("double").alias("deposit_amount"),
             F.count_distinct(c.user).cast("bigint").alias("active_users")]
 
 
@@ -49,13 +49,13 @@ def monthly_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
     return (df.groupBy(F.col(c.line).alias("line"),
                        F.year(c.date).cast("int").alias("year"),
                        F.month(c.date).cast("int").alias("month"))
-            .agg(*_measures(c)))
+            .agg(*_measures(df, c)))
 
 
 def line_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
     """V3: overall per line, with first and last active day."""
     return (df.groupBy(F.col(c.line).alias("line"))
-            .agg(*_measures(c),
+            .agg(*_measures(df, c),
                  F.min(F.to_date(c.date)).alias("first_day"),
                  F.max(F.to_date(c.date)).alias("last_day")))
 
@@ -63,7 +63,7 @@ def line_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
 def daily_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
     """V3: per line and day."""
     return (df.groupBy(F.col(c.line).alias("line"), F.to_date(c.date).alias("day"))
-            .agg(*_measures(c)))
+            .agg(*_measures(df, c)))
 
 
 def quarter_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
@@ -71,7 +71,7 @@ def quarter_summary(df: DataFrame, c: FactCols = FactCols()) -> DataFrame:
     return (df.groupBy(F.col(c.line).alias("line"),
                        F.year(c.date).cast("int").alias("year"),
                        F.quarter(c.date).cast("int").alias("quarter"))
-            .agg(*_measures(c)))
+            .agg(*_measures(df, c)))
 
 
 def customer_monthly(df: DataFrame, customers: DataFrame, cust_key: str,
@@ -84,7 +84,7 @@ def customer_monthly(df: DataFrame, customers: DataFrame, cust_key: str,
     per = (df.groupBy(F.col(c.user).alias(cust_key), F.col(c.line).alias("line"),
                       month_start(c.date).alias("month_start"))
            .agg(_cases(c).alias("deposit_cases"),
-                F.coalesce(money(c.amount), F.lit(0)).cast("double").alias("deposit_amount"),
+                F.coalesce(money(df, c.amount), F.lit(0)).cast("double").alias("deposit_amount"),
                 F.count_distinct(F.to_date(c.date)).cast("bigint").alias("active_days")))
     return per.join(customers.select(cust_key, *attrs), on=cust_key, how="left")
 
@@ -118,7 +118,7 @@ def tier_monthly(df: DataFrame, bands, c: FactCols = FactCols()) -> DataFrame:
     most the number of months, however many rows a user has.
     """
     monthly = (df.groupBy(F.col(c.user).alias("user_unique"), month_start(c.date).alias("month_start"))
-               .agg(F.coalesce(money(c.amount), F.lit(0)).cast("double").alias("amount")))
+               .agg(F.coalesce(money(df, c.amount), F.lit(0)).cast("double").alias("amount")))
     tiered = monthly.withColumn("tier_name", band(F.col("amount"), bands)).filter(
         F.col("tier_name").isNotNull())
     w = Window.partitionBy("user_unique").orderBy("month_start")
@@ -140,7 +140,7 @@ def tier_summary(tiers: DataFrame) -> DataFrame:
     """V6: users and amount per month and tier."""
     return (tiers.groupBy("month_start", "tier_name")
             .agg(F.count(F.lit(1)).cast("bigint").alias("users"),
-                 money("amount").cast("double").alias("amount")))
+                 money(tiers, "amount").cast("double").alias("amount")))
 
 
 def retention(df: DataFrame, user: str, period: Column, step: str = "month") -> DataFrame:
@@ -203,6 +203,6 @@ def deposit_summary(df: DataFrame, group_cols, amount_col: str) -> DataFrame:
     """V9: deposit count, total, smallest and largest per group."""
     return (df.groupBy(*group_cols)
             .agg(F.count(F.lit(1)).cast("bigint").alias("deposits"),
-                 money(amount_col).cast("double").alias("total_amount"),
+                 money(df, amount_col).cast("double").alias("total_amount"),
                  F.min(amount_col).cast("double").alias("min_amount"),
                  F.max(amount_col).cast("double").alias("max_amount")))

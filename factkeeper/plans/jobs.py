@@ -11,8 +11,9 @@ DATE column holding the start of each row's period (``grain`` 'day' or
 * ``year_reload_job``   W7      — the year's periods
 
 Rows of a touched period that the operation keeps are read from the target
-(partition-pruned) and checkpointed before the overwrite; when the periods
-are days that the window covers completely nothing is read. Each job returns
+(partition-pruned) and written to a staging folder with the new ones, which is
+then swapped in; when the periods are days that the window covers completely
+nothing is read. Each job returns
 the rows written (counted while writing) and appends a run-log row when
 ``log_path`` is given.
 """
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 
 from factkeeper.functions.predicates import in_window, on_dates, typed_lit
 from factkeeper.functions.time_windows import days_in, first_of_next_month, year_window
-from factkeeper.operators import rewrite
-from factkeeper.operators.update import latest_per_key
-from factkeeper.plans.table_store import replace_days
-from factkeeper.sinks.csv_export import append_run_log, run_log_row
+from factkeeper.operators import quality, rewrite
+from factkeeper.operators.update import key_side, latest_per_key
+from factkeeper.plans.table_store import finish_replacement, replace_days
+from factkeeper.sinks.csv_export import append_run_log, run_log_row, write_counted
 
 
 def period_of(col: str, grain: str) -> Column:
@@ -50,28 +51,53 @@ def periods_between(start: date, end: date, grain: str) -> list[date]:
     return out
 
 
+def _target(spark: SparkSession, path: str) -> DataFrame:
+    finish_replacement(spark, path)
+    return spark.read.parquet(path)
+
+
+def _with_stamp(spark: SparkSession, path: str, part_col: str, run_ts: datetime,
+                stamp_type: str = "timestamp") -> DataFrame:
+    """P12 / P13 on a stored target: rows without a sync stamp get ``run_ts``, once; the
+    column is added where the table lacks it. Nothing is written when none is missing."""
+    target = _target(spark, path)
+    have = rewrite.SYNC_STAMP in target.columns
+    if have and target.filter(F.col(rewrite.SYNC_STAMP).isNull()).limit(1).count() == 0:
+        return target
+    dtype = target.schema[rewrite.SYNC_STAMP].dataType if have else stamp_type
+    now = typed_lit(run_ts, dtype)
+    stamped = target.withColumn(rewrite.SYNC_STAMP, F.coalesce(rewrite.SYNC_STAMP, now) if have else now)
+    late = stamped if not have else stamped.join(
+        target.filter(F.col(rewrite.SYNC_STAMP).isNull()).select(part_col).distinct(), part_col, "left_semi")
+    days = [r[0] for r in late.select(part_col).distinct().collect()]
+    replace_days(late.select(*target.columns, *([] if have else [rewrite.SYNC_STAMP])), path, part_col, days)
+    return spark.read.parquet(path)
+
+
 def _stamped(rows: DataFrame, target: DataFrame, run_ts: datetime) -> DataFrame:
-    if rewrite.SYNC_STAMP in target.columns:
-        return rows.withColumn(rewrite.SYNC_STAMP,
-                               typed_lit(run_ts, target.schema[rewrite.SYNC_STAMP].dataType))
-    return rows
+    return rows.withColumn(rewrite.SYNC_STAMP, typed_lit(run_ts, target.schema[rewrite.SYNC_STAMP].dataType))
 
 
 def _rewrite(target: DataFrame, path: str, part_col: str, periods, new_rows: DataFrame,
              keep=None) -> int:
-    """Overwrite ``periods`` with ``keep(rows of those periods) ∪ new_rows``.
+    """Replace ``periods`` by ``keep(rows of those periods) ∪ new_rows``; None among them
+    stands for the rows without a period.
 
     ``keep=None`` means nothing of those periods survives (no read)."""
     rows = rewrite.as_target(target, new_rows)
     if keep is not None:
-        old = keep(target.filter(F.col(part_col).isin(list(periods))))
-        rows = old.select(*target.columns).unionByName(rows)
-    return replace_days(rows, path, part_col, periods, cut_lineage=keep is not None)
+        known = [p for p in periods if p is not None]
+        old = F.col(part_col).isin(known)
+        if len(known) < len(periods):
+            old = old | F.col(part_col).isNull()
+        rows = keep(target.filter(old)).select(*target.columns).unionByName(rows)
+    return replace_days(rows, path, part_col, periods)
 
 
 def _log(spark, log_path, market, source, target, periods, rows, started, status="OK", message=""):
     if log_path:
-        label = f"{min(periods)} .. {max(periods)}" if periods else ""
+        known = [p for p in periods if p is not None]
+        label = f"{min(known)} .. {max(known)}" if known else ""
         append_run_log(run_log_row(spark, market, source, target, label, rows, started,
                                    datetime.now(), status, message), log_path)
 
@@ -79,13 +105,14 @@ def _log(spark, log_path, market, source, target, periods, rows, started, status
 def sync_window_job(spark: SparkSession, source: DataFrame, target_path: str,
                     spec: rewrite.SyncSpec, start: date, end: date, run_ts: datetime,
                     part_col: str | None = None, grain: str = "day",
-                    log_path: str | None = None, market: str = "") -> int:
+                    log_path: str | None = None, market: str = "",
+                    stamp_type: str = "timestamp") -> int:
     """W1 / W2 on a stored target (partition column defaults to the date column)."""
     started = datetime.now()
     if spec.auto_values and rewrite.auto_value_list(source, spec, start, end).isEmpty():
         return 0   # no value in the window: the reference stops before deleting
     part_col = part_col or spec.date_column
-    target = spark.read.parquet(target_path)
+    target = _with_stamp(spark, target_path, part_col, run_ts, stamp_type)
     new_rows = _stamped(rewrite.sync_rows(source, spec, start, end), target, run_ts)
     if part_col != spec.date_column:
         new_rows = new_rows.withColumn(part_col, period_of(spec.date_column, grain))
@@ -106,7 +133,7 @@ def mapped_copy_job(spark: SparkSession, source: DataFrame, target_path: str, da
     mapping = list(mapping or rewrite.SERVING_MAPPING)
     tgt_date = dict(mapping).get(date_column, date_column)
     part_col = part_col or tgt_date
-    target = spark.read.parquet(target_path)
+    target = _target(spark, target_path)
     new_rows = rewrite.mapped_rows(source, days, mapping, date_column)
     if part_col != tgt_date:
         new_rows = new_rows.withColumn(part_col, period_of(tgt_date, grain))
@@ -121,24 +148,26 @@ def mapped_copy_job(spark: SparkSession, source: DataFrame, target_path: str, da
 def upsert_month_job(spark: SparkSession, source: DataFrame, target_path: str, key: str,
                      date_column: str, start: date, end: date, newest, run_ts: datetime,
                      part_col: str, grain: str = "month", log_path: str | None = None,
-                     market: str = "") -> int:
+                     market: str = "", stamp_type: str = "timestamp") -> int:
     """The window is replaced by the de-duplicated source rows, and every
     other period holding one of their keys loses that row (the key moved).
 
     The moved-from periods come from the (key, partition) projection only —
-    reading a partition column costs no data I/O.
+    reading a partition column costs no data I/O. The rows without a date are a
+    period of their own, from which keys move like from any other. The de-duplicated
+    source is stored once for the search, the anti join and the insert.
     """
     started = datetime.now()
-    target = spark.read.parquet(target_path)
-    src = latest_per_key(source.filter(in_window(source, date_column, start, end)), [key], newest,
-                         keep_null_keys=True)
+    target = _with_stamp(spark, target_path, part_col, run_ts, stamp_type)
+    src = key_side(latest_per_key(source.filter(in_window(source, date_column, start, end)), [key], newest,
+                                  keep_null_keys=True))
     src = _stamped(src, target, run_ts)
     if part_col not in src.columns:
         src = src.withColumn(part_col, period_of(date_column, grain))
     src_keys = src.select(key).filter(F.col(key).isNotNull())
     hits = target.select(key, part_col).join(src_keys, on=key, how="left_semi")
     moved = [r[0] for r in hits.select(part_col).distinct().collect()]
-    periods = sorted(set(periods_between(start, end, grain)) | set(moved))
+    periods = sorted(set(periods_between(start, end, grain)) | set(moved), key=lambda p: (p is not None, p))
 
     def keep(old):
         outside = rewrite.delete_where(old, in_window(old, date_column, start, end))
@@ -156,7 +185,7 @@ def year_reload_job(spark: SparkSession, source: DataFrame, target_path: str, da
     started = datetime.now()
     lo, hi = year_window(year)
     part_col = part_col or date_column
-    target = spark.read.parquet(target_path)
+    target = _target(spark, target_path)
     rows = source.filter(in_window(source, date_column, lo, hi))
     if part_col not in rows.columns:
         rows = rows.withColumn(part_col, period_of(date_column, grain))
@@ -166,5 +195,24 @@ def year_reload_job(spark: SparkSession, source: DataFrame, target_path: str, da
     return n
 
 
-__all__ = ["sync_window_job", "mapped_copy_job", "upsert_month_job", "year_reload_job",
+def full_load_job(spark: SparkSession, source: DataFrame, target_path: str, key: str,
+                  part_col: str | None = None, truncate: bool = True,
+                  log_path: str | None = None, market: str = "") -> dict:
+    """W6 with its checks: load (or append) the whole source, then compare the counts (Q1)
+    and look for repeated keys (Q2). Returns ``rows, source_rows, target_rows,
+    duplicate_keys``; the run-log row says ERROR when a check fails."""
+    started = datetime.now()
+    n = write_counted(source, target_path, mode="overwrite" if truncate else "append",
+                      partition_by=[part_col] if part_col else ())
+    target = spark.read.parquet(target_path)
+    counts = quality.reconcile(source, target).first()
+    repeated = quality.duplicate_keys(target, [key]).count()
+    ok = repeated == 0 and (not truncate or counts["difference"] == 0)
+    _log(spark, log_path, market, "source", target_path, [], n, started, "OK" if ok else "ERROR",
+         "" if ok else f"source {counts['source_rows']}, target {counts['target_rows']}, repeated keys {repeated}")
+    return {"rows": n, "source_rows": counts["source_rows"], "target_rows": counts["target_rows"],
+            "duplicate_keys": repeated}
+
+
+__all__ = ["sync_window_job", "mapped_copy_job", "upsert_month_job", "year_reload_job", "full_load_job",
            "period_of", "periods_between"]

@@ -10,38 +10,39 @@ failing view does not stop the others (the runner's behaviour), with
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factkeeper.functions.predicates import in_window
 from factkeeper.functions.time_windows import h_minus_1, recent_days, two_days_back
 from factkeeper.operators import kpi, rewrite, update, views
 from factkeeper.plans import jobs
 from factkeeper.plans.steps import STEP_LOG_SCHEMA, run_steps, serving_steps
 from factkeeper.plans.table_store import VersionedTable
-from factkeeper.session import release_scratch
-from factkeeper.sinks.csv_export import write_csv
+from factkeeper.session import scratch_scope
+from factkeeper.sinks.csv_export import append_run_log, run_log_row, write_csv
 
 
 @dataclass
 class Market:
-    """What differs between markets: names, key form, optional steps."""
+    """What differs between markets: names, tier bands, key form, optional steps."""
 
     name: str
+    bands: list                           # (tier, low, high), lowest first; a market's own
     short_key: bool = False               # user key without the user name
     line_recodes: dict | None = None      # None → the fixed recodes
     squad_leads: DataFrame | None = None  # (line, lead) lookup; usc only
     tier_stamp: bool = False              # monthly tier onto the fact; usc only
-    bands: list = field(default_factory=lambda: [("BRONZE", 0.01, 500.0), ("SILVER", 500.0, 800.0),
-                                                 ("GOLD", 800.0, 1e18)])
+    customers: DataFrame | None = None    # user_unique and attributes; for the customer view
 
 
 def _tier_by_key(f: DataFrame, bands) -> DataFrame:
     """Tier of each (user key, line) from its total deposits (the tier-label view)."""
     return (f.groupBy("userkey", "line")
-            .agg(kpi.money("deposit_amount").cast("double").alias("amount"))
+            .agg(kpi.money(f, "deposit_amount").cast("double").alias("amount"))
             .withColumn("tier_name", views.band(F.col("amount"), bands))
             .filter(F.col("tier_name").isNotNull()))
 
@@ -63,7 +64,7 @@ def maintenance_updates(market: Market) -> list:
     steps = []
     if market.squad_leads is not None:
         steps.append(("squad_lead", lambda f: update.conditional_update(
-            f, market.squad_leads, "line", "squad_lead", "lead", broadcast_rows=100_000)))
+            f, market.squad_leads, "line", "squad_lead", "lead")))
     steps.append(("tier_label", lambda f: update.update_from(
         f, _tier_by_key(f, bands), ["userkey", "line"], {"tier_label": "tier_name"}, unique=True)))
     if market.tier_stamp:
@@ -72,7 +73,8 @@ def maintenance_updates(market: Market) -> list:
 
 
 def maintenance_views(market: Market) -> list:
-    """Views of pipeline C: ``(name, fn)`` with ``fn(serving) -> view``.
+    """Views of pipeline C: ``(name, fn)`` with ``fn(serving, view) -> view``; ``view(name)``
+    reads a view that is stored already.
 
     None of them reads a column the updates write, so they are built from
     the stored serving table after the updates (same rows as the reference's
@@ -83,19 +85,26 @@ def maintenance_views(market: Market) -> list:
     def deposits(f):
         return f.filter(F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0)
 
-    return [
-        ("monthly_summary", lambda f: views.monthly_summary(f, c)),
-        ("line_summary", lambda f: views.line_summary(f, c)),
-        ("daily_summary", lambda f: views.daily_summary(f, c)),
-        ("quarter_summary", lambda f: views.quarter_summary(f, c)),
-        ("tier_monthly", lambda f: views.tier_monthly(f, bands, c)),
-        ("tier_summary", lambda f: views.tier_summary(views.tier_monthly(f, bands, c))),
-        ("retention_daily", lambda f: views.retention(f, "user_unique", F.col("date"), "day")),
-        ("retention_monthly", lambda f: views.retention(f, "user_unique", views.month_start("date"),
+    first_day = lambda f: "register_date" if "register_date" in f.columns else "date"
+    chain = [] if market.customers is None else [
+        ("customer_monthly", lambda f, view: views.customer_monthly(
+            f, market.customers, "user_unique",
+            [a for a in market.customers.columns if a != "user_unique"], c))]
+    return chain + [
+        ("monthly_summary", lambda f, view: views.monthly_summary(f, c)),
+        ("line_summary", lambda f, view: views.line_summary(f, c)),
+        ("daily_summary", lambda f, view: views.daily_summary(f, c)),
+        ("quarter_summary", lambda f, view: views.quarter_summary(f, c)),
+        ("tier_monthly", lambda f, view: views.tier_monthly(f, bands, c)),
+        ("tier_summary", lambda f, view: views.tier_summary(view("tier_monthly"))),
+        ("new_register_monthly", lambda f, view: views.new_registrations(f, "user_unique", first_day(f))),
+        ("deposit_summary", lambda f, view: views.deposit_summary(deposits(f), ["line"], "deposit_amount")),
+        ("retention_daily", lambda f, view: views.retention(f, "user_unique", F.col("date"), "day")),
+        ("retention_monthly", lambda f, view: views.retention(f, "user_unique", views.month_start("date"),
                                                         "month")),
-        ("new_depositors", lambda f: views.new_depositors(deposits(f), "user_unique", "date",
+        ("new_depositors", lambda f, view: views.new_depositors(deposits(f), "user_unique", "date",
                                                           "deposit_amount", "uniquekey")),
-        ("new_depositor_txns", lambda f: views.new_depositor_txns(deposits(f), "user_unique", "date")),
+        ("new_depositor_txns", lambda f, view: views.new_depositor_txns(deposits(f), "user_unique", "date")),
     ]
 
 
@@ -143,40 +152,76 @@ def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root:
             run(name, lambda fn=fn: apply(fn))
     if not stop:
         run("serving", lambda: _write_view(store, fact))
+    failed = any(r[1] == "serving" and r[2] == "ERROR" for r in rows)
     stored = store.read() if store.exists() else fact
+
+    def view(name):
+        return VersionedTable(spark, f"{root}/{market.name}/{name}")
+
     for name, fn in maintenance_views(market):
-        if not stop:
-            run(name, lambda name=name, fn=fn: _write_view(
-                VersionedTable(spark, f"{root}/{market.name}/{name}"), fn(stored)))
+        if failed:   # the stored table is an older day's; views of it would be stale
+            n += 1
+            rows.append((n, name, "SKIPPED", "serving was not written", None, datetime.now(), datetime.now()))
+        elif not stop:
+            run(name, lambda name=name, fn=fn: _write_view(view(name), fn(stored, lambda v: view(v).read())))
     return stored, log.unionByName(spark.createDataFrame(rows, STEP_LOG_SCHEMA))
 
 
 def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving_path: str,
               root: str, as_of: date, spec: rewrite.SyncSpec, market: Market,
-              run_ts: datetime | None = None, report_path: str | None = None):
+              run_ts: datetime | None = None, report_path: str | None = None,
+              report_tables: dict | None = None, log_path: str | None = None):
     """A → B → C → E for one market; returns the maintenance step log.
 
     A: the last ``spec.days_back`` days of the staging table are replaced
     from the source; B: the serving table's two days before ``as_of`` are
     replaced by the mapped copy (the mapping also carries ``user_unique``,
     which the chain keys on); C: ``maintain_serving`` on the serving table;
-    E: the KPI report of H-1 on the staging table.
+    E: the KPI report of H-1 over ``report_tables`` (name → staging path of each
+    market, in report order; default: this market's). With ``log_path`` every
+    part appends its run-log row.
     """
+    with scratch_scope(spark):   # every output is written when it ends
+        return _daily_run(spark, source, staging_path, serving_path, root, as_of, spec, market,
+                          run_ts, report_path, report_tables, log_path)
+
+
+def _daily_run(spark, source, staging_path, serving_path, root, as_of, spec, market, run_ts,
+               report_path, report_tables, log_path):
     run_ts = run_ts or datetime.now()
     start, end = recent_days(as_of, spec.days_back)
-    jobs.sync_window_job(spark, source, staging_path, spec, start, end, run_ts, market=market.name)
+    jobs.sync_window_job(spark, source, staging_path, spec, start, end, run_ts,
+                         log_path=log_path, market=market.name)
     mapping = rewrite.SERVING_MAPPING + [("user_unique", "user_unique")]
     jobs.mapped_copy_job(spark, spark.read.parquet(staging_path), serving_path,
-                         two_days_back(as_of), mapping, market=market.name)
+                         two_days_back(as_of), mapping, log_path=log_path, market=market.name)
+    started = datetime.now()
     _, log = maintain_serving(spark, spark.read.parquet(serving_path), as_of, root, market)
+    if log_path:
+        bad = log.filter("status <> 'OK'").count()
+        rows = log.agg(F.sum("rowcount")).first()[0] or 0
+        append_run_log(run_log_row(spark, market.name, serving_path, root, f"{as_of}", rows, started, datetime.now(),
+                                   "ERROR" if bad else "OK", f"{bad} steps failed" if bad else ""), log_path)
     if report_path:
-        lo, hi = h_minus_1(as_of)
-        staged = spark.read.parquet(staging_path)
-        rolled = kpi.kpi_union({market.name: staged.filter(
-            (F.col("txn_date") >= F.lit(lo)) & (F.col("txn_date") < F.lit(hi)))})
-        write_csv(kpi.kpi_report(rolled).drop("market_order"), report_path, parts=1)
-    release_scratch(spark)   # every output is written; intermediate tables can go
+        kpi_report_run(spark, report_tables or {market.name: staging_path}, as_of, report_path, log_path)
     return log
 
 
-__all__ = ["Market", "maintenance_updates", "maintenance_views", "maintain_serving", "daily_run"]
+def kpi_report_run(spark: SparkSession, tables: dict, as_of: date, report_path: str,
+                   log_path: str | None = None) -> int:
+    """The KPI report of the day before ``as_of`` over all markets' tables, as one
+    file, with a run-log row that keeps when it started and finished; returns its rows."""
+    started = datetime.now()
+    lo, hi = h_minus_1(as_of)
+    frames = {name: spark.read.parquet(path) for name, path in tables.items()}
+    report = kpi.kpi_report(kpi.kpi_union({n: f.filter(in_window(f, "txn_date", lo, hi)) for n, f in frames.items()}))
+    write_csv(report.drop("market_order"), report_path, parts=1)
+    rows = report.count()
+    if log_path:
+        append_run_log(run_log_row(spark, ",".join(tables), "staging", report_path, f"{lo} .. {hi}", rows,
+                                   started, datetime.now(), "OK"), log_path)
+    return rows
+
+
+__all__ = ["Market", "maintenance_updates", "maintenance_views", "maintain_serving", "daily_run",
+           "kpi_report_run"]

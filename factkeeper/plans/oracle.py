@@ -61,8 +61,8 @@ def w(*parts):
 def _kpi_select(src: str) -> str:
     return f"""select txn_date, line,
   cast(coalesce(sum(deposit_cases), 0) as bigint) as deposit_cases,
-  cast(coalesce(sum(cast(deposit_amount as decimal(18,2))), 0) as double) as deposit_amount,
-  cast(coalesce(sum(cast(net_profit as decimal(18,2))), 0) as double) as net_profit,
+  cast(coalesce(sum(deposit_amount), 0) as double) as deposit_amount,
+  cast(coalesce(sum(net_profit), 0) as double) as net_profit,
   cast(count(distinct case when coalesce(deposit_cases, 0) > 0 then user_unique end) as integer) as active_members
 from {src}"""
 
@@ -75,8 +75,8 @@ MARKETS_SQL = """markets as (
 KPI_UNION = """kpi as (
   select table_name, market_order, txn_date, coalesce(line, '') as line,
     cast(coalesce(sum(deposit_cases), 0) as bigint) as deposit_cases,
-    cast(coalesce(sum(cast(deposit_amount as decimal(18,2))), 0) as double) as deposit_amount,
-    cast(coalesce(sum(cast(net_profit as decimal(18,2))), 0) as double) as net_profit,
+    cast(coalesce(sum(deposit_amount), 0) as double) as deposit_amount,
+    cast(coalesce(sum(net_profit), 0) as double) as net_profit,
     cast(count(distinct case when coalesce(deposit_cases, 0) > 0 then user_unique end) as integer) as active_members
   from markets {where} group by table_name, market_order, txn_date, coalesce(line, ''))"""
 
@@ -134,6 +134,9 @@ def _recency_out(src: str, key: str, as_of: str, cols: str) -> str:
             f"from {src} s left join r on s.{key} = r.k")
 
 
+# the target of the upserts: every eleventh order has lost its date
+UPSERT_TARGET = """tgt as (select * replace (case when o_orderkey % 11 <> 0 then o_orderdate end as o_orderdate)
+  from (select {cols} from orders where o_orderdate < timestamp '2001-07-15'))""".format(cols=ORDER_COLS)
 UPSERT_SRC = f"""src_all as (
   select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 as o_totalprice, o_orderdate, o_orderpriority
   from orders where o_orderdate >= timestamp '2001-07-01' and o_orderdate < timestamp '2001-08-01'
@@ -154,14 +157,14 @@ TIERS_EVENTS = """tiers as (
       case when amount >= 0.01 and amount < 500.0 then 'BRONZE'
            when amount >= 500.0 and amount < 800.0 then 'SILVER'
            when amount >= 800.0 and amount < 1e18 then 'GOLD' end as tier_name
-    from (select userkey, {grp}, cast(sum(cast(deposit_amount as decimal(18,2))) as double) as amount
+    from (select userkey, {grp}, cast(sum(deposit_amount) as double) as amount
           from keyed group by userkey, {grp})) where tier_name is not null)"""
 
 KEYED = "keyed as (select *, username || '-' || line as userkey, cast(month(date) as integer) as month from staging)"
 
 ORDER_TIERS = """monthly as (
   select o_custkey as user_unique, cast(date_trunc('month', o_orderdate) as date) as month_start,
-    cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as amount
+    cast(coalesce(sum(cast(o_totalprice as decimal(28,6))), 0) as double) as amount
   from orders group by 1, 2),
 tiered as (
   select *, case when amount >= 0.0 and amount < 100000.0 then 'BRONZE'
@@ -183,7 +186,7 @@ tiers as (
   from ranked)"""
 
 ORDER_MEASURES = """cast(count(*) as bigint) as deposit_cases,
-    cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as deposit_amount,
+    cast(coalesce(sum(cast(o_totalprice as decimal(28,6))), 0) as double) as deposit_amount,
     cast(count(distinct o_custkey) as bigint) as active_users"""
 
 LINEITEM_DEDUP = """dedup as (
@@ -256,7 +259,13 @@ union all
 select o_orderkey, o_custkey, 'R', o_totalprice, o_orderdate, o_orderpriority, {RUN_TS}
 from orders where o_orderdate >= timestamp '2001-07-30' and o_orderdate < timestamp '2001-08-01'
   and o_orderpriority is not null and coalesce(o_totalprice, 0) > 0"""
-    q["month_upsert"] = w(UPSERT_SRC, f"""tgt as (select {ORDER_COLS} from orders where o_orderdate < timestamp '2001-07-15')""") + f"""
+    q["kpi_exact_sums"] = """
+select cast(o_orderdate as date) as txn_date, o_orderpriority as line, count(*) as deposit_cases,
+  cast(sum(cast(cast(round(o_totalprice * 100) as bigint) as decimal(28,4)) / 10000) as double) as deposit_amount,
+  cast(sum(cast(o_orderkey as hugeint) * 1099511627776) as double) as net_profit,
+  cast(count(distinct o_custkey) as integer) as active_members
+from orders group by 1, 2"""
+    q["month_upsert"] = w(UPSERT_SRC, UPSERT_TARGET) + f"""
 select t.*, {RUN_TS} as last_synced_at from tgt t
 where not coalesce(t.o_orderdate >= timestamp '2001-07-01' and t.o_orderdate < timestamp '2001-08-01', false)
   and not exists (select 1 from src s where s.o_orderkey = t.o_orderkey)
@@ -366,14 +375,14 @@ from orders group by 1, 2, 3"""
 with per as (
   select o_custkey, o_orderpriority as line, cast(date_trunc('month', o_orderdate) as date) as month_start,
     cast(count(*) as bigint) as deposit_cases,
-    cast(coalesce(sum(cast(o_totalprice as decimal(18,2))), 0) as double) as deposit_amount,
+    cast(coalesce(sum(cast(o_totalprice as decimal(28,6))), 0) as double) as deposit_amount,
     cast(count(distinct cast(o_orderdate as date)) as bigint) as active_days
   from orders group by 1, 2, 3)
 select p.*, c.c_mktsegment, c.c_nationkey from per p left join customer c on p.o_custkey = c.c_custkey"""
     q["tier_monthly"] = w(ORDER_TIERS) + "\nselect * from tiers"
     q["tier_summary"] = w(ORDER_TIERS) + """
 select month_start, tier_name, cast(count(*) as bigint) as users,
-  cast(sum(cast(amount as decimal(18,2))) as double) as amount
+  cast(sum(cast(amount as decimal(28,6))) as double) as amount
 from tiers group by 1, 2"""
     q["retention_monthly"] = """
 with a as (select distinct o_custkey as u, cast(date_trunc('month', o_orderdate) as date) as m
@@ -403,7 +412,7 @@ where exists (select 1 from firsts f where f.o_custkey = o.o_custkey
               and f.m = cast(date_trunc('month', o.o_orderdate) as date))"""
     q["deposit_summary"] = """
 select cast(year(o_orderdate) as integer) as year, o_orderstatus, cast(count(*) as bigint) as deposits,
-  cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total_amount,
+  cast(sum(cast(o_totalprice as decimal(28,6))) as double) as total_amount,
   cast(min(o_totalprice) as double) as min_amount, cast(max(o_totalprice) as double) as max_amount
 from orders group by 1, 2"""
     q["reconcile_counts"] = w(LINEITEM_DEDUP) + """
@@ -425,8 +434,8 @@ where coalesce(a.source_rows, 0) <> coalesce(b.target_rows, 0)"""
 with t as (
   select o_orderkey, case o_orderpriority
       when '1-URGENT' then strftime(o_orderdate, '%Y-%m-%d')
-      when '2-HIGH' then strftime(o_orderdate, '%Y/%m/%d')
-      when '3-MEDIUM' then strftime(o_orderdate, '%d/%m/%Y')
+      when '2-HIGH' then strftime(o_orderdate, '%Y/%-m/%-d')
+      when '3-MEDIUM' then strftime(o_orderdate, '%-d/%-m/%Y')
       when '4-NOT SPECIFIED' then strftime(o_orderdate, '%m/%d/%Y %H:%M:%S')
       else 'n/a' end as date_text
   from orders)

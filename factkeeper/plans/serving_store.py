@@ -8,18 +8,23 @@ is a full rewrite per day. ``ServingStore`` keeps instead
 * ``fact``    — the serving rows, partitioned by ``date``; only the copied
                 days are ever rewritten (``mapped_copy_job``);
 * ``latest``  — user_unique → update_unique_code;
-* ``recency`` — (user_unique, userkey) → last activity / last deposit day;
-* ``tiers``   — (user_unique, userkey, line) → tier label;
+* ``by_user`` — (user_unique, userkey, line) → last activity day, last
+                deposit day, summed deposits;
 
-and recomputes the three small tables only for users whose rows were in the
+and recomputes the two small tables only for users whose rows were in the
 copied days (before or after the copy): their rows are found with a semi
 join (a scan of the fact, no rewrite), the per-user results replace the old
-ones (``left_anti`` + union, a write of O(users)). ``read(as_of)`` joins them
-back and computes ``days_inactive`` for the day asked, so the daily re-age
-(G8) costs nothing. The rows equal the full recompute (tests).
+ones (``left_anti`` + union, a write of O(users)). Both are parts of one version
+with one commit marker, so a reader never mixes two runs.
 
-A user key embeds the user's name and latest code, so it belongs to one
-user; recency per user key is therefore computed from that user's rows.
+``read(as_of)`` sums ``by_user`` up to the user key (recency) and to key and line
+(tiers), joins them back and computes ``days_inactive`` for the day asked, so the
+daily re-age (G8) costs nothing and users who share a short key share its recency,
+as in the full recompute.
+
+Before the copy the users of the days as they were are committed as pending; they
+are refreshed, and cleared, after it. A run that failed in between leaves them
+there, and the next one refreshes them too.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from factkeeper.functions.scalar import LINE_RECODES, days_between, recode, stri
 from factkeeper.operators import kpi, recency, views
 from factkeeper.operators.update import key_side, latest_per_key
 from factkeeper.plans import jobs
-from factkeeper.plans.table_store import VersionedTable
+from factkeeper.plans.table_store import VersionedTable, finish_replacement
 
 USER = "user_unique"
 
@@ -44,9 +49,8 @@ class ServingStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fact_path = f"{self.root}/fact"
-        self.latest = VersionedTable(spark, f"{self.root}/latest")
-        self.recency = VersionedTable(spark, f"{self.root}/recency")
-        self.tiers = VersionedTable(spark, f"{self.root}/tiers")
+        self.stamps = VersionedTable(spark, f"{self.root}/stamps")
+        self.pending = VersionedTable(spark, f"{self.root}/pending")
         self.bands = bands
         self.recodes = LINE_RECODES if line_recodes is None else line_recodes
         self.key_parts = (("update_unique_code", "line") if short_key
@@ -59,10 +63,8 @@ class ServingStore:
         return df.withColumn("line", recode("line", self.recodes))
 
     def _per_user(self, rows: DataFrame):
-        """Latest code, recency and tier label for the users in ``rows`` (all
-        of each user's rows must be present). Two passes over ``rows``: the
-        latest code per user, then one aggregate per (user, key, line) from
-        which recency and tiers both follow; each is stored once."""
+        """``latest`` and ``by_user`` of the users in ``rows`` (all of each user's rows
+        must be present): the latest code per user, then one aggregate per (user, key, line)."""
         latest = key_side(latest_per_key(rows, [USER], ["date", self.tiebreak],
                                          nulls_first=["date"], cols=["unique_code"])
                           .withColumnRenamed("unique_code", "update_unique_code"))
@@ -70,14 +72,11 @@ class ServingStore:
                  .withColumn("userkey", strict_concat(*self.key_parts))
                  .filter(F.col("userkey").isNotNull()))
         deposited = F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0
-        by_line = key_side(keyed.groupBy(USER, "userkey", "line").agg(
-            F.max("date").alias("__a"), F.max(F.when(deposited, F.col("date"))).alias("__d"),
-            kpi.money("deposit_amount").cast("double").alias("__amount")))
-        rec = by_line.groupBy(USER, "userkey").agg(F.max("__a").alias(recency.LAST_ACTIVITY),
-                                                   F.max("__d").alias(recency.LAST_DEPOSIT))
-        tiers = (by_line.withColumn("tier_label", views.band(F.col("__amount"), self.bands))
-                 .filter(F.col("tier_label").isNotNull()).select(USER, "userkey", "line", "tier_label"))
-        return latest, rec, tiers
+        by_user = keyed.groupBy(USER, "userkey", "line").agg(
+            F.max("date").alias(recency.LAST_ACTIVITY),
+            F.max(F.when(deposited, F.col("date"))).alias(recency.LAST_DEPOSIT),
+            kpi.money(keyed, "deposit_amount").alias("amount"))
+        return latest, by_user
 
     STAMPED = ["update_unique_code", "userkey", recency.LAST_ACTIVITY, recency.LAST_DEPOSIT,
                recency.DAYS_INACTIVE, "tier_label"]
@@ -89,14 +88,13 @@ class ServingStore:
          .partitionBy("date").parquet(self.fact_path))
         self._write(*self._per_user(self.fact().filter(F.col(USER).isNotNull())))
 
-    def _write(self, latest, rec, tiers, touched: DataFrame | None = None) -> None:
-        def merged(table: VersionedTable, new: DataFrame) -> DataFrame:
-            if touched is None or not table.exists():
+    def _write(self, latest, by_user, touched: DataFrame | None = None) -> None:
+        def merged(name: str, new: DataFrame) -> DataFrame:
+            if touched is None or not self.stamps.exists():
                 return new
-            return table.read().join(touched, USER, "left_anti").unionByName(new)
-        for table, new in ((self.latest, latest), (self.recency, rec), (self.tiers, tiers)):
-            table.write(merged(table, new))
-            table.prune(keep=2)   # the previous version stays for readers still on it
+            return self.stamps.read_part(name).join(touched, USER, "left_anti").unionByName(new)
+        self.stamps.write_set({"latest": merged("latest", latest), "by_user": merged("by_user", by_user)})
+        self.stamps.prune(keep=2)   # the previous version stays for readers still on it
 
     # ------------------------------------------------------------ daily change
     def copy_days(self, staging: DataFrame, days, mapping) -> int:
@@ -105,22 +103,34 @@ class ServingStore:
         Mapped columns the store derives (the staged user key) are not copied:
         the chain would overwrite them anyway."""
         mapping = [(s, t) for s, t in mapping if t not in self.STAMPED]
+        finish_replacement(self.spark, self.fact_path)
+
         def users_on_days() -> DataFrame:
             f = self.spark.read.parquet(self.fact_path)
             return f.filter(F.col("date").isin(list(days)) & F.col(USER).isNotNull()).select(USER)
-        before = key_side(users_on_days().distinct(), force=True)   # stored before the overwrite
+        before = users_on_days()
+        if self.pending.exists():   # of a run that did not come to its end
+            before = before.unionByName(self.pending.read())
+        self.pending.write(before.distinct())
         n = jobs.mapped_copy_job(self.spark, staging, self.fact_path, days, mapping)
-        touched = key_side(before.unionByName(users_on_days()).distinct())
+        touched = key_side(self.pending.read().unionByName(users_on_days()).distinct())
         rows = self.fact().join(touched, USER, "left_semi")   # all rows of touched users
         self._write(*self._per_user(rows), touched=touched)
+        self.pending.write(touched.limit(0))
+        self.pending.prune(keep=1)
         return n
 
     # ------------------------------------------------------------ read
     def read(self, as_of: date) -> DataFrame:
         """The stamped serving rows as of ``as_of``."""
-        f = self.fact()
-        out = f.join(self.latest.read(), USER, "left").withColumn(
-            "userkey", strict_concat(*self.key_parts))
-        out = out.join(self.recency.read(), [USER, "userkey"], "left").withColumn(
+        version = self.stamps.current()
+        latest, by_user = (self.stamps.read_part(name, version) for name in ("latest", "by_user"))
+        rec = key_side(by_user.groupBy("userkey").agg(
+            *[F.max(c).alias(c) for c in (recency.LAST_ACTIVITY, recency.LAST_DEPOSIT)]))
+        tiers = by_user.groupBy("userkey", "line").agg(F.sum("amount").cast("double").alias("__amount"))
+        tiers = key_side(tiers.withColumn("tier_label", views.band(F.col("__amount"), self.bands))
+                         .filter(F.col("tier_label").isNotNull()).select("userkey", "line", "tier_label"))
+        out = self.fact().join(latest, USER, "left").withColumn("userkey", strict_concat(*self.key_parts))
+        out = out.join(rec, "userkey", "left").withColumn(
             recency.DAYS_INACTIVE, days_between(as_of, recency.LAST_DEPOSIT))
-        return out.join(self.tiers.read(), [USER, "userkey", "line"], "left")
+        return out.join(tiers, ["userkey", "line"], "left")

@@ -15,8 +15,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.session import checkpoint_root
-
 
 class VersionedTable:
     """A parquet table stored as ``<root>/v=<id>/`` plus commit markers.
@@ -76,6 +74,20 @@ class VersionedTable:
         self.last_rows = int(obs.get["rows"])
         return version
 
+    def write_set(self, frames: dict) -> str:
+        """Write several frames as parts of one version, then commit them with one marker."""
+        version = uuid.uuid4().hex
+        for name, df in frames.items():
+            df.write.mode("overwrite").parquet(f"{self.root}/v={version}/{name}")
+        fs, jvm = self._fs()
+        marker = f"{self.root}/_commits/{time.time_ns():020d}_{version}"
+        fs.create(jvm.org.apache.hadoop.fs.Path(marker), False).close()
+        return version
+
+    def read_part(self, name: str, version: str | None = None) -> DataFrame:
+        """One part of a version written by ``write_set`` (default: the current one)."""
+        return self.spark.read.parquet(f"{self.root}/v={version or self.current()}/{name}")
+
     def versions(self) -> list[str]:
         """Committed version ids, oldest first."""
         return [v for _, v in self._commits()]
@@ -103,36 +115,94 @@ class VersionedTable:
         return self.write(query())
 
 
-def replace_days(df: DataFrame, path: str, date_col: str, days, cut_lineage: bool = True) -> int:
-    """Rewrite only the given days of a table partitioned by ``date_col``;
-    returns the number of rows written.
+# -- days of a partitioned table ------------------------------------------------
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_READY = "_ready"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path
+    return p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _folder(date_col: str, day) -> str:
+    return f"{date_col}={NULL_PARTITION if day is None else day}"
+
+
+def _swap(fs, p, path: str, staging: str, filled: list[str], emptied: list[str]) -> None:
+    """Move the staged folders into the table and drop the emptied ones. Each folder is
+    moved whole; what has been moved already is skipped, so it can be run again."""
+    for name in filled:
+        if fs.exists(p(f"{staging}/{name}")):
+            fs.delete(p(f"{path}/{name}"), True)
+            if not fs.rename(p(f"{staging}/{name}"), p(f"{path}/{name}")):
+                raise OSError(f"could not move {staging}/{name}")
+    for name in emptied:
+        fs.delete(p(f"{path}/{name}"), True)
+    fs.delete(p(staging), True)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> int:
+    """Complete replacements of ``path`` that were staged whole but whose swap was
+    interrupted, and drop those that weren't; returns how many were completed.
+
+    Call it before reading the table in a job that rewrites it."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p(path)):
+        return 0
+    done = 0
+    for status in fs.listStatus(p(path)):
+        name = status.getPath().getName()
+        if not name.startswith("_staging-"):
+            continue
+        staging = f"{path}/{name}"
+        if fs.exists(p(f"{staging}/{_READY}")):
+            lists = [[x.getPath().getName() for x in fs.listStatus(p(f"{staging}/{_READY}/{kind}"))]
+                     for kind in ("filled", "emptied")]
+            _swap(fs, p, path, staging, *lists)
+            done += 1
+        else:
+            fs.delete(p(staging), True)
+    return done
+
 
-    Dynamic partition overwrite replaces the days that have rows; days of
-    the window that became empty get an empty partition file written too, so
-    a windowed delete with no new rows still empties the day (a plain
-    dynamic overwrite would keep the stale rows).
+def replace_days(df: DataFrame, path: str, date_col: str, days) -> int:
+    """Rewrite only the given days of a table partitioned by ``date_col`` (None: the rows
+    without a day); returns the number of rows written.
 
-    When ``df`` is derived from ``path`` itself (``cut_lineage``), the changed
-    days are first cut from their lineage with a reliable checkpoint in the
-    shared checkpoint folder: the overwrite can then never delete rows a
-    (re)running task still has to read.
+    The rows are first written to a staging folder inside the table's, so ``df`` may read
+    the table itself. A row of any other day raises before the table is touched. Then the
+    days' folders are swapped in through the file system; days without rows lose theirs,
+    without a Spark job. An interrupted swap is completed by ``finish_replacement``.
     """
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    days = sorted(set(days))
-    day_rows = df.filter(F.col(date_col).isin(days))
-    if cut_lineage:
-        checkpoint_root(spark)
-        day_rows = day_rows.checkpoint(eager=True)
+    days = set(days)
+    wanted = {_folder(date_col, d): d for d in days}
+    path = path.rstrip("/")
+    staging = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
     obs = Observation("replace_days")
-    counted = day_rows.observe(obs, F.count(F.lit(1)).alias("rows"),
-                               F.collect_set(F.col(date_col)).alias("days"))
-    (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(path))
-    present = set(obs.get["days"] or [])
-    for d in days:
-        if d not in present:
-            # overwrite that day's folder with an empty file of the schema
-            day_rows.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{path}/{date_col}={d}")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(date_col)).alias("days"),
+                         F.count_if(F.col(date_col).isNull()).alias("no_day"))
+    counted.write.partitionBy(date_col).parquet(staging)
+    present = set(obs.get["days"] or []) | ({None} if obs.get["no_day"] else set())
+    fs, p = _hadoop(spark, path)
+    if present - days:
+        fs.delete(p(staging), True)
+        raise ValueError(f"rows of days that are not replaced: {sorted(map(str, present - days))[:5]}")
+    filled = [name for name, d in wanted.items() if d in present]
+    emptied = [name for name, d in wanted.items() if d not in present]
+    for kind, names in (("filled", filled), ("emptied", emptied)):
+        fs.mkdirs(p(f"{staging}/.{_READY}/{kind}"))
+        for name in names:
+            fs.create(p(f"{staging}/.{_READY}/{kind}/{name}"), False).close()
+    fs.rename(p(f"{staging}/.{_READY}"), p(f"{staging}/{_READY}"))
+    _swap(fs, p, path, staging, filled, emptied)
+    if not any(x.isDirectory() and not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(p(path))):
+        # the table would have no file to tell its schema
+        some = next(iter(wanted))
+        df.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{path}/{some}")
     return int(obs.get["rows"])

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factkeeper.functions.predicates import in_window
-from factkeeper.operators.kpi import money
 
 # Fixed values of the test model.
 EVENTS_AS_OF = date(2024, 1, 31)       # events cover 2024-01-01 .. 2024-01-30
@@ -33,8 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _money_of(event_types) -> F.Column:
+    """The model's amounts are kept in cents, row by row."""
     hit = F.col("event_type").isin(*event_types)
-    return money(F.when(hit, F.col("value"))).cast("decimal(18,2)")
+    return F.sum(F.when(hit, F.col("value")).cast("decimal(18,2)")).cast("decimal(18,2)")
 
 
 def _count_of(event_types) -> F.Column:
@@ -58,7 +58,7 @@ def daily_aggregates(events: DataFrame) -> DataFrame:
 def merge_daily(parts: DataFrame) -> DataFrame:
     """Combine several partial ``daily_aggregates`` rows of the same (user, day)."""
     def msum(c):
-        return money(c).cast("decimal(18,2)")
+        return F.sum(c).cast("decimal(18,2)")
     return (parts.groupBy("user_unique", "date")
             .agg(F.sum("deposit_cases").alias("deposit_cases"), msum("deposit_amount").alias("deposit_amount"),
                  F.sum("withdraw_cases").alias("withdraw_cases"), msum("withdraw_amount").alias("withdraw_amount"),

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -73,61 +76,55 @@ def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 128 << 20) -> d
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables.
 
-    Read from the session; only when nothing is configured (local tests) a
-    private folder is made and registered, so ``DataFrame.checkpoint()`` and
-    the helpers below behave the same everywhere.
+    A folder set on the context (``setCheckpointDir``, or ``spark.checkpoint.dir``
+    at its start) comes first, then the setting. Where neither is there, a local
+    master gets a private folder; any other raises, since executors on other
+    machines would not see one of ours.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or _FALLBACK.get("root")
+    root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="factkeeper-ckpt-")
-        _FALLBACK["root"] = root
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-_FALLBACK: dict[str, str] = {}
-
-
 def scratch_path(spark: SparkSession, label: str, temporary: bool = False) -> str:
     """A fresh, never reused folder below the shared checkpoint root.
 
     ``temporary`` folders (intermediate tables such as stored per-key
-    results) are recorded and removed by ``release_scratch``."""
+    results) are deleted at the end of the ``scratch_scope`` they were made in."""
     path = f"{checkpoint_root(spark)}/factkeeper/{label}-{uuid.uuid4().hex[:12]}"
-    if temporary:
-        _TEMPORARY.append(path)
+    if temporary and (paths := _SCOPE.get()) is not None:
+        paths.append(path)
     return path
 
 
-_TEMPORARY: list[str] = []
-
-
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the temporary folders made so far; returns how many.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
-    Call only when no DataFrame still to be run reads them — e.g. at the end
-    of a job whose outputs are all written (``maintenance.daily_run`` does)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _TEMPORARY:
-        path = jvm.org.apache.hadoop.fs.Path(_TEMPORARY.pop())
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            fs.delete(path, True)
-            n += 1
-    return n
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the temporary folders made inside it, and only those.
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    A frame that reads one must have run before the scope ends; scopes of
+    other threads and outer ones keep theirs."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path",
-           "release_scratch", "cut_lineage"]
+__all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path", "scratch_scope"]

@@ -48,8 +48,8 @@ def _ordered(df: DataFrame, order_cols, parts: int | None, lead=()) -> DataFrame
     key is split over several parts instead of landing in one task.
     """
     cols = [*lead, *order_cols]
-    if not cols:
-        return df
+    if not cols:   # neighbouring partitions are merged, so a sorted frame stays sorted
+        return df.coalesce(parts) if parts else df
     ranged = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
     return ranged.sortWithinPartitions(*cols)
 
@@ -110,7 +110,7 @@ def period_filter(df: DataFrame, period_col: str | None, value=None) -> DataFram
         return df
     c = F.col(period_col)
     t = df.schema[period_col].dataType
-    lit = F.lit(value).cast(t) if not isinstance(t, T.StringType) else F.lit(str(value))
+    lit = F.lit(str(value)).try_cast(t) if not isinstance(t, T.StringType) else F.lit(str(value))
     picked = df.filter(c == lit)
     # A value that is not one of the periods is an invalid choice → all rows
     # (a one-row probe job, not a count).

@@ -37,6 +37,6 @@ def test_cli_maintain(spark, tmp_path):
     stg = tm.staging(spark, SF)
     serving = str(tmp_path / "serving")
     stg.select(*[F.col(s).alias(t) for s, t in SERVING_MAPPING], "user_unique").write.parquet(serving)
-    out = cli.main(["maintain", "--serving", serving, "--root", str(tmp_path / "views"),
+    out = cli.main(["maintain", "--bands", '[["BRONZE", 0.01, 500], ["GOLD", 500, 1e18]]', "--serving", serving, "--root", str(tmp_path / "views"),
                     "--market", "myr", "--short-key", "1", "--as-of", "2024-02-01"], spark=spark)
     assert set(out["steps"].values()) == {"OK"} and "retention_monthly" in out["steps"]

@@ -21,6 +21,11 @@ def test_sync_job_rewrites_only_window_days(spark, tmp_path):
     path, log = str(tmp_path / "t"), str(tmp_path / "log")
     _store(spark, path, [("old1", date(2024, 1, 27), "X", 1), ("old2", date(2024, 1, 28), "X", 1),
                          ("old3", date(2024, 1, 30), "X", 1)])
+    src = spark.createDataFrame([], SCHEMA)   # a first run gives the table its stamp column
+    jobs.sync_window_job(spark, src, path, SyncSpec(values=["X"], activity_columns=["deposit_cases"]),
+                         date(2024, 2, 28), date(2024, 2, 29), RUN)
+    assert spark.read.parquet(path).filter(F.col("last_synced_at").isNull()).count() == 0
+    assert spark.read.parquet(path).count() == 3
     before = os.path.getmtime(tmp_path / "t" / "txn_date=2024-01-27")
     src = spark.createDataFrame([("new", date(2024, 1, 29), "X", 2), ("skip", date(2024, 1, 29), "Y", 2)],
                                 SCHEMA)
@@ -55,3 +60,38 @@ def test_month_grain_keeps_rows_outside_window(spark, tmp_path):
     assert jobs.periods_between(date(2024, 11, 15), date(2025, 2, 1), "month") == [
         date(2024, 11, 1), date(2024, 12, 1), date(2025, 1, 1)]
     assert spark.read.parquet(path).filter(F.col("k") == "c").first().deposit_cases == 3
+
+
+def test_upsert_job_moves_a_key_from_a_row_without_a_date(spark, tmp_path):
+    path = str(tmp_path / "u")
+    target = spark.createDataFrame([("k1", None, None), ("k2", date(2024, 1, 5), date(2024, 1, 1)), ("k3", None, None)],
+                                   "k string, d date, m date")
+    target.write.partitionBy("m").parquet(path)
+    source = spark.createDataFrame([("k1", date(2024, 2, 3)), ("k2", date(2024, 2, 4))], "k string, d date")
+    jobs.upsert_month_job(spark, source, path, "k", "d", date(2024, 2, 1), date(2024, 3, 1), ["d"], RUN, part_col="m")
+    got = sorted((r.k, str(r.d)) for r in spark.read.parquet(path).collect())
+    assert got == [("k1", "2024-02-03"), ("k2", "2024-02-04"), ("k3", "None")]
+
+
+def test_year_reload_by_day_needs_few_jobs(spark, tmp_path):
+    path = str(tmp_path / "y")
+    _store(spark, path, [("old", date(2024, 5, 5), "X", 1), ("other", date(2023, 5, 5), "X", 1)])
+    src = spark.createDataFrame([("a", date(2024, 1, 1), "X", 1), ("b", date(2024, 12, 31), "X", 1)], SCHEMA)
+    sc = spark.sparkContext
+    sc.setJobGroup("year-reload", "")
+    jobs.year_reload_job(spark, src, path, "txn_date", 2024)
+    n = len(sc.statusTracker().getJobIdsForGroup("year-reload"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["a", "b", "other"]
+    assert n <= 10
+
+
+def test_full_load_job_checks_counts_and_keys(spark, tmp_path):
+    path, log = str(tmp_path / "f"), str(tmp_path / "log")
+    src = spark.createDataFrame([("a", date(2024, 1, 1), "X", 1), ("b", date(2024, 1, 2), "X", 1)], SCHEMA)
+    out = jobs.full_load_job(spark, src, path, "k", part_col="txn_date", log_path=log)
+    assert out == {"rows": 2, "source_rows": 2, "target_rows": 2, "duplicate_keys": 0}
+    out = jobs.full_load_job(spark, src, path, "k", part_col="txn_date", truncate=False, log_path=log)
+    assert out == {"rows": 2, "source_rows": 2, "target_rows": 4, "duplicate_keys": 2}
+    assert sorted(r.status for r in spark.read.parquet(log).collect()) == ["ERROR", "OK"]
+    assert jobs.full_load_job(spark, src, path, "k", part_col="txn_date")["target_rows"] == 2

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import types as T
 
+from pyspark.sql import functions as F
 from factkeeper.functions.scalar import parse_date_multi, strict_concat
 from factkeeper.functions.time_windows import month_window, yesterday_today
 from factkeeper.operators import kpi, quality
@@ -133,3 +134,28 @@ def test_export_month_empty_variants(spark, tmp_out):
     assert text.strip() == "id,d"   # header only
     dec = E.export_month(df, "d", "2024-01", tmp_out, "t", order_cols=["id"], bom=False)
     assert dec.endswith("t_202401")
+
+
+def test_money_is_exact_at_every_scale(spark):
+    from decimal import Decimal
+    from factkeeper.operators.kpi import money
+    fine = spark.range(1000).select(F.lit("0.004").cast("decimal(10,4)").alias("a"), F.lit(0.004).alias("f"),
+                                    F.lit("1234567890123456.78").cast("decimal(18,2)").alias("b"))
+    got = fine.agg(money(fine, "a").alias("a"), money(fine, "f").alias("f"), money(fine, "b").alias("b")).first()
+    assert (got.a, got.f, got.b) == (Decimal("4.0000"), Decimal("4"), Decimal("1234567890123456780.00"))
+    big = spark.createDataFrame([(123456789012345678,)], "a long")
+    assert big.agg(money(big, "a").alias("a")).first().a == 123456789012345678
+
+
+def test_a_period_that_is_none_gives_all_rows(spark):
+    from factkeeper.sinks.csv_export import period_filter
+    df = spark.createDataFrame([(1, 2023), (2, 2024)], "k int, p int")
+    assert period_filter(df, "p", "abc").count() == 2
+    assert period_filter(df, "p", "2024").count() == 1 and period_filter(df, "p", "2022").count() == 2
+
+
+def test_unpadded_dates(spark):
+    df = spark.createDataFrame([("2024-1-5",), ("2024/1/5",), ("5/1/2024",), ("1/25/2024",), ("05/01/2024 1:2",), ("x",)], "s string")
+    d = date(2024, 1, 5)
+    assert [r[0] for r in df.select(parse_date_multi("s", date(2024, 1, 31))).collect()] == [
+        d, d, d, date(2024, 1, 25), d, date(2024, 1, 31)]

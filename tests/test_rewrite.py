@@ -1,5 +1,6 @@
 """Edge rows of the windowed rewrites (FIXTURES §4) on small hand-made frames."""
 
+import pytest
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -140,8 +141,10 @@ def test_year_reload_on_timestamp_and_text(spark):
     tgt = spark.createDataFrame([(9, datetime(2024, 3, 3), "2024")], "id int, ts timestamp_ntz, y string")
     out = rewrite.year_reload(tgt, df, "ts", 2024)
     assert rows(out, "id") == [(2,), (4,)]
-    out_text = rewrite.year_reload(tgt, df, "y", 2024)
+    out_text = rewrite.year_reload(tgt, df.filter("y <> 'bad' or y is null"), "y", 2024)
     assert rows(out_text, "id") == [(2,)]
+    with pytest.raises(Exception, match="not a year"):   # like a cast, not left out without a word
+        rewrite.year_reload(tgt, df, "y", 2024).collect()
 
 
 def test_full_load_truncate_and_append(spark):
@@ -175,3 +178,25 @@ def test_stamp_is_wall_clock_in_any_session_zone(spark):
         assert out.first().last_synced_at == RUN
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("prune", [True, False])
+def test_upsert_moves_a_key_from_a_row_without_a_date(spark, prune):
+    target = spark.createDataFrame([("k1", None), ("k2", date(2024, 1, 5)), ("k3", None)], "k string, d date")
+    source = spark.createDataFrame([("k1", date(2024, 2, 3))], "k string, d date")
+    out = rewrite.upsert_window(target, source, "k", "d", date(2024, 2, 1), date(2024, 3, 1), ["d"],
+                                datetime(2024, 3, 1), prune_days=prune)
+    assert sorted((r.k, r.d) for r in out.collect() if r.d) == [("k1", date(2024, 2, 3)), ("k2", date(2024, 1, 5))]
+    assert [r.k for r in out.collect() if r.d is None] == ["k3"]
+
+
+def test_text_years_that_are_none_raise(spark):
+    from factkeeper.functions.predicates import year_is, year_of
+    good = spark.createDataFrame([("2023",), (" 2024 ",), (None,)], "y string")
+    assert good.filter(year_is(good, "y", 2023)).count() == 1
+    for text in ("n/a", "2023.0"):
+        bad = spark.createDataFrame([("2023",), (text,)], "y string")
+        with pytest.raises(Exception, match="not a year"):
+            bad.filter(year_is(bad, "y", 2023)).collect()
+        with pytest.raises(Exception, match="not a year"):
+            bad.select(year_of(bad, "y")).collect()

@@ -3,7 +3,9 @@ recompute, while a daily copy rewrites only the copied days."""
 
 import os
 from datetime import date
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from factkeeper.operators import rewrite, update
@@ -26,7 +28,7 @@ def test_incremental_store_equals_full_recompute(spark, tmp_path):
     # an older state of the two days: other codes, no deposits
     stale = (fresh.withColumn("unique_code", F.when(on_days, F.lit("OLD")).otherwise(F.col("unique_code")))
              .withColumn("deposit_cases", F.when(on_days, F.lit(0)).otherwise(F.col("deposit_cases"))))
-    market = Market("usc", line_recodes={"L4": "L9"})
+    market = Market("usc", tm.EVENT_BANDS, line_recodes={"L4": "L9"})
     store = ServingStore(spark, str(tmp_path / "store"), market.bands, market.line_recodes)
     store.build(stale)
     day_dirs = {p: os.path.getmtime(tmp_path / "store" / "fact" / p)
@@ -43,3 +45,48 @@ def test_incremental_store_equals_full_recompute(spark, tmp_path):
     changed = {p for p, t in day_dirs.items()
                if os.path.getmtime(tmp_path / "store" / "fact" / p) != t}
     assert changed == {f"date={d}" for d in DAYS}   # only the copied days were rewritten
+
+
+def _rows(spark, rows):
+    cols = ("user_unique long, user_name string, unique_code string, line string, date date, uniquekey string, "
+            "deposit_cases long, deposit_amount decimal(18,2)")
+    return spark.createDataFrame([(*r[:7], Decimal(r[7])) for r in rows], cols)
+
+
+def _staged(df):
+    return df.withColumnsRenamed({"user_name": "username", "uniquekey": "unique_key"})
+
+
+SMALL = [("user_unique", "user_unique"), ("username", "user_name"), ("unique_code", "unique_code"), ("line", "line"),
+         ("date", "date"), ("unique_key", "uniquekey"), ("deposit_cases", "deposit_cases"), ("deposit_amount", "deposit_amount")]
+
+
+def test_users_are_refreshed_after_a_run_that_failed(spark, tmp_path, monkeypatch):
+    day = date(2024, 1, 9)
+    rows = [(1, "a", "C1", "L1", date(2024, 1, 1), "r1", 1, 5), (1, "a", "C1", "L1", day, "r2", 1, 5)]
+    store = ServingStore(spark, str(tmp_path / "s"), tm.EVENT_BANDS)
+    store.build(_rows(spark, rows))
+    staging = _staged(_rows(spark, []))              # the day's row vanished at the source
+    write = store._write
+    monkeypatch.setattr(store, "_write", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.copy_days(staging, [day], SMALL)
+    monkeypatch.setattr(store, "_write", write)
+    store.copy_days(staging, [day], SMALL)
+    got = store.read(date(2024, 1, 10)).collect()
+    assert [(r.uniquekey, r.last_activity_days, r.days_inactive) for r in got] == [("r1", date(2024, 1, 1), 9)]
+    assert store.pending.read().count() == 0
+
+
+def test_users_with_one_short_key_share_its_recency(spark, tmp_path):
+    rows = [(1, "a", "C1", "L1", date(2024, 1, 1), "u1", 1, 5), (2, "b", "C1", "L1", date(2024, 1, 9), "u2", 1, 600)]
+    serving = _rows(spark, rows)
+    store = ServingStore(spark, str(tmp_path / "s"), tm.EVENT_BANDS, short_key=True)
+    store.build(serving)
+    store.copy_days(_staged(_rows(spark, rows[1:])), [date(2024, 1, 9)], SMALL)
+    as_of = date(2024, 1, 10)
+    full, _ = run_steps(serving, serving_steps(as_of, short_key=True))
+    full = update.update_from(full, _tier_by_key(full, tm.EVENT_BANDS), ["userkey", "line"], {"tier_label": "tier_name"}, unique=True)
+    got = store.read(as_of)
+    assert sorted(got.select(*COLS).collect()) == sorted(full.select(*COLS).collect())
+    assert {r.days_inactive for r in got.collect()} == {1} and {r.tier_label for r in got.collect()} == {"SILVER"}

@@ -57,9 +57,11 @@ def test_daily_run_end_to_end(spark, tmp_path):
      .write.partitionBy("date").parquet(serving_path))
     spec = SyncSpec(date_column="txn_date", filter_column="line", mode="all", days_back=20)
     leads = spark.createDataFrame([("L1", "Ann"), ("L2", "Bo")], "line string, lead string")
-    market = Market("usc", line_recodes={}, squad_leads=leads, tier_stamp=True)
+    market = Market("usc", tm.EVENT_BANDS, line_recodes={}, squad_leads=leads, tier_stamp=True,
+                    customers=spark.createDataFrame([(1, "x")], "user_unique long, segment string"))
     log = daily_run(spark, stg, staging_path, serving_path, str(tmp_path / "views"),
-                    date(2024, 1, 31), spec, market, report_path=str(tmp_path / "report"))
+                    date(2024, 1, 31), spec, market, report_path=str(tmp_path / "report"),
+                    report_tables={n: staging_path for n in ("usc", "myr", "sgd")}, log_path=str(tmp_path / "log"))
     statuses = {r.step_name: r.status for r in log.collect()}
     assert set(statuses.values()) == {"OK"}, statuses
     serving = VersionedTable(spark, str(tmp_path / "views" / "usc" / "serving")).read()
@@ -71,5 +73,8 @@ def test_daily_run_end_to_end(spark, tmp_path):
     staged = spark.read.parquet(staging_path)
     assert staged.filter(F.col("txn_date") >= F.lit(date(2024, 1, 20))).count() > 0   # A filled the window
     assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() > 0
-    from factkeeper import session
-    assert session._TEMPORARY == []          # intermediate per-key tables released
+    report = spark.read.option("header", True).csv(str(tmp_path / "report"))
+    assert {r.table_name for r in report.collect()} == {"usc", "myr", "sgd"}
+    runs = spark.read.parquet(str(tmp_path / "log")).collect()
+    assert len(runs) == 4 and all(r.status == "OK" and r.started <= r.finished for r in runs)
+    assert {"customer_monthly", "new_register_monthly", "deposit_summary"} <= set(statuses)

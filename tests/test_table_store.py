@@ -2,6 +2,8 @@
 
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
 from factkeeper.operators import rewrite
 from factkeeper.plans.table_store import VersionedTable, replace_days
 
@@ -26,7 +28,10 @@ def test_replace_days_empties_days_without_new_rows(spark, tmp_out):
     days = [date(2024, 1, 2), date(2024, 1, 3)]
     new = rewrite.mapped_replace(current, source, days, [("date", "date"), ("v", "v")])
     # only the changed days are rewritten; the input is read from the same folder
-    replace_days(new, path, "date", days)
+    with pytest.raises(ValueError):          # a row of another day: nothing is touched
+        replace_days(new, path, "date", days)
+    assert spark.read.parquet(path).count() == 3
+    assert replace_days(new.filter(F.col("date").isin(days)), path, "date", days) == 1
     got = sorted((r.date, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(date(2024, 1, 1), 1), (date(2024, 1, 2), 20)]
 
@@ -40,3 +45,31 @@ def test_prune_keeps_newest_and_current(spark, tmp_out):
     assert store.versions() == ["0", "1", "2", "3"]
     assert store.prune(keep=2) == ["0", "1"]
     assert store.versions() == ["2", "3"] and [r.v for r in store.read().collect()] == [3]
+
+
+def test_interrupted_swap_is_completed(spark, tmp_out, monkeypatch):
+    from factkeeper.plans import table_store
+    path = f"{tmp_out}/fact"
+    rows = [(date(2024, 1, d), d) for d in (1, 2, 3)] + [(None, 9)]
+    spark.createDataFrame(rows, "date date, v int").write.partitionBy("date").parquet(path)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(table_store, "_swap", broken)
+    new = spark.createDataFrame([(date(2024, 1, 2), 20), (None, 90)], "date date, v int")
+    with pytest.raises(OSError):
+        replace_days(new, path, "date", [date(2024, 1, 2), date(2024, 1, 3), None])
+    monkeypatch.undo()
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 9]   # untouched
+    assert table_store.finish_replacement(spark, path) == 1
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 20, 90]
+    assert table_store.finish_replacement(spark, path) == 0
+
+
+def test_a_table_emptied_whole_keeps_its_schema(spark, tmp_out):
+    path = f"{tmp_out}/fact"
+    df = spark.createDataFrame([(date(2024, 1, 1), 1)], "date date, v int")
+    df.write.partitionBy("date").parquet(path)
+    assert replace_days(df.limit(0), path, "date", [date(2024, 1, 1)]) == 0
+    assert spark.read.parquet(path).count() == 0 and "v" in spark.read.parquet(path).columns

@@ -69,34 +69,31 @@ def test_conditional_update_keeps_old_when_lookup_null(spark):
                                    "line int, squad_lead string")
     lookup = spark.createDataFrame([(1, "ASIA"), (2, "ASIA"), (3, None), (4, "ASIA")],
                                    "line int, lead string")
-    out = update.conditional_update(target, lookup, "line", "squad_lead", "lead", broadcast_rows=1000)
+    out = update.conditional_update(target, lookup, "line", "squad_lead", "lead")
     assert rows(out, "line", "squad_lead") == [(1, "ASIA"), (2, "ASIA"), (3, "OLD"), (4, "ASIA"), (5, "X")]
 
 
-def test_bounded_broadcast_falls_back_above_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().logical().toString() or True
-    b1 = update.bounded_broadcast(small, 10)
-    b2 = update.bounded_broadcast(big, 10)
-    plan1 = b1._jdf.queryExecution().logical().toString()
-    plan2 = b2._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan1.lower()
-    assert "broadcast" not in plan2.lower()
-
-
-def test_key_side_stores_only_when_join_would_shuffle(spark):
-    from factkeeper.operators.update import _bytes, _planner_broadcasts, key_side
-    assert _bytes("10485760b") == 10 << 20 and _bytes("10m") == 10 << 20 and _bytes("1g") == 1 << 30
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert _planner_broadcasts(small)
-    assert key_side(small) is small                      # broadcast join ahead: nothing written
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        stored = key_side(small)
-        assert stored is not small and sorted(r.k for r in stored.collect()) == list(range(10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    forced = key_side(small, force=True)
-    assert "parquet" in forced._jdf.queryExecution().optimizedPlan().toString().lower()
+def test_key_side_is_always_a_snapshot(spark, tmp_path):
+    from factkeeper.operators.update import key_side
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    stored = key_side(spark.read.parquet(path).withColumnRenamed("id", "k"))
+    spark.range(3).write.mode("overwrite").parquet(path)
+    assert sorted(r.k for r in stored.collect()) == list(range(10))
+
+
+def test_scratch_scope_deletes_its_own_folders_only(spark):
+    import os
+    from factkeeper.operators.update import key_side
+    from factkeeper.session import scratch_scope
+    files = lambda df: [f.replace("file://", "").replace("file:", "") for f in df.inputFiles()]
+    with scratch_scope(spark):
+        outer = key_side(spark.range(5))
+        with scratch_scope(spark):
+            inner = key_side(spark.range(5))
+            gone = files(inner)
+            assert inner.count() == 5
+        assert outer.count() == 5 and not any(map(os.path.exists, gone))
+        kept = files(outer)
+    assert not any(map(os.path.exists, kept))
+
