@@ -26,7 +26,9 @@ SAMPLE_DOCS = 20_000
 MODEL_WORDS = 100_000
 MODEL_GRAMS = 20_000
 LONGEST_GRAM = 4
-CACHED_WORDS = 300_000
+LONGEST_WORD = 64
+CACHED_WORDS = 200_000
+RUN_WORDS = 10_000
 UNDECIDED = "und"
 #: Words that a text's evidence counts for at most, so that scores of long texts stay below 1.
 EVIDENCE_WORDS = 12.0
@@ -47,22 +49,32 @@ def grams_of(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)]
 
 
+@dataclass
+class Table:
+    """Keys, and a row of smoothed log frequencies by language for each."""
+    keys: list[str]
+    rows: np.ndarray
+
+    def places(self) -> dict[str, int]:
+        return {k: i for i, k in enumerate(self.keys)}
+
+
 @dataclass
 class Model:
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: Table
+    grams: dict[int, Table]
     prior: np.ndarray
 
 
 def _word_counts(train: DataFrame) -> DataFrame:
-    """``lang, word, n`` of the training texts."""
+    """``lang, word, n`` of the training texts; runs of letters beyond ``LONGEST_WORD`` teach nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             seen: dict[str, Counter[str]] = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 seen.setdefault(lang, Counter()).update(words_of(text))
-            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
+            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items() if len(w) <= LONGEST_WORD]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["lang", "word", "n"])
 
@@ -70,14 +82,15 @@ def _word_counts(train: DataFrame) -> DataFrame:
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
-def _tables(rows: list, langs: list[str], totals: dict[str, float]) -> dict[str, np.ndarray]:
+def _table(rows: list, langs: list[str], totals: dict[str, float]) -> Table:
     """Smoothed log frequency of each key in each language."""
     at = {lang: i for i, lang in enumerate(langs)}
-    counts: dict[str, np.ndarray] = {}
+    keys = {k: i for i, k in enumerate(sorted({r[0] for r in rows}))}
+    counts = np.zeros((len(keys), len(langs)))
     for key, lang, n in rows:
-        counts.setdefault(key, np.zeros(len(langs)))[at[lang]] = n
+        counts[keys[key], at[lang]] = n
     size = np.array([totals[lang] for lang in langs])
-    return {k: np.log((c + 0.5) / (size + 0.5 * (len(counts) + 1))).astype(np.float32) for k, c in counts.items()}
+    return Table(list(keys), np.log((counts + 0.5) / (size + 0.5 * (len(keys) + 1))).astype(np.float32))
 
 
 def _most(counts: DataFrame, key: str, most: int) -> list:
@@ -102,7 +115,7 @@ def fit(train: DataFrame, most_docs: int = SAMPLE_DOCS) -> Model:
     counts = _word_counts(training_rows(train, most_docs)).cache()
     totals = {r[0]: float(r[1]) for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
     langs = sorted(totals)
-    words = _tables(_most(counts, "word", MODEL_WORDS), langs, totals)
+    words = _table(_most(counts, "word", MODEL_WORDS), langs, totals)
     grams = {}
     padded = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("w"))
     for n in range(LONGEST_GRAM, 0, -1):
@@ -110,47 +123,60 @@ def fit(train: DataFrame, most_docs: int = SAMPLE_DOCS) -> Model:
             F.sequence(F.lit(1), F.length("w") - (n - 1)), lambda i: F.substring("w", i, F.lit(n)))).alias("gram"))
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
         sums = {r[0]: float(r[1]) for r in each.groupBy("lang").agg(F.sum("n")).collect()}
-        grams[n] = _tables(_most(each, "gram", MODEL_GRAMS), langs, {lang: sums.get(lang, 0.0) for lang in langs})
+        grams[n] = _table(_most(each, "gram", MODEL_GRAMS), langs, {lang: sums.get(lang, 0.0) for lang in langs})
     counts.unpersist()
     size = np.array([totals[lang] for lang in langs])
     return Model(langs, words, grams, np.log(size / size.sum()).astype(np.float32) if langs else np.zeros(0))
 
 
 class Scorer:
+    """Scores texts; words that the model lacks get rows of their own, as far as there is room."""
+
     def __init__(self, model: Model):
-        self.model, self.cache = model, {}
-
-    def word(self, w: str) -> np.ndarray:
-        """Log frequencies of a word, or the mean of those of its longest known n-grams."""
-        found = self.model.words.get(w)
-        if found is not None:
-            return found
-        found = self.cache.get(w)
-        if found is None:
-            found = self._backoff(w)
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
-            if len(w) <= 64:
-                self.cache[w] = found
-        return found
+        self.model = model
+        self.grams = {n: (t.places(), t.rows) for n, t in model.grams.items()}
+        known = model.words.rows
+        self.rows = np.concatenate([known, np.zeros((CACHED_WORDS, len(model.langs)), dtype=np.float32)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place = self.model.words.places()
+        self.used = len(self.place)
+
+    def _unseen(self, w: str) -> int:
+        """Place of a word that falls back to its n-grams."""
+        self.rows[self.used] = self._backoff(w)
+        if len(w) <= LONGEST_WORD:
+            self.place[w] = self.used
+        self.used += 1
+        return self.used - 1
 
     def _backoff(self, w: str) -> np.ndarray:
+        """Mean of the log frequencies of a word's longest known n-grams."""
         for n in range(LONGEST_GRAM, 0, -1):
-            known = self.model.grams[n]
-            hits = [known[g] for g in grams_of(w, n) if g in known]
+            places, rows = self.grams[n]
+            hits = [places[g] for g in grams_of(w, n) if g in places]
             if hits:
-                return np.mean(hits, axis=0, dtype=np.float32)
+                return rows[hits].mean(axis=0)
         return np.zeros(len(self.model.langs), dtype=np.float32)
 
+    def _total(self, words: list[str]) -> np.ndarray:
+        """Sum of the words' log frequencies."""
+        get, total = self.place.get, np.zeros(len(self.model.langs))
+        for lo in range(0, len(words), RUN_WORDS):
+            run = words[lo:lo + RUN_WORDS]
+            if self.used + len(run) > len(self.rows):
+                self._forget()
+                get = self.place.get
+            at = [p if (p := get(w)) is not None else self._unseen(w) for w in run]
+            total += self.rows[at].sum(axis=0, dtype=np.float64)
+        return total
+
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
         if not self.model.langs or not has_letter(words):
             return UNDECIDED, 0.0
-        known = self.model.words
-        rows = [known.get(w) for w in words]
-        rows = [self.word(w) if r is None else r for r, w in zip(rows, words)]
-        mean = np.concatenate(rows).reshape(len(rows), -1).sum(axis=0, dtype=np.float64) / len(rows)
-        total = self.model.prior + mean * min(len(rows), EVIDENCE_WORDS)
+        total = self.model.prior + self._total(words) / len(words) * min(len(words), EVIDENCE_WORDS)
         p = np.exp(total - total.max())
         best = int(np.argmax(p))
         return self.model.langs[best], float(p[best] / p.sum())

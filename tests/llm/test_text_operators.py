@@ -247,7 +247,19 @@ def test_unseen_words_fall_back(spark):
         [("thing things thinking", "en"), ("straße straßen schön", "de")] * 3)], "doc_id long, text string, lang string")
     scorer = lang_backoff.Scorer(lang_backoff.fit(train))
     assert scorer.predict("thingly")[0] == "en" and scorer.predict("straßig")[0] == "de"
-    assert "thingly" not in scorer.model.words and "thing" in scorer.model.words
+    assert "thingly" not in scorer.model.words.keys and "thing" in scorer.model.words.keys
+
+
+def test_scores_do_not_depend_on_what_is_remembered(spark, monkeypatch, documents):
+    texts = [r.text for r in documents.select("text").limit(80).collect()]
+    model = lang_backoff.fit(documents.limit(100))
+    want = [lang_backoff.Scorer(model).predict(t) for t in texts]
+    monkeypatch.setattr(lang_backoff, "CACHED_WORDS", 60)
+    monkeypatch.setattr(lang_backoff, "RUN_WORDS", 50)
+    scorer = lang_backoff.Scorer(model)
+    for t, (lang, score) in zip(texts, want):
+        got = scorer.predict(t)
+        assert got[0] == lang and abs(got[1] - score) < 1e-5
 
 
 def test_language_of_odd_rows(spark):
