@@ -52,6 +52,17 @@ def sharded(docs: DataFrame) -> DataFrame:
     return d.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows with an aggregate of one row for each value of a long ``key``.
+
+    The aggregate would feed the join in the partitions it was made in, and Spark can't
+    split those; joined by an expression of the key, both sides get shuffles of their own,
+    and a hot key's rows are split."""
+    apart = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long"))
+    right = per_key.withColumn("__apart", apart(key)).drop(key)
+    return rows.join(right, apart(key) == F.col("__apart"), how).drop("__apart")
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``most`` bytes of text (one row at least)."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import mix, powers, sharded, shuffle_partitions, sliding
+from factkeeper.llm.common import join_per_key, mix, powers, sharded, shuffle_partitions, sliding
 
 LENGTH = 400
 REACH = 128
@@ -355,7 +355,7 @@ def byte_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     each = blocks.filter("shard = teller").select("core", "block", "shard", (F.col("total") > 1).alias("whole"))
     dictionaries = (each.groupBy("core").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(~F.col("whole")).alias("open"))
                     .filter("open > 0").select("core", (F.col("blocks") > DICTIONARY_BLOCKS).alias("large")))
-    wanted = each.join(dictionaries, "core").select("shard", "core", "block", "whole", "large")
+    wanted = join_per_key(each, dictionaries, "core").select("shard", "core", "block", "whole", "large")
     parts = by_shard.cogroup(wanted.groupBy("shard")).applyInArrow(lambda t, w: report_parts(t, w, length), PARTS)
     partly = (parts.repartition(shuffle_partitions(spark), "kind", "key").sortWithinPartitions("kind", "key")
               .mapInArrow(_ranges, RANGES))
