@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import Links, stored
+from factkeeper.llm.common import Links, join_per_key, stored
 
 CONTRACT_ROWS = 1 << 20
 
@@ -44,13 +44,13 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-    return (both.filter("b > a").join(low, "a")
+    return (join_per_key(both.filter("b > a"), low, "a")
             .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     low = e.groupBy("a").agg(F.min("b").alias("low"))
-    return (e.join(low, "a").select(F.explode(F.array(
+    return (join_per_key(e, low, "a").select(F.explode(F.array(
         F.struct(F.col("a").alias("a"), F.col("low").alias("b")),
         F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("x"))
         .select("x.*").filter("a > b").distinct())

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import Links, shuffle_partitions, stored
+from factkeeper.llm.common import Links, join_per_key, shuffle_partitions, stored
 from factkeeper.llm.components import components
 
 BLOCK_ROWS = 4096
@@ -253,7 +253,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
                    .select("key", "low", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                            F.coalesce("component", "node").alias("c")), "vector-named")
     lows = named.groupBy("c").agg(F.min("low").alias("component_id"))
-    of_key = named.join(lows, "c").select("key", "n_links", "component_id")
+    of_key = join_per_key(named, lows, "c").select("key", "n_links", "component_id")
     linked = rows.join(of_key, "key").select("vec_id", "n_links", "component_id")
     alone = _lonely(vectors)
     out = linked.unionByName(alone)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import Links, doc_text, shuffle_partitions, stored, text_slices
+from factkeeper.llm.common import Links, doc_text, join_per_key, shuffle_partitions, stored, text_slices
 from factkeeper.llm.components import components
 
 BITS = 64
@@ -250,7 +250,7 @@ def _linked(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
     comp = components(similar_fingerprints(nodes.select("fp"), budget))
     named = nodes.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("c"))
     lows = named.groupBy("c").agg(F.min("low").alias("component_id"))
-    of_fp = named.join(lows, "c").select("fp", "component_id")
+    of_fp = join_per_key(named, lows, "c").select("fp", "component_id")
     return fps.join(of_fp, "fp").select("doc_id", "told", "fp", "component_id")
 
 
