@@ -9,7 +9,7 @@ passes use one exchange):
    corpus can't be in a recurring window and are dropped.
 2. Windows that a remaining phrase stands for are reported once for each shard, with count
    and first place. Those with two places or more are the confirmed passages.
-3. A shard gets its confirmed passages and compiles an Aho-Corasick automaton: passages that
+3. A shard gets its confirmed passages, takes their text from their first place in it and compiles an Aho-Corasick automaton: passages that
    follow one another are laid end to end, and of every ``window - phrase + 1`` words the phrase
    that starts there is a pattern, so each passage holds one. All its documents stream
    through the automaton, which finds every place of every pattern; passages around these
@@ -31,6 +31,8 @@ from factkeeper.llm.common import mix, rolled, sharded, sliding, span_hashes, wo
 
 WINDOW = 20
 PHRASE = 10
+#: Bits of a word's place in its document, in packed marks.
+START_BITS = 36
 #: Stands for a null doc_id, which comes before all others.
 NO_ID = np.iinfo(np.int64).min
 _SEED = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -86,14 +88,15 @@ def _unsigned(column) -> np.ndarray:
 
 
 def report_phrases(docs: pa.Table, window: int, phrase: int) -> pa.Table:
+    """Chosen phrases; ``mark`` is twice the shard, and one more if there are several in it."""
     phrases, n = Shard(docs, window, phrase).chosen()
-    return pa.table({"phrase": _signed(phrases), "shard": pa.repeat(docs.column("shard")[0], len(phrases)), "n": pa.array(n)})
+    return pa.table({"phrase": _signed(phrases), "mark": pa.array(2 * docs.column("shard")[0].as_py() + (n > 1).astype(np.int64))})
 
 
 def report_windows(docs: pa.Table, phrases: pa.Table, window: int, phrase: int) -> pa.Table:
-    """Windows that the phrases stand for: count, and first place in the shard."""
-    empty = pa.table({"window": pa.array([], pa.int64()), "shard": pa.array([], pa.int32()), "n": pa.array([], pa.int64()),
-                      "doc": pa.array([], pa.int64()), "start": pa.array([], pa.int64())})
+    """Windows that the phrases stand for, each once with its first place in the shard;
+    ``mark`` packs the shard, the first start and whether there are several."""
+    empty = pa.table({"window": pa.array([], pa.int64()), "mark": pa.array([], pa.int64()), "doc": pa.array([], pa.int64())})
     if not docs.num_rows or not phrases.num_rows:
         return empty
     s = Shard(docs, window, phrase)
@@ -102,8 +105,8 @@ def report_windows(docs: pa.Table, phrases: pa.Table, window: int, phrase: int)
         return empty
     hashes, first, n = np.unique(s.windows[at], return_index=True, return_counts=True)
     at = at[first]
-    return pa.table({"window": _signed(hashes), "shard": pa.repeat(docs.column("shard")[0], len(at)), "n": pa.array(n),
-                     "doc": pa.array(s.ids[s.doc[at]]), "start": pa.array(s.start_in_doc(at))})
+    mark = (docs.column("shard")[0].as_py() << START_BITS + 1) + 2 * s.start_in_doc(at) + (n > 1)
+    return pa.table({"window": _signed(hashes), "mark": pa.array(mark), "doc": pa.array(s.ids[s.doc[at]])})
 
 
 def compile_patterns(s: Shard, at: np.ndarray) -> ahocorasick.Automaton | None:
@@ -145,13 +148,9 @@ def remove(docs: pa.Table, passages: pa.Table, window: int, phrase: int) -> pa.T
         hashes = _unsigned(passages.column("window"))
         order = np.argsort(hashes)
         hashes = hashes[order]
-        first_doc, first_start, here_doc, here_start = (
-            passages.column(c).to_numpy()[order] for c in ("first_doc", "first_start", "doc", "start"))
-        home = np.searchsorted(s.ids, here_doc)
-        # repeated ids have several texts: take the one whose window it is
-        at = s.first_word[home] + here_start
-        at = np.array([_home(s, int(d), int(h), int(a), x) for d, h, a, x in zip(here_doc, home, at, hashes)], dtype=np.int64) \
-            if len(np.unique(s.ids)) < len(s.ids) else at
+        first_doc, first_start = (passages.column(c).to_numpy()[order] for c in ("first_doc", "first_start"))
+        there = np.flatnonzero(s.whole & _member(s.windows, hashes))
+        at = there[np.unique(s.windows[there], return_index=True)[1]]
         automaton = compile_patterns(s, np.sort(at))
         step = window - phrase + 1
         for d in range(len(s.texts)):
@@ -182,16 +181,6 @@ def remove(docs: pa.Table, passages: pa.Table, window: int, phrase: int) -> pa.T
                      "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
 
-def _home(s: Shard, doc: int, first: int, at: int, window: np.uint64) -> int:
-    """The window's word number, among the texts of one id."""
-    start = at - int(s.first_word[first])
-    for d in range(first, int(np.searchsorted(s.ids, doc, "right"))):
-        k = int(s.first_word[d]) + start
-        if k < len(s.windows) and s.whole[k] and s.doc[k] == d and s.windows[k] == window:
-            return k
-    return at
-
-
 def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` for every row of ``docs``.
 
@@ -201,15 +190,19 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     judged on the input. A null text has no words; an empty table gives an empty one."""
     d = sharded(docs)
     by_shard = d.groupBy("shard")
-    phrases = by_shard.applyInArrow(lambda t: report_phrases(t, window, phrase), "phrase long, shard int, n long")
-    shared = (phrases.withColumn("total", F.sum("n").over(Window.partitionBy("phrase"))).filter("total > 1")
-              .select("phrase", "shard"))
+    phrases = by_shard.applyInArrow(lambda t: report_phrases(t, window, phrase), "phrase long, mark long")
+    several = F.col("mark").bitwiseAND(F.lit(1).cast("long"))
+    total = F.sum(several + 1)
+    shared = (phrases.withColumn("total", total.over(Window.partitionBy("phrase"))).filter("total > 1")
+              .select("phrase", F.shiftright("mark", 1).cast("int").alias("shard")))
     windows = by_shard.cogroup(shared.groupBy("shard")).applyInArrow(
-        lambda t, p: report_windows(t, p, window, phrase), "window long, shard int, n long, doc long, start long")
+        lambda t, p: report_windows(t, p, window, phrase), "window long, mark long, doc long")
     same = Window.partitionBy("window")
-    place = F.struct("doc", "start")
-    passages = (windows.withColumn("total", F.sum("n").over(same)).withColumn("first", F.min(place).over(same))
-                .filter((F.col("total") > 1) & ~((F.col("n") == 1) & (F.col("first") == place)))
-                .select("shard", "window", "doc", "start", F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start")))
+    start = F.shiftright("mark", 1).bitwiseAND(F.lit((1 << START_BITS) - 1).cast("long"))
+    place = F.struct("doc", start.alias("start"))
+    passages = (windows.withColumn("total", total.over(same)).withColumn("first", F.min(place).over(same))
+                .filter((F.col("total") > 1) & ~((several == 0) & (F.col("first") == place)))
+                .select(F.shiftright("mark", START_BITS + 1).cast("int").alias("shard"), "window",
+                        F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start")))
     return by_shard.cogroup(passages.groupBy("shard")).applyInArrow(
         lambda t, p: remove(t, p, window, phrase), "doc_id long, n_words long, n_removed long, kept_text string")
