@@ -21,7 +21,7 @@ from factkeeper.operators.rewrite import SERVING_MAPPING, SERVING_EXTRA, SyncSpe
 from factkeeper.plans import jobs
 from factkeeper.session import build_session, scratch_scope
 from factkeeper.sinks import csv_export as E
-from factkeeper.sources.tables import csv_row_count
+from factkeeper.sources.tables import csv_row_count, read_table
 
 
 def _day(text: str | None) -> date:
@@ -42,6 +42,7 @@ def main(argv=None, spark=None) -> dict:
         c.add_argument("--as-of")
         c.add_argument("--log")
         c.add_argument("--market", default="")
+        c.add_argument("--format", default="parquet", help="of the tables read: parquet, orc, csv, table, ...")
         for o in opts:
             c.add_argument(o, required=o in ("--source", "--target", "--out", "--path", "--bands"))
         return c
@@ -58,7 +59,7 @@ def main(argv=None, spark=None) -> dict:
     cmd("export-year", "--source", "--out", "--year-column", "--order", "--no-bom")
     cmd("export-month", "--source", "--out", "--date-column", "--month", "--name", "--order", "--no-bom")
     cmd("export-table", "--source", "--out", "--order", "--period-column", "--period", "--max-rows")
-    cmd("count-csv", "--path")
+    cmd("count-csv", "--path", "--no-quoted-newlines")
     cmd("maintain", "--serving", "--root", "--bands", "--short-key", "--tier-stamp", "--squad-leads",
         "--customers", "--on-error")
     args = p.parse_args(argv)
@@ -72,7 +73,7 @@ def main(argv=None, spark=None) -> dict:
 def _run(spark, args) -> dict:
     as_of = _day(args.as_of)
     run_ts = datetime.now()
-    read = spark.read.parquet
+    read = lambda name: read_table(spark, name, args.format)
     out: dict = {"command": args.cmd}
 
     if args.cmd in ("sync-recent", "sync-today"):
@@ -127,7 +128,7 @@ def _run(spark, args) -> dict:
                                       order_cols=(args.order or "unique_key").split(","),
                                       max_rows_per_file=int(args.max_rows or E.SHEET_ROW_LIMIT - 1))
     elif args.cmd == "count-csv":
-        out["rows"] = csv_row_count(spark, args.path).first()[0]
+        out["rows"] = csv_row_count(spark, args.path, quoted_newlines=not args.no_quoted_newlines).first()[0]
     elif args.cmd == "maintain":
         from factkeeper.plans.maintenance import Market, maintain_serving
         bands = [(name, float(lo), float(hi)) for name, lo, hi in json.loads(args.bands)]

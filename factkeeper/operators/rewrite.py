@@ -271,15 +271,3 @@ def year_reload(target: DataFrame, source: DataFrame, date_column: str, year: in
 def set_column(df: DataFrame, col: str, expr) -> DataFrame:
     """``UPDATE t SET col = expr`` on every row."""
     return df.withColumn(col, expr)
-
-
-def union_tagged(frames: dict, tag: str = "table_name", order_col: str | None = "market_order") -> DataFrame:
-    """Stack per-table frames, tagged with the table name and the
-    table's position (for the fixed report order)."""
-    out = None
-    for i, (name, df) in enumerate(frames.items()):
-        tagged = df.withColumn(tag, F.lit(name))
-        if order_col:
-            tagged = tagged.withColumn(order_col, F.lit(i))
-        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return out

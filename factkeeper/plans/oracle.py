@@ -8,6 +8,7 @@ types line up with the Spark side.
 
 from __future__ import annotations
 
+# The activity columns of the daily fact, as in functions.predicates.
 ACT = ["deposit_cases", "deposit_amount", "withdraw_cases", "withdraw_amount", "bonus",
        "add_transaction", "deduct_transaction", "add_bonus", "deduct_bonus", "total_bet",
        "total_bet_amount", "total_valid_bet_amount"]
@@ -80,17 +81,34 @@ KPI_UNION = """kpi as (
     cast(count(distinct case when coalesce(deposit_cases, 0) > 0 then user_unique end) as integer) as active_members
   from markets {where} group by table_name, market_order, txn_date, coalesce(line, ''))"""
 
+# Staging column -> serving column, in the copy's order, as in operators.rewrite.
 MAPPING = [
-    ("username", "user_name"), ("vip_level", "vip_level"), ("operator_username", "operator"),
-    ("unique_code", "unique_code"), ("absent", "absent"), ("deposit_cases", "deposit_cases"),
-    ("deposit_amount", "deposit_amount"), ("withdraw_cases", "withdraw_cases"),
-    ("withdraw_amount", "withdraw_amount"), ("bonus", "bonus"),
-    ("adjustment_cases", "cases_adjustment"), ("add_bonus", "add_bonus"),
-    ("deduct_bonus", "deduct_bonus"), ("add_transaction", "add_transaction"),
-    ("deduct_transaction", "deduct_transaction"), ("total_bet", "cases_bets"),
-    ("total_bet_amount", "bets_amount"), ("total_valid_bet_amount", "valid_amount"),
-    ("ggr", "ggr"), ("net_profit", "net_profit"), ("date", "date"), ("year", "year"),
-    ("month_text", "month"), ("line", "line"), ("currency", "currency"), ("user_key", "userkey"),
+    ("username", "user_name"),
+    ("vip_level", "vip_level"),
+    ("operator_username", "operator"),
+    ("unique_code", "unique_code"),
+    ("absent", "absent"),
+    ("deposit_cases", "deposit_cases"),
+    ("deposit_amount", "deposit_amount"),
+    ("withdraw_cases", "withdraw_cases"),
+    ("withdraw_amount", "withdraw_amount"),
+    ("bonus", "bonus"),
+    ("adjustment_cases", "cases_adjustment"),
+    ("add_bonus", "add_bonus"),
+    ("deduct_bonus", "deduct_bonus"),
+    ("add_transaction", "add_transaction"),
+    ("deduct_transaction", "deduct_transaction"),
+    ("total_bet", "cases_bets"),
+    ("total_bet_amount", "bets_amount"),
+    ("total_valid_bet_amount", "valid_amount"),
+    ("ggr", "ggr"),
+    ("net_profit", "net_profit"),
+    ("date", "date"),
+    ("year", "year"),
+    ("month_text", "month"),
+    ("line", "line"),
+    ("currency", "currency"),
+    ("user_key", "userkey"),
     ("unique_key", "uniquekey"),
 ]
 DECIMAL_TARGETS = {"deposit_amount", "withdraw_amount", "bonus", "add_bonus", "deduct_bonus",

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factkeeper.functions.predicates import in_window
+from factkeeper.sources.tables import read_table
 
 # Fixed values of the test model.
 EVENTS_AS_OF = date(2024, 1, 31)       # events cover 2024-01-01 .. 2024-01-30
@@ -28,7 +29,7 @@ MARKETS = {"staging_usc": "A0", "staging_myr": "A1", "staging_sgd": "A2"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _money_of(event_types) -> F.Column:

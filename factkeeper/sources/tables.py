@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factkeeper.functions.predicates import in_window
-
 
 class MissingColumns(ValueError):
     """Raised when a frame lacks required columns; names every one of them."""
@@ -37,17 +35,16 @@ def read_table(spark: SparkSession, name: str, fmt: str = "parquet",
     return reader.load(name)
 
 
-def scan_window(df: DataFrame, date_col: str, start, end) -> DataFrame:
-    """Rows with ``start <= date_col < end``."""
-    return df.filter(in_window(df, date_col, start, end))
-
-
-def csv_row_count(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+def csv_row_count(spark: SparkSession, path: str, header: bool = True,
+                  quoted_newlines: bool = True) -> DataFrame:
     """S3: data rows in a CSV file/folder; quoted newlines belong to one row.
 
+    With them a file can't be split, so each is one task; where the writer made none,
+    ``quoted_newlines=False`` lets Spark split large files.
+
     Returned as a one-row frame (``rows``) so it composes with other checks.
     """
-    df = (spark.read.option("header", header).option("multiLine", True)
+    df = (spark.read.option("header", header).option("multiLine", quoted_newlines)
           .option("escape", '"').csv(path))
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
@@ -112,11 +109,14 @@ def to_struct(columns_meta: list[dict]) -> T.StructType:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast/reorder ``df`` to ``schema``; absent columns become typed NULLs."""
+    """Cast/reorder ``df`` to ``schema``; absent columns become typed NULLs. A NULL in a
+    column that is NOT NULL raises."""
     cols = []
     for f in schema.fields:
-        c = F.col(f.name) if f.name in df.columns else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
+        c = (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
+        if not f.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"{f.name} is NULL")).cast(f.dataType))
+        cols.append(c.alias(f.name))
     return df.select(*cols)
 
 

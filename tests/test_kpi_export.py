@@ -2,6 +2,7 @@
 
 import glob
 import os
+import pytest
 from datetime import date
 
 from pyspark.sql import types as T
@@ -159,3 +160,39 @@ def test_unpadded_dates(spark):
     d = date(2024, 1, 5)
     assert [r[0] for r in df.select(parse_date_multi("s", date(2024, 1, 31))).collect()] == [
         d, d, d, date(2024, 1, 25), d, date(2024, 1, 31)]
+
+
+def test_catalog_lookups_and_table_scan(spark):
+    from factkeeper.sources import tables
+    spark.sql("drop table if exists fk_lookup")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.saveAsTable("fk_lookup")
+    try:
+        assert tables.table_exists(spark, "fk_lookup") and not tables.table_exists(spark, "fk_none")
+        df = tables.read_table(spark, "fk_lookup", "table")
+        assert tables.column_type(df, "k").simpleString() == "int" and tables.column_type(df, "z") is None
+        assert tables.column_nullable(df, "v") is True and tables.column_nullable(df, "z") is None
+    finally:
+        spark.sql("drop table fk_lookup")
+
+
+def test_conform_enforces_not_null(spark):
+    from factkeeper.sources import tables
+    schema = tables.to_struct([{"name": "k", "data_type": "integer", "is_nullable": "NO"}, {"name": "v", "data_type": "text"}])
+    good = spark.createDataFrame([("1",)], "k string")
+    assert [tuple(r) for r in tables.conform(good, schema).collect()] == [(1, None)]
+    with pytest.raises(Exception, match="k is NULL"):
+        tables.conform(spark.createDataFrame([(None,)], "k string"), schema).collect()
+
+
+def test_utf8_or_hex(spark):
+    from factkeeper.functions.scalar import utf8_or_hex
+    df = spark.createDataFrame([(bytearray(b"ok"),), (bytearray(b"\xff\xfe"),), (None,)], "b binary")
+    assert [r[0] for r in df.select(utf8_or_hex("b")).collect()] == ["ok", "FFFE", None]
+
+
+def test_csv_rows_with_and_without_quoted_newlines(spark, tmp_path):
+    from factkeeper.sources.tables import csv_row_count
+    (tmp_path / "a.csv").write_text('k,v\n1,"two\nlines"\n2,x\n')
+    assert csv_row_count(spark, str(tmp_path)).first()[0] == 2
+    (tmp_path / "a.csv").write_text("k,v\n1,y\n2,x\n")
+    assert csv_row_count(spark, str(tmp_path), quoted_newlines=False).first()[0] == 2
