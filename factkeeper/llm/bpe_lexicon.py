@@ -33,7 +33,7 @@ from factkeeper.llm.common import stored, text_slices
 LEXICON_WORDS = 50_000
 LONGEST_WORD = 64
 COUNTED_WORDS = 200_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 
 # The byte-level pre-tokenizer's pattern, and the same over Latin-1 alone.
 PIECES = regex.compile(
