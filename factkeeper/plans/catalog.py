@@ -20,7 +20,8 @@ from factkeeper.functions.time_windows import (
 from factkeeper.operators import kpi, quality, recency, rewrite, update, views
 from factkeeper.plans import testmodel as tm
 from factkeeper.plans.testmodel import (
-    EVENT_BANDS, EVENTS_AS_OF, MARKETS, ORDER_BANDS, ORDERS_AS_OF, RUN_TS, comparable, table,
+    EVENT_BANDS, EVENTS_AS_OF, MARKETS, ORDER_BANDS, ORDERS_AS_OF, RUN_TS, comparable, event_stream,
+    table,
 )
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -333,7 +334,26 @@ def refresh_changed_keys(spark, sf):
 
 def stream_recency(spark, sf):
     from factkeeper.streaming.recency_stream import recency_stream
-    out = recency_stream(spark, sf, EVENTS_AS_OF + timedelta(days=1))
+    out = recency_stream(spark, sf, EVENTS_AS_OF + timedelta(days=1), event_stream())
+    return comparable(out.select("unique_key", "user_unique", "date", "deposit_cases",
+                                 "deposit_amount", recency.LAST_ACTIVITY, recency.LAST_DEPOSIT,
+                                 recency.DAYS_INACTIVE))
+
+
+def stream_trailing_reload(spark, sf):
+    """Every event folded, then the last three days re-read from a source that has lost
+    every seventh event of them."""
+    from factkeeper.session import scratch_path
+    from factkeeper.streaming.recency_stream import RecencyState
+    events = table(spark, sf, "events")
+    days = [EVENTS_AS_OF - timedelta(days=n) for n in (1, 2, 3)]
+    left = events.filter((F.col("event_id") % 7 != 0) & F.to_date("ts").isin(days))
+    root = scratch_path(spark, "trailing-stream")
+    RecencyState(spark, root, event_stream()).fold(events, 0)
+    state = RecencyState(spark, root, event_stream(), reload=lambda: (days, left))
+    state.fold(events.limit(0), 1)
+    state.compact(days[-1])
+    out = state.read(EVENTS_AS_OF + timedelta(days=1))
     return comparable(out.select("unique_key", "user_unique", "date", "deposit_cases",
                                  "deposit_amount", recency.LAST_ACTIVITY, recency.LAST_DEPOSIT,
                                  recency.DAYS_INACTIVE))

@@ -373,6 +373,8 @@ from staging s left join latest l on s.user_unique = l.user_unique"""
         _recency_out("staging", "user_unique", "2024-02-01",
                      "s.unique_key, s.user_unique, s.date, s.deposit_cases, "
                      "cast(s.deposit_amount as double) as deposit_amount")
+    lost = "(select * from events where not (event_id % 7 = 0 and ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31'))"
+    q["stream_trailing_reload"] = q["stream_recency"].replace("from events", f"from {lost}")
     q["monthly_summary"] = f"""
 select o_orderpriority as line, cast(year(o_orderdate) as integer) as year,
   cast(month(o_orderdate) as integer) as month, {ORDER_MEASURES}

@@ -117,6 +117,12 @@ def staging(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame
     return staging_fact(table(spark, sf_dir, "events"), start, end)
 
 
+def event_stream():
+    """The model of the events for the streaming upkeep."""
+    from factkeeper.streaming.recency_stream import StreamModel
+    return StreamModel(daily_aggregates, merge_daily, lambda df: staging_columns(df, keep_raw=True))
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, so results compare across engines."""
     from pyspark.sql import types as T

@@ -1,24 +1,28 @@
-"""Recency upkeep from a stream of new events.
-
-New event files are read with Structured Streaming; each micro-batch
-(``foreachBatch``) does work proportional to the batch and the number of
-users, never to the whole history:
-
-* its per-(user, day) partial measures are written to
-  ``<state>/daily/date=<d>/epoch=<e>/`` (dynamic partition overwrite, so a
-  replayed epoch rewrites the same folders — idempotent);
-* the per-user recency table (last activity, last deposit) is folded with
-  the batch's per-user maxima into version ``<e>`` of a ``VersionedTable``.
-  A stream of events only appends, so folding MAX is exact here (deletes and
-  key moves of the stored fact go through ``recency.refresh_changed``).
-
-The stamped fact is a read-time view: partial rows merged per (user, day)
-and joined to the per-user table; ``days_inactive`` is computed for the
-``as_of`` of the read. Its rows equal one batch run over all events.
+"""Recency upkeep from a stream of new rows.
+
+New files are read with Structured Streaming; each micro-batch (``foreachBatch``) does
+work proportional to the batch and the number of keys, never to the whole history:
+
+* its additive per-(key, day) rows are written once to
+  ``<state>/daily/date=<d>/epoch=<e>/`` (dynamic partition overwrite, so a replayed epoch
+  rewrites the same folders — idempotent) and read back for the fold;
+* the per-key recency table (last activity, last deposit) is folded with the batch's
+  maxima into version ``<e>`` of a ``VersionedTable``, whose marker commits the epoch.
+
+A stream of new rows only appends, so folding MAX is exact. Rows that vanish or move are
+taken back by the trailing reload (I3): with ``reload`` every batch also re-reads the last
+days whole from the source. Such a day's rows supersede those of all earlier epochs, and
+the keys seen on it, before or after, are recomputed instead of folded.
+
+The stamped fact is a read-time view: additive rows merged per (key, day) and joined to
+the per-key table; ``days_inactive`` is computed for the ``as_of`` of the read. Its rows
+equal one batch run over all rows. ``compact`` writes closed days as one such whole day.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +30,36 @@ from pyspark.sql import functions as F
 
 from factkeeper.functions.scalar import days_between
 from factkeeper.operators import recency
-from factkeeper.plans import testmodel as tm
 from factkeeper.plans.table_store import VersionedTable
 from factkeeper.session import scratch_path
 
+_WHOLE = "whole_day"
+
+
+@dataclass(frozen=True)
+class StreamModel:
+    """What the stream's rows are: ``partial`` makes additive rows per (key, day) of raw
+    rows, ``merge`` adds those up, ``finish`` makes the fact's columns of them."""
+
+    partial: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df
+    key: str = "user_unique"
+    date: str = "date"
+    cases: str = "deposit_cases"
+
 
 class RecencyState:
-    """Folders of one stream's state under ``root``."""
+    """Folders of one stream's state under ``root``.
+
+    ``reload()``, if given, returns the trailing days and all raw rows of them."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, model: StreamModel,
+                 reload: Callable[[], tuple[list[date], DataFrame]] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.model = model
+        self.reload = reload
         self.daily_path = f"{self.root}/daily"
         self.keys = VersionedTable(spark, f"{self.root}/keys")
 
@@ -44,53 +67,109 @@ class RecencyState:
         v = self.keys.current()
         return -1 if v is None else int(v)
 
+    def _write(self, parts: DataFrame, epoch_id: int, whole: bool) -> None:
+        (parts.withColumn(_WHOLE, F.lit(whole)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.model.date, "epoch").parquet(self.daily_path))
+
+    def _reloads(self) -> DataFrame:
+        """Day and epoch of all reloads; a day may have come back without any row."""
+        fs_path = f"{self.root}/reloads"
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(fs_path)
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], "__day date, __since int")
+        return self.spark.read.schema("__day date, __since int").parquet(fs_path)
+
+    def parts(self, upto: int) -> DataFrame:
+        """Additive rows of the epochs up to ``upto``, those of superseded ones left out."""
+        m = self.model
+        rows = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") <= upto)
+        whole = rows.filter(_WHOLE).select(F.col(m.date).alias("__day"), F.col("epoch").alias("__since"))
+        since = (whole.unionByName(self._reloads().filter(F.col("__since") <= upto))
+                 .groupBy("__day").agg(F.max("__since").alias("__since")))
+        return (rows.join(since, F.col(m.date) == F.col("__day"), "left")
+                .filter(F.col("__since").isNull() | (F.col("epoch") > F.col("__since"))
+                        | ((F.col("epoch") == F.col("__since")) & F.col(_WHOLE)))
+                .drop("__day", "__since", "epoch", _WHOLE))
+
+    def _maxima(self, parts: DataFrame) -> DataFrame:
+        m = self.model
+        deposited = F.coalesce(F.col(m.cases), F.lit(0)) > 0
+        return parts.groupBy(m.key).agg(F.max(m.date).alias(recency.LAST_ACTIVITY),
+                                        F.max(F.when(deposited, F.col(m.date))).alias(recency.LAST_DEPOSIT))
+
     def fold(self, batch: DataFrame, epoch_id: int) -> None:
         if epoch_id <= self.committed_epoch():
             return  # replayed epoch: already folded in
-        parts = tm.daily_aggregates(batch).withColumn("epoch", F.lit(epoch_id))
-        # 1. partial day rows of this epoch (idempotent: same folders on replay)
-        (parts.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "epoch").parquet(self.daily_path))
-        # 2. per-user maxima folded into the previous version of the key table
-        deposited = F.coalesce(F.col("deposit_cases"), F.lit(0)) > 0
-        batch_keys = (parts.groupBy("user_unique")
-                      .agg(F.max("date").alias("a"), F.max(F.when(deposited, F.col("date"))).alias("d")))
+        m = self.model
+        before = self.committed_epoch()
+        days, touched = [], None
+        if self.reload is not None:
+            days, raw = self.reload()
+            on_days = F.col(m.date).isin(days)
+            if before >= 0:
+                touched = self.parts(before).filter(on_days).select(m.key)
+            self._reloaded(batch, raw, on_days, epoch_id, days)
+        else:
+            self._write(m.partial(batch), epoch_id, False)
+        fresh = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") == epoch_id)
+        merged = self._maxima(fresh)
         if self.keys.exists():
             prev = self.keys.read()
-            merged = prev.join(batch_keys, "user_unique", "full").select(
-                "user_unique",
-                F.greatest(recency.LAST_ACTIVITY, "a").alias(recency.LAST_ACTIVITY),
+            if touched is not None:
+                again = touched.unionByName(fresh.filter(F.col(m.date).isin(days)).select(m.key)).distinct()
+                redone = self._maxima(self.parts(epoch_id).join(again, m.key, "left_semi"))
+                prev = prev.join(again, m.key, "left_anti")
+                merged = merged.join(again, m.key, "left_anti")
+            folded = prev.join(merged.withColumnsRenamed({recency.LAST_ACTIVITY: "a", recency.LAST_DEPOSIT: "d"}), m.key, "full").select(
+                m.key, F.greatest(recency.LAST_ACTIVITY, "a").alias(recency.LAST_ACTIVITY),
                 F.greatest(recency.LAST_DEPOSIT, "d").alias(recency.LAST_DEPOSIT))
-        else:
-            merged = batch_keys.select("user_unique", F.col("a").alias(recency.LAST_ACTIVITY),
-                                       F.col("d").alias(recency.LAST_DEPOSIT))
+            merged = folded if touched is None else folded.unionByName(redone)
         self.keys.write(merged, str(epoch_id))   # the commit marker commits the epoch
         self.keys.prune(keep=2)
 
+    def _reloaded(self, batch: DataFrame, raw: DataFrame, on_days, epoch_id: int, days: list[date]) -> None:
+        """The batch's rows of other days, and the trailing days whole."""
+        m = self.model
+        rest = m.partial(batch).filter(~on_days).withColumn(_WHOLE, F.lit(False))
+        whole = m.partial(raw).filter(on_days).withColumn(_WHOLE, F.lit(True))
+        (rest.unionByName(whole).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(m.date, "epoch").parquet(self.daily_path))
+        (self.spark.createDataFrame([(d, epoch_id) for d in days], "__day date, __since int").coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/reloads"))
+
+    def compact(self, before: date) -> None:
+        """Write the days before ``before`` as whole days of the committed epoch, merged."""
+        epoch = self.committed_epoch()
+        m = self.model
+        closed = self.parts(epoch).filter(F.col(m.date) < F.lit(before))
+        path = scratch_path(self.spark, "compact")
+        m.merge(closed).write.parquet(path)
+        self._write(self.spark.read.parquet(path), epoch, True)
+
     def read(self, as_of: date) -> DataFrame:
         """The stamped daily fact as of the last committed epoch."""
-        committed = self.committed_epoch()
-        parts = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") <= committed)
-        fact = tm.staging_columns(tm.merge_daily(parts.drop("epoch")), keep_raw=True)
+        m = self.model
+        fact = m.finish(m.merge(self.parts(self.committed_epoch())))
         keys = self.keys.read().withColumn(recency.DAYS_INACTIVE,
                                            days_between(as_of, recency.LAST_DEPOSIT))
-        return fact.join(keys, "user_unique", "left")
+        return fact.join(keys, m.key, "left")
 
 
-def recency_stream(spark: SparkSession, source_dir: str, as_of: date, glob: str = "events.parquet",
-                   state_root: str | None = None, max_files_per_trigger: int | None = None,
-                   processing_time: str | None = None):
-    """Fold every event file present (``availableNow``) and return the
-    stamped fact. With ``processing_time='1 hour'`` the stream keeps running
-    on an hourly trigger (I4) and the running query is returned instead."""
-    state = RecencyState(spark, state_root or scratch_path(spark, "recency-stream"))
+def recency_stream(spark: SparkSession, source_dir: str, as_of: date, model: StreamModel,
+                   glob: str = "events.parquet", state_root: str | None = None,
+                   max_files_per_trigger: int | None = None, processing_time: str | None = None,
+                   reload: Callable[[], tuple[list[date], DataFrame]] | None = None):
+    """Fold every file present (``availableNow``) and return the stamped fact. With
+    ``processing_time='1 hour'`` the stream keeps running on an hourly trigger (I4) and the
+    running query is returned instead."""
+    state = RecencyState(spark, state_root or scratch_path(spark, "recency-stream"), model, reload)
     schema = spark.read.parquet(f"{source_dir}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(source_dir)
-    writer = (events.writeStream.foreachBatch(lambda df, e: state.fold(df, e))
+    rows = reader.parquet(source_dir)
+    writer = (rows.writeStream.foreachBatch(lambda df, e: state.fold(df, e))
               .option("checkpointLocation", f"{state.root}/checkpoint"))
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()

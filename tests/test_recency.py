@@ -57,7 +57,7 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_path):
         part.to_parquet(src / f"events-{i}.parquet", index=False)
     from factkeeper.streaming.recency_stream import recency_stream
     as_of = date(2024, 2, 1)
-    out = recency_stream(spark, str(src), as_of, glob="events-*.parquet",
+    out = recency_stream(spark, str(src), as_of, tm.event_stream(), glob="events-*.parquet",
                          state_root=str(tmp_path / "state"), max_files_per_trigger=1)
     batch = recency.recency(tm.staging(spark, SF), "user_unique", as_of)
     cols = ["unique_key", "user_unique", "date", "deposit_cases", "deposit_amount", "unique_code",
@@ -72,10 +72,32 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_path):
 def test_replayed_epoch_is_skipped(spark, tmp_path):
     from factkeeper.streaming.recency_stream import RecencyState
     events = spark.read.parquet(f"{SF}/events.parquet")
-    state = RecencyState(spark, str(tmp_path / "st"))
+    state = RecencyState(spark, str(tmp_path / "st"), tm.event_stream())
     state.fold(events, 0)
     state.fold(events, 0)          # replay after a failure: no double counting
     out = state.read(date(2024, 2, 1))
     batch = recency.recency(tm.staging(spark, SF), "user_unique", date(2024, 2, 1))
     cols = ["unique_key", "deposit_cases", "deposit_amount", "last_deposit_date"]
     assert sorted(out.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+
+
+def test_trailing_reload_takes_rows_back(spark, tmp_path):
+    """Another schema than the test model's; a vanished row, a vanished day and a new one."""
+    from factkeeper.streaming.recency_stream import RecencyState, StreamModel
+
+    def add_up(df):
+        return df.groupBy("who", "day").agg(F.sum("cases").alias("cases"))
+
+    model = StreamModel(add_up, add_up, key="who", date="day", cases="cases")
+    d = lambda n: date(2024, 1, n)
+    frame = lambda rows: spark.createDataFrame(rows, "who string, day date, cases long")
+    root = str(tmp_path / "st")
+    RecencyState(spark, root, model).fold(frame([("a", d(1), 1), ("a", d(9), 1), ("b", d(8), 1), ("b", d(2), 0), ("c", d(9), 2)]), 0)
+    source = frame([("c", d(9), 1)])                      # a's row and the whole 8th are gone
+    state = RecencyState(spark, root, model, reload=lambda: ([d(8), d(9)], source))
+    state.fold(frame([("e", d(3), 0), ("z", d(9), 5)]), 1)  # z isn't in the source, so its day's row goes
+    want = [("a", d(1), 1, d(1), d(1)), ("b", d(2), 0, d(2), None), ("c", d(9), 1, d(9), d(9)), ("e", d(3), 0, d(3), None)]
+    cols = ["who", "day", "cases", "last_activity_days", "last_deposit_date"]
+    assert sorted(map(tuple, state.read(d(10)).select(*cols).collect())) == want
+    state.compact(d(9))
+    assert sorted(map(tuple, state.read(d(10)).select(*cols).collect())) == want

@@ -32,13 +32,13 @@ def test_daily_chain_keys_and_recency(spark):
 
 def test_hourly_trigger_mode(spark, tmp_path):
     from factkeeper.streaming.recency_stream import RecencyState, recency_stream
-    q = recency_stream(spark, SF, date(2024, 2, 1), state_root=str(tmp_path / "s"),
+    q = recency_stream(spark, SF, date(2024, 2, 1), tm.event_stream(), state_root=str(tmp_path / "s"),
                        processing_time="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    out = RecencyState(spark, str(tmp_path / "s")).read(date(2024, 2, 1))
+    out = RecencyState(spark, str(tmp_path / "s"), tm.event_stream()).read(date(2024, 2, 1))
     assert out.count() == tm.staging(spark, SF).count()
 
 
