@@ -10,36 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
-from factkeeper.llm.common import ship_package, stored
+from factkeeper.llm.common import prepare, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text, or no letter in it) go."""
-    ship_package(spark)
+    prepare(spark)
     return lang_backoff.accepted_stage(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of 4-word-shingle fingerprints within 4 bits stays."""
-    ship_package(spark)
+    prepare(spark)
     return simhash_trie.near_dedup_stage(docs, shingle=4, budget=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    ship_package(spark)
+    prepare(spark)
     return bm25_wand.decontaminate_stage(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes its kind, and terms that disclose it go."""
-    ship_package(spark)
+    prepare(spark)
     return pii_disclosure.sanitise_stage(docs)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of them and of what they decode to."""
-    ship_package(spark)
+    prepare(spark)
     return bpe_lexicon.encode_stage(docs, bpe_lexicon.default_tokenizer())
 
 

@@ -184,13 +184,20 @@ class Links:
         return rows, self.root[rows]
 
 
-# -- the package on the workers -----------------------------------------------
+# -- session and workers -----------------------------------------------
 
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, as ``--py-files`` would, once per application."""
+#: Arrow batches between Spark and Python: rows, and bytes, since texts can be long.
+ARROW_ROWS, ARROW_BYTES = "2000", str(8 << 20)
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, and give the executors' Python this package, as
+    ``--py-files`` would (once per application)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factkeeper.llm import bm25_wand, bpe_lexicon, embed_ego, lang_backoff, license_minhash, phrase_automata, pii_disclosure, prefix_free, simhash_trie, toxic_crf
-from factkeeper.llm.common import ship_package
+from factkeeper.llm.common import prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

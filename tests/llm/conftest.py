@@ -4,5 +4,5 @@ import pytest
 @pytest.fixture(autouse=True, scope="session")
 def shipped(spark):
     """The workers find the package wherever pytest was started."""
-    from factkeeper.llm.common import ship_package
-    ship_package(spark)
+    from factkeeper.llm.common import prepare
+    prepare(spark)
