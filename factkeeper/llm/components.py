@@ -64,7 +64,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = (edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
          .filter("a <> b")
          .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    e = stored(e.mapInArrow(_contract, "a long, b long").distinct(), "links")
+    # the exchange keeps this Python step out of the stage that made the links
+    e = stored(e.distinct().mapInArrow(_contract, "a long, b long"), "links")
     seen = None
     while True:
         e = stored(_small_star(_large_star(e)), "links")
