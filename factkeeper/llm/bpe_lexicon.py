@@ -33,7 +33,7 @@ from factkeeper.llm.common import stored, text_slices
 LEXICON_WORDS = 50_000
 LONGEST_WORD = 64
 COUNTED_WORDS = 200_000
-CACHED_WORDS = 150_000
+CACHED_WORDS = 300_000
 
 # The byte-level pre-tokenizer's pattern, and the same over Latin-1 alone.
 PIECES = regex.compile(
@@ -188,12 +188,19 @@ class Lexicon:
         self.root = all_[0]
         (self.first, self.targets, self.outs, self.labels, self.final, self.id_at,
          self.id_list) = (all_[a:b] for a, b in zip(at, at[1:]))
+        lo, hi = self.first[self.root], self.first[self.root + 1]
+        self.start = {self.labels[k]: k for k in range(lo, hi)}  # the root has the most arcs
 
     def ids(self, word: bytes) -> memoryview | None:
         """The word's ids, or None if the lexicon lacks it."""
-        state, place = self.root, 0
         first, labels = self.first, self.labels
-        for byte in word:
+        state, place = self.root, 0
+        if word:
+            arc = self.start.get(word[0])
+            if arc is None:
+                return None
+            state, place = self.targets[arc], self.outs[arc]
+        for byte in word[1:]:
             lo, end = first[state], first[state + 1]
             hi = end
             while lo < hi:
@@ -254,7 +261,7 @@ class Encoder:
         self.added = re.compile("|".join(map(re.escape, self.merges.added))) if self.merges.added else None
 
     def _word(self, piece: str) -> bytes:
-        packed = self.older.get(piece) or self._fresh(piece)
+        packed = self.known.get(piece) or self.older.get(piece) or self._fresh(piece)
         if len(self.known) >= CACHED_WORDS:
             self.known, self.older = {}, self.known
         if len(piece) <= LONGEST_WORD:
@@ -269,8 +276,8 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
-        word = self._word
-        return b"".join([self.known.get(p) or word(p) for p in pieces(text)])
+        known, word = self.known.get, self._word
+        return b"".join([known(p) or word(p) for p in pieces(text)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -284,7 +291,7 @@ class Encoder:
 
     def decode(self, packed: bytes) -> str:
         tokens = self.merges.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(packed, dtype="<u4").tolist()]).decode("utf-8", "replace")
+        return b"".join(map(tokens.__getitem__, np.frombuffer(packed, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
 def default_tokenizer() -> str:
