@@ -132,7 +132,9 @@ class Templates:
         return out
 
     def scan(self, texts: list[str | None]) -> list[tuple[int, str, int, int, float]]:
-        """(text, template, start, stop, containment); offsets in code points of the lower-cased text."""
+        """(text, template, start, stop, containment); offsets in code points of the lower-cased text.
+
+        Windows run over the words of all texts, so every text that a window touches is verified."""
         docs = [words_of(t) for t in texts]
         shingles, doc = _shingle_hashes(docs)
         base = np.cumsum([0, *map(len, docs)])
@@ -140,7 +142,7 @@ class Templates:
         for k, size, starts in self.retrieve(shingles):
             n = len(self.words[k])
             for at in starts.tolist():
-                for d in {int(doc[at]), int(doc[min(at + size, len(doc)) - 1])}:
+                for d in np.unique(doc[at:at + size]).tolist():
                     for first, after, share in self.verify(k, docs[d], at - int(base[d]) - n, at - int(base[d]) + size + n):
                         found[d, k, first] = max(found.get((d, k, first), (0, 0.0)), (after, share))
         out = []

@@ -302,6 +302,28 @@ def test_changed_licenses(spark):
     assert want and len(want - got) <= 0.02 * len(want)
 
 
+def test_licenses_in_slices_of_short_documents():
+    """Documents that lie strictly inside a window, whatever their neighbours' lengths."""
+    names = [n for n, t in license_minhash.TEMPLATES.items() if len(license_minhash.words_of(t)) >= 20]
+    own = {n: license_minhash.words_of(license_minhash.TEMPLATES[n]) for n in names}
+    parts = {n: {tuple(w[i:i + 5]) for i in range(len(w) - 4)} for n, w in own.items()}
+    rnd = random.Random(23)
+    t = license_minhash.Templates(names, list(own.values()))
+    for _ in range(20):
+        docs, want = [], set()
+        for k in range(60):
+            name, n = rnd.choice(names), rnd.randint(70, 126)
+            w = list(own[name])
+            if rnd.random() < 0.5:
+                w[rnd.choice([0, 1, len(w) - 2, len(w) - 1])] = "changed"
+            lead = rnd.randint(0, max(0, n - len(w)))
+            filler = [f"f{rnd.randrange(900)}" for _ in range(n)]
+            docs.append([*filler[:lead], *w, *filler[lead + len(w):]] if k % 3 else filler)
+            have = {tuple(docs[-1][i:i + 5]) for i in range(len(docs[-1]) - 4)}
+            want |= {(k, m) for m in names if len(parts[m] & have) / len(parts[m]) >= 0.8}
+        assert want and {(d, m) for d, m, *_ in t.scan([" ".join(d) for d in docs])} == want
+
+
 def test_licenses_of_odd_rows(spark):
     assert license_minhash.scan(odd(spark)).collect() == []
     assert license_minhash.scan(odd(spark).limit(0)).collect() == []
