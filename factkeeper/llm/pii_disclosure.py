@@ -1,16 +1,18 @@
-"""Personal data, and the words around it that give it away.
+"""Personal data, and the words of its documents that give it away.
 
 Base spans (email, ip, card, phone) come from patterns. Then the corpus says how
-strongly a word near a protected value reveals it: over all texts, ``c`` documents
-hold the word beside the value and ``df`` documents hold the word at all, so the
-word leaves ``-log2(c / df)`` bits of doubt about the value. A word is a disclosing
-term of a value if it stands beside it in ``MIN_SUPPORT`` documents or more, leaves
+strongly a word (a run of letters and digits) reveals a protected value: over all
+texts, ``c`` documents hold both, wherever they stand, and ``df`` documents hold the
+word at all, so the word leaves ``-log2(c / df)`` bits of doubt about the value. A word
+is a disclosing term of a value if ``MIN_SUPPORT`` documents or more hold both, it leaves
 ``MAX_DOUBT_BITS`` or fewer bits of doubt, and tells ``MIN_GAIN_BITS`` or more beyond
-the value's own frequency (pointwise mutual information). Such terms get spans of
-kind ``term``; sanitising generalises base spans to their kind and removes terms.
+the value's own frequency (pointwise mutual information). In the documents that hold
+the value, every place of such a term outside base spans gets a span of kind ``term``;
+sanitising generalises base spans to their kind and removes terms.
 
 Counts cover all documents. They are made by combining aggregates and joined by
-value and word; neither values nor words are collected.
+value and word; neither values nor words are collected. Values in fewer than
+``MIN_SUPPORT`` documents have no terms, so their documents' words aren't paired.
 """
 
 from __future__ import annotations
@@ -27,12 +29,11 @@ from factkeeper.llm.common import stored, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-CONTEXT_WORDS = 5
-CONTEXT_CHARS = 200
 MIN_SUPPORT = 3
 MAX_DOUBT_BITS = 1.0
 MIN_GAIN_BITS = 4.0
 COUNTED_WORDS = 200_000
+PAIRS_A_BATCH = 50_000
 
 # The patterns' parts.
 EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -42,7 +43,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W_]+")
 
 SPAN = "kind string, start int, stop int"
 
@@ -95,45 +96,60 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return [(kind, s, e) for kind, find in zip(KINDS, (emails, ips, cards, phones)) for s, e in find(text)]
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(value, word, start, stop) of the words within ``CONTEXT_WORDS`` of each base span
-    (and ``CONTEXT_CHARS`` characters), those inside any base span left out."""
+def values_of(text: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    """The distinct values of base spans, as they are compared."""
+    return list(dict.fromkeys(f"{kind}:{NOT_DIGIT.sub('', text[s:e]) if kind in ('card', 'phone') else text[s:e].lower()}"
+                              for kind, s, e in spans))
+
+
+def words_of(text: str) -> set[str]:
+    return {w.lower() for w in set(WORD.findall(text))}
+
+
+def places(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(word, start, stop) of all words outside base spans."""
     taken = sorted((s, e) for _, s, e in spans)
-    out = []
-    for kind, s, e in spans:
-        value = f"{kind}:{NOT_DIGIT.sub('', text[s:e]) if kind in ('card', 'phone') else text[s:e].lower()}"
-        low, high = max(0, s - CONTEXT_CHARS), min(len(text), e + CONTEXT_CHARS)
-        left = [m for m in WORD.finditer(text, low, s) if m.start() > low or not low or not text[low - 1].isalpha()]
-        right = [m for m in WORD.finditer(text, e, high) if m.end() < high or high == len(text) or not text[high].isalpha()]
-        for m in [*left[-CONTEXT_WORDS:], *right[:CONTEXT_WORDS]]:
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                out.append((value, m[0].lower(), m.start(), m.end()))
+    out, k, until = [], 0, 0
+    for m in WORD.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            until = max(until, taken[k][1])
+            k += 1
+        if m.start() >= until:
+            out.append((m[0].lower(), m.start(), m.end()))
     return out
 
 
-_NEAR = "array<struct<value:string,word:string,start:int,stop:int>>"
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(value, word, start, stop): each value of the text with each place of a word outside base spans."""
+    return [(v, *p) for v in values_of(text, spans) for p in places(text, spans)]
+
+
 _SPANS = "array<struct<kind:string,start:int,stop:int>>"
-_NEAR_ARROW = pa.list_(pa.struct([("value", pa.string()), ("word", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
 _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
 
 
+def _arrow_spans(rows: list[list[tuple[str, int, int]]]) -> pa.Array:
+    return pa.array([[dict(zip(("kind", "start", "stop"), x)) for x in r] for r in rows], _SPANS_ARROW)
+
+
+def _tuples(spans: list[dict]) -> list[tuple[str, int, int]]:
+    return [(x["kind"], x["start"], x["stop"]) for x in spans]
+
+
 def found(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with base spans and their contexts (``__base``, ``__near``)."""
+    """The columns of ``docs`` with base spans and their distinct values (``__base``, ``__values``)."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             texts = b.column("text").to_pylist()
             base = [base_spans(t) for t in texts]
-            near = [contexts(t, s) if s else [] for t, s in zip(texts, base)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns,
-                 pa.array([[dict(zip(("kind", "start", "stop"), x)) for x in s] for s in base], _SPANS_ARROW),
-                 pa.array([[dict(zip(("value", "word", "start", "stop"), x)) for x in n] for n in near], _NEAR_ARROW)],
-                [*names, "__base", "__near"])
+            values = [values_of(t, s) if s else [] for t, s in zip(texts, base)]
+            yield pa.RecordBatch.from_arrays([*b.columns, _arrow_spans(base), pa.array(values, pa.list_(pa.string()))],
+                                             [*names, "__base", "__values"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
-                        f"__base {_SPANS}", f"__near {_NEAR}"])
+                        f"__base {_SPANS}", "__values array<string>"])
     return docs.mapInArrow(run, schema)
 
 
@@ -149,7 +165,7 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
         for b in text_slices(batches):
             for text in b.column("text").to_pylist():
-                seen.update(set(WORD.findall((text or "").lower())))
+                seen.update(words_of(text or ""))
             if len(seen) > COUNTED_WORDS:
                 yield out()
         yield out()
@@ -158,14 +174,52 @@ def document_frequency(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("df").alias("df")))
 
 
-def disclosing_terms(near: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """``value, word`` of the disclosing terms; ``near`` has one row for each row id, value and word beside it."""
-    beside = near.groupBy("value", "word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= MIN_SUPPORT)
-    of_value = near.select("rid", "value").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    df = document_frequency(docs)
+def value_words(held: DataFrame) -> DataFrame:
+    """``rid, value, word``: each of ``values`` with each word outside base spans of the row's text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rids, values, words = [], [], []
+
+        def out() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(values, pa.string()), pa.array(words, pa.string())],
+                                              ["rid", "value", "word"])
+            for c in (rids, values, words):
+                c.clear()
+            return rows
+
+        for b in text_slices(batches):
+            for rid, text, base, own in zip(*(b.column(c).to_pylist() for c in ("rid", "text", "base", "values"))):
+                near = list({w for w, _, _ in places(text, _tuples(base))})
+                for value in own:
+                    rids += [rid] * len(near)
+                    values += [value] * len(near)
+                    words += near
+                    if len(words) >= PAIRS_A_BATCH:
+                        yield out()
+        yield out()
+
+    return held.select("rid", "text", "base", "values").mapInArrow(run, "rid long, value string, word string")
+
+
+def marked_places(rows: DataFrame) -> DataFrame:
+    """``rid, __terms``: every place of the row's ``words`` outside base spans, in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            out = []
+            for text, base, words in zip(*(b.column(c).to_pylist() for c in ("text", "base", "words"))):
+                wanted = set(words)
+                out.append([(TERM, s, e) for w, s, e in places(text, _tuples(base)) if w in wanted])
+            yield pa.RecordBatch.from_arrays([b.column("rid"), _arrow_spans(out)], ["rid", "__terms"])
+
+    return rows.select("rid", "text", "base", "words").mapInArrow(run, f"rid long, __terms {_SPANS}")
+
+
+def disclosing_terms(pairs: DataFrame, of_value: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
+    """``value, word`` of the disclosing terms; ``pairs`` has one row for each row id, value and word of its text."""
+    both = pairs.groupBy("value", "word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= MIN_SUPPORT)
+    df = stored(document_frequency(docs).filter(F.col("df") >= MIN_SUPPORT), "pii-df")
     doubt = -F.log2(F.col("c") / F.col("df"))
     gain = F.log2(F.col("c") * F.lit(float(n_docs)) / (F.col("df") * F.col("n_value")))
-    return (beside.join(of_value, "value").join(df, "word")
+    return (both.join(of_value, "value").join(df, "word")
             .filter((doubt <= MAX_DOUBT_BITS) & (gain >= MIN_GAIN_BITS)).select("value", "word"))
 
 
@@ -184,13 +238,19 @@ def _marked(docs: DataFrame, keep: list[str]) -> DataFrame:
     d = d.withColumn("text", F.col("text").cast("string"))
     lean = found(d)
     if "text" not in keep:
-        lean = lean.drop("text")
+        lean = lean.withColumn("__text", F.when(F.size("__values") > 0, F.col("text"))).drop("text")
     base = stored(lean.withColumn("__rid", F.monotonically_increasing_id()), "pii-base")
-    near = base.select(F.col("__rid").alias("rid"), F.explode("__near").alias("x")).select("rid", "x.*")
-    terms = disclosing_terms(near.select("rid", "value", "word").distinct(), d, base.count())
-    spans = (near.join(terms, ["value", "word"], "left_semi").select("rid", "start", "stop").distinct()
-             .groupBy(F.col("rid").alias("__of_rid")).agg(F.array_sort(F.collect_list(F.struct(
-                 F.lit(TERM).alias("kind"), "start", "stop"))).alias("__terms")))
+    text = "text" if "text" in keep else "__text"
+    holding = (base.filter(F.size("__values") > 0)
+               .select(F.col("__rid").alias("rid"), F.col(text).alias("text"), F.col("__base").alias("base"), "__values"))
+    values = holding.select("rid", F.explode("__values").alias("value"))
+    of_value = stored(values.groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
+                      .filter(F.col("n_value") >= MIN_SUPPORT), "pii-values")
+    repeated = values.join(of_value.select("value"), "value").groupBy("rid").agg(F.collect_list("value").alias("values"))
+    pairs = value_words(holding.join(repeated, "rid"))
+    terms = stored(disclosing_terms(pairs, of_value, d, base.count()), "pii-terms")
+    words = pairs.join(terms, ["value", "word"], "left_semi").groupBy("rid").agg(F.collect_set("word").alias("words"))
+    spans = marked_places(holding.join(words, "rid")).withColumnRenamed("rid", "__of_rid")
     out = base.join(spans, F.col("__rid") == F.col("__of_rid"), "left")
     return out.select(*[F.col(f"`{c}`") for c in keep], "__base",
                       F.concat("__base", F.coalesce("__terms", F.expr(f"cast(array() as {_SPANS})"))).alias("__spans"))

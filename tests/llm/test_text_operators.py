@@ -155,6 +155,21 @@ def test_terms_that_disclose_go(spark, monkeypatch):
     assert all(out[i].text == t for i, t in rows if i >= 100)
 
 
+def test_terms_anywhere_in_the_documents_of_a_value(spark):
+    """Far from the value, with digits, named twice, or in capitals that lower-case to two letters; a letter-only
+    word and 200 characters are no bound."""
+    far = " ".join(f"pad{k % 7}" for k in range(90))
+    rows = [(k, f"EMP4471 and Kowalski, {far} j.doe@mail.example {far} again KOWALSKI of \u0130zmir") for k in range(4)]
+    rows += [(100 + k, f"{far} and again of plain text") for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii_disclosure.sanitise_stage(docs).collect()}
+    assert all(out[i] == f" and , {far} [EMAIL] {far} again  of " for i in range(4))
+    assert all(out[i] == t for i, t in rows if i >= 100)
+    for r in pii_disclosure.detect(docs).filter("doc_id < 100").collect():
+        text = rows[r.doc_id][1]
+        assert [text[s.start:s.stop] for s in r.spans] == ["j.doe@mail.example", "EMP4471", "Kowalski", "KOWALSKI", "\u0130zmir"]
+
+
 def test_sanitise():
     s = lambda *x: [dict(zip(("kind", "start", "stop"), y)) for y in x]
     assert pii_disclosure.sanitise("ab 1.2.3.4 cd", s(("ip", 3, 10), ("term", 0, 2))) == " [IP] cd"
