@@ -6,9 +6,17 @@ texts, ``c`` documents hold both, wherever they stand, and ``df`` documents hold
 word at all, so the word leaves ``-log2(c / df)`` bits of doubt about the value. A word
 is a disclosing term of a value if ``MIN_SUPPORT`` documents or more hold both, it leaves
 ``MAX_DOUBT_BITS`` or fewer bits of doubt, and tells ``MIN_GAIN_BITS`` or more beyond
-the value's own frequency (pointwise mutual information). In the documents that hold
-the value, every place of such a term outside base spans gets a span of kind ``term``;
-sanitising generalises base spans to their kind and removes terms.
+the value's own frequency (pointwise mutual information).
+
+A value in a share ``p`` of the documents has just ``-log2(p)`` bits to tell, for a frequent one
+fewer than ``MIN_GAIN_BITS``. So a term also discloses if it tells ``MIN_SHARE`` or more of
+the value's own bits, whatever they are, and is no chance find: ``df`` documents drawn at
+random hold the value ``c`` times or more with probability ``2 ** -MIN_EVIDENCE_BITS`` at
+most (Chernoff's bound, ``df`` times the divergence of ``c / df`` from ``p``). A value in all
+documents has no bits, and no term discloses it.
+
+In the documents that hold the value, every place of such a term outside base spans gets
+a span of kind ``term``; sanitising generalises base spans to their kind and removes terms.
 
 Counts cover all documents. They are made by combining aggregates and joined by
 value and word; neither values nor words are collected. Values in fewer than
@@ -32,6 +40,8 @@ TERM = "term"
 MIN_SUPPORT = 3
 MAX_DOUBT_BITS = 1.0
 MIN_GAIN_BITS = 4.0
+MIN_SHARE = 0.8
+MIN_EVIDENCE_BITS = 24.0
 COUNTED_WORDS = 200_000
 PAIRS_A_BATCH = 50_000
 
@@ -217,10 +227,14 @@ def disclosing_terms(pairs: DataFrame, of_value: DataFrame, docs: DataFrame, n_d
     """``value, word`` of the disclosing terms; ``pairs`` has one row for each row id, value and word of its text."""
     both = pairs.groupBy("value", "word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= MIN_SUPPORT)
     df = stored(document_frequency(docs).filter(F.col("df") >= MIN_SUPPORT), "pii-df")
-    doubt = -F.log2(F.col("c") / F.col("df"))
-    gain = F.log2(F.col("c") * F.lit(float(n_docs)) / (F.col("df") * F.col("n_value")))
+    c, rest, total = F.col("c"), F.col("df") - F.col("c"), F.lit(float(n_docs))
+    doubt = -F.log2(c / F.col("df"))
+    gain = F.log2(c * total / (F.col("df") * F.col("n_value")))
+    bits = F.log2(total / F.col("n_value"))
+    evidence = c * gain + F.when(rest > 0, rest * F.log2(rest * total / (F.col("df") * (total - F.col("n_value"))))).otherwise(0.0)
+    sure = (gain >= MIN_SHARE * bits) & (evidence >= MIN_EVIDENCE_BITS)
     return (both.join(of_value, "value").join(df, "word")
-            .filter((doubt <= MAX_DOUBT_BITS) & (gain >= MIN_GAIN_BITS)).select("value", "word"))
+            .filter((doubt <= MAX_DOUBT_BITS) & ((gain >= MIN_GAIN_BITS) | sure)).select("value", "word"))
 
 
 def detect(docs: DataFrame) -> DataFrame:

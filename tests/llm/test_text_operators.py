@@ -170,6 +170,24 @@ def test_terms_anywhere_in_the_documents_of_a_value(spark):
         assert [text[s.start:s.stop] for s in r.spans] == ["j.doe@mail.example", "EMP4471", "Kowalski", "KOWALSKI", "\u0130zmir"]
 
 
+@pytest.mark.parametrize("every", [2, 3, 10])
+def test_terms_of_a_value_in_a_large_share_of_the_documents(spark, every):
+    """Production constants. ``few`` (five documents) may be chance, and half the documents of ``common`` lack the value."""
+    rows, want = [], {}
+    for k in range(240):
+        start = f"plain words{k} of text" + (" common" if k % (2 * every) < 2 else "") + (" few" if k < 5 * every and k % every == 0 else "")
+        rows.append((k, start if k % every else f"{start} office Kowalski desk j.doe@mail.example"))
+        want[k] = start if k % every else f"{start}    [EMAIL]"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii_disclosure.sanitise_stage(docs).collect()} == want
+
+
+def test_no_term_of_a_value_in_all_documents(spark):
+    rows = [(k, f"office Kowalski writes{k} j.doe@mail.example") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.text == rows[r.doc_id][1].replace("j.doe@mail.example", "[EMAIL]") for r in pii_disclosure.sanitise_stage(docs).collect())
+
+
 def test_sanitise():
     s = lambda *x: [dict(zip(("kind", "start", "stop"), y)) for y in x]
     assert pii_disclosure.sanitise("ab 1.2.3.4 cd", s(("ip", 3, 10), ("term", 0, 2))) == " [IP] cd"
