@@ -11,7 +11,7 @@ its strings hold the trigger's core, the ``length - REACH + 1`` bytes behind it.
 3. Other blocks share a core with different ones, so some of their strings may recur. The
    blocks of one core are the dictionary: they are sorted by what stands before the trigger
    (backwards) and by what stands behind the core, with the longest common prefixes of
-   neighbours, as suffix arrays of dictionary and parse. A string that reaches ``a`` bytes before
+   neighbours, in place of suffix arrays of dictionary and parse. A string that reaches ``a`` bytes before
    the trigger recurs if another block is in its group in both orders, cut at ``a`` and at
    ``REACH - 1 - a`` bytes. Cores with more than ``DICTIONARY_BLOCKS`` blocks are worked string
    by string over all tasks instead, with the same result.
@@ -19,7 +19,8 @@ its strings hold the trigger's core, the ``length - REACH + 1`` bytes behind it.
 
 All steps work on documents dealt into shards of bounded size through one exchange, and a
 shard reports equal things once, so a hot passage makes a row for each shard at most. Spans are
-told apart by 64-bit hashes in steps 1 and 2, by their bytes in step 3.
+told apart by 64-bit hashes in steps 1 and 2 and under the large cores of step 3, by their bytes
+in the rest of step 3.
 """
 
 from __future__ import annotations
