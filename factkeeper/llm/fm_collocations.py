@@ -24,14 +24,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factkeeper.llm.common import stored
 
 DEPTH = 5
 #: Text of a shard; a task holds up to twice that for unfinished shards of all languages.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 #: Parts of a language that are ranked on their own first.
 RANK_PARTS = 64
 
@@ -54,8 +54,9 @@ def encode(buf: bytes) -> tuple[np.ndarray, pa.Array]:
     np.cumsum(ends - starts, out=offsets[1:])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(b[solid].tobytes())).dictionary_encode()
     ids = words.indices.to_numpy().astype(np.int32) + 1
-    breaks = np.concatenate([[0], np.cumsum(b == 10)])
-    cut = np.append(breaks[starts[1:]] != breaks[ends[:-1]], True)[:len(ids)]
+    lines = np.flatnonzero(b == 10)
+    piece = np.searchsorted(lines, starts)
+    cut = np.append(piece[1:] != piece[:-1], True)[:len(ids)]
     out = np.zeros(len(ids) + int(cut.sum()), dtype=np.int32)
     out[np.arange(len(ids)) + np.cumsum(cut) - cut] = ids
     return out, words.dictionary.cast(pa.string())
@@ -307,6 +308,12 @@ def mine(docs: DataFrame, least: int = 100, shard_bytes: int = SHARD_BYTES) -> t
     return phrases, totals
 
 
+def score() -> Column:
+    """``floor(1000 * a * n / (l * r))`` in whole numbers of up to 38 digits."""
+    return F.expr("cast(a as decimal(19,0)) * cast(n as decimal(15,0)) * cast(1000 as decimal(4,0))"
+                  " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
+
+
 def collocations(docs: DataFrame, least: int = 100, top: int = 2000, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of ``docs(lang, text)``: each language's first
     ``top`` phrases of 2 to ``DEPTH`` words.
@@ -332,9 +339,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, shard_bytes
     # a phrase with an extension of one word that is counted as often (so one of any length) is left out
     inside = (cuts.filter("k = 1 and r = a").select("lang", F.col("rest").alias("phrase"))
               .unionByName(cuts.filter("k = last_k and l = a").select("lang", F.col("first").alias("phrase"))).distinct())
-    quotient = F.expr("cast(a as decimal(19,0)) * cast(n as decimal(15,0)) * cast(1000 as decimal(4,0))"
-                      " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
-    scored = cuts.join(totals, "lang").withColumn("score", quotient)
+    scored = cuts.join(totals, "lang").withColumn("score", score())
     best = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("x")).select(
         "lang", "phrase", "x.a", "x.l", "x.r", "x.n", "x.score")
     best = best.join(inside, ["lang", "phrase"], "left_anti")
