@@ -1,16 +1,22 @@
 """Phrase collocation mining with an FM-index per shard over word ids.
 
 Each task cuts its part of the documents into shards by language, in place, and writes a shard's
-pieces as word ids with the shard's vocabulary. From then on a level costs one pass over what is
-left of the shards: every shard builds an FM-index of its ids and one of the reversed ids, finds
-the phrases of ``k`` words that are frequent over all shards by backward search in both, and
+pieces as word ids with the shard's vocabulary. From then on a level is one pass over what is
+left of the shards, without a shuffle of them: every shard builds an FM-index of its ids and one
+of the reversed ids, finds its phrases of ``k`` words that may be frequent over all shards, and
 extends their paired intervals by one word to the left and to the right. A phrase of ``k + 1``
-words is counted if both its parts are frequent, so if it is found from either side at the same
-interval. Counts are summed across shards; what no such phrase covers leaves the shard.
+words is a candidate if both its parts are, so if it is found from either side at the same
+interval. What no candidate covers leaves the shard.
 
-Suffixes are sorted by their first ``DEPTH`` words only: that is all that intervals of phrases
-of that length need. A shard ends where a piece ends; a piece that alone is larger is cut, the
-words that both sides of the cut hold form a shard that counts with the opposite sign.
+Most candidates are rare, so their counts are first summed across shards by hashed bucket (a
+fixed number of counters, each stopping at the threshold): a phrase in a bucket below the
+threshold can't be frequent. The next pass has one bit for each bucket, finds the phrases that
+remain, and only of those writes the counts, which are summed exactly. Buckets decide how many
+rows that are, never which phrases are found.
+
+Suffixes are sorted by as many words as the level's phrases have: that is all that their
+intervals need. A shard ends where a piece ends; a piece that alone is larger is cut, the words
+that both sides of the cut hold form a shard that counts with the opposite sign.
 
 Scores come from the summed counts, in whole numbers (``decimal(38, 0)``).
 """
@@ -23,23 +29,30 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import stored
+from factkeeper.llm.common import mix, span_hashes, stored
 
 DEPTH = 5
 #: Text of a shard; a task holds up to twice that for unfinished shards of all languages.
 SHARD_BYTES = 4 << 20
+#: Counters that candidates share, and counters in a row of them. Their bits are broadcast.
+BUCKETS = 1 << 25
+RANGE = 1 << 12
 #: Parts of a language that are ranked on their own first.
 RANK_PARTS = 64
 
 #: A-Z to a-z; white space to a space; what ends a piece to a line break.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
-_SHARD = "lang string, shard long, sign int, codes binary, words array<string>, counts array<long>"
-_LEVEL = "lang string, shard long, sign int, codes binary, words array<string>, phrase string, n long"
+#: Rows of a pass: shards (``codes``, ``words``, ``n`` all words), counts (``phrase``, ``n``) and
+#: buckets (``range``, ``at``, ``counts``).
+_ROWS = pa.schema([("lang", pa.string()), ("sign", pa.int32()), ("codes", pa.binary()), ("words", pa.list_(pa.string())), ("phrase", pa.string()),
+                   ("n", pa.int64()), ("range", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
+_DDL = "lang string, sign int, codes binary, words array<string>, phrase string, n long, range int, at binary, counts binary"
 
 
 # -- shards -------------------------------------------------------------------
@@ -89,25 +102,28 @@ def _pieces(text: bytes, most: int) -> Iterator[tuple[bytes, bytes]]:
     yield text[lo:], b""
 
 
-def _one_list(values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _rows(size: int, /, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _ROWS], schema=_ROWS)
+
 
+def _shard_row(lang: str, sign: int, ids: np.ndarray, words: pa.Array, n: int) -> pa.RecordBatch:
+    return _rows(1, lang=pa.array([lang]), sign=pa.array([sign], pa.int32()), codes=pa.array([ids.astype("<i4").tobytes()], pa.binary()),
+                 words=pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), n=pa.array([n], pa.int64()))
 
-def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+
+def _shards(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
+    """The shards of a task's documents, and its words' buckets."""
     held: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     shared: dict[str, list[bytes]] = {}
-    # unique to the task's rows: partition and count
-    part, done = TaskContext.get().partitionId(), 0
+    buckets = Buckets(least)
 
     def flush(lang: str, texts: list[bytes], sign: int) -> pa.RecordBatch:
-        nonlocal done
         ids, words = encode(b"\n".join(texts) + b"\n")
-        counts = np.bincount(ids, minlength=len(words) + 1)[1:] * sign
-        done += 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([part << 32 | done], pa.int64()), pa.array([sign], pa.int32()), pa.array([ids.astype("<i4").tobytes()], pa.binary()),
-             _one_list(words), _one_list(pa.array(counts, pa.int64()))], ["lang", "shard", "sign", "codes", "words", "counts"])
+        counts = np.bincount(ids, minlength=len(words) + 1)[1:]
+        if sign > 0:
+            buckets.add(word_hashes(words, lang), counts)
+        return _shard_row(lang, sign, ids, words, int(counts.sum()) * sign)
 
     for b in batches:
         langs, texts = b.column("lang").to_pylist(), b.column("text").cast(pa.binary())
@@ -130,21 +146,98 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         yield flush(lang, texts, 1)
     for lang, texts in shared.items():
         yield flush(lang, texts, -1)
+    yield from buckets.rows()
+
+
+# -- buckets --------------------------------------------------------------------
+
+def word_hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """A 64-bit hash of each word of a language."""
+    offsets, data = words.buffers()[1:]
+    ends = np.frombuffer(offsets, dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    return mix(span_hashes(np.frombuffer(data, dtype=np.uint8), ends[:-1].astype(np.int64), ends[1:].astype(np.int64))
+               ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+
+
+def phrase_hashes(words: np.ndarray, phrases: np.ndarray) -> np.ndarray:
+    """Hashes of phrases (rows of ids from 1) from those of their words."""
+    h = words[phrases[:, 0] - 1]
+    for column in phrases.T[1:]:
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[column - 1])
+    return h
+
+
+class Buckets:
+    """A task's counters, each stopping at the threshold: sums over tasks reach it if and only
+    if the sums of the full counts do."""
+
+    def __init__(self, least: int):
+        self.least = least
+        self.counts = np.zeros(BUCKETS, dtype=np.min_scalar_type(least))
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
+        at, place = np.unique((hashes % np.uint64(BUCKETS)).astype(np.int64), return_inverse=True)
+        more = np.bincount(place, np.minimum(counts, self.least), len(at)).astype(np.int64)
+        self.counts[at] = np.minimum(self.counts[at] + more, self.least)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(self.counts)
+        counts, cuts = self.counts[at], np.flatnonzero(np.diff(at // RANGE)) + 1
+        for lo in range(0, len(cuts) + 1, 256):
+            bounds = [0, *cuts.tolist(), len(at)][lo:lo + 257]
+            spans = [(a, b) for a, b in zip(bounds, bounds[1:]) if b > a]
+            if spans:
+                yield _rows(len(spans), range=pa.array([int(at[a]) // RANGE for a, _ in spans], pa.int32()),
+                            at=pa.array([(at[a:b] % RANGE).astype("<u2").tobytes() for a, b in spans], pa.binary()),
+                            counts=pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()))
+
+
+def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sum the counters of each range; rows come by range. A bit for each full bucket."""
+    kind, now, sums = np.min_scalar_type(least), None, np.zeros(RANGE, dtype=np.int64)
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(sums >= least, bitorder="little").tobytes()])], ["range", "bits"])
+
+    for b in batches:
+        for r, at, counts in zip(*(b.column(c).to_pylist() for c in ("range", "at", "counts"))):
+            if r != now:
+                if now is not None and (sums >= least).any():
+                    yield row()
+                now, sums = r, np.zeros(RANGE, dtype=np.int64)
+            sums[np.frombuffer(at, dtype="<u2")] += np.frombuffer(counts, dtype=kind)
+    if now is not None and (sums >= least).any():
+        yield row()
+
+
+def full_buckets(rows: DataFrame, least: int) -> np.ndarray:
+    """One bit for each bucket whose sum over all tasks reaches ``least``: ``BUCKETS`` bits in the driver."""
+    ranges = rows.filter(F.col("range").isNotNull()).select("range", "at", "counts").repartition("range").sortWithinPartitions("range")
+    bits = np.zeros(BUCKETS // 8, dtype=np.uint8)
+    for r in ranges.mapInArrow(lambda batches: _full(batches, least), "range int, bits binary").collect():
+        lo = r["range"] * RANGE // 8
+        bits[lo:lo + RANGE // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return bits
+
+
+def _may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 # -- the index ----------------------------------------------------------------
 
-def _order(t: np.ndarray) -> np.ndarray:
-    """Positions of ``t`` (cyclic) sorted by their first ``DEPTH`` ids, by doubling."""
+def _order(t: np.ndarray, depth: int) -> np.ndarray:
+    """Positions of ``t`` (cyclic) sorted by their first ``depth`` ids, by doubling."""
     rank, size = t.astype(np.int64), 1
-    while size * 2 <= DEPTH:
+    while size * 2 < depth:
         _, rank = np.unique(rank * (rank.max() + 1) + np.roll(rank, -size), return_inverse=True)
         size *= 2
-    key = rank
-    if size < DEPTH:
-        m = int(rank.max()) + 1
-        key = rank * m + np.roll(rank, size - DEPTH)   # overlapping halves: size to DEPTH ids
-    return np.argsort(key, kind="stable")
+    if size < depth:
+        rank = rank * (int(rank.max()) + 1) + np.roll(rank, size - depth)   # two halves that may overlap
+    return np.argsort(rank, kind="stable")
 
 
 @dataclass
@@ -157,8 +250,8 @@ class FMIndex:
     order: np.ndarray
 
     @classmethod
-    def build(cls, t: np.ndarray, n_ids: int) -> FMIndex:
-        order = _order(t)
+    def build(cls, t: np.ndarray, n_ids: int, depth: int = DEPTH) -> FMIndex:
+        order = _order(t, depth)
         bwt = t[order - 1].astype(np.int64)
         by_id = np.argsort(bwt, kind="stable")
         first = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=n_ids))])
@@ -192,8 +285,7 @@ class FMIndex:
 
 @dataclass
 class Extended:
-    """Phrases of one word more: the ids of their first part, the word after it, their count, and
-    their rows in the forward index."""
+    """Phrases of one word more: their ids, their count, and their first row in the forward index."""
 
     phrases: np.ndarray
     n: np.ndarray
@@ -233,79 +325,78 @@ def _kept_text(t: np.ndarray, forward: FMIndex, found: Extended) -> np.ndarray:
     return text
 
 
-def _level(shard: pa.Table, survivors: pa.Table, k: int) -> pa.Table:
-    """One shard, one level: its phrases of ``k + 1`` words with both parts frequent, and the text
-    that they cover."""
-    row = shard.to_pylist()[0] if shard.num_rows else None
-    if row is None or not survivors.num_rows:
-        return pa.Table.from_arrays([pa.array([], f) for f in _FIELDS], names=_NAMES)
-    t = np.frombuffer(row["codes"], dtype="<i4")
-    words = pa.array(row["words"], pa.string())
-    # ids of the words that frequent phrases hold, renumbered; the rest parts pieces
-    flat = pc.split_pattern(survivors.column("phrase").combine_chunks(), " ").flatten()
-    old = pc.index_in(flat, words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    used = np.zeros(len(words) + 1, dtype=bool)
-    used[old] = True
-    number = np.cumsum(used) * used
-    number[0] = 0
-    t, phrases = number[t], number[old].reshape(-1, k)
-    words = words.filter(pa.array(used[1:]))
-    t = t[(t > 0) | np.append(False, t[:-1] > 0)]
-    t = np.append(t, 0) if not len(t) or t[-1] else t
-    forward, backward = FMIndex.build(t, len(words) + 1), FMIndex.build(t[::-1], len(words) + 1)
+def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, buckets: Buckets) -> Iterator[pa.RecordBatch]:
+    """One shard, one level: the counts of its phrases of ``k`` words that may be frequent, and the
+    shard of what their extensions by one word cover. Those go into the buckets."""
+    t = np.frombuffer(row["codes"], dtype="<i4").astype(np.int64)
+    hashes = word_hashes(words, row["lang"])
+    if k == 1:    # words that may be frequent, renumbered; the rest parts pieces
+        used = np.append(False, _may(bits, hashes))
+        t, words, hashes = (np.cumsum(used) * used)[t], words.filter(pa.array(used[1:])), hashes[used[1:]]
+        t = t[(t > 0) | np.append(False, t[:-1] > 0)]
+        t = np.append(t, 0) if not len(t) or t[-1] else t
+    if not len(words):
+        return
+    depth = min(k + 1, DEPTH)
+    forward, backward = FMIndex.build(t, len(words) + 1, depth), FMIndex.build(t[::-1], len(words) + 1, depth)
+    phrases, n = np.arange(1, len(words) + 1)[:, None], np.diff(forward.first)[1:]
+    for _ in range(1, k):    # all that the text holds are candidates
+        found = extend(forward, backward, phrases)
+        phrases, n = found.phrases, found.n
+    left = _may(bits, phrase_hashes(hashes, phrases))
+    phrases, n = phrases[left], n[left]
+    if not len(n):
+        return
+    parts = [words.take(pa.array(c - 1)) for c in phrases.T]
+    said = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
+    yield _rows(len(n), lang=pa.array([row["lang"]] * len(n)), phrase=said, n=pa.array(n * row["sign"], pa.int64()))
+    if k == DEPTH:
+        return
     found = extend(forward, backward, phrases)
+    if not len(found.n):
+        return
+    if row["sign"] > 0:
+        buckets.add(phrase_hashes(hashes, found.phrases), found.n)
     text = _kept_text(t, forward, found)
-    parts = [words.take(pa.array(c - 1)) for c in found.phrases.T]
-    joined = pc.binary_join_element_wise(*parts, " ") if len(found.n) else pa.array([], pa.string())
-    m = len(found.n)
-    of = lambda x, f: pa.concat_arrays([pa.array([x], f), pa.nulls(m, f)])
-    same = lambda x, f: pa.array([x] * (m + 1), f)
-    return pa.Table.from_arrays(
-        [same(row["lang"], pa.string()), same(row["shard"], pa.int64()), same(row["sign"], pa.int32()),
-         of(text.astype("<i4").tobytes(), pa.binary()), pa.concat_arrays([_one_list(words), pa.nulls(m, pa.list_(pa.string()))]),
-         pa.concat_arrays([pa.nulls(1, pa.string()), joined.cast(pa.string())]),
-         pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(found.n * row["sign"], pa.int64())])], names=_NAMES)
-
-
-def _level_of(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    return lambda shard, survivors: _level(shard, survivors, k)
+    some = np.unique(text[text > 0])
+    number = np.zeros(len(words) + 1, dtype=np.int64)
+    number[some] = np.arange(1, len(some) + 1)
+    yield _shard_row(row["lang"], row["sign"], number[text], words.take(pa.array(some - 1)), 0)
 
 
-_NAMES = ["lang", "shard", "sign", "codes", "words", "phrase", "n"]
-_FIELDS = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.string()), pa.string(), pa.int64()]
+def _pass(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    buckets = Buckets(least)
+    for b in batches:
+        for i in range(b.num_rows):
+            row = {c: b.column(c)[i].as_py() for c in ("lang", "sign", "codes")}
+            words = pa.concat_arrays([b.column("words")[i].values.cast(pa.string())])
+            yield from _level(row, words, k, bits, buckets)
+    yield from buckets.rows()
 
 
 # -- levels and scores ------------------------------------------------------
 
-def _frequent(rows: DataFrame, least: int, label: str) -> DataFrame:
-    return stored(rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), label)
-
-
 def mine(docs: DataFrame, least: int = 100, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, f`` of all phrases of up to ``DEPTH`` words with ``least`` occurrences, and
     ``lang, n`` (all words of the language)."""
+    spark = docs.sparkSession
     d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    shards = stored(d.mapInArrow(lambda batches: _shards(batches, shard_bytes), _SHARD), "phrase-shards")
-    found = shards.select("lang", "shard", F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
-        "lang", "shard", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
-    totals = stored(found.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    every = []
-    text = shards.select("lang", "shard", "sign", "codes", "words")
+    rows = stored(d.mapInArrow(lambda batches: _shards(batches, shard_bytes, least), _DDL), "phrase-shards")
+    totals = stored(rows.filter(F.col("codes").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    counted = []
     for k in range(1, DEPTH + 1):
-        frequent = _frequent(found, least, f"phrases-{k}")
-        every.append(frequent)
-        if k == DEPTH:
-            break
-        survivors = found.select("lang", "phrase", "shard").join(frequent.select("lang", "phrase"), ["lang", "phrase"]).select(
-            F.col("shard").alias("of_shard"), "phrase")
-        both = text.groupBy("shard").cogroup(survivors.groupBy("of_shard"))
-        level = stored(both.applyInArrow(_level_of(k), _LEVEL), f"phrase-level-{k + 1}")
-        found = level.filter(F.col("phrase").isNotNull()).select("lang", "shard", "phrase", "n")
-        text = level.filter(F.col("phrase").isNull()).select("lang", "shard", "sign", "codes", "words")
-    phrases = every[0]
-    for more in every[1:]:
-        phrases = phrases.unionByName(more)
-    return phrases, totals
+        bits = spark.sparkContext.broadcast(full_buckets(rows, least))
+        text = rows.filter(F.col("codes").isNotNull()).select("lang", "sign", "codes", "words")
+        rows = stored(text.mapInArrow(_pass_of(k, bits, least), _DDL), f"phrase-level-{k}")
+        counted.append(rows.filter(F.col("phrase").isNotNull()).select("lang", "phrase", "n"))
+    every = counted[0]
+    for more in counted[1:]:
+        every = every.unionByName(more)
+    return stored(every.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrases"), totals
+
+
+def _pass_of(k: int, bits: Broadcast, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: _pass(batches, k, bits.value, least)
 
 
 def score() -> Column:
