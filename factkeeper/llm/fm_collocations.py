@@ -38,10 +38,12 @@ from factkeeper.llm.common import mix, span_hashes, stored
 
 DEPTH = 5
 #: Text of a shard; a task holds up to twice that for unfinished shards of all languages.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Counters that candidates share, and counters in a row of them. Their bits are broadcast.
-BUCKETS = 1 << 25
-RANGE = 1 << 12
+BUCKETS = 1 << 26
+RANGE = 1 << 14
+#: Counters and counts that a task holds before it merges or hands on.
+HELD_ROWS = 1 << 20
 #: Parts of a language that are ranked on their own first.
 RANK_PARTS = 64
 
@@ -175,23 +177,81 @@ class Buckets:
 
     def __init__(self, least: int):
         self.least = least
-        self.counts = np.zeros(BUCKETS, dtype=np.min_scalar_type(least))
+        self.kind = np.min_scalar_type(least)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.merged, self.held = 0, 0
 
     def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
-        at, place = np.unique((hashes % np.uint64(BUCKETS)).astype(np.int64), return_inverse=True)
-        more = np.bincount(place, np.minimum(counts, self.least), len(at)).astype(np.int64)
-        self.counts[at] = np.minimum(self.counts[at] + more, self.least)
+        self.parts.append(self._summed((hashes % np.uint64(BUCKETS)).astype(np.uint32), counts))
+        self.held += len(self.parts[-1][0])
+        if self.held > 2 * self.merged + HELD_ROWS:
+            self._merge()
+
+    def _summed(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, dtype=np.int64)
+        sums = np.add.reduceat(np.minimum(counts, self.least)[order].astype(np.int64), first) if len(at) else at
+        return at[first], np.minimum(sums, self.least).astype(self.kind)
+
+    def _merge(self) -> None:
+        if self.parts:
+            self.parts = [self._summed(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.merged = self.held = len(self.parts[0][0])
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        at = np.flatnonzero(self.counts)
-        counts, cuts = self.counts[at], np.flatnonzero(np.diff(at // RANGE)) + 1
-        for lo in range(0, len(cuts) + 1, 256):
-            bounds = [0, *cuts.tolist(), len(at)][lo:lo + 257]
-            spans = [(a, b) for a, b in zip(bounds, bounds[1:]) if b > a]
-            if spans:
-                yield _rows(len(spans), range=pa.array([int(at[a]) // RANGE for a, _ in spans], pa.int32()),
-                            at=pa.array([(at[a:b] % RANGE).astype("<u2").tobytes() for a, b in spans], pa.binary()),
-                            counts=pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()))
+        self._merge()
+        if not self.held:
+            return
+        at, counts = self.parts[0]
+        bounds = [0, *(np.flatnonzero(np.diff(at // RANGE)) + 1).tolist(), len(at)]
+        for lo in range(0, len(bounds) - 1, 256):
+            spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
+            yield _rows(len(spans), range=pa.array([int(at[a]) // RANGE for a, _ in spans], pa.int32()),
+                        at=pa.array([_gaps(at[a:b] % RANGE) for a, b in spans], pa.binary()),
+                        counts=pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()))
+
+
+def _gaps(at: np.ndarray) -> bytes:
+    """Ascending numbers as the gaps between them, a byte each; 255 goes on without a number."""
+    gap = np.diff(at.astype(np.int64), prepend=0)
+    skips = gap // 255
+    out = np.full(int(skips.sum()) + len(gap), 255, dtype=np.uint8)
+    out[np.cumsum(skips + 1) - 1] = gap % 255
+    return out.tobytes()
+
+
+def _numbers(gaps: bytes) -> np.ndarray:
+    g = np.frombuffer(gaps, dtype=np.uint8)
+    return np.cumsum(g, dtype=np.int64)[g < 255]
+
+
+class Counts:
+    """A task's counts of phrases, summed over its shards as far as they are held."""
+
+    def __init__(self):
+        self.parts: list[pa.Table] = []
+        self.held = 0
+
+    def add(self, lang: str, phrases: pa.Array, n: np.ndarray) -> None:
+        self.parts.append(pa.table({"lang": pa.array([lang] * len(n)), "phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64())}))
+        self.held += len(n)
+
+    def full(self) -> bool:
+        if self.held > HELD_ROWS:
+            self.parts = [self._summed()]
+            self.held = self.parts[0].num_rows
+        return self.held > HELD_ROWS // 2
+
+    def _summed(self) -> pa.Table:
+        return pa.concat_tables(self.parts).group_by(["lang", "phrase"]).aggregate([("n", "sum")])\
+            .rename_columns({"n_sum": "n"}).select(["lang", "phrase", "n"])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            for b in self._summed().to_batches(max_chunksize=1 << 16):
+                yield _rows(b.num_rows, **{c: b.column(c) for c in b.schema.names})
+        self.parts, self.held = [], 0
 
 
 def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -207,7 +267,7 @@ def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
                 if now is not None and (sums >= least).any():
                     yield row()
                 now, sums = r, np.zeros(RANGE, dtype=np.int64)
-            sums[np.frombuffer(at, dtype="<u2")] += np.frombuffer(counts, dtype=kind)
+            sums[_numbers(at)] += np.frombuffer(counts, dtype=kind)
     if now is not None and (sums >= least).any():
         yield row()
 
@@ -325,9 +385,9 @@ def _kept_text(t: np.ndarray, forward: FMIndex, found: Extended) -> np.ndarray:
     return text
 
 
-def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, buckets: Buckets) -> Iterator[pa.RecordBatch]:
-    """One shard, one level: the counts of its phrases of ``k`` words that may be frequent, and the
-    shard of what their extensions by one word cover. Those go into the buckets."""
+def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, counts: Counts, buckets: Buckets) -> Iterator[pa.RecordBatch]:
+    """One shard, one level: counts its phrases of ``k`` words that may be frequent, puts their
+    extensions by one word into the buckets, and gives the shard of what those cover."""
     t = np.frombuffer(row["codes"], dtype="<i4").astype(np.int64)
     hashes = word_hashes(words, row["lang"])
     if k == 1:    # words that may be frequent, renumbered; the rest parts pieces
@@ -349,7 +409,7 @@ def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, buckets: Bucket
         return
     parts = [words.take(pa.array(c - 1)) for c in phrases.T]
     said = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
-    yield _rows(len(n), lang=pa.array([row["lang"]] * len(n)), phrase=said, n=pa.array(n * row["sign"], pa.int64()))
+    counts.add(row["lang"], said, n * row["sign"])
     if k == DEPTH:
         return
     found = extend(forward, backward, phrases)
@@ -365,12 +425,15 @@ def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, buckets: Bucket
 
 
 def _pass(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
-    buckets = Buckets(least)
+    counts, buckets = Counts(), Buckets(least)
     for b in batches:
         for i in range(b.num_rows):
             row = {c: b.column(c)[i].as_py() for c in ("lang", "sign", "codes")}
             words = pa.concat_arrays([b.column("words")[i].values.cast(pa.string())])
-            yield from _level(row, words, k, bits, buckets)
+            yield from _level(row, words, k, bits, counts, buckets)
+            if counts.full():
+                yield from counts.rows()
+    yield from counts.rows()
     yield from buckets.rows()
 
 

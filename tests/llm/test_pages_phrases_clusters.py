@@ -210,3 +210,28 @@ def test_pivots_rule_out_most_centroids():
     every = ((x[:, None] - cent[None]) ** 2).sum(axis=2)
     assert (best == every.min(axis=1)).all() and (at == every.argmin(axis=1)).all()
     assert exact < len(x) * 6
+
+
+def test_buckets_are_full_if_and_only_if_their_sums_are(spark, monkeypatch):
+    monkeypatch.setattr(fm_collocations, "HELD_ROWS", 50)
+    rnd = np.random.default_rng(9)
+    for least in (3, 100, 1000):
+        want, rows = collections.Counter(), []
+        for _ in range(3):    # tasks
+            b = fm_collocations.Buckets(least)
+            for _ in range(4):
+                hashes = rnd.integers(0, 2**63, 60, dtype=np.uint64) >> np.uint64(rnd.integers(35, 63))
+                counts = rnd.integers(1, least + 2, 60)
+                b.add(hashes, counts)
+                for h, n in zip(hashes.tolist(), counts.tolist()):
+                    want[h % fm_collocations.BUCKETS] += n
+            rows += list(b.rows())
+        table = sorted((r for x in rows for r in x.to_pylist()), key=lambda r: r["range"])
+        sums = collections.Counter()
+        for r in table:
+            at = fm_collocations._numbers(r["at"])
+            for a, n in zip(at.tolist(), np.frombuffer(r["counts"], dtype=np.min_scalar_type(least)).tolist()):
+                sums[r["range"] * fm_collocations.RANGE + a] += n
+        assert {a for a, n in sums.items() if n >= least} == {a for a, n in want.items() if n >= least} and set(sums) == set(want)
+    some = np.unique(rnd.integers(0, 16384, 500))
+    assert (fm_collocations._numbers(fm_collocations._gaps(some)) == some).all()
