@@ -13,6 +13,7 @@ from factkeeper.operators import rewrite
 from factkeeper.plans import catalog, jobs
 from factkeeper.plans import oracle as O
 from factkeeper.plans.testmodel import EVENTS_AS_OF, RUN_TS, comparable
+from factkeeper.plans.table_store import by_period, read_days
 from factkeeper.session import scratch_path
 
 FACT_OUT = ["unique_key", "txn_date", "line", "deposit_cases", "deposit_amount"]
@@ -21,7 +22,7 @@ FACT_OUT = ["unique_key", "txn_date", "line", "deposit_cases", "deposit_amount"]
 def _store(df, label, part_col):
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.partitionBy(part_col).parquet(path)
+    by_period(df, part_col).write.partitionBy(part_col).parquet(path)
     return path
 
 
@@ -31,14 +32,14 @@ def sync_job_recent_days(spark, sf):
     spec = rewrite.SyncSpec(date_column="txn_date", filter_column="line", values=["L1", "L2"])
     start, end = recent_days(EVENTS_AS_OF, 3)
     jobs.sync_window_job(spark, stg, path, spec, start, end, RUN_TS)
-    return comparable(spark.read.parquet(path).select(*FACT_OUT))
+    return comparable(read_days(spark, path).select(*FACT_OUT))
 
 
 def mapped_copy_job(spark, sf):
     stg = catalog._stg(spark, sf)
     path = _store(catalog._serving(stg), "serving", "date")
     jobs.mapped_copy_job(spark, stg, path, two_days_back(EVENTS_AS_OF))
-    return comparable(spark.read.parquet(path))
+    return comparable(read_days(spark, path))
 
 
 def _with_month(df):
@@ -53,14 +54,14 @@ def upsert_job_month(spark, sf):
     jobs.upsert_month_job(spark, catalog._upsert_source(orders), path, "o_orderkey", "o_orderdate",
                           start, end, ["o_orderdate", "o_totalprice"], RUN_TS, part_col="o_month",
                           stamp_type=catalog.NTZ)
-    return spark.read.parquet(path)
+    return read_days(spark, path)
 
 
 def year_reload_job(spark, sf):
     orders = catalog._orders(spark, sf)
     path = _store(_with_month(orders.filter(F.col("o_orderstatus") != "P")), "year-target", "o_month")
     jobs.year_reload_job(spark, orders, path, "o_orderdate", 1998, part_col="o_month", grain="month")
-    return spark.read.parquet(path)
+    return read_days(spark, path)
 
 
 def _incremental(spark, stg, **store_options):

@@ -1,9 +1,9 @@
 """The maintenance jobs against stored, period-partitioned tables.
 
 The operators in ``factkeeper.operators`` return the whole new table; these
-jobs write only what changed. A target is a parquet table partitioned by a
-DATE column holding the start of each row's period (``grain`` 'day' or
-'month'), so each job reads and writes only the partitions it touches:
+jobs write only what changed. A target is a parquet table, given by its path or its name
+in the catalog, partitioned by a DATE column holding the start of each row's period
+(``grain`` 'day' or 'month'), so each job reads and writes only the partitions it touches:
 
 * ``sync_window_job``   W1 / W2 — the periods overlapping the window
 * ``mapped_copy_job``   W4 / W5 — the periods of the day set
@@ -11,11 +11,10 @@ DATE column holding the start of each row's period (``grain`` 'day' or
 * ``year_reload_job``   W7      — the year's periods
 
 Rows of a touched period that the operation keeps are read from the target
-(partition-pruned) and written to a staging folder with the new ones, which is
-then swapped in; when the periods are days that the window covers completely
-nothing is read. Each job returns
-the rows written (counted while writing) and appends a run-log row when
-``log_path`` is given.
+(partition-pruned) and written with the new ones by Spark's dynamic partition
+overwrite; when the periods are days that the window covers completely nothing is
+read. Each job returns the rows written (counted while writing) and appends a
+run-log row when ``log_path`` is given.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from factkeeper.functions.predicates import in_window, on_dates, typed_lit
 from factkeeper.functions.time_windows import days_in, first_of_next_month, year_window
 from factkeeper.operators import quality, rewrite
 from factkeeper.operators.update import key_side, latest_per_key
-from factkeeper.plans.table_store import finish_replacement, replace_days
+from factkeeper.plans.table_store import add_column, read_days, replace_days
 from factkeeper.sinks.csv_export import append_run_log, run_log_row, write_counted
 
 
@@ -51,27 +50,28 @@ def periods_between(start: date, end: date, grain: str) -> list[date]:
     return out
 
 
-def _target(spark: SparkSession, path: str) -> DataFrame:
-    finish_replacement(spark, path)
-    return spark.read.parquet(path)
-
-
 def _with_stamp(spark: SparkSession, path: str, part_col: str, run_ts: datetime,
                 stamp_type: str = "timestamp") -> DataFrame:
-    """P12 / P13 on a stored target: rows without a sync stamp get ``run_ts``, once; the
-    column is added where the table lacks it. Nothing is written when none is missing."""
-    target = _target(spark, path)
-    have = rewrite.SYNC_STAMP in target.columns
-    if have and target.filter(F.col(rewrite.SYNC_STAMP).isNull()).limit(1).count() == 0:
+    """P12 / P13 on a stored target: rows without a sync stamp get ``run_ts``, once.
+
+    Where the table lacks the column it is added with that value for the rows so far, and no
+    file is written; where rows hold a NULL their partitions are."""
+    target = read_days(spark, path)
+    if rewrite.SYNC_STAMP not in target.columns:
+        zone = "" if stamp_type == "timestamp_ntz" else f" {spark.conf.get('spark.sql.session.timeZone')}"
+        add_column(spark, path, rewrite.SYNC_STAMP, stamp_type, f"{stamp_type.upper()} '{run_ts.isoformat(sep=' ')}{zone}'")
+        return read_days(spark, path)
+    missing = target.filter(F.col(rewrite.SYNC_STAMP).isNull())
+    if missing.isEmpty():
         return target
-    dtype = target.schema[rewrite.SYNC_STAMP].dataType if have else stamp_type
-    now = typed_lit(run_ts, dtype)
-    stamped = target.withColumn(rewrite.SYNC_STAMP, F.coalesce(rewrite.SYNC_STAMP, now) if have else now)
-    late = stamped if not have else stamped.join(
-        target.filter(F.col(rewrite.SYNC_STAMP).isNull()).select(part_col).distinct(), part_col, "left_semi")
-    days = [r[0] for r in late.select(part_col).distinct().collect()]
-    replace_days(late.select(*target.columns, *([] if have else [rewrite.SYNC_STAMP])), path, part_col, days)
-    return spark.read.parquet(path)
+    dtype = target.schema[rewrite.SYNC_STAMP].dataType
+    stamped = target.withColumn(rewrite.SYNC_STAMP, F.coalesce(rewrite.SYNC_STAMP, typed_lit(run_ts, dtype)))
+    days = [r[0] for r in missing.select(part_col).distinct().collect()]   # periods
+    old = F.col(part_col).isin([d for d in days if d is not None])
+    if None in days:
+        old = old | F.col(part_col).isNull()
+    replace_days(stamped.filter(old).select(*target.columns), path, part_col, days)
+    return read_days(spark, path)
 
 
 def _stamped(rows: DataFrame, target: DataFrame, run_ts: datetime) -> DataFrame:
@@ -133,7 +133,7 @@ def mapped_copy_job(spark: SparkSession, source: DataFrame, target_path: str, da
     mapping = list(mapping or rewrite.SERVING_MAPPING)
     tgt_date = dict(mapping).get(date_column, date_column)
     part_col = part_col or tgt_date
-    target = _target(spark, target_path)
+    target = read_days(spark, target_path)
     new_rows = rewrite.mapped_rows(source, days, mapping, date_column)
     if part_col != tgt_date:
         new_rows = new_rows.withColumn(part_col, period_of(tgt_date, grain))
@@ -185,7 +185,7 @@ def year_reload_job(spark: SparkSession, source: DataFrame, target_path: str, da
     started = datetime.now()
     lo, hi = year_window(year)
     part_col = part_col or date_column
-    target = _target(spark, target_path)
+    target = read_days(spark, target_path)
     rows = source.filter(in_window(source, date_column, lo, hi))
     if part_col not in rows.columns:
         rows = rows.withColumn(part_col, period_of(date_column, grain))

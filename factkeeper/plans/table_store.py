@@ -4,16 +4,19 @@ A job must never overwrite the folder it reads from (the overwrite deletes
 the input half way). Each write therefore goes to a new version folder and
 only then is it committed (a new marker file) — readers of the old version
 are never disturbed (the "CONCURRENTLY" of a view refresh). Writers of a
-date-partitioned table can instead replace only the days they changed.
+date-partitioned table instead overwrite the partitions of the days they changed.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 
 class VersionedTable:
@@ -74,9 +77,9 @@ class VersionedTable:
         self.last_rows = int(obs.get["rows"])
         return version
 
-    def write_set(self, frames: dict) -> str:
+    def write_set(self, frames: dict, version: str | None = None) -> str:
         """Write several frames as parts of one version, then commit them with one marker."""
-        version = uuid.uuid4().hex
+        version = version or uuid.uuid4().hex
         for name, df in frames.items():
             df.write.mode("overwrite").parquet(f"{self.root}/v={version}/{name}")
         fs, jvm = self._fs()
@@ -117,8 +120,13 @@ class VersionedTable:
 
 # -- days of a partitioned table ------------------------------------------------
 
+# A target is the path of a parquet table partitioned by a date column, or the name of such a
+# table in the catalog. Only Spark's own partition overwrite writes to it: the new files of a
+# job are staged by Spark and take the place of the partitions that they belong to when the
+# job commits, so ``df`` may read the target and jobs on other days don't meet.
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-_READY = "_ready"
+_OTHER_DAY = "row of a day that is not replaced"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -131,78 +139,142 @@ def _folder(date_col: str, day) -> str:
     return f"{date_col}={NULL_PARTITION if day is None else day}"
 
 
-def _swap(fs, p, path: str, staging: str, filled: list[str], emptied: list[str]) -> None:
-    """Move the staged folders into the table and drop the emptied ones. Each folder is
-    moved whole; what has been moved already is skipped, so it can be run again."""
-    for name in filled:
-        if fs.exists(p(f"{staging}/{name}")):
-            fs.delete(p(f"{path}/{name}"), True)
-            if not fs.rename(p(f"{staging}/{name}"), p(f"{path}/{name}")):
-                raise OSError(f"could not move {staging}/{name}")
-    for name in emptied:
-        fs.delete(p(f"{path}/{name}"), True)
-    fs.delete(p(staging), True)
+def in_catalog(target: str) -> bool:
+    return "/" not in target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p(path))
+
+
+def has_periods(spark: SparkSession, path: str, period: str) -> bool:
+    """Whether a partitioned table has a partition."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p(path)) and any(x.getPath().getName().startswith(f"{period}=") for x in fs.listStatus(p(path)))
+
+
+def read_days(spark: SparkSession, target: str) -> DataFrame:
+    """The target, with the columns that were added to it."""
+    if in_catalog(target):
+        return spark.table(target)
+    schema = _declared(spark, target)
+    return spark.read.parquet(target) if schema is None else spark.read.schema(schema).parquet(target)
+
+
+#: Beside the files of a target without a catalog: its schema, once a column was added.
+_SCHEMA = "_schema.json"
+
 
+def _declared(spark: SparkSession, path: str) -> StructType | None:
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p(f"{path}/{_SCHEMA}")):
+        return None
+    stream = fs.open(p(f"{path}/{_SCHEMA}"))
+    try:
+        return StructType.fromJson(json.loads(bytes(stream.readAllBytes())))
+    finally:
+        stream.close()
+
+
+def add_column(spark: SparkSession, target: str, name: str, dtype: str, value: str) -> None:
+    """Add a column whose rows so far have ``value`` (a SQL literal), without writing
+    one of them: Spark fills it in where a file lacks the column, from the schema. Files
+    that are written from now on hold it."""
+    if in_catalog(target):
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({name} {dtype} DEFAULT {value})")
+        return
+    schema = read_days(spark, target).schema
+    parts = [f for f in schema.fields if f.name in _partition_columns(spark, target)]
+    rest = [f for f in schema.fields if f not in parts]
+    added = StructField(name, _parse_datatype_string(dtype), True, {"EXISTS_DEFAULT": value, "CURRENT_DEFAULT": value})
+    fs, p = _hadoop(spark, target)
+    out = fs.create(p(f"{target}/{_SCHEMA}"), True)
+    try:
+        out.write(bytearray(StructType([*rest, added, *parts]).json().encode()))
+    finally:
+        out.close()
+
+
+def _partition_columns(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _hadoop(spark, path)
+    return {x.getPath().getName().split("=")[0] for x in fs.listStatus(p(path)) if x.isDirectory() and "=" in x.getPath().getName()}
+
+
+@contextmanager
+def _dynamic(spark: SparkSession):
+    """``insertInto`` takes the mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-def finish_replacement(spark: SparkSession, path: str) -> int:
-    """Complete replacements of ``path`` that were staged whole but whose swap was
-    interrupted, and drop those that weren't; returns how many were completed.
 
-    Call it before reading the table in a job that rewrites it."""
+def by_period(df: DataFrame, period: str) -> DataFrame:
+    """Rows of a period together, so that it gets few files; AQE splits large periods over tasks
+    and puts small ones into one."""
+    return df.hint("rebalance", period)
+
+
+def _overwrite(df: DataFrame, target: str, date_col: str) -> None:
+    spark = df.sparkSession
+    if in_catalog(target):
+        with _dynamic(spark):
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(target)
+
+
+def drop_days(spark: SparkSession, target: str, date_col: str, days) -> None:
+    """Remove partitions; those that are not there do no harm."""
+    path = target
+    if in_catalog(target):
+        specs = [f"PARTITION ({date_col} = null)" if d is None else f"PARTITION ({date_col} = '{d}')" for d in days]
+        for lo in range(0, len(specs), 100):
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(specs[lo:lo + 100])}")
+        path = _location(spark, target)
     fs, p = _hadoop(spark, path)
-    if not fs.exists(p(path)):
-        return 0
-    done = 0
-    for status in fs.listStatus(p(path)):
-        name = status.getPath().getName()
-        if not name.startswith("_staging-"):
-            continue
-        staging = f"{path}/{name}"
-        if fs.exists(p(f"{staging}/{_READY}")):
-            lists = [[x.getPath().getName() for x in fs.listStatus(p(f"{staging}/{_READY}/{kind}"))]
-                     for kind in ("filled", "emptied")]
-            _swap(fs, p, path, staging, *lists)
-            done += 1
-        else:
-            fs.delete(p(staging), True)
-    return done
-
-
-def replace_days(df: DataFrame, path: str, date_col: str, days) -> int:
-    """Rewrite only the given days of a table partitioned by ``date_col`` (None: the rows
-    without a day); returns the number of rows written.
-
-    The rows are first written to a staging folder inside the table's, so ``df`` may read
-    the table itself. A row of any other day raises before the table is touched. Then the
-    days' folders are swapped in through the file system; days without rows lose theirs,
-    without a Spark job. An interrupted swap is completed by ``finish_replacement``.
+    for d in days:   # of a table that is only registered, the catalog leaves the files
+        fs.delete(p(f"{path}/{_folder(date_col, d)}"), True)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def replace_days(df: DataFrame, target: str, date_col: str, days) -> int:
+    """Rewrite only the given days of ``target`` (None: the rows without a day); returns the
+    number of rows written.
+
+    ``df`` may read the target. A row of any other day fails the job before it commits, so
+    nothing is touched. Days without rows lose their partition.
     """
     from pyspark.sql import Observation
 
     spark = df.sparkSession
     days = set(days)
-    wanted = {_folder(date_col, d): d for d in days}
-    path = path.rstrip("/")
-    staging = f"{path}/_staging-{uuid.uuid4().hex[:12]}"
+    known = F.col(date_col).isin([d for d in days if d is not None])
+    if None in days:
+        known = known | F.col(date_col).isNull()
+    other = F.raise_error(F.concat(F.lit(f"{_OTHER_DAY}: "), F.coalesce(F.col(date_col).cast("string"), F.lit("NULL"))))
+    checked = df.withColumn(date_col, F.when(F.coalesce(known, F.lit(False)), F.col(date_col)).otherwise(other.cast(df.schema[date_col].dataType)))
     obs = Observation("replace_days")
-    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(date_col)).alias("days"),
-                         F.count_if(F.col(date_col).isNull()).alias("no_day"))
-    counted.write.partitionBy(date_col).parquet(staging)
-    present = set(obs.get["days"] or []) | ({None} if obs.get["no_day"] else set())
-    fs, p = _hadoop(spark, path)
-    if present - days:
-        fs.delete(p(staging), True)
-        raise ValueError(f"rows of days that are not replaced: {sorted(map(str, present - days))[:5]}")
-    filled = [name for name, d in wanted.items() if d in present]
-    emptied = [name for name, d in wanted.items() if d not in present]
-    for kind, names in (("filled", filled), ("emptied", emptied)):
-        fs.mkdirs(p(f"{staging}/.{_READY}/{kind}"))
-        for name in names:
-            fs.create(p(f"{staging}/.{_READY}/{kind}/{name}"), False).close()
-    fs.rename(p(f"{staging}/.{_READY}"), p(f"{staging}/{_READY}"))
-    _swap(fs, p, path, staging, filled, emptied)
-    if not any(x.isDirectory() and not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(p(path))):
+    counted = by_period(checked, date_col).observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(date_col)).alias("days"),
+                                                   F.count_if(F.col(date_col).isNull()).alias("no_day"))
+    try:
+        _overwrite(counted, target, date_col)
+    except Exception as e:
+        if _OTHER_DAY in str(e):
+            raise ValueError(f"{_OTHER_DAY} in the rows for {target}") from e
+        raise
+    seen = obs.get
+    present = set(seen["days"] or []) | ({None} if seen["no_day"] else set())
+    drop_days(spark, target, date_col, days - present)
+    if not in_catalog(target) and not has_periods(spark, target, date_col):
         # the table would have no file to tell its schema
-        some = next(iter(wanted))
-        df.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{path}/{some}")
-    return int(obs.get["rows"])
+        df.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{target}/{_folder(date_col, next(iter(days)))}")
+    return int(seen["rows"])

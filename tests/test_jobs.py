@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from factkeeper.operators.rewrite import SyncSpec
 from factkeeper.plans import jobs
+from factkeeper.plans.table_store import read_days
 
 RUN = datetime(2024, 2, 1, 6, 0)
 SCHEMA = "k string, txn_date date, agent_code string, deposit_cases int"
@@ -21,18 +22,17 @@ def test_sync_job_rewrites_only_window_days(spark, tmp_path):
     path, log = str(tmp_path / "t"), str(tmp_path / "log")
     _store(spark, path, [("old1", date(2024, 1, 27), "X", 1), ("old2", date(2024, 1, 28), "X", 1),
                          ("old3", date(2024, 1, 30), "X", 1)])
-    src = spark.createDataFrame([], SCHEMA)   # a first run gives the table its stamp column
+    before = os.path.getmtime(tmp_path / "t" / "txn_date=2024-01-27")
+    src = spark.createDataFrame([], SCHEMA)   # a first run gives the table its stamp column, and writes no day
     jobs.sync_window_job(spark, src, path, SyncSpec(values=["X"], activity_columns=["deposit_cases"]),
                          date(2024, 2, 28), date(2024, 2, 29), RUN)
-    assert spark.read.parquet(path).filter(F.col("last_synced_at").isNull()).count() == 0
-    assert spark.read.parquet(path).count() == 3
-    before = os.path.getmtime(tmp_path / "t" / "txn_date=2024-01-27")
+    assert read_days(spark, path).filter(F.col("last_synced_at") == F.lit("2024-02-01 06:00:00").cast("timestamp")).count() == 3
     src = spark.createDataFrame([("new", date(2024, 1, 29), "X", 2), ("skip", date(2024, 1, 29), "Y", 2)],
                                 SCHEMA)
     n = jobs.sync_window_job(spark, src, path, SyncSpec(values=["X"], activity_columns=["deposit_cases"]),
                              date(2024, 1, 28), date(2024, 1, 31), RUN, log_path=log, market="usc")
     assert n == 1
-    got = sorted((r.k, r.txn_date) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.txn_date) for r in read_days(spark, path).collect())
     assert got == [("new", date(2024, 1, 29)), ("old1", date(2024, 1, 27))]   # 28 and 30 emptied
     assert os.path.getmtime(tmp_path / "t" / "txn_date=2024-01-27") == before   # untouched day
     logged = spark.read.parquet(log).first()
@@ -45,7 +45,7 @@ def test_sync_job_auto_list_without_values_is_noop(spark, tmp_path):
     src = spark.createDataFrame([("s", date(2024, 1, 29), None, 1)], SCHEMA)
     n = jobs.sync_window_job(spark, src, path, SyncSpec(mode="all", activity_columns=["deposit_cases"]),
                              date(2024, 1, 28), date(2024, 1, 31), RUN)
-    assert n == 0 and [r.k for r in spark.read.parquet(path).collect()] == ["old"]
+    assert n == 0 and [r.k for r in read_days(spark, path).collect()] == ["old"]
 
 
 def test_month_grain_keeps_rows_outside_window(spark, tmp_path):
@@ -55,11 +55,11 @@ def test_month_grain_keeps_rows_outside_window(spark, tmp_path):
     src = spark.createDataFrame([("c", date(2024, 1, 29), "X", 3)], SCHEMA)
     jobs.sync_window_job(spark, src, path, SyncSpec(values=["X"], activity_columns=["deposit_cases"]),
                          date(2024, 1, 28), date(2024, 1, 31), RUN, part_col="m", grain="month")
-    got = sorted(r.k for r in spark.read.parquet(path).collect())
+    got = sorted(r.k for r in read_days(spark, path).collect())
     assert got == ["a", "c"]   # same month, outside the window: kept
     assert jobs.periods_between(date(2024, 11, 15), date(2025, 2, 1), "month") == [
         date(2024, 11, 1), date(2024, 12, 1), date(2025, 1, 1)]
-    assert spark.read.parquet(path).filter(F.col("k") == "c").first().deposit_cases == 3
+    assert read_days(spark, path).filter(F.col("k") == "c").first().deposit_cases == 3
 
 
 def test_upsert_job_moves_a_key_from_a_row_without_a_date(spark, tmp_path):
@@ -69,10 +69,22 @@ def test_upsert_job_moves_a_key_from_a_row_without_a_date(spark, tmp_path):
     target.write.partitionBy("m").parquet(path)
     source = spark.createDataFrame([("k1", date(2024, 2, 3)), ("k2", date(2024, 2, 4))], "k string, d date")
     jobs.upsert_month_job(spark, source, path, "k", "d", date(2024, 2, 1), date(2024, 3, 1), ["d"], RUN, part_col="m")
-    got = sorted((r.k, str(r.d)) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, str(r.d)) for r in read_days(spark, path).collect())
     assert got == [("k1", "2024-02-03"), ("k2", "2024-02-04"), ("k3", "None")]
 
 
+def test_a_row_without_a_stamp_gets_one_once(spark, tmp_path):
+    path = str(tmp_path / "s")
+    rows = [("a", None, date(2024, 1, 1)), ("b", datetime(2023, 1, 1), date(2024, 1, 1)), ("c", datetime(2023, 1, 1), date(2024, 1, 2))]
+    spark.createDataFrame(rows, "k string, last_synced_at timestamp, txn_date date").write.partitionBy("txn_date").parquet(path)
+    untouched = os.path.getmtime(tmp_path / "s" / "txn_date=2024-01-02")
+    for run in (RUN, datetime(2024, 3, 1)):
+        jobs._with_stamp(spark, path, "txn_date", run)
+    got = {r.k: r.s for r in read_days(spark, path).select("k", F.col("last_synced_at").cast("string").alias("s")).collect()}
+    assert got["a"] == "2024-02-01 06:00:00" and got["b"] == got["c"]
+    assert os.path.getmtime(tmp_path / "s" / "txn_date=2024-01-02") == untouched
+
+
 def test_year_reload_by_day_needs_few_jobs(spark, tmp_path):
     path = str(tmp_path / "y")
     _store(spark, path, [("old", date(2024, 5, 5), "X", 1), ("other", date(2023, 5, 5), "X", 1)])
@@ -82,7 +94,7 @@ def test_year_reload_by_day_needs_few_jobs(spark, tmp_path):
     jobs.year_reload_job(spark, src, path, "txn_date", 2024)
     n = len(sc.statusTracker().getJobIdsForGroup("year-reload"))
     sc.setLocalProperty("spark.jobGroup.id", None)
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["a", "b", "other"]
+    assert sorted(r.k for r in read_days(spark, path).collect()) == ["a", "b", "other"]
     assert n <= 10
 
 
