@@ -61,7 +61,7 @@ def main(argv=None, spark=None) -> dict:
     cmd("export-table", "--source", "--out", "--order", "--period-column", "--period", "--max-rows")
     cmd("count-csv", "--path", "--no-quoted-newlines")
     cmd("maintain", "--serving", "--root", "--bands", "--short-key", "--tier-stamp", "--squad-leads",
-        "--customers", "--on-error")
+        "--customers", "--on-error", "--days")
     args = p.parse_args(argv)
     spark = spark or build_session()
     with scratch_scope(spark):
@@ -130,14 +130,17 @@ def _run(spark, args) -> dict:
     elif args.cmd == "count-csv":
         out["rows"] = csv_row_count(spark, args.path, quoted_newlines=not args.no_quoted_newlines).first()[0]
     elif args.cmd == "maintain":
-        from factkeeper.plans.maintenance import Market, maintain_serving
+        from factkeeper.plans.maintenance import Market, maintain_days, maintain_serving
         bands = [(name, float(lo), float(hi)) for name, lo, hi in json.loads(args.bands)]
         market = Market(args.market or "market", bands, short_key=bool(args.short_key),
                         customers=read(args.customers) if args.customers else None,
                         tier_stamp=bool(args.tier_stamp),
                         squad_leads=read(args.squad_leads) if args.squad_leads else None)
-        _, log = maintain_serving(spark, read(args.serving), as_of, args.root, market,
-                                  on_error=args.on_error or "continue")
+        how = args.on_error or "continue"
+        if args.days:    # days of the serving table that have changed; the rest stays as it is
+            log = maintain_days(spark, [_day(d) for d in args.days.split(",")], args.serving, args.root, market, on_error=how)
+        else:
+            _, log = maintain_serving(spark, read(args.serving), as_of, args.root, market, on_error=how)
         out["steps"] = {r.step_name: r.status for r in log.collect()}
     return out
 

@@ -2,6 +2,8 @@
 maintenance (C) → KPI report (E), and the maintenance chain itself in the
 reference's step order (SURVEY §2.14).
 
+The daily run works on changed days (``maintain_days``); ``maintain_serving`` computes the
+whole table and all views anew, e.g. for a first load or after a change of the rules.
 Each stored output is a ``VersionedTable`` under ``root``; the step log
 records every step with its status, and with ``on_error='continue'`` a
 failing view does not stop the others (the runner's behaviour), with
@@ -17,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factkeeper.functions.predicates import in_window
+from factkeeper.functions.scalar import LINE_RECODES, recode
 from factkeeper.functions.time_windows import h_minus_1, recent_days, two_days_back
 from factkeeper.operators import kpi, rewrite, update, views
 from factkeeper.plans import jobs
+from factkeeper.plans.day_views import DayViews
+from factkeeper.plans.serving_store import ServingStore
 from factkeeper.plans.steps import STEP_LOG_SCHEMA, run_steps, serving_steps
-from factkeeper.plans.table_store import VersionedTable
+from factkeeper.plans.table_store import VersionedTable, read_days
 from factkeeper.session import scratch_scope
 from factkeeper.sinks.csv_export import append_run_log, run_log_row, write_csv
 
@@ -48,7 +53,11 @@ def _tier_by_key(f: DataFrame, bands) -> DataFrame:
 
 
 def _tier_stamp(f: DataFrame, bands, c: views.FactCols) -> DataFrame:
-    monthly = views.tier_monthly(f, bands, c).withColumnRenamed("month_start", "__ms")
+    return _stamp_tiers(f, views.tier_monthly(f, bands, c))
+
+
+def _stamp_tiers(f: DataFrame, tiers: DataFrame) -> DataFrame:
+    monthly = tiers.withColumnRenamed("month_start", "__ms")
     return update.update_from(
         f.withColumn("__ms", views.month_start("date")), monthly, ["user_unique", "__ms"],
         {"tier_name": "tier_name", "prev_tier_name": "prev_tier_name",
@@ -167,6 +176,76 @@ def maintain_serving(spark: SparkSession, serving: DataFrame, as_of: date, root:
     return stored, log.unionByName(spark.createDataFrame(rows, STEP_LOG_SCHEMA))
 
 
+#: Views small enough (lines by periods, tiers by months) to be stored anew each day.
+STORED_VIEWS = ["monthly_summary", "line_summary", "daily_summary", "quarter_summary", "deposit_summary", "tier_summary",
+                "new_registrations", "retention_daily", "retention_monthly"]
+
+
+def _stores(spark: SparkSession, serving_path: str, root: str, market: Market) -> tuple[ServingStore, DayViews]:
+    recodes = LINE_RECODES if market.line_recodes is None else market.line_recodes
+    register = "register_date" if "register_date" in read_days(spark, serving_path).columns else None
+    return (ServingStore(spark, f"{root}/{market.name}/store", market.bands, market.line_recodes,
+                         short_key=market.short_key, fact_path=serving_path),
+            DayViews(spark, f"{root}/{market.name}/views", serving_path, market.bands,
+                     prepare=lambda rows: rows.withColumn("line", recode("line", recodes)), register=register))
+
+
+def maintain_days(spark: SparkSession, days, serving_path: str, root: str, market: Market, staging: DataFrame | None = None,
+                  mapping=None, on_error: str = "continue", log_path: str | None = None) -> DataFrame:
+    """Pipeline B and C by changed days; returns the step log.
+
+    ``days`` of the serving table are replaced from ``staging`` (without it they have changed
+    already), then the per-user stamps and the views take them over (``serving_store``,
+    ``day_views``): the rest of the fact is neither read nor written. The first run takes over
+    the whole table. Small views are stored as versions; the large ones, by user, are kept by
+    month or day and read through ``DayViews``."""
+    store, view = _stores(spark, serving_path, root, market)
+    rows, stop = [], False
+
+    def run(name, fn):
+        nonlocal stop
+        if stop:
+            return
+        started = datetime.now()
+        try:
+            rows.append((len(rows) + 1, name, "OK", "", fn(), started, datetime.now()))
+        except Exception as e:  # noqa: BLE001 - logged like the reference's runner
+            rows.append((len(rows) + 1, name, "ERROR", str(e).splitlines()[0][:500], None, started, datetime.now()))
+            stop = on_error == "stop"
+
+    def copy():
+        return jobs.mapped_copy_job(spark, staging, serving_path, days, mapping, log_path=log_path, market=market.name)
+
+    if not store.exists() or not view.exists():
+        if staging is not None:
+            run("serving", copy)
+        run("stamps", store.adopt)
+        run("view_days", view.build)
+    else:
+        view.announce(days)
+        if staging is not None:
+            run("serving", lambda: store.copy_days(staging, days, mapping, log_path=log_path, market=market.name))
+        else:
+            run("stamps", lambda: store.refresh(days))
+        run("view_days", view.refresh)
+    stale = any(status == "ERROR" for _, _, status, *_ in rows)
+    for name in STORED_VIEWS:
+        if stale:   # the days' tables hold older rows; views of them would be stale
+            rows.append((len(rows) + 1, name, "SKIPPED", "the days were not taken over", None, datetime.now(), datetime.now()))
+        else:
+            run(name, lambda name=name: _write_view(VersionedTable(spark, f"{root}/{market.name}/{name}"), getattr(view, name)()))
+    return spark.createDataFrame(rows, STEP_LOG_SCHEMA)
+
+
+def serving_rows(spark: SparkSession, serving_path: str, root: str, market: Market, as_of: date) -> DataFrame:
+    """The serving table with everything the chain stamps on it, as of a day."""
+    store, view = _stores(spark, serving_path, root, market)
+    out = store.read(as_of)
+    if market.squad_leads is not None:
+        out = update.conditional_update(out, market.squad_leads, "line", "squad_lead", "lead")
+    return _stamp_tiers(out, view.tier_monthly()) if market.tier_stamp else out
+
+
 def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving_path: str,
               root: str, as_of: date, spec: rewrite.SyncSpec, market: Market,
               run_ts: datetime | None = None, report_path: str | None = None,
@@ -174,12 +253,11 @@ def daily_run(spark: SparkSession, source: DataFrame, staging_path: str, serving
     """A → B → C → E for one market; returns the maintenance step log.
 
     A: the last ``spec.days_back`` days of the staging table are replaced
-    from the source; B: the serving table's two days before ``as_of`` are
-    replaced by the mapped copy (the mapping also carries ``user_unique``,
-    which the chain keys on); C: ``maintain_serving`` on the serving table;
-    E: the KPI report of H-1 over ``report_tables`` (name → staging path of each
-    market, in report order; default: this market's). With ``log_path`` every
-    part appends its run-log row.
+    from the source; B and C: ``maintain_days`` with the serving table's two days before
+    ``as_of`` (the mapping also carries ``user_unique``, which the chain keys on), read by
+    ``serving_rows``; E: the KPI report of H-1 over ``report_tables`` (name → staging path of
+    each market, in report order; default: this market's). With ``log_path`` every part
+    appends its run-log row.
     """
     with scratch_scope(spark):   # every output is written when it ends
         return _daily_run(spark, source, staging_path, serving_path, root, as_of, spec, market,
@@ -193,10 +271,9 @@ def _daily_run(spark, source, staging_path, serving_path, root, as_of, spec, mar
     jobs.sync_window_job(spark, source, staging_path, spec, start, end, run_ts,
                          log_path=log_path, market=market.name)
     mapping = rewrite.SERVING_MAPPING + [("user_unique", "user_unique")]
-    jobs.mapped_copy_job(spark, spark.read.parquet(staging_path), serving_path,
-                         two_days_back(as_of), mapping, log_path=log_path, market=market.name)
     started = datetime.now()
-    _, log = maintain_serving(spark, spark.read.parquet(serving_path), as_of, root, market)
+    log = maintain_days(spark, two_days_back(as_of), serving_path, root, market, read_days(spark, staging_path), mapping,
+                        log_path=log_path)
     if log_path:
         bad = log.filter("status <> 'OK'").count()
         rows = log.agg(F.sum("rowcount")).first()[0] or 0
@@ -213,7 +290,7 @@ def kpi_report_run(spark: SparkSession, tables: dict, as_of: date, report_path:
     file, with a run-log row that keeps when it started and finished; returns its rows."""
     started = datetime.now()
     lo, hi = h_minus_1(as_of)
-    frames = {name: spark.read.parquet(path) for name, path in tables.items()}
+    frames = {name: read_days(spark, path) for name, path in tables.items()}
     report = kpi.kpi_report(kpi.kpi_union({n: f.filter(in_window(f, "txn_date", lo, hi)) for n, f in frames.items()}))
     write_csv(report.drop("market_order"), report_path, parts=1)
     rows = report.count()
@@ -223,5 +300,5 @@ def kpi_report_run(spark: SparkSession, tables: dict, as_of: date, report_path:
     return rows
 
 
-__all__ = ["Market", "maintenance_updates", "maintenance_views", "maintain_serving", "daily_run",
-           "kpi_report_run"]
+__all__ = ["Market", "STORED_VIEWS", "maintenance_updates", "maintenance_views", "maintain_serving", "maintain_days",
+           "serving_rows", "daily_run", "kpi_report_run"]

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -105,6 +107,23 @@ def scratch_path(spark: SparkSession, label: str, temporary: bool = False) -> st
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, as ``--py-files`` would (once per application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(target))
+
+
 _SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
@@ -127,4 +146,4 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path", "scratch_scope"]
+__all__ = ["BASE_CONF", "build_session", "scale_conf", "checkpoint_root", "scratch_path", "scratch_scope", "ship_package"]

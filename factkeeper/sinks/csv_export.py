@@ -17,19 +17,17 @@ from pyspark.sql import types as T
 from factkeeper.functions.predicates import in_window, year_of
 from factkeeper.functions.scalar import as_text
 from factkeeper.functions.time_windows import month_of
+from factkeeper.operators.update import key_side
 
 BOM = "﻿"
 # Fixed value: the spreadsheet row limit; a part holds at most this many data rows.
 SHEET_ROW_LIMIT = 1_048_576
 
 
-def _writer(df: DataFrame, header: bool, max_rows: int | None):
-    w = (df.write.mode("overwrite").option("header", header)
-         .option("nullValue", "").option("emptyValue", "")
-         .option("encoding", "UTF-8").option("escape", '"'))
-    if max_rows:
-        w = w.option("maxRecordsPerFile", max_rows)
-    return w
+def _writer(df: DataFrame, header: bool):
+    return (df.write.mode("overwrite").option("header", header)
+            .option("nullValue", "").option("emptyValue", "")
+            .option("encoding", "UTF-8").option("escape", '"'))
 
 
 def with_bom(df: DataFrame, skip=()) -> DataFrame:
@@ -54,17 +52,38 @@ def _ordered(df: DataFrame, order_cols, parts: int | None, lead=()) -> DataFrame
     return ranged.sortWithinPartitions(*cols)
 
 
+def filled_parts(df: DataFrame, order_cols, limit: int) -> DataFrame:
+    """``df`` in parts of exactly ``limit`` rows, the last one of what is left: partition ``k``
+    holds the rows ``k * limit`` to ``(k + 1) * limit`` of the order.
+
+    The sorted ranges are stored with each row's place in its range. Their counts, one for each
+    range, give the ranges' first places, so no task sees more than a range or a part."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = key_side(_ordered(df, list(order_cols), None).withColumn("__range", F.spark_partition_id()).withColumn("__place", place))
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range").collect()
+    firsts, total = [], 0
+    for r in counts:
+        firsts.append((r["__range"], total))
+        total += r["n"]
+    if not total:
+        return df.limit(0).coalesce(1)
+    starts = F.broadcast(df.sparkSession.createDataFrame(firsts, "__range int, __first long"))   # a row for each range
+    placed = ranged.join(starts, "__range").withColumn("__row", F.col("__first") + F.col("__place"))
+    return placed.repartitionById(-(-total // limit), F.expr(f"cast(__row div {limit} as int)")).sortWithinPartitions("__row").select(*df.columns)
+
+
 def write_csv(df: DataFrame, path: str, order_cols=(), bom: bool = False, header: bool = True,
               max_rows_per_file: int | None = None, parts: int | None = None,
               write_if_empty: bool = True) -> str | None:
     """The whole table as CSV, ordered by ``order_cols``; with
-    ``write_if_empty=False`` an empty table writes nothing (returns None)."""
+    ``write_if_empty=False`` an empty table writes nothing (returns None). With
+    ``max_rows_per_file`` every file but the last holds exactly that many rows (E6)."""
     if not write_if_empty and df.isEmpty():
         return None
-    out = _ordered(df, list(order_cols), parts)
+    out = filled_parts(df, order_cols, max_rows_per_file) if max_rows_per_file else _ordered(df, list(order_cols), parts)
     if bom:
         out = with_bom(out)
-    _writer(out, header, max_rows_per_file).csv(path)
+    _writer(out, header).csv(path)
     return path
 
 
@@ -79,7 +98,7 @@ def export_by_year(df: DataFrame, year_col: str, path: str, order_cols=(), bom:
     out = _ordered(keyed, list(order_cols), parts, lead=["_year"])
     if bom:
         out = with_bom(out, skip=("_year",))
-    _writer(out, True, None).partitionBy("_year").csv(path)
+    _writer(out, True).partitionBy("_year").csv(path)
     return path
 
 
@@ -135,8 +154,8 @@ def share_ready(df: DataFrame, drop_cols=()) -> DataFrame:
 def share_export(df: DataFrame, path: str, drop_cols=(), order_cols=(),
                  max_rows_per_file: int | None = SHEET_ROW_LIMIT - 1) -> str:
     """Replace the shared copy with the share-ready table."""
-    out = share_ready(_ordered(df, list(order_cols), None), drop_cols)
-    _writer(out, True, max_rows_per_file).csv(path)
+    ordered = filled_parts(df, order_cols, max_rows_per_file) if max_rows_per_file else _ordered(df, list(order_cols), None)
+    _writer(share_ready(ordered, drop_cols), True).csv(path)
     return path
 
 

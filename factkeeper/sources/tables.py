@@ -7,10 +7,12 @@ separate "select these columns" API.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factkeeper.session import ship_package
+
 
 class MissingColumns(ValueError):
     """Raised when a frame lacks required columns; names every one of them."""
@@ -35,18 +37,66 @@ def read_table(spark: SparkSession, name: str, fmt: str = "parquet",
     return reader.load(name)
 
 
+def _split_counts(batches):
+    """For each byte range of a file, from its lines: whether it holds an odd number of quotes, and
+    how many rows end in it if it starts outside quotes, and if it starts inside."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    names = ["file", "start", "odd", "outside", "inside"]
+    at, odd, ends = None, 0, [0, 0]
+
+    def row():
+        return pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]], pa.int64()), pa.array([odd], pa.int32()),
+                                           pa.array([ends[0]], pa.int64()), pa.array([ends[1]], pa.int64())], names)
+
+    for b in batches:
+        start = b.column("start").to_numpy()
+        file = b.column("file").dictionary_encode()
+        edges = np.flatnonzero((np.diff(start) != 0) | (np.diff(file.indices.to_numpy()) != 0)) + 1
+        for lo, hi in zip([0, *edges], [*edges, b.num_rows]):
+            if lo == hi:
+                continue
+            this = (b.column("file")[int(lo)].as_py(), int(start[lo]))
+            if this != at:
+                if at is not None:
+                    yield row()
+                at, odd, ends = this, 0, [0, 0]
+            lines = b.column("value").slice(lo, hi - lo)
+            after = (odd + np.cumsum(pc.count_substring(lines, '"').to_numpy())) % 2
+            said = pc.binary_length(lines).to_numpy() > 0    # an empty line outside quotes is no row
+            ends[0] += int(((after == 0) & said).sum())
+            ends[1] += int(((after == 1) & said).sum())
+            odd = int(after[-1])
+    if at is not None:
+        yield row()
+
+
 def csv_row_count(spark: SparkSession, path: str, header: bool = True,
                   quoted_newlines: bool = True) -> DataFrame:
     """S3: data rows in a CSV file/folder; quoted newlines belong to one row.
 
-    With them a file can't be split, so each is one task; where the writer made none,
-    ``quoted_newlines=False`` lets Spark split large files.
+    A large file is split. Whether a line break stands inside quotes depends on all quotes before
+    it, so each byte range counts its rows for both cases and says whether it flips them; a
+    prefix over a file's ranges, one row each, then tells which count holds. Quotes stand around
+    fields, doubled inside (RFC 4180). Where the writer made no such line breaks,
+    ``quoted_newlines=False`` leaves it to Spark's line-wise reader.
 
     Returned as a one-row frame (``rows``) so it composes with other checks.
     """
-    df = (spark.read.option("header", header).option("multiLine", quoted_newlines)
-          .option("escape", '"').csv(path))
-    return df.agg(F.count(F.lit(1)).alias("rows"))
+    if not quoted_newlines:
+        df = spark.read.option("header", header).option("escape", '"').csv(path)
+        return df.agg(F.count(F.lit(1)).alias("rows"))
+    ship_package(spark)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("start"))
+    ranges = lines.mapInArrow(_split_counts, "file string, start long, odd int, outside long, inside long")
+    before = F.coalesce(F.sum("odd").over(Window.partitionBy("file").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    counted = ranges.withColumn("n", F.when(before == 0, F.col("outside")).otherwise(F.col("inside")))
+    files = counted.groupBy("file").agg((F.sum("n") + F.sum("odd") % 2 - F.lit(int(header))).alias("n"))   # an open row at the end is one
+    return files.agg(F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).cast("bigint").alias("rows"))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

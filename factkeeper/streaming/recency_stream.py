@@ -11,16 +11,21 @@ work proportional to the batch and the number of keys, never to the whole histor
 
 A stream of new rows only appends, so folding MAX is exact. Rows that vanish or move are
 taken back by the trailing reload (I3): with ``reload`` every batch also re-reads the last
-days whole from the source. Such a day's rows supersede those of all earlier epochs, and
-the keys seen on it, before or after, are recomputed instead of folded.
+days whole from the source. A whole day is written to ``<state>/whole/date=<d>/epoch=<e>/``
+and listed in the version that commits it; it stands for all rows of that day up to that
+epoch, and the keys seen on it, before or after, are recomputed instead of folded.
+``compact`` makes whole days of closed ones, merged. What a whole day replaces is deleted
+once it is committed: after a compaction at once, after a reload with the next batch, so
+that readers of the version before aren't disturbed.
 
 The stamped fact is a read-time view: additive rows merged per (key, day) and joined to
 the per-key table; ``days_inactive`` is computed for the ``as_of`` of the read. Its rows
-equal one batch run over all rows. ``compact`` writes closed days as one such whole day.
+equal one batch run over all rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -30,11 +35,10 @@ from pyspark.sql import functions as F
 
 from factkeeper.functions.scalar import days_between
 from factkeeper.operators import recency
-from factkeeper.plans.table_store import VersionedTable
+from factkeeper.operators.update import key_side
+from factkeeper.plans.table_store import VersionedTable, by_period, has_periods
 from factkeeper.session import scratch_path
 
-_WHOLE = "whole_day"
-
 
 @dataclass(frozen=True)
 class StreamModel:
@@ -61,36 +65,38 @@ class RecencyState:
         self.model = model
         self.reload = reload
         self.daily_path = f"{self.root}/daily"
-        self.keys = VersionedTable(spark, f"{self.root}/keys")
+        self.whole_path = f"{self.root}/whole"
+        self.state = VersionedTable(spark, f"{self.root}/keys")
 
     def committed_epoch(self) -> int:
-        v = self.keys.current()
-        return -1 if v is None else int(v)
+        v = self.state.current()
+        return -1 if v is None else int(v.split("_")[0])
 
-    def _write(self, parts: DataFrame, epoch_id: int, whole: bool) -> None:
-        (parts.withColumn(_WHOLE, F.lit(whole)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.model.date, "epoch").parquet(self.daily_path))
+    def _write(self, parts: DataFrame, epoch_id: int, path: str) -> None:
+        (by_period(parts.withColumn("epoch", F.lit(epoch_id)), self.model.date).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.model.date, "epoch").parquet(path))
 
-    def _reloads(self) -> DataFrame:
-        """Day and epoch of all reloads; a day may have come back without any row."""
-        fs_path = f"{self.root}/reloads"
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(fs_path)
-        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    def _whole_days(self) -> DataFrame:
+        """``__day, __since``: days that are stored whole, and the epoch up to which."""
+        if not self.state.exists():
             return self.spark.createDataFrame([], "__day date, __since int")
-        return self.spark.read.schema("__day date, __since int").parquet(fs_path)
-
-    def parts(self, upto: int) -> DataFrame:
-        """Additive rows of the epochs up to ``upto``, those of superseded ones left out."""
-        m = self.model
-        rows = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") <= upto)
-        whole = rows.filter(_WHOLE).select(F.col(m.date).alias("__day"), F.col("epoch").alias("__since"))
-        since = (whole.unionByName(self._reloads().filter(F.col("__since") <= upto))
-                 .groupBy("__day").agg(F.max("__since").alias("__since")))
-        return (rows.join(since, F.col(m.date) == F.col("__day"), "left")
-                .filter(F.col("__since").isNull() | (F.col("epoch") > F.col("__since"))
-                        | ((F.col("epoch") == F.col("__since")) & F.col(_WHOLE)))
-                .drop("__day", "__since", "epoch", _WHOLE))
+        return self.state.read_part("whole")
+
+    def _rows(self, path: str) -> DataFrame | None:
+        """The stored rows; None where there is no day yet."""
+        return self.spark.read.parquet(path) if has_periods(self.spark, path, self.model.date) else None
+
+    def parts(self, whole: DataFrame, upto: int) -> DataFrame:
+        """Additive rows of the epochs up to ``upto``: whole days, and what came since."""
+        day = F.col(self.model.date)
+        both = None
+        if (daily := self._rows(self.daily_path)) is not None:
+            both = (daily.filter(F.col("epoch") <= upto).join(F.broadcast(whole), day == F.col("__day"), "left")   # a row a day
+                    .filter(F.col("__since").isNull() | (F.col("epoch") > F.col("__since"))).drop("__day", "__since", "epoch"))
+        if (days := self._rows(self.whole_path)) is not None:
+            kept = days.join(F.broadcast(whole), (day == F.col("__day")) & (F.col("epoch") == F.col("__since"))).drop("__day", "__since", "epoch")
+            both = kept if both is None else both.unionByName(kept)
+        return both
 
     def _maxima(self, parts: DataFrame) -> DataFrame:
         m = self.model
@@ -102,57 +108,80 @@ class RecencyState:
         if epoch_id <= self.committed_epoch():
             return  # replayed epoch: already folded in
         m = self.model
-        before = self.committed_epoch()
-        days, touched = [], None
+        before, old_whole = self.committed_epoch(), self._whole_days()
+        self._drop_replaced(old_whole)
+        days, whole, again = [], old_whole, None
+        new_rows = m.partial(batch)
         if self.reload is not None:
             days, raw = self.reload()
             on_days = F.col(m.date).isin(days)
             if before >= 0:
-                touched = self.parts(before).filter(on_days).select(m.key)
-            self._reloaded(batch, raw, on_days, epoch_id, days)
-        else:
-            self._write(m.partial(batch), epoch_id, False)
-        fresh = self.spark.read.parquet(self.daily_path).filter(F.col("epoch") == epoch_id)
+                again = self.parts(old_whole, before).filter(on_days).select(m.key)
+            self._write(m.partial(raw).filter(on_days), epoch_id, self.whole_path)
+            new_rows = new_rows.filter(~on_days)
+            marks = self.spark.createDataFrame([(d, epoch_id) for d in days], "__day date, __since int")
+            whole = old_whole.join(marks, "__day", "left_anti").unionByName(marks)
+        self._write(new_rows, epoch_id, self.daily_path)
+        fresh = m.partial(batch).limit(0)
+        for path in (self.daily_path, self.whole_path) if days else (self.daily_path,):
+            if (rows := self._rows(path)) is not None:
+                fresh = fresh.unionByName(rows.filter(F.col("epoch") == epoch_id).drop("epoch"))
         merged = self._maxima(fresh)
-        if self.keys.exists():
-            prev = self.keys.read()
-            if touched is not None:
-                again = touched.unionByName(fresh.filter(F.col(m.date).isin(days)).select(m.key)).distinct()
-                redone = self._maxima(self.parts(epoch_id).join(again, m.key, "left_semi"))
+        if before >= 0:
+            prev = self.state.read_part("keys")
+            if again is not None:
+                again = key_side(again.unionByName(fresh.filter(F.col(m.date).isin(days)).select(m.key)).distinct())
+                redone = self._maxima(self.parts(whole, epoch_id).join(again, m.key, "left_semi"))
                 prev = prev.join(again, m.key, "left_anti")
                 merged = merged.join(again, m.key, "left_anti")
             folded = prev.join(merged.withColumnsRenamed({recency.LAST_ACTIVITY: "a", recency.LAST_DEPOSIT: "d"}), m.key, "full").select(
                 m.key, F.greatest(recency.LAST_ACTIVITY, "a").alias(recency.LAST_ACTIVITY),
                 F.greatest(recency.LAST_DEPOSIT, "d").alias(recency.LAST_DEPOSIT))
-            merged = folded if touched is None else folded.unionByName(redone)
-        self.keys.write(merged, str(epoch_id))   # the commit marker commits the epoch
-        self.keys.prune(keep=2)
-
-    def _reloaded(self, batch: DataFrame, raw: DataFrame, on_days, epoch_id: int, days: list[date]) -> None:
-        """The batch's rows of other days, and the trailing days whole."""
-        m = self.model
-        rest = m.partial(batch).filter(~on_days).withColumn(_WHOLE, F.lit(False))
-        whole = m.partial(raw).filter(on_days).withColumn(_WHOLE, F.lit(True))
-        (rest.unionByName(whole).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(m.date, "epoch").parquet(self.daily_path))
-        (self.spark.createDataFrame([(d, epoch_id) for d in days], "__day date, __since int").coalesce(1)
-         .write.mode("append").parquet(f"{self.root}/reloads"))
+            merged = folded if again is None else folded.unionByName(redone)
+        self.state.write_set({"keys": merged, "whole": whole.coalesce(1)}, str(epoch_id))   # the marker commits the epoch
+        self.state.prune(keep=2)
 
     def compact(self, before: date) -> None:
-        """Write the days before ``before`` as whole days of the committed epoch, merged."""
-        epoch = self.committed_epoch()
-        m = self.model
-        closed = self.parts(epoch).filter(F.col(m.date) < F.lit(before))
-        path = scratch_path(self.spark, "compact")
-        m.merge(closed).write.parquet(path)
-        self._write(self.spark.read.parquet(path), epoch, True)
+        """Merge the days before ``before`` into whole ones and delete what they replace.
+
+        The days are written beside the old ones and committed with the keys as they are; a
+        compaction that is cut off leaves files that the next one replaces."""
+        epoch, m = self.committed_epoch(), self.model
+        whole = self._whole_days()
+        daily = self._rows(self.daily_path)
+        if epoch < 0 or daily is None:
+            return
+        loose = daily.filter((F.col(m.date) < F.lit(before)) & (F.col("epoch") <= epoch)).select(F.col(m.date).alias("__day")).distinct()
+        days = [r["__day"] for r in loose.collect()]   # closed days of the calendar
+        self._write(m.merge(self.parts(whole, epoch).filter(F.col(m.date).isin(days))), epoch, self.whole_path)
+        marks = self.spark.createDataFrame([(d, epoch) for d in days], "__day date, __since int")
+        now = whole.join(marks, "__day", "left_anti").unionByName(marks)
+        self.state.write_set({"keys": self.state.read_part("keys"), "whole": now.coalesce(1)}, f"{epoch}_{uuid.uuid4().hex}")
+        self.state.prune(keep=2)
+        self._drop_replaced(self._whole_days())
+
+    def _drop_replaced(self, whole: DataFrame) -> None:
+        """Delete the folders that whole days stand for."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path
+        for r in whole.collect():   # days of the calendar
+            for path, most in ((self.daily_path, r["__since"]), (self.whole_path, r["__since"] - 1)):
+                folder = p(f"{path}/{self.model.date}={r['__day']}")
+                fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+                if fs.exists(folder):
+                    for x in fs.listStatus(folder):
+                        name = x.getPath().getName()
+                        if name.startswith("epoch=") and int(name[6:]) <= most:
+                            fs.delete(x.getPath(), True)
+                    if not fs.listStatus(folder):
+                        fs.delete(folder, True)
 
     def read(self, as_of: date) -> DataFrame:
         """The stamped daily fact as of the last committed epoch."""
         m = self.model
-        fact = m.finish(m.merge(self.parts(self.committed_epoch())))
-        keys = self.keys.read().withColumn(recency.DAYS_INACTIVE,
-                                           days_between(as_of, recency.LAST_DEPOSIT))
+        fact = m.finish(m.merge(self.parts(self._whole_days(), self.committed_epoch())))
+        keys = self.state.read_part("keys").withColumn(recency.DAYS_INACTIVE,
+                                                       days_between(as_of, recency.LAST_DEPOSIT))
         return fact.join(keys, m.key, "left")
 
 

@@ -81,7 +81,8 @@ def test_row_cap_parts_have_header(spark, tmp_out):
                            max_rows_per_file=5)
     files = sorted(glob.glob(f"{path}/part-*.csv"))
     sizes = [len(open(f).read().splitlines()) - 1 for f in files]
-    assert sum(sizes) == 11 and max(sizes) <= 5
+    assert sizes == [5, 5, 1]
+    assert [int(x) for f in files for x in open(f).read().splitlines()[1:]] == list(range(11))
     assert all(open(f).readline().strip() == "n" for f in files)
 
 
@@ -196,3 +197,49 @@ def test_csv_rows_with_and_without_quoted_newlines(spark, tmp_path):
     assert csv_row_count(spark, str(tmp_path)).first()[0] == 2
     (tmp_path / "a.csv").write_text("k,v\n1,y\n2,x\n")
     assert csv_row_count(spark, str(tmp_path), quoted_newlines=False).first()[0] == 2
+
+
+def test_parts_are_filled_in_order(spark, tmp_out):
+    """All parts but the last hold exactly the limit, however the sorted ranges fall."""
+    df = spark.range(1000).repartition(7).selectExpr("id % 10 as hot", "id", "concat('t', id) as t")
+    path = E.write_csv(df, f"{tmp_out}/p", order_cols=["hot", "id"], max_rows_per_file=64)
+    files = sorted(glob.glob(f"{path}/part-*.csv"))
+    rows = [f_rows for f in files for f_rows in [open(f).read().splitlines()[1:]]]
+    assert [len(r) for r in rows] == [64] * 15 + [40]
+    got = [tuple(map(int, x.split(",")[:2])) for r in rows for x in r]
+    assert got == sorted(got) and len(set(got)) == 1000
+    shared = E.share_export(df, f"{tmp_out}/s", drop_cols=["t"], order_cols=["id"], max_rows_per_file=300)
+    assert [len(open(f).read().splitlines()) - 1 for f in sorted(glob.glob(f"{shared}/part-*.csv"))] == [300, 300, 300, 100]
+    empty = E.write_csv(df.limit(0), f"{tmp_out}/e", order_cols=["id"], max_rows_per_file=5)
+    assert [open(f).read().strip() for f in glob.glob(f"{empty}/part-*.csv")] == ["hot,id,t"]
+
+
+def test_a_split_csv_counts_like_the_multi_line_reader(spark, tmp_path):
+    """Byte ranges of a few hundred bytes: breaks inside quotes, doubled quotes, blank lines."""
+    import random
+    rnd = random.Random(3)
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for k in range(3):
+        end = "\r\n" if k == 2 else "\n"
+        out = [f"id,text,note{end}"]
+        for i in range(200):
+            said = "".join(rnd.choice(["a", "é", '""', "\n", ",", "\n\n", " "]) for _ in range(rnd.randint(0, 60)))
+            out.append(f'{i},"{said}",{rnd.choice(["", "x", chr(34) * 2])}' + end + rnd.choice(["", "", end]))
+        (folder / f"{k}.csv").write_bytes("".join(out).rstrip("\r\n" if k else "").encode())
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(folder))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("400", "1000", "100000"):
+            spark.conf.set(key, size)
+            assert csv_row_count(spark, str(folder)).first()[0] == reader.count() == 600
+            assert csv_row_count(spark, str(folder), header=False).first()[0] == 603
+        spark.conf.set(key, "400")
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20    # a file is counted by several tasks
+    finally:
+        spark.conf.set(key, before)
+    (tmp_path / "open.csv").write_text('k,v\n1,"not closed\n2,x\n')
+    assert csv_row_count(spark, str(tmp_path / "open.csv")).first()[0] == 1
+    (tmp_path / "none.csv").write_text("")
+    assert csv_row_count(spark, str(tmp_path / "none.csv")).first()[0] == 0

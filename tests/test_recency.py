@@ -101,3 +101,47 @@ def test_trailing_reload_takes_rows_back(spark, tmp_path):
     assert sorted(map(tuple, state.read(d(10)).select(*cols).collect())) == want
     state.compact(d(9))
     assert sorted(map(tuple, state.read(d(10)).select(*cols).collect())) == want
+
+
+def test_compaction_leaves_one_file_a_closed_day(spark, tmp_path):
+    from factkeeper.streaming.recency_stream import RecencyState, StreamModel
+
+    def add_up(df):
+        return df.groupBy("who", "day").agg(F.sum("cases").alias("cases"))
+
+    model = StreamModel(add_up, add_up, key="who", date="day", cases="cases")
+    d = lambda n: date(2024, 1, n)
+    frame = lambda rows: spark.createDataFrame(rows, "who string, day date, cases long")
+    root = tmp_path / "st"
+    state = RecencyState(spark, str(root), model)
+    files = lambda: sorted(str(p.parent.relative_to(root)) for p in root.glob("*/day=*/epoch=*/*.parquet"))
+    for epoch in range(6):
+        state.fold(frame([("a", d(k), 1) for k in (1, 2, 3)] + [("b", d(epoch + 1), 0)]), epoch)
+    before = sorted(map(tuple, state.read(d(10)).collect()))
+    assert len(files()) >= 18
+    state.compact(d(3))
+    assert sorted(map(tuple, state.read(d(10)).collect())) == before
+    assert [f for f in files() if "day=2024-01-01" in f or "day=2024-01-02" in f] == [f"whole/day=2024-01-0{k}/epoch=5" for k in (1, 2)]
+    state.fold(frame([("a", d(1), 7), ("c", d(9), 1)]), 6)     # a late row of a closed day
+    state.fold(frame([]), 6)                                   # a replayed epoch
+    assert {r.cases for r in state.read(d(10)).filter("who = 'a' and day = '2024-01-01'").collect()} == {13}
+    state.compact(d(10))
+    assert len(files()) == len(set(files())) == 7 and all(f.startswith("whole/") for f in files())
+    assert {r.cases for r in state.read(d(10)).filter("who = 'a' and day = '2024-01-01'").collect()} == {13}
+
+
+def test_reloads_do_not_pile_up_files(spark, tmp_path):
+    from factkeeper.streaming.recency_stream import RecencyState, StreamModel
+
+    def add_up(df):
+        return df.groupBy("who", "day").agg(F.sum("cases").alias("cases"))
+
+    model = StreamModel(add_up, add_up, key="who", date="day", cases="cases")
+    d = lambda n: date(2024, 1, n)
+    frame = lambda rows: spark.createDataFrame(rows, "who string, day date, cases long")
+    root = tmp_path / "st"
+    state = RecencyState(spark, str(root), model, reload=lambda: ([d(8), d(9)], frame([("a", d(8), 2), ("b", d(9), 1)])))
+    for epoch in range(5):
+        state.fold(frame([("z", d(9), 1)]), epoch)
+    assert len(list(root.glob("*/day=*/epoch=*"))) <= 4        # the last epoch's days, and those of the one before
+    assert sorted((r.who, r.cases) for r in state.read(d(10)).collect()) == [("a", 2), ("b", 1)]
