@@ -11,8 +11,8 @@ interval. What no candidate covers leaves the shard.
 Most candidates are rare, so their counts are first summed across shards by hashed bucket (a
 fixed number of counters, each stopping at the threshold): a phrase in a bucket below the
 threshold can't be frequent. The next pass has one bit for each bucket, finds the phrases that
-remain, and only of those writes the counts, which are summed exactly. Buckets decide how many
-rows that are, never which phrases are found.
+remain, and only of those writes the counts, packed by hashed range, which are summed exactly.
+Buckets decide how many counts that are, never which phrases are found.
 
 Suffixes are sorted by as many words as the level's phrases have: that is all that their
 intervals need. A shard ends where a piece ends; a piece that alone is larger is cut, the words
@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import mix, span_hashes, stored
+from factkeeper.llm.common import mix, shuffle_partitions, span_hashes, stored
 
 DEPTH = 5
 #: Text of a shard; a task holds up to twice that for unfinished shards of all languages.
@@ -50,11 +50,11 @@ RANK_PARTS = 64
 #: A-Z to a-z; white space to a space; what ends a piece to a line break.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
-#: Rows of a pass: shards (``codes``, ``words``, ``n`` all words), counts (``phrase``, ``n``) and
-#: buckets (``range``, ``at``, ``counts``).
-_ROWS = pa.schema([("lang", pa.string()), ("sign", pa.int32()), ("codes", pa.binary()), ("words", pa.list_(pa.string())), ("phrase", pa.string()),
-                   ("n", pa.int64()), ("range", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
-_DDL = "lang string, sign int, codes binary, words array<string>, phrase string, n long, range int, at binary, counts binary"
+#: Rows of a pass: shards (``codes``, ``words``, ``n`` all words), counts of phrases (``range``,
+#: ``phrases`` one a line, ``counts``) and buckets (``range``, ``at``, ``counts``).
+_ROWS = pa.schema([("lang", pa.string()), ("sign", pa.int32()), ("codes", pa.binary()), ("words", pa.list_(pa.string())), ("n", pa.int64()),
+                   ("range", pa.int32()), ("at", pa.binary()), ("phrases", pa.binary()), ("counts", pa.binary())])
+_DDL = "lang string, sign int, codes binary, words array<string>, n long, range int, at binary, phrases binary, counts binary"
 
 
 # -- shards -------------------------------------------------------------------
@@ -229,31 +229,65 @@ def _numbers(gaps: bytes) -> np.ndarray:
 class Counts:
     """A task's counts of phrases, summed over its shards as far as they are held."""
 
-    def __init__(self):
+    def __init__(self, ranges: int):
+        self.ranges = ranges
         self.parts: list[pa.Table] = []
         self.held = 0
 
-    def add(self, lang: str, phrases: pa.Array, n: np.ndarray) -> None:
-        self.parts.append(pa.table({"lang": pa.array([lang] * len(n)), "phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64())}))
+    def add(self, lang: str, phrases: pa.Array, hashes: np.ndarray, n: np.ndarray) -> None:
+        ranges = (mix(hashes) % np.uint64(self.ranges)).astype(np.int32)
+        self.parts.append(pa.table({"lang": pa.array([lang] * len(n)), "range": ranges, "phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64())}))
         self.held += len(n)
 
     def full(self) -> bool:
         if self.held > HELD_ROWS:
-            self.parts = [self._summed()]
+            self.parts = [_summed(self.parts, ["lang", "range", "phrase"])]
             self.held = self.parts[0].num_rows
         return self.held > HELD_ROWS // 2
 
-    def _summed(self) -> pa.Table:
-        return pa.concat_tables(self.parts).group_by(["lang", "phrase"]).aggregate([("n", "sum")])\
-            .rename_columns({"n_sum": "n"}).select(["lang", "phrase", "n"])
-
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            for b in self._summed().to_batches(max_chunksize=1 << 16):
-                yield _rows(b.num_rows, **{c: b.column(c) for c in b.schema.names})
+            t = _summed(self.parts, ["lang", "range", "phrase"]).sort_by([("lang", "ascending"), ("range", "ascending"), ("phrase", "ascending")]).combine_chunks()
+            lang, ranges = t["lang"].combine_chunks().dictionary_encode(), t["range"].to_numpy()
+            cuts = np.flatnonzero((np.diff(ranges) != 0) | (np.diff(lang.indices.to_numpy()) != 0)) + 1
+            n = t["n"].to_numpy().astype("<i8")
+            bounds = [0, *cuts.tolist(), t.num_rows]
+            for lo in range(0, len(bounds) - 1, 256):
+                spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
+                yield _rows(len(spans), lang=pa.array([t["lang"][a].as_py() for a, _ in spans]), range=pa.array([int(ranges[a]) for a, _ in spans], pa.int32()),
+                            phrases=pa.array(["\n".join(t["phrase"].slice(a, b - a).to_pylist()).encode() for a, b in spans], pa.binary()),
+                            counts=pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()))
         self.parts, self.held = [], 0
 
 
+def _summed(parts: list[pa.Table], by: list[str]) -> pa.Table:
+    return pa.concat_tables(parts).group_by(by).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select([*by, "n"])
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Sum the counts of each language's ranges; rows come by language and range."""
+    now, parts, held = None, [], 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        t = _summed(parts, ["phrase"])
+        for b in t.filter(pc.greater_equal(t["n"], least)).to_batches(max_chunksize=1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array([now[0]] * b.num_rows, pa.string()), b.column("phrase"), b.column("n")], ["lang", "phrase", "f"])
+
+    for b in batches:
+        for lang, r, phrases, n in zip(*(b.column(c).to_pylist() for c in ("lang", "range", "phrases", "counts"))):
+            if (lang, r) != now:
+                if parts:
+                    yield from rows()
+                now, parts, held = (lang, r), [], 0
+            parts.append(pa.table({"phrase": pa.array(phrases.decode().split("\n"), pa.string()), "n": np.frombuffer(n, dtype="<i8")}))
+            held += parts[-1].num_rows
+            if held > HELD_ROWS:
+                parts = [_summed(parts, ["phrase"])]
+                held = -parts[0].num_rows   # as many more again before the next merge
+    if parts:
+        yield from rows()
+
+
 def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Sum the counters of each range; rows come by range. A bit for each full bucket."""
     kind, now, sums = np.min_scalar_type(least), None, np.zeros(RANGE, dtype=np.int64)
@@ -274,7 +308,7 @@ def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
 
 def full_buckets(rows: DataFrame, least: int) -> np.ndarray:
     """One bit for each bucket whose sum over all tasks reaches ``least``: ``BUCKETS`` bits in the driver."""
-    ranges = rows.filter(F.col("range").isNotNull()).select("range", "at", "counts").repartition("range").sortWithinPartitions("range")
+    ranges = rows.filter(F.col("at").isNotNull()).select("range", "at", "counts").repartition("range").sortWithinPartitions("range")
     bits = np.zeros(BUCKETS // 8, dtype=np.uint8)
     for r in ranges.mapInArrow(lambda batches: _full(batches, least), "range int, bits binary").collect():
         lo = r["range"] * RANGE // 8
@@ -403,13 +437,14 @@ def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, counts: Counts,
     for _ in range(1, k):    # all that the text holds are candidates
         found = extend(forward, backward, phrases)
         phrases, n = found.phrases, found.n
-    left = _may(bits, phrase_hashes(hashes, phrases))
-    phrases, n = phrases[left], n[left]
+    of = phrase_hashes(hashes, phrases)
+    left = _may(bits, of)
+    phrases, n, of = phrases[left], n[left], of[left]
     if not len(n):
         return
     parts = [words.take(pa.array(c - 1)) for c in phrases.T]
     said = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
-    counts.add(row["lang"], said, n * row["sign"])
+    counts.add(row["lang"], said, of, n * row["sign"])
     if k == DEPTH:
         return
     found = extend(forward, backward, phrases)
@@ -424,8 +459,8 @@ def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, counts: Counts,
     yield _shard_row(row["lang"], row["sign"], number[text], words.take(pa.array(some - 1)), 0)
 
 
-def _pass(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
-    counts, buckets = Counts(), Buckets(least)
+def _pass(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray, least: int, ranges: int) -> Iterator[pa.RecordBatch]:
+    counts, buckets = Counts(ranges), Buckets(least)
     for b in batches:
         for i in range(b.num_rows):
             row = {c: b.column(c)[i].as_py() for c in ("lang", "sign", "codes")}
@@ -446,20 +481,19 @@ def mine(docs: DataFrame, least: int = 100, shard_bytes: int = SHARD_BYTES) -> t
     d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     rows = stored(d.mapInArrow(lambda batches: _shards(batches, shard_bytes, least), _DDL), "phrase-shards")
     totals = stored(rows.filter(F.col("codes").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    counted = []
+    counted, ranges = None, max(64, shuffle_partitions(spark))
     for k in range(1, DEPTH + 1):
         bits = spark.sparkContext.broadcast(full_buckets(rows, least))
         text = rows.filter(F.col("codes").isNotNull()).select("lang", "sign", "codes", "words")
-        rows = stored(text.mapInArrow(_pass_of(k, bits, least), _DDL), f"phrase-level-{k}")
-        counted.append(rows.filter(F.col("phrase").isNotNull()).select("lang", "phrase", "n"))
-    every = counted[0]
-    for more in counted[1:]:
-        every = every.unionByName(more)
-    return stored(every.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrases"), totals
+        rows = stored(text.mapInArrow(_pass_of(k, bits, least, ranges), _DDL), f"phrase-level-{k}")
+        packed = rows.filter(F.col("phrases").isNotNull()).select("lang", "range", "phrases", "counts")
+        counted = packed if counted is None else counted.unionByName(packed)
+    dealt = counted.repartition("lang", "range").sortWithinPartitions("lang", "range")
+    return stored(dealt.mapInArrow(lambda batches: _frequent(batches, least), "lang string, phrase string, f long"), "phrases"), totals
 
 
-def _pass_of(k: int, bits: Broadcast, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    return lambda batches: _pass(batches, k, bits.value, least)
+def _pass_of(k: int, bits: Broadcast, least: int, ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: _pass(batches, k, bits.value, least, ranges)
 
 
 def score() -> Column:
