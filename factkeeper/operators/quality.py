@@ -36,18 +36,14 @@ def compare_breakdowns(source: DataFrame, target: DataFrame, date_col: str, valu
                        target_date_col: str | None = None, target_value_col: str | None = None) -> DataFrame:
     """Q3: per (day, value) rows in source vs target, only where they differ.
 
-    Both breakdowns are small aggregates; a full outer join lines them up.
+    Both sides are stacked, tagged, and counted in one aggregate; a NULL value on both
+    sides is the same group.
     """
-    a = breakdown(source, date_col, value_col, ordered=False).withColumnRenamed("row_count", "source_rows")
-    b = (breakdown(target, target_date_col or date_col, target_value_col or value_col, ordered=False)
-         .withColumnRenamed("row_count", "target_rows"))
-    # NULL-safe: a NULL filter value on both sides is the same group.
-    a, b = a.alias("a"), b.alias("b")
-    cond = (F.col("a.txn_day").eqNullSafe(F.col("b.txn_day"))
-            & F.col("a.filter_value").eqNullSafe(F.col("b.filter_value")))
-    j = a.join(b, cond, how="full")
-    j = j.select(F.coalesce("a.txn_day", "b.txn_day").alias("txn_day"),
-                 F.coalesce("a.filter_value", "b.filter_value").alias("filter_value"),
-                 F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
-                 F.coalesce("target_rows", F.lit(0)).alias("target_rows"))
-    return j.filter(F.col("source_rows") != F.col("target_rows"))
+    def side(df, date, value, tag):
+        return df.select(F.to_date(F.col(date)).alias("txn_day"), F.col(value).alias("filter_value"), F.lit(tag).alias("source"))
+
+    both = side(source, date_col, value_col, True).unionByName(
+        side(target, target_date_col or date_col, target_value_col or value_col, False))
+    counted = both.groupBy("txn_day", "filter_value").agg(
+        F.count_if("source").alias("source_rows"), F.count_if(~F.col("source")).alias("target_rows"))
+    return counted.filter(F.col("source_rows") != F.col("target_rows"))

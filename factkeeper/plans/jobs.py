@@ -28,7 +28,7 @@ from factkeeper.functions.predicates import in_window, on_dates, typed_lit
 from factkeeper.functions.time_windows import days_in, first_of_next_month, year_window
 from factkeeper.operators import quality, rewrite
 from factkeeper.operators.update import key_side, latest_per_key
-from factkeeper.plans.table_store import add_column, read_days, replace_days
+from factkeeper.plans.table_store import add_column, periods_with, read_days, replace_days
 from factkeeper.sinks.csv_export import append_run_log, run_log_row, write_counted
 
 
@@ -152,10 +152,10 @@ def upsert_month_job(spark: SparkSession, source: DataFrame, target_path: str, k
     """The window is replaced by the de-duplicated source rows, and every
     other period holding one of their keys loses that row (the key moved).
 
-    The moved-from periods come from the (key, partition) projection only —
-    reading a partition column costs no data I/O. The rows without a date are a
-    period of their own, from which keys move like from any other. The de-duplicated
-    source is stored once for the search, the anti join and the insert.
+    The moved-from periods are those whose key digest holds a hash of a source key
+    (``table_store.periods_with``): no other period's key column is read. The rows without
+    a date are a period of their own, from which keys move like from any other. The
+    de-duplicated source is stored once for the search, the anti join and the insert.
     """
     started = datetime.now()
     target = _with_stamp(spark, target_path, part_col, run_ts, stamp_type)
@@ -165,8 +165,7 @@ def upsert_month_job(spark: SparkSession, source: DataFrame, target_path: str, k
     if part_col not in src.columns:
         src = src.withColumn(part_col, period_of(date_column, grain))
     src_keys = src.select(key).filter(F.col(key).isNotNull())
-    hits = target.select(key, part_col).join(src_keys, on=key, how="left_semi")
-    moved = [r[0] for r in hits.select(part_col).distinct().collect()]
+    moved = periods_with(spark, target_path, key, part_col, src_keys)
     periods = sorted(set(periods_between(start, end, grain)) | set(moved), key=lambda p: (p is not None, p))
 
     def keep(old):

@@ -16,7 +16,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
 
 class VersionedTable:
@@ -246,6 +246,63 @@ def _location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
+def location(spark: SparkSession, target: str) -> str:
+    return _location(spark, target) if in_catalog(target) else target.rstrip("/")
+
+
+# -- key digests ----------------------------------------------------------------
+
+# Beside a target, hidden from Spark's listing: for a key, the 64-bit hashes of each period's
+# keys, sorted, in a table partitioned like the target. A period without a partition in it is
+# one that nothing is known of. ``replace_days`` drops the digests of its periods first and writes
+# them after, so a job that doesn't come to its end leaves unknown periods, never wrong ones.
+_DIGEST = "_keys_"
+
+
+def key_hash(key):
+    return F.xxhash64(F.col(key).cast("string"))
+
+
+def _digest_keys(spark: SparkSession, target: str) -> list[str]:
+    path = location(spark, target)
+    fs, p = _hadoop(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(p(path))] if fs.exists(p(path)) else []
+    return [n[len(_DIGEST):] for n in names if n.startswith(_DIGEST)]
+
+
+def _periods(spark: SparkSession, path: str, period: str) -> set[str]:
+    """Folder names of a table's partitions."""
+    fs, p = _hadoop(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(p(path))] if fs.exists(p(path)) else []
+    return {n for n in names if n.startswith(f"{period}=")}
+
+
+def _write_digest(rows: DataFrame, key: str, period: str, path: str) -> None:
+    hashes = rows.filter(F.col(key).isNotNull()).select(key_hash(key).alias("h"), period)
+    (by_period(hashes, period).sortWithinPartitions(period, "h").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path))
+
+
+def periods_with(spark: SparkSession, target: str, key: str, period: str, keys: DataFrame) -> list:
+    """The periods of ``target`` that may hold one of ``keys``: those whose digest holds its hash.
+
+    Periods without a digest get one first, the only time that their key column is read."""
+    path = f"{location(spark, target)}/{_DIGEST}{key}"
+    table = read_days(spark, target)
+    unknown = _periods(spark, location(spark, target), period) - _periods(spark, path, period)
+    if unknown:
+        names = [n.split("=", 1)[1] for n in unknown]
+        old = F.col(period).cast("string").isin([n for n in names if n != NULL_PARTITION])
+        if NULL_PARTITION in names:
+            old = old | F.col(period).isNull()
+        _write_digest(table.filter(old), key, period, path)
+    if not has_periods(spark, path, period):
+        return []
+    wanted = keys.select(F.col(key).cast(table.schema[key].dataType).alias(key)).select(key_hash(key).alias("h")).distinct()
+    held = spark.read.schema(StructType([StructField("h", LongType()), table.schema[period]])).parquet(path)
+    return [r[0] for r in held.join(wanted, "h", "left_semi").select(period).distinct().collect()]   # periods
+
+
 def replace_days(df: DataFrame, target: str, date_col: str, days) -> int:
     """Rewrite only the given days of ``target`` (None: the rows without a day); returns the
     number of rows written.
@@ -262,6 +319,9 @@ def replace_days(df: DataFrame, target: str, date_col: str, days) -> int:
         known = known | F.col(date_col).isNull()
     other = F.raise_error(F.concat(F.lit(f"{_OTHER_DAY}: "), F.coalesce(F.col(date_col).cast("string"), F.lit("NULL"))))
     checked = df.withColumn(date_col, F.when(F.coalesce(known, F.lit(False)), F.col(date_col)).otherwise(other.cast(df.schema[date_col].dataType)))
+    digests = {key: f"{location(spark, target)}/{_DIGEST}{key}" for key in _digest_keys(spark, target)}
+    for path in digests.values():
+        drop_days(spark, path, date_col, days)
     obs = Observation("replace_days")
     counted = by_period(checked, date_col).observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(date_col)).alias("days"),
                                                    F.count_if(F.col(date_col).isNull()).alias("no_day"))
@@ -274,6 +334,11 @@ def replace_days(df: DataFrame, target: str, date_col: str, days) -> int:
     seen = obs.get
     present = set(seen["days"] or []) | ({None} if seen["no_day"] else set())
     drop_days(spark, target, date_col, days - present)
+    if digests and present:
+        known = F.col(date_col).isin([d for d in present if d is not None])
+        rows = read_days(spark, target).filter(known | F.col(date_col).isNull() if None in present else known)
+        for key, path in digests.items():
+            _write_digest(rows, key, date_col, path)
     if not in_catalog(target) and not has_periods(spark, target, date_col):
         # the table would have no file to tell its schema
         df.limit(0).drop(date_col).write.mode("overwrite").parquet(f"{target}/{_folder(date_col, next(iter(days)))}")

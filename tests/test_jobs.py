@@ -2,10 +2,12 @@
 emptied, an empty automatic value list is a no-op, runs are logged."""
 
 import os
+import shutil
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from factkeeper.functions.time_windows import first_of_next_month
 from factkeeper.operators.rewrite import SyncSpec
 from factkeeper.plans import jobs
 from factkeeper.plans.table_store import read_days
@@ -73,6 +75,35 @@ def test_upsert_job_moves_a_key_from_a_row_without_a_date(spark, tmp_path):
     assert got == [("k1", "2024-02-03"), ("k2", "2024-02-04"), ("k3", "None")]
 
 
+def test_upsert_reads_no_key_of_other_months(spark, tmp_path):
+    """Keys are looked for in the digests: a row that came in behind them isn't seen, one whose
+    digest is gone is; every job on the table keeps them."""
+    path = str(tmp_path / "d")
+    cols = "k string, d date, m date"
+    months = [date(2024, k, 1) for k in range(1, 7)]
+    rows = [(f"k{i}-{j}", m.replace(day=3), m) for i, m in enumerate(months) for j in range(3)] + [("none", None, None), (None, months[0], months[0])]
+    spark.createDataFrame(rows, cols).write.partitionBy("m").parquet(path)
+
+    def upsert(keys, month):
+        src = spark.createDataFrame([(k, date(2024, month, 9)) for k in keys], "k string, d date")
+        jobs.upsert_month_job(spark, src, path, "k", "d", date(2024, month, 1), first_of_next_month(date(2024, month, 1)), ["d"], RUN, part_col="m")
+        return {(r.k, r.d.month if r.d else None) for r in read_days(spark, path).filter("k is not null").collect()}
+
+    got = upsert(["k0-0", "none", "new"], 6)
+    assert {("k0-0", 6), ("none", 6), ("new", 6)} <= got and ("k0-0", 1) not in got and ("none", None) not in got
+    # behind the digests: a copy of a key in March
+    (spark.createDataFrame([("k1-1", date(2024, 3, 5), date(2024, 3, 1))], cols).withColumn("last_synced_at", F.lit(RUN))
+     .write.mode("append").partitionBy("m").parquet(path))
+    got = upsert(["k1-1"], 5)
+    assert ("k1-1", 5) in got and ("k1-1", 2) not in got and ("k1-1", 3) in got
+    shutil.rmtree(f"{path}/_keys_k/m=2024-03-01")     # unknown again
+    got = upsert(["k1-1"], 5)
+    assert ("k1-1", 3) not in got
+    # another job replaces April, and its keys are found there
+    jobs.year_reload_job(spark, spark.createDataFrame([("y", date(2024, 4, 4))], "k string, d date"), path, "d", 2024, part_col="m", grain="month")
+    assert upsert(["y"], 2) == {("y", 2)}
+
+
 def test_a_row_without_a_stamp_gets_one_once(spark, tmp_path):
     path = str(tmp_path / "s")
     rows = [("a", None, date(2024, 1, 1)), ("b", datetime(2023, 1, 1), date(2024, 1, 1)), ("c", datetime(2023, 1, 1), date(2024, 1, 2))]
