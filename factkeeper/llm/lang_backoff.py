@@ -2,10 +2,14 @@
 
 Known words are scored by their log frequency in each language. A word that no
 training text holds falls back to its character n-grams, longest first, and to the
-next shorter ones where none of a length is known. The model is fitted on a bounded
-sample of labelled rows (``SAMPLE_DOCS``, taken by a hash of the id) and keeps at most
-``MODEL_WORDS`` words and ``MODEL_GRAMS`` n-grams of each length, so that what is sent
-to the workers has a fixed size. The text is all that a prediction sees.
+next shorter ones where none of a length is known. Every language has the same prior.
+
+The model is fitted on a bounded sample of labelled rows and has a fixed size: each language
+has an equal share of ``SAMPLE_DOCS`` rows (taken by a hash of the id), of ``MODEL_WORDS`` words
+and of ``MODEL_GRAMS`` n-grams of each length, its own most frequent ones, so that a small language
+learns as much as a large one has room for. Words and letter runs of any length teach their
+n-grams; words of up to ``LONGEST_WORD`` letters are kept as words. The text is all that a
+prediction sees.
 """
 
 from __future__ import annotations
@@ -17,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factkeeper.llm.common import text_slices
+from factkeeper.llm.common import stored, text_slices
 
 SAMPLE_DOCS = 20_000
 MODEL_WORDS = 100_000
@@ -32,6 +36,8 @@ RUN_WORDS = 10_000
 UNDECIDED = "und"
 #: Words that a text's evidence counts for at most, so that scores of long texts stay below 1.
 EVIDENCE_WORDS = 12.0
+#: A language with a lower score isn't accepted by the pipeline: less likely than all others together.
+LEAST_SCORE = 0.5
 
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -64,22 +70,32 @@ class Model:
     langs: list[str]
     words: Table
     grams: dict[int, Table]
-    prior: np.ndarray
 
 
-def _word_counts(train: DataFrame) -> DataFrame:
-    """``lang, word, n`` of the training texts; runs of letters beyond ``LONGEST_WORD`` teach nothing."""
+def _counts(train: DataFrame) -> DataFrame:
+    """``lang, size, key, n`` of the training texts: words (``size`` 0), and n-grams by their length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             seen: dict[str, Counter[str]] = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 seen.setdefault(lang, Counter()).update(words_of(text))
-            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items() if len(w) <= LONGEST_WORD]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["lang", "word", "n"])
+            for lang, words in seen.items():
+                yield _batch(lang, 0, {w: n for w, n in words.items() if len(w) <= LONGEST_WORD})
+                for size in range(1, LONGEST_GRAM + 1):
+                    grams: Counter[str] = Counter()
+                    for w, n in words.items():
+                        for g in grams_of(w, size):
+                            grams[g] += n
+                    yield _batch(lang, size, grams)
 
-    return (train.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
-            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    return (train.select("lang", "text").mapInArrow(run, "lang string, size int, key string, n long")
+            .groupBy("lang", "size", "key").agg(F.sum("n").alias("n")))
+
+
+def _batch(lang: str, size: int, counts: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(counts), pa.string()), pa.array([size] * len(counts), pa.int32()), pa.array(list(counts), pa.string()),
+         pa.array(list(counts.values()), pa.int64())], ["lang", "size", "key", "n"])
 
 
 def _table(rows: list, langs: list[str], totals: dict[str, float]) -> Table:
@@ -89,44 +105,40 @@ def _table(rows: list, langs: list[str], totals: dict[str, float]) -> Table:
     counts = np.zeros((len(keys), len(langs)))
     for key, lang, n in rows:
         counts[keys[key], at[lang]] = n
-    size = np.array([totals[lang] for lang in langs])
-    return Table(list(keys), np.log((counts + 0.5) / (size + 0.5 * (len(keys) + 1))).astype(np.float32))
-
-
-def _most(counts: DataFrame, key: str, most: int) -> list:
-    """Rows of the ``most`` keys with the largest sums over all languages."""
-    top = counts.groupBy(key).agg(F.sum("n").alias("s")).orderBy(F.desc("s"), key).limit(most).select(key)
-    return [tuple(r) for r in counts.join(F.broadcast(top), key).select(key, "lang", "n").collect()]
+    size = np.array([totals.get(lang, 0.0) for lang in langs])
+    return Table(list(keys), np.log((counts + 0.5) / (size + 0.5 * (len(keys) + 1))).astype(np.float32).reshape(len(keys), len(langs)))
 
 
 def training_rows(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
-    """``lang, text`` of about ``most`` labelled rows, taken by a hash of the id."""
+    """``lang, text`` of about ``most`` labelled rows, an equal share of each language (all rows
+    of one that has fewer), taken by a hash of the id."""
     d = docs.filter("lang is not null and text is not null").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"))
-    n = d.count()
-    if n > most:
-        d = d.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int(most / n * (1 << 20)))
+    have = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}   # languages
+    share = max(1, most // max(1, len(have)))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20))
+    for lang, n in have.items():
+        if n > share:
+            d = d.filter((F.col("lang") != lang) | (part < max(1, int(share / n * (1 << 20)))))
     return d.select("lang", "text")
 
 
 def fit(train: DataFrame, most_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on ``doc_id, lang, text``; rows without a language or a text are left out."""
-    counts = _word_counts(training_rows(train, most_docs)).cache()
-    totals = {r[0]: float(r[1]) for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    langs = sorted(totals)
-    words = _table(_most(counts, "word", MODEL_WORDS), langs, totals)
-    grams = {}
-    padded = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("w"))
-    for n in range(LONGEST_GRAM, 0, -1):
-        each = (padded.filter(F.length("w") >= n).select("lang", "n", F.explode(F.transform(
-            F.sequence(F.lit(1), F.length("w") - (n - 1)), lambda i: F.substring("w", i, F.lit(n)))).alias("gram"))
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-        sums = {r[0]: float(r[1]) for r in each.groupBy("lang").agg(F.sum("n")).collect()}
-        grams[n] = _table(_most(each, "gram", MODEL_GRAMS), langs, {lang: sums.get(lang, 0.0) for lang in langs})
-    counts.unpersist()
-    size = np.array([totals[lang] for lang in langs])
-    return Model(langs, words, grams, np.log(size / size.sum()).astype(np.float32) if langs else np.zeros(0))
+    counts = stored(_counts(training_rows(train, most_docs)), "lang-counts")
+    totals: dict[int, dict[str, float]] = {}
+    for lang, size, n in counts.groupBy("lang", "size").agg(F.sum("n")).collect():
+        totals.setdefault(size, {})[lang] = float(n)
+    langs = sorted({lang for of in totals.values() for lang in of})
+    share = F.when(F.col("size") == 0, MODEL_WORDS // max(1, len(langs))).otherwise(MODEL_GRAMS // max(1, len(langs)))
+    place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))
+    kept = counts.withColumn("place", place).filter(F.col("place") <= F.greatest(share, F.lit(1))).select("size", "key").distinct()
+    rows: dict[int, list] = {}
+    for size, key, lang, n in counts.join(F.broadcast(kept), ["size", "key"]).select("size", "key", "lang", "n").collect():   # the model
+        rows.setdefault(size, []).append((key, lang, n))
+    tables = {size: _table(rows.get(size, []), langs, totals.get(size, {})) for size in range(LONGEST_GRAM + 1)}
+    return Model(langs, tables.pop(0), tables)
 
 
 class Scorer:
@@ -176,7 +188,7 @@ class Scorer:
         words = words_of(text)
         if not self.model.langs or not has_letter(words):
             return UNDECIDED, 0.0
-        total = self.model.prior + self._total(words) / len(words) * min(len(words), EVIDENCE_WORDS)
+        total = self._total(words) / len(words) * min(len(words), EVIDENCE_WORDS)
         p = np.exp(total - total.max())
         best = int(np.argmax(p))
         return self.model.langs[best], float(p[best] / p.sum())
@@ -213,8 +225,11 @@ def identify(docs: DataFrame, most_docs: int = SAMPLE_DOCS) -> DataFrame:
     return predict(docs, fit(docs.filter(~held_out()), most_docs))
 
 
-def accepted_stage(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; the undecided ones go."""
+def accepted_stage(docs: DataFrame, languages: list[str] | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose predicted language is among ``languages`` (default: all that were
+    learned) with a score of ``least`` or more; the others go, those without a letter too."""
     names = [f"`{c}`" for c in docs.columns]
-    out = identify(docs).filter(F.col("lang_pred") != UNDECIDED)
+    out = identify(docs).filter((F.col("lang_pred") != UNDECIDED) & (F.col("lang_score") >= least))
+    if languages is not None:
+        out = out.filter(F.col("lang_pred").isin(list(languages)))
     return out.select(*names)

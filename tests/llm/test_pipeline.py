@@ -3,13 +3,14 @@
 import os
 import sys
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 import corpus_pipeline
-from factkeeper.llm import bm25_wand, lang_backoff, pii_disclosure, queries, simhash_trie
+from factkeeper.llm import bm25_wand, pii_disclosure, queries, simhash_trie
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "scripts"))
 
@@ -25,11 +26,15 @@ COLUMNS = {
     8: ["doc_id", "held_out", "score", "predicted"],
     9: ["vec_id", "n_links", "component_id", "kept"],
     10: ["doc_id", "fingerprint", "component_id"],
+    11: ["page_id", "url", "text", "n_chars"],
+    12: ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    13: ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
+TABLES = {9: "embeddings", 11: "pages", 13: "embeddings"}
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(se.queries())
 
 
@@ -39,8 +44,8 @@ def test_columns_and_rows(spark, name):
     n = int(name[2:].split("_")[0])
     if n in COLUMNS:
         assert out.columns[:len(COLUMNS[n])] == COLUMNS[n]
-        table = "embeddings" if n == 9 else "documents"
-        assert out.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+        if n != 12:    # phrases of at least 100 occurrences, if any
+            assert out.count() == spark.read.parquet(f"{SF}/{TABLES.get(n, 'documents')}.parquet").count()
     else:
         assert "doc_id" in out.columns and out.count() > 0
 
@@ -48,7 +53,8 @@ def test_columns_and_rows(spark, name):
 def brute_rows(spark):
     """What the stages but the last leave, document by document."""
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    docs = {i: r for i, r in docs.items() if lang_backoff.has_letter(lang_backoff.words_of(r.text))}
+    predict = brute.language_model([(r.doc_id, r.text, r.lang) for r in docs.values()])
+    docs = {i: r for i, r in docs.items() if (said := predict(r.text))[0] != "und" and said[1] >= 0.5}
     fp = {i: simhash_trie.fingerprint(r.text) for i, r in docs.items()}
     comp = {i: i for i in docs}
     ids, bits = np.array(sorted(fp)), np.array([fp[i] for i in sorted(fp)], dtype=np.uint64)

@@ -3,6 +3,7 @@
 import random
 import re
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +304,52 @@ def test_language_of_odd_rows(spark):
     assert lang_backoff.accepted_stage(odd(spark)).columns == odd(spark).columns
 
 
+def test_language_equals_a_plain_scorer(spark, documents):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.select("doc_id", "text", "lang").limit(400).collect()]
+    rows += [(9001, "x" * 90 + " Ünïcode ẞtraße", "de"), (9002, None, "en"), (9003, "no label at all", None), (None, "never learned from", "xx"), (9005, "42 !", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    predict = brute.language_model(rows)
+    got = lang_backoff.identify(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        lang, score = predict(r.text)
+        assert r.lang_pred == lang and abs(r.lang_score - score) < 1e-4, r
+
+
+def test_a_language_without_spaces_is_learned(spark):
+    """Runs of letters beyond the longest word teach their n-grams."""
+    rnd = random.Random(4)
+    rows = [(k, "".join(rnd.choice("天地玄黄宇宙洪荒") for _ in range(90)), "zz") if k % 2 else (k, "the house of things and more", "en") for k in range(400)]
+    out = lang_backoff.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.lang_pred == r.lang for r in out)
+
+
+def test_a_small_language_keeps_its_words(spark, monkeypatch):
+    """Quotas: the large language's vocabulary and rows don't crowd out the small one's."""
+    monkeypatch.setattr(lang_backoff, "MODEL_WORDS", 60)
+    monkeypatch.setattr(lang_backoff, "MODEL_GRAMS", 200)
+    rnd = random.Random(5)
+    big = [(k, " ".join(f"big{''.join(rnd.choice('abcdef') for _ in range(3))}" for _ in range(40)), "aa") for k in range(300)]
+    small = [(1000 + k, "nunc est bibendum nunc pede libero", "zz") for k in range(12)]
+    docs = spark.createDataFrame(big + small, "doc_id long, text string, lang string")
+    model = lang_backoff.fit(docs, most_docs=40)
+    assert {"nunc", "est", "bibendum", "pede", "libero"} <= set(model.words.keys) and len(model.words.keys) <= 60
+    share = lang_backoff.training_rows(docs, 40).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in share}["zz"] == 12
+    assert lang_backoff.Scorer(model).predict("bibendum nunc")[0] == "zz"
+
+
+def test_the_stage_depends_on_the_prediction(spark, documents):
+    docs = documents.select("doc_id", "text", "lang").limit(300)
+    odd_rows = [(9001, "αβγ δεζ ηθι κλμ", None), (9002, "!!! 123", None), (9003, None, None)]   # no word or n-gram of it is known
+    both = docs.unionByName(spark.createDataFrame(odd_rows, docs.schema))
+    said = {r.doc_id: (r.lang_pred, r.lang_score) for r in lang_backoff.identify(both).collect()}
+    ids = lambda **kw: {r.doc_id for r in lang_backoff.accepted_stage(both, **kw).collect()}
+    assert ids() == {i for i, (lang, score) in said.items() if lang != "und" and score >= 0.5}
+    assert 9001 not in ids() and 9001 in ids(least=0.0) and 9002 not in ids(least=0.0) and len(ids()) == 300
+    assert ids(languages=["fr"]) == {i for i, (lang, score) in said.items() if lang == "fr" and score >= 0.5} != ids()
+
+
 # -- licenses -----------------------------------------------------------------
 
 def brute_licenses(docs, templates):
