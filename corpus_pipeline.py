@@ -14,7 +14,7 @@ from factkeeper.llm.common import prepare, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letter in it) go."""
+    """Documents go whose text has no letter, or whose language is less likely than all others together."""
     prepare(spark)
     return lang_backoff.accepted_stage(docs)
 
