@@ -23,6 +23,7 @@ Scores come from the summed counts, in whole numbers (``decimal(38, 0)``).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ DEPTH = 5
 SHARD_BYTES = 2 << 20
 #: Counters that candidates share, and counters in a row of them. Their bits are broadcast.
 BUCKETS = 1 << 26
-RANGE = 1 << 14
+RANGE = 1 << 17
 #: Counters and counts that a task holds before it merges or hands on.
 HELD_ROWS = 1 << 20
 #: Parts of a language that are ranked on their own first.
@@ -209,20 +210,20 @@ class Buckets:
             spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
             yield _rows(len(spans), range=pa.array([int(at[a]) // RANGE for a, _ in spans], pa.int32()),
                         at=pa.array([_gaps(at[a:b] % RANGE) for a, b in spans], pa.binary()),
-                        counts=pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()))
+                        counts=pa.array([zlib.compress(counts[a:b].tobytes(), 1) for a, b in spans], pa.binary()))
 
 
 def _gaps(at: np.ndarray) -> bytes:
-    """Ascending numbers as the gaps between them, a byte each; 255 goes on without a number."""
+    """Ascending numbers as the gaps between them, a byte each, deflated; 255 goes on without a number."""
     gap = np.diff(at.astype(np.int64), prepend=0)
     skips = gap // 255
     out = np.full(int(skips.sum()) + len(gap), 255, dtype=np.uint8)
     out[np.cumsum(skips + 1) - 1] = gap % 255
-    return out.tobytes()
+    return zlib.compress(out.tobytes(), 1)
 
 
 def _numbers(gaps: bytes) -> np.ndarray:
-    g = np.frombuffer(gaps, dtype=np.uint8)
+    g = np.frombuffer(zlib.decompress(gaps), dtype=np.uint8)
     return np.cumsum(g, dtype=np.int64)[g < 255]
 
 
@@ -255,8 +256,8 @@ class Counts:
             for lo in range(0, len(bounds) - 1, 256):
                 spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
                 yield _rows(len(spans), lang=pa.array([t["lang"][a].as_py() for a, _ in spans]), range=pa.array([int(ranges[a]) for a, _ in spans], pa.int32()),
-                            phrases=pa.array(["\n".join(t["phrase"].slice(a, b - a).to_pylist()).encode() for a, b in spans], pa.binary()),
-                            counts=pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()))
+                            phrases=pa.array([zlib.compress("\n".join(t["phrase"].slice(a, b - a).to_pylist()).encode(), 1) for a, b in spans], pa.binary()),
+                            counts=pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in spans], pa.binary()))
         self.parts, self.held = [], 0
 
 
@@ -279,7 +280,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
                 if parts:
                     yield from rows()
                 now, parts, held = (lang, r), [], 0
-            parts.append(pa.table({"phrase": pa.array(phrases.decode().split("\n"), pa.string()), "n": np.frombuffer(n, dtype="<i8")}))
+            parts.append(pa.table({"phrase": pa.array(zlib.decompress(phrases).decode().split("\n"), pa.string()), "n": np.frombuffer(zlib.decompress(n), dtype="<i8")}))
             held += parts[-1].num_rows
             if held > HELD_ROWS:
                 parts = [_summed(parts, ["phrase"])]
@@ -301,7 +302,7 @@ def _full(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
                 if now is not None and (sums >= least).any():
                     yield row()
                 now, sums = r, np.zeros(RANGE, dtype=np.int64)
-            sums[_numbers(at)] += np.frombuffer(counts, dtype=kind)
+            sums[_numbers(at)] += np.frombuffer(zlib.decompress(counts), dtype=kind)
     if now is not None and (sums >= least).any():
         yield row()
 

@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -230,7 +231,7 @@ def test_buckets_are_full_if_and_only_if_their_sums_are(spark, monkeypatch):
         sums = collections.Counter()
         for r in table:
             at = fm_collocations._numbers(r["at"])
-            for a, n in zip(at.tolist(), np.frombuffer(r["counts"], dtype=np.min_scalar_type(least)).tolist()):
+            for a, n in zip(at.tolist(), np.frombuffer(zlib.decompress(r["counts"]), dtype=np.min_scalar_type(least)).tolist()):
                 sums[r["range"] * fm_collocations.RANGE + a] += n
         assert {a for a, n in sums.items() if n >= least} == {a for a, n in want.items() if n >= least} and set(sums) == set(want)
     some = np.unique(rnd.integers(0, 16384, 500))
