@@ -7,10 +7,7 @@ its own. A null ``text`` is an empty one unless an operator says otherwise.
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +15,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factkeeper.session import scratch_path
+from factkeeper.session import scratch_path, ship_package
 
 SHARD_BYTES = 4 << 20
 SLICE_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, computed once."""
-    path = scratch_path(df.sparkSession, f"llm-{label}")
+    """Write to the shared folder and read back: cuts lineage, computed once. Inside a
+    ``scratch_scope`` the folder goes when the scope ends."""
+    path = scratch_path(df.sparkSession, f"llm-{label}", temporary=True)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -186,25 +184,12 @@ class Links:
 
 # -- session and workers -----------------------------------------------
 
-_SHIPPED: set[str] = set()
-
-
 #: Arrow batches between Spark and Python: rows, and bytes, since texts can be long.
 ARROW_ROWS, ARROW_BYTES = "2000", str(8 << 20)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches, and give the executors' Python this package, as
-    ``--py-files`` would (once per application)."""
+    """Bound the session's Arrow batches, and give the executors' Python this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    sc.addPyFile(str(target))
+    ship_package(spark)

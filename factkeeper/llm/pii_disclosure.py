@@ -19,8 +19,10 @@ In the documents that hold the value, every place of such a term outside base sp
 a span of kind ``term``; sanitising generalises base spans to their kind and removes terms.
 
 Counts cover all documents. They are made by combining aggregates and joined by
-value and word; neither values nor words are collected. Values in fewer than
-``MIN_SUPPORT`` documents have no terms, so their documents' words aren't paired.
+value and word; neither values nor words are collected. Pairs that can't count aren't made:
+values in fewer than ``MIN_SUPPORT`` documents have no terms; values that the same documents
+hold (an address list and its copies) have the same terms, and one stands for all; and a word in
+more than ``2 ** MAX_DOUBT_BITS`` times the value's documents leaves too much doubt.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ MIN_GAIN_BITS = 4.0
 MIN_SHARE = 0.8
 MIN_EVIDENCE_BITS = 24.0
 COUNTED_WORDS = 200_000
-PAIRS_A_BATCH = 50_000
+WORDS_A_BATCH = 50_000
 
 # The patterns' parts.
 EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -184,30 +186,40 @@ def document_frequency(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("df").alias("df")))
 
 
-def value_words(held: DataFrame) -> DataFrame:
-    """``rid, value, word``: each of ``values`` with each word outside base spans of the row's text."""
+def text_words(held: DataFrame) -> DataFrame:
+    """``rid, most, word``: each word outside base spans of the row's text, once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rids, values, words = [], [], []
-
-        def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(values, pa.string()), pa.array(words, pa.string())],
-                                              ["rid", "value", "word"])
-            for c in (rids, values, words):
-                c.clear()
-            return rows
-
         for b in text_slices(batches):
-            for rid, text, base, own in zip(*(b.column(c).to_pylist() for c in ("rid", "text", "base", "values"))):
+            for rid, most, text, base in zip(*(b.column(c).to_pylist() for c in ("rid", "most", "text", "base"))):
                 near = list({w for w, _, _ in places(text, _tuples(base))})
-                for value in own:
-                    rids += [rid] * len(near)
-                    values += [value] * len(near)
-                    words += near
-                    if len(words) >= PAIRS_A_BATCH:
-                        yield out()
-        yield out()
+                for lo in range(0, len(near), WORDS_A_BATCH):
+                    part = near[lo:lo + WORDS_A_BATCH]
+                    yield pa.RecordBatch.from_arrays([pa.array([rid] * len(part), pa.int64()), pa.array([most] * len(part), pa.int64()), pa.array(part, pa.string())],
+                                                     ["rid", "most", "word"])
+
+    return held.select("rid", "most", "text", "base").mapInArrow(run, "rid long, most long, word string")
+
 
-    return held.select("rid", "text", "base", "values").mapInArrow(run, "rid long, value string, word string")
+def shared_values(values: DataFrame) -> DataFrame:
+    """``value, n_value``: values (of rows ``rid, value``) that ``MIN_SUPPORT`` texts or more hold; of those
+    that the very same texts hold, the first. Sets of texts are told apart by two 64-bit hashes."""
+    held = values.groupBy("value").agg(F.count(F.lit(1)).alias("n_value"), *[F.bit_xor(F.xxhash64("rid", F.lit(k))).alias(f"h{k}") for k in (1, 2)])
+    return (held.filter(F.col("n_value") >= MIN_SUPPORT).groupBy("n_value", "h1", "h2").agg(F.min("value").alias("value"))
+            .select("value", "n_value"))
+
+
+def value_words(holding: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rid, value, word, df, n_value``: the pairs of a text that may count."""
+    values = holding.select("rid", F.explode("__values").alias("value"))
+    shared = stored(shared_values(values), "pii-values")
+    own = stored(values.join(shared, "value").select(F.col("rid").alias("of_rid"), "value", "n_value"), "pii-own")
+    most = own.groupBy("of_rid").agg(F.max("n_value").alias("most"))
+    df = stored(document_frequency(docs).filter(F.col("df") >= MIN_SUPPORT), "pii-df")
+    words = text_words(holding.join(most, F.col("rid") == F.col("of_rid")))
+    room = lambda n: F.col("df") <= F.col(n) * 2.0 ** MAX_DOUBT_BITS
+    rare = words.join(df, "word").filter(room("most")).select("rid", "word", "df")
+    pairs = rare.join(own, F.col("rid") == F.col("of_rid")).filter(room("n_value"))
+    return stored(pairs.select("rid", "value", "word", "df", "n_value"), "pii-pairs")
 
 
 def marked_places(rows: DataFrame) -> DataFrame:
@@ -223,18 +235,16 @@ def marked_places(rows: DataFrame) -> DataFrame:
     return rows.select("rid", "text", "base", "words").mapInArrow(run, f"rid long, __terms {_SPANS}")
 
 
-def disclosing_terms(pairs: DataFrame, of_value: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """``value, word`` of the disclosing terms; ``pairs`` has one row for each row id, value and word of its text."""
-    both = pairs.groupBy("value", "word").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= MIN_SUPPORT)
-    df = stored(document_frequency(docs).filter(F.col("df") >= MIN_SUPPORT), "pii-df")
+def disclosing_terms(pairs: DataFrame, n_docs: int) -> DataFrame:
+    """``value, word`` of the disclosing terms among ``value_words``."""
+    both = pairs.groupBy("value", "word").agg(F.count(F.lit(1)).alias("c"), F.max("df").alias("df"), F.max("n_value").alias("n_value"))
     c, rest, total = F.col("c"), F.col("df") - F.col("c"), F.lit(float(n_docs))
     doubt = -F.log2(c / F.col("df"))
     gain = F.log2(c * total / (F.col("df") * F.col("n_value")))
     bits = F.log2(total / F.col("n_value"))
     evidence = c * gain + F.when(rest > 0, rest * F.log2(rest * total / (F.col("df") * (total - F.col("n_value"))))).otherwise(0.0)
     sure = (gain >= MIN_SHARE * bits) & (evidence >= MIN_EVIDENCE_BITS)
-    return (both.join(of_value, "value").join(df, "word")
-            .filter((doubt <= MAX_DOUBT_BITS) & ((gain >= MIN_GAIN_BITS) | sure)).select("value", "word"))
+    return both.filter((c >= MIN_SUPPORT) & (doubt <= MAX_DOUBT_BITS) & ((gain >= MIN_GAIN_BITS) | sure)).select("value", "word")
 
 
 def detect(docs: DataFrame) -> DataFrame:
@@ -257,14 +267,11 @@ def _marked(docs: DataFrame, keep: list[str]) -> DataFrame:
     text = "text" if "text" in keep else "__text"
     holding = (base.filter(F.size("__values") > 0)
                .select(F.col("__rid").alias("rid"), F.col(text).alias("text"), F.col("__base").alias("base"), "__values"))
-    values = holding.select("rid", F.explode("__values").alias("value"))
-    of_value = stored(values.groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-                      .filter(F.col("n_value") >= MIN_SUPPORT), "pii-values")
-    repeated = values.join(of_value.select("value"), "value").groupBy("rid").agg(F.collect_list("value").alias("values"))
-    pairs = value_words(holding.join(repeated, "rid"))
-    terms = stored(disclosing_terms(pairs, of_value, d, base.count()), "pii-terms")
-    words = pairs.join(terms, ["value", "word"], "left_semi").groupBy("rid").agg(F.collect_set("word").alias("words"))
-    spans = marked_places(holding.join(words, "rid")).withColumnRenamed("rid", "__of_rid")
+    pairs = value_words(holding, d)
+    terms = stored(disclosing_terms(pairs, base.count()), "pii-terms")
+    words = (pairs.join(terms, ["value", "word"], "left_semi").groupBy(F.col("rid").alias("of_rid"))
+             .agg(F.collect_set("word").alias("words")))
+    spans = marked_places(holding.join(words, F.col("rid") == F.col("of_rid"))).withColumnRenamed("rid", "__of_rid")
     out = base.join(spans, F.col("__rid") == F.col("__of_rid"), "left")
     return out.select(*[F.col(f"`{c}`") for c in keep], "__base",
                       F.concat("__base", F.coalesce("__terms", F.expr(f"cast(array() as {_SPANS})"))).alias("__spans"))

@@ -183,6 +183,61 @@ def test_terms_of_a_value_in_a_large_share_of_the_documents(spark, every):
     assert {r.doc_id: r.text for r in pii_disclosure.sanitise_stage(docs).collect()} == want
 
 
+def brute_terms(rows):
+    """Terms of each document by the rules as stated, values and words counted one by one."""
+    held, has, df = {}, {}, {}
+    for i, t in rows:
+        spans = pii_disclosure.base_spans(t)
+        inside = lambda m: any(s < m.end() and m.start() < e for _, s, e in spans)  # noqa: B023, E731
+        has[i] = {m[0].lower() for m in re.finditer(r"[^\W_]+", t) if not inside(m)}
+        for w in {m.lower() for m in re.findall(r"[^\W_]+", t)}:
+            df[w] = df.get(w, 0) + 1
+        for v in pii_disclosure.values_of(t, spans):
+            held.setdefault(v, set()).add(i)
+    n, want = len(rows), {i: set() for i, _ in rows}
+    for ids in held.values():
+        for w in set().union(*(has[i] for i in ids)):
+            c = sum(w in has[i] for i in ids)
+            if c < 3 or -np.log2(c / df[w]) > 1:
+                continue
+            gain, p = np.log2(c * n / (df[w] * len(ids))), len(ids) / n
+            evidence = c * np.log2(c / df[w] / p) + (df[w] - c and (df[w] - c) * np.log2((1 - c / df[w]) / (1 - p)))
+            if gain >= 4 or gain >= 0.8 * -np.log2(p) and evidence >= 24:
+                for i in ids:
+                    want[i] |= {w} & has[i]
+    return want
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_terms_equal_brute_force(spark, seed):
+    """Values of few and of many documents, alone and in company, with the evidence rule."""
+    rnd = random.Random(seed)
+    people = [(f"p{k}@mail.example", f"Name{k}", f"10.0.{k}.7") for k in range(12)]
+    rows = []
+    for i in range(300):
+        said = [rnd.choice(["the", "of", f"w{rnd.randrange(60)}", f"u{i}"]) for _ in range(12)]
+        for mail, name, ip in rnd.sample(people, rnd.choice([0, 0, 1, 3])) + ([people[0]] if i % 3 == 0 else []):
+            said += [mail, name if rnd.random() < 0.9 else "he", *([ip, f"host{ip[5:-2]}"] if rnd.random() < 0.5 else [])]
+        rnd.shuffle(said)
+        rows.append((i, " ".join(said)))
+    want = brute_terms(rows)
+    got = {r.doc_id: {dict(rows)[r.doc_id][s.start:s.stop].lower() for s in r.spans if s.kind == "term"}
+           for r in pii_disclosure.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and sum(map(bool, want.values())) > 50
+
+
+def test_pairs_grow_with_the_text(spark):
+    """An address list and its copies: one address stands for all that the same documents hold."""
+    def pairs(n):
+        text = " ".join(f"a{k}@mail.example Name{k} of place{k}" for k in range(n))
+        rows = [(k, text) for k in range(3)] + [(9, "of other words"), (10, "of more")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        base = pii_disclosure.found(docs.withColumnRenamed("doc_id", "rid")).withColumnRenamed("__base", "base")
+        return pii_disclosure.value_words(base.filter(F.size("__values") > 0), docs).count()
+
+    assert pairs(100) == 3 * 201 and pairs(400) == 3 * 801
+
+
 def test_no_term_of_a_value_in_all_documents(spark):
     rows = [(k, f"office Kowalski writes{k} j.doe@mail.example") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
