@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factkeeper.llm import bm25_wand, bpe_lexicon, lang_backoff, pii_disclosure, simhash_trie
 from factkeeper.llm.common import prepare, stored
+from factkeeper.session import scratch_path, scratch_scope
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. The tables that they write on their way go with the run."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    with scratch_scope(spark):
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, "llm-pipeline")
+        docs.write.parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
