@@ -54,24 +54,58 @@ class Crf:
     trans: np.ndarray
     head: np.ndarray
 
-    def marginals(self, at: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Probability of the toxic state of each word of runs (rows, padded)."""
-        return _forward_backward(self.emit[at], self.trans, length)[0]
-
-
-def _forward_backward(score: np.ndarray, trans: np.ndarray, length: np.ndarray):
-    """Marginals, expected transitions (sum) and log partition of runs with ``score`` for state 1."""
+    def marginals(self, at: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Probability of the toxic state of each word of whole texts, which come as runs (rows,
+        padded, those of a ``doc`` one after the other): what the words before and after a run
+        say about its ends is carried over its borders."""
+        score = self.emit[at]
+        start, end = _borders(score, self.trans, length, doc)
+        return _forward_backward(score, self.trans, length, start, end)[0]
+
+
+def _borders(score: np.ndarray, trans: np.ndarray, length: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the states of each run's first word from all words before it, and of its last
+    word from all words behind it."""
+    rows, width = score.shape
+    psi = np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], axis=2)
+    step = np.exp(trans)
+    first = np.append(True, doc[1:] != doc[:-1])[:rows]
+    # what a run makes of the state before it: the product of its words' steps
+    over = np.where(first[:, None, None], np.eye(2), step) * psi[:, 0][:, None, :]
+    for j in range(1, width):
+        live = (j < length)[:, None, None]
+        more = over @ step * psi[:, j][:, None, :]
+        over = np.where(live, more / more.sum(axis=(1, 2), keepdims=True), over)
+    place = np.arange(rows) - np.maximum.accumulate(np.where(first, np.arange(rows), 0))
+    start, end, into = np.ones((rows, 2)), np.ones((rows, 2)), np.ones((rows, 2))
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange(1, place.max(initial=0) + 2))
+    for lo, hi in zip(cuts[:-1], cuts[1:]):     # the second runs of all texts, the third ones, ...
+        r = order[lo:hi]
+        before = np.einsum("ri,rij->rj", into[r - 1], over[r - 1])
+        into[r] = before / before.sum(axis=1, keepdims=True)
+        start[r] = into[r] @ step
+    for lo, hi in zip(cuts[-2::-1], cuts[:0:-1]):
+        r = order[lo:hi]
+        behind = np.einsum("rij,rj->ri", over[r], end[r])
+        end[r - 1] = behind / behind.sum(axis=1, keepdims=True)
+    return start, end
+
+
+def _forward_backward(score: np.ndarray, trans: np.ndarray, length: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None):
+    """Marginals, expected transitions (sum) and log partition of runs with ``score`` for state 1;
+    ``start`` and ``end`` are the weights of their first and last words' states (default: 1)."""
     rows, width = score.shape
     psi = np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], axis=2)
     step = np.exp(trans)
     alpha, scale = np.empty((rows, width, 2)), np.ones((rows, width))
     for j in range(width):
-        a = psi[:, j] if j == 0 else (alpha[:, j - 1] @ step) * psi[:, j]
+        a = psi[:, 0] * (1 if start is None else start) if j == 0 else (alpha[:, j - 1] @ step) * psi[:, j]
         live = j < length
         a = np.where(live[:, None], a, alpha[:, j - 1] if j else a)
         z = np.where(live, a.sum(axis=1), 1.0)
         alpha[:, j], scale[:, j] = a / z[:, None], z
-    beta = np.ones((rows, 2))
+    beta = np.ones((rows, 2)) if end is None else end
     out, pairs = np.zeros((rows, width)), np.zeros((2, 2))
     for j in range(width - 1, -1, -1):
         g = alpha[:, j] * beta
@@ -144,9 +178,6 @@ def runs_of(docs: list[list[str]], place: dict[str, int]):
 class Scorer:
     def __init__(self, crf: Crf):
         self.crf = crf
-        plain = crf.marginals(np.zeros((RUN_WORDS, RUN_WORDS), dtype=np.int64), np.arange(1, RUN_WORDS + 1))
-        self.plain_sum = np.append(0.0, plain.sum(axis=1))
-        self.plain_max = np.append(0.0, plain.max(axis=1))
 
     def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
         """Rows (1, max, log of 1 + sum, 10 x mean) and the runs with marginals at 0.5 or more."""
@@ -155,13 +186,10 @@ class Scorer:
         top, total = np.zeros(len(docs)), np.zeros(len(docs))
         hits = []
         if len(at):
-            some = at.any(axis=1)
-            np.add.at(total, doc[~some], self.plain_sum[length[~some]])
-            np.maximum.at(top, doc[~some], self.plain_max[length[~some]])
-            p = self.crf.marginals(at[some], length[some])
-            np.add.at(total, doc[some], p.sum(axis=1))
-            np.maximum.at(top, doc[some], p.max(axis=1, initial=0))
-            hits = [(int(d), int(f), x) for d, f, x in zip(doc[some], first[some], p) if x.max() >= 0.5]
+            p = self.crf.marginals(at, length, doc)
+            np.add.at(total, doc, p.sum(axis=1))
+            np.maximum.at(top, doc, p.max(axis=1))
+            hits = [(int(doc[r]), int(first[r]), p[r]) for r in np.flatnonzero(p.max(axis=1) >= 0.5)]
         n = np.maximum(1, [len(d) for d in docs]) if docs else np.ones(0)
         return np.stack([np.ones(len(docs)), top, np.log1p(total), 10 * total / n], axis=1), hits
 

@@ -524,6 +524,25 @@ def test_marginals():
     assert np.allclose(pairs, want_pairs) and np.isclose(log_z, want_z)
 
 
+def test_marginals_of_whole_texts():
+    """Cut into runs or not, a text has the same marginals; so have the same words at every offset."""
+    rng = np.random.default_rng(14)
+    place = {f"v{k}": k for k in range(1, 6)}
+    crf = toxic_crf.Crf(place, np.array([-3.0, 2.5, 1.0, 3.0, -1.0, 0.5]), np.array([[0.6, -0.9], [-0.7, 1.1]]), np.zeros(4))
+    docs = [[rng.choice([*place, "x", "y", "z"], p=[0.04] * 5 + [0.3, 0.3, 0.2]) for _ in range(n)] for n in (1, 64, 65, 128, 1000, 3, 200, 0, 63, 5000)]
+    at, length, doc, first = toxic_crf.runs_of(docs, place)
+    got = crf.marginals(at, length, doc)
+    for d, words in enumerate(docs):
+        if words:
+            whole = np.array([[place.get(w, 0) for w in words]])
+            want = toxic_crf._forward_backward(crf.emit[whole], crf.trans, np.array([len(words)]))[0][0]
+            mine = np.concatenate([got[r][:length[r]] for r in np.flatnonzero(doc == d)])
+            assert np.allclose(mine, want, atol=1e-9)
+    words = toxic_crf.Crf({"qa": 1, "qb": 2, "qc": 3}, crf.emit, crf.trans, np.zeros(4))
+    tops = [toxic_crf.Scorer(words).evidence([" ".join([*["x"] * k, "qa", "qb", "qc", *["x"] * (500 - k)])])[0][0] for k in range(150, 290)]
+    assert np.ptp(np.array(tops), axis=0).max() < 1e-9 and tops[0][1] > 0.8
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     crf = toxic_crf.fit(odd(spark), labels)
