@@ -65,9 +65,27 @@ def test_bounds_are_never_below_the_scores(spark, documents):
     assert hits >= 60
 
 
+def test_scores_are_those_of_all_postings(spark, documents):
+    """Skipping blocks and dropping items early loses no item at the threshold and no part of its score."""
+    index = next(bm25_wand.indexes(items_of(spark)))
+    every = np.arange(index.block_max.shape[1])
+    rnd, hits = random.Random(2), 0
+    term = np.repeat(np.arange(len(index.terms)), np.diff(index.first[::len(every)]))
+    for _ in range(200):
+        words = rnd.choice(index.items)[:64] + rnd.choice(index.items)[:rnd.randrange(30)]
+        tids = np.array([index.terms[w] for w in words] + [len(index.terms)])
+        plain = np.bincount(index.item, np.where(np.isin(term, tids), index.impact, 0), len(index.items))
+        want = {i: x for i, x in enumerate(plain.tolist()) if x >= bm25_wand.THRESHOLD}
+        got = dict(index.scores(tids, every))
+        assert set(got) == set(want) and all(abs(got[i] - want[i]) < 1e-9 for i in got)
+        hits += len(got)
+    assert hits >= 100
+
+
 def test_items_in_shards(spark, documents, monkeypatch):
     want = {(r.doc_id, r.item_id) for r in bm25_wand.find_matches(documents, items_of(spark)).collect()}
     monkeypatch.setattr(bm25_wand, "SHARD_BYTES", 4096)
+    monkeypatch.setattr(bm25_wand, "PASS_SHARDS", 3)
     assert sum(1 for _ in bm25_wand.indexes(items_of(spark))) > 1
     assert {(r.doc_id, r.item_id) for r in bm25_wand.find_matches(documents, items_of(spark)).collect()} == want
     clean = bm25_wand.decontaminate_stage(documents, items_of(spark))
