@@ -1,10 +1,11 @@
 """Embedding near-dedup by an epsilon grid order join.
 
 Vectors are scaled to length 1, so a cosine of ``c`` or more is a distance of
-``sqrt(2 - 2c)`` or less. They are rotated onto the principal axes of all vectors (their
-second moments are summed on the executors; the rotation moves no distance), cells of that
+``sqrt(2 - 2c)`` or less. They are rotated onto the principal axes of a bounded sample
+(``AXIS_SAMPLE`` vectors of each dimension, by a hash; the rotation moves no distance, so the
+sample decides how much is pruned and not what is found), cells of that
 width are laid on the leading axes, and vectors are sorted by their cells in turn: the
-epsilon grid order. Sorted rows become sequence intervals of ``BLOCK_ROWS`` vectors. Two
+epsilon grid order. Sorted rows become sequence intervals of ``BLOCK_BYTES`` of vectors. Two
 intervals are joined only if, on the leading axes, their extents are not provably farther
 apart than epsilon; inside a task the pair of intervals is halved recursively with the
 same test until small parts are compared in double precision, by the cosine itself.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from factkeeper.llm.common import Links, join_per_key, shuffle_partitions, stored
 from factkeeper.llm.components import components
 
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 2 << 20
+AXIS_SAMPLE = 4096
 LEAF_ROWS = 128
 AXES = 6
 #: Rounding that distances on the axes may carry.
@@ -68,26 +70,19 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """For each dimension, ``AXES`` leading axes of the unit vectors' second moments."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            dims = b.column("dim").to_numpy()
-            for dim in np.unique(dims).tolist():
-                u = _unit(_matrix(b.column("v").filter(pa.array(dims == dim)), dim))
-                sums[dim] = sums.get(dim, 0) + u.T @ u
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.ravel().tolist() for s in sums.values()], pa.list_(pa.float64()))],
-                                         ["dim", "s"])
-
-    flat = vectors.select("v", "dim").mapInArrow(run, "dim int, s array<double>").select("dim", F.posexplode("s").alias("i", "s"))
+    """For each dimension, ``AXES`` leading axes of a sample's second moments."""
     out: dict[int, np.ndarray] = {}
-    for r in flat.groupBy("dim", "i").agg(F.sum("s").alias("s")).groupBy("dim").agg(
-            F.sort_array(F.collect_list(F.struct("i", "s"))).alias("s")).collect():
-        m = np.array([x["s"] for x in r["s"]]).reshape(r["dim"], r["dim"])
-        out[r["dim"]] = np.linalg.eigh((m + m.T) / 2)[1][:, ::-1][:, :AXES]
+    for r in vectors.select("dim").distinct().collect():   # dimensions
+        some = vectors.filter(F.col("dim") == r["dim"]).orderBy(F.xxhash64("v")).limit(AXIS_SAMPLE).select("v").collect()
+        u = _unit(np.frombuffer(b"".join(x["v"] for x in some), dtype="<f8").reshape(-1, r["dim"]))
+        out[r["dim"]] = np.linalg.eigh(u.T @ u)[1][:, ::-1][:, :AXES]
     return out
 
 
+def block_rows(dim: int) -> int:
+    return max(LEAF_ROWS, BLOCK_BYTES // (8 * dim))
+
+
 def _ordered(nodes: DataFrame, axes: dict[int, np.ndarray], epsilon: float) -> DataFrame:
     """Nodes in epsilon grid order within label and dimension, cut into packed intervals:
     ``label, dim, block, n, nodes, copies, vectors, low, high``."""
@@ -127,14 +122,14 @@ def _ordered(nodes: DataFrame, axes: dict[int, np.ndarray], epsilon: float) -> D
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Table]]:
-    """Intervals of at most ``BLOCK_ROWS`` sorted rows of one label and dimension."""
+    """Intervals of at most ``block_rows`` sorted rows of one label and dimension."""
     held: list[pa.RecordBatch] = []
     key, n = None, 0
     for b in batches:
         labels, dims = b.column("label").to_pylist(), b.column("dim").to_pylist()
         lo = 0
         for k in range(b.num_rows):
-            if (labels[k], dims[k]) != key or n + k - lo >= BLOCK_ROWS:
+            if (labels[k], dims[k]) != key or n + k - lo >= block_rows(dims[k]):
                 if k > lo:
                     held.append(b.slice(lo, k - lo))
                 if held:

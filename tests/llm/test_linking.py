@@ -157,10 +157,25 @@ def vectors():
 
 
 def test_vectors(spark, monkeypatch):
-    monkeypatch.setattr(embed_ego, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(embed_ego, "BLOCK_BYTES", 2048)
     monkeypatch.setattr(embed_ego, "LEAF_ROWS", 8)
     rows = vectors()
     e = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, label int, embedding array<double>, node string, n int")
     got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in embed_ego.near_vectors(e).collect())
     assert got == brute_vectors(rows)
     assert embed_ego.near_vectors(e.limit(0)).collect() == []
+
+
+def test_long_vectors(spark):
+    """1,536 components: blocks of bounded bytes, and axes from fewer vectors than a block's."""
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(40, 1536))
+    v = np.concatenate([base, base[:12] + rng.normal(size=(12, 1536)) * 0.2])
+    rows = [(k, x.tolist(), 1) for k, x in enumerate(v)]
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    comp = roots(len(v), [(a, b) for a, b in zip(*np.nonzero(near))])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_ego.near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {k: (int(near[k].sum()) - 1, comp[k]) for k in range(len(v))} and near.sum() > len(v)
+    assert embed_ego.block_rows(1536) * 1536 * 8 <= embed_ego.BLOCK_BYTES
