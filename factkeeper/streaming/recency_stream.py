@@ -109,7 +109,7 @@ class RecencyState:
             return  # replayed epoch: already folded in
         m = self.model
         before, old_whole = self.committed_epoch(), self._whole_days()
-        self._drop_replaced(old_whole)
+        self._drop_replaced(old_whole, before)
         days, whole, again = [], old_whole, None
         new_rows = m.partial(batch)
         if self.reload is not None:
@@ -158,13 +158,13 @@ class RecencyState:
         now = whole.join(marks, "__day", "left_anti").unionByName(marks)
         self.state.write_set({"keys": self.state.read_part("keys"), "whole": now.coalesce(1)}, f"{epoch}_{uuid.uuid4().hex}")
         self.state.prune(keep=2)
-        self._drop_replaced(self._whole_days())
+        self._drop_replaced(self._whole_days(), epoch)
 
-    def _drop_replaced(self, whole: DataFrame) -> None:
-        """Delete the folders that whole days stand for."""
+    def _drop_replaced(self, whole: DataFrame, epoch: int) -> None:
+        """Delete the folders that the whole days of an epoch stand for."""
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path
-        for r in whole.collect():   # days of the calendar
+        for r in whole.filter(F.col("__since") == epoch).collect():   # days of the calendar
             for path, most in ((self.daily_path, r["__since"]), (self.whole_path, r["__since"] - 1)):
                 folder = p(f"{path}/{self.model.date}={r['__day']}")
                 fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
