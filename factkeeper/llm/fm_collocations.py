@@ -1,7 +1,7 @@
 """Phrase collocation mining with an FM-index per shard over word ids.
 
 Each task cuts its part of the documents into shards by language, in place, and writes a shard's
-pieces as word ids with the shard's vocabulary. From then on a level is one pass over what is
+pieces as word ids with the shard's vocabulary, both deflated. From then on a level is one pass over what is
 left of the shards, without a shuffle of them: every shard builds an FM-index of its ids and one
 of the reversed ids, finds its phrases of ``k`` words that may be frequent over all shards, and
 extends their paired intervals by one word to the left and to the right. A phrase of ``k + 1``
@@ -38,24 +38,28 @@ from pyspark.sql import functions as F
 from factkeeper.llm.common import mix, shuffle_partitions, span_hashes, stored
 
 DEPTH = 5
-#: Text of a shard; a task holds up to twice that for unfinished shards of all languages.
-SHARD_BYTES = 2 << 20
+#: Text of a shard; a task holds up to twice that for unfinished shards of all languages, and a level one shard's indexes.
+SHARD_BYTES = 1 << 20
 #: Counters that candidates share, and counters in a row of them. Their bits are broadcast.
 BUCKETS = 1 << 26
 RANGE = 1 << 17
-#: Counters and counts that a task holds before it merges or hands on.
+#: Counters and counts that a task holds before it merges, and counters that it merges before it hands them on.
 HELD_ROWS = 1 << 20
+HELD_BUCKETS = 1 << 22
+#: Buckets that are merged at once, and ranges in a batch of rows.
+SLICE = 1 << 22
+RANGE_ROWS = 64
 #: Parts of a language that are ranked on their own first.
 RANK_PARTS = 64
 
 #: A-Z to a-z; white space to a space; what ends a piece to a line break.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
-#: Rows of a pass: shards (``codes``, ``words``, ``n`` all words), counts of phrases (``range``,
-#: ``phrases`` one a line, ``counts``) and buckets (``range``, ``at``, ``counts``).
-_ROWS = pa.schema([("lang", pa.string()), ("sign", pa.int32()), ("codes", pa.binary()), ("words", pa.list_(pa.string())), ("n", pa.int64()),
+#: Rows of a pass: shards (``codes``, ``words`` one a line, ``n`` all words), counts of phrases (``range``,
+#: ``phrases`` one a line, ``counts``) and buckets (``range``, ``at``, ``counts``). All bytes are deflated.
+_ROWS = pa.schema([("lang", pa.string()), ("sign", pa.int32()), ("codes", pa.binary()), ("words", pa.binary()), ("n", pa.int64()),
                    ("range", pa.int32()), ("at", pa.binary()), ("phrases", pa.binary()), ("counts", pa.binary())])
-_DDL = "lang string, sign int, codes binary, words array<string>, n long, range int, at binary, phrases binary, counts binary"
+_DDL = "lang string, sign int, codes binary, words binary, n long, range int, at binary, phrases binary, counts binary"
 
 
 # -- shards -------------------------------------------------------------------
@@ -110,8 +114,17 @@ def _rows(size: int, /, **columns: pa.Array) -> pa.RecordBatch:
 
 
 def _shard_row(lang: str, sign: int, ids: np.ndarray, words: pa.Array, n: int) -> pa.RecordBatch:
-    return _rows(1, lang=pa.array([lang]), sign=pa.array([sign], pa.int32()), codes=pa.array([ids.astype("<i4").tobytes()], pa.binary()),
-                 words=pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), n=pa.array([n], pa.int64()))
+    planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")[0].as_py()
+    return _rows(1, lang=pa.array([lang]), sign=pa.array([sign], pa.int32()), codes=pa.array([zlib.compress(planes.tobytes(), 1)], pa.binary()),
+                 words=pa.array([zlib.compress(lines.encode(), 1)], pa.binary()), n=pa.array([n], pa.int64()))
+
+
+def _unpacked(codes: bytes, words: bytes) -> tuple[np.ndarray, pa.Array]:
+    """A shard's ids and words."""
+    ids = np.ascontiguousarray(np.frombuffer(zlib.decompress(codes), dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    lines = zlib.decompress(words).decode()
+    return ids.astype(np.int64), pc.split_pattern(pa.array([lines]), "\n").flatten() if lines else pa.array([], pa.string())
 
 
 def _shards(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -145,6 +158,8 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterato
                 most_held = max(size, key=size.get)
                 yield flush(most_held, held.pop(most_held), 1)
                 del size[most_held]
+            if buckets.full():
+                yield from buckets.rows()
     for lang, texts in held.items():
         yield flush(lang, texts, 1)
     for lang, texts in shared.items():
@@ -173,8 +188,8 @@ def phrase_hashes(words: np.ndarray, phrases: np.ndarray) -> np.ndarray:
 
 
 class Buckets:
-    """A task's counters, each stopping at the threshold: sums over tasks reach it if and only
-    if the sums of the full counts do."""
+    """A task's counters, each stopping at the threshold: sums over tasks, or over what a task hands
+    on at a time, reach it if and only if the sums of the full counts do."""
 
     def __init__(self, least: int):
         self.least = least
@@ -196,18 +211,26 @@ class Buckets:
         return at[first], np.minimum(sums, self.least).astype(self.kind)
 
     def _merge(self) -> None:
-        if self.parts:
-            self.parts = [self._summed(*(np.concatenate(x) for x in zip(*self.parts)))]
-            self.merged = self.held = len(self.parts[0][0])
+        if len(self.parts) > 1:
+            slices = []
+            for lo in range(0, BUCKETS, SLICE):
+                spans = [slice(*np.searchsorted(at, np.array([lo, lo + SLICE], dtype=np.uint32))) for at, _ in self.parts]
+                slices.append(self._summed(*(np.concatenate([x[s] for x, s in zip(xs, spans)]) for xs in zip(*self.parts))))
+            self.parts = [tuple(np.concatenate(x) for x in zip(*slices))]
+        self.merged = self.held = sum(len(at) for at, _ in self.parts)
+
+    def full(self) -> bool:
+        return self.merged > HELD_BUCKETS
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         self._merge()
         if not self.held:
             return
         at, counts = self.parts[0]
+        self.parts, self.merged, self.held = [], 0, 0
         bounds = [0, *(np.flatnonzero(np.diff(at // RANGE)) + 1).tolist(), len(at)]
-        for lo in range(0, len(bounds) - 1, 256):
-            spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
+        for lo in range(0, len(bounds) - 1, RANGE_ROWS):
+            spans = list(zip(bounds[lo:lo + RANGE_ROWS], bounds[lo + 1:lo + RANGE_ROWS + 1]))
             yield _rows(len(spans), range=pa.array([int(at[a]) // RANGE for a, _ in spans], pa.int32()),
                         at=pa.array([_gaps(at[a:b] % RANGE) for a, b in spans], pa.binary()),
                         counts=pa.array([zlib.compress(counts[a:b].tobytes(), 1) for a, b in spans], pa.binary()))
@@ -237,14 +260,15 @@ class Counts:
 
     def add(self, lang: str, phrases: pa.Array, hashes: np.ndarray, n: np.ndarray) -> None:
         ranges = (mix(hashes) % np.uint64(self.ranges)).astype(np.int32)
-        self.parts.append(pa.table({"lang": pa.array([lang] * len(n)), "range": ranges, "phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64())}))
+        self.parts.append(pa.table({"lang": pa.repeat(lang, len(n)), "range": ranges, "phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64())}))
         self.held += len(n)
 
     def full(self) -> bool:
-        if self.held > HELD_ROWS:
-            self.parts = [_summed(self.parts, ["lang", "range", "phrase"])]
-            self.held = self.parts[0].num_rows
-        return self.held > HELD_ROWS // 2
+        if self.held <= HELD_ROWS // 2:
+            return False
+        self.parts = [_summed(self.parts, ["lang", "range", "phrase"])]
+        self.held = self.parts[0].num_rows
+        return self.held > HELD_ROWS // 4
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.held:
@@ -253,8 +277,8 @@ class Counts:
             cuts = np.flatnonzero((np.diff(ranges) != 0) | (np.diff(lang.indices.to_numpy()) != 0)) + 1
             n = t["n"].to_numpy().astype("<i8")
             bounds = [0, *cuts.tolist(), t.num_rows]
-            for lo in range(0, len(bounds) - 1, 256):
-                spans = list(zip(bounds[lo:lo + 256], bounds[lo + 1:lo + 257]))
+            for lo in range(0, len(bounds) - 1, RANGE_ROWS):
+                spans = list(zip(bounds[lo:lo + RANGE_ROWS], bounds[lo + 1:lo + RANGE_ROWS + 1]))
                 yield _rows(len(spans), lang=pa.array([t["lang"][a].as_py() for a, _ in spans]), range=pa.array([int(ranges[a]) for a, _ in spans], pa.int32()),
                             phrases=pa.array([zlib.compress("\n".join(t["phrase"].slice(a, b - a).to_pylist()).encode(), 1) for a, b in spans], pa.binary()),
                             counts=pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in spans], pa.binary()))
@@ -420,10 +444,10 @@ def _kept_text(t: np.ndarray, forward: FMIndex, found: Extended) -> np.ndarray:
     return text
 
 
-def _level(row: dict, words: pa.Array, k: int, bits: np.ndarray, counts: Counts, buckets: Buckets) -> Iterator[pa.RecordBatch]:
+def _level(row: dict, k: int, bits: np.ndarray, counts: Counts, buckets: Buckets) -> Iterator[pa.RecordBatch]:
     """One shard, one level: counts its phrases of ``k`` words that may be frequent, puts their
     extensions by one word into the buckets, and gives the shard of what those cover."""
-    t = np.frombuffer(row["codes"], dtype="<i4").astype(np.int64)
+    t, words = _unpacked(row["codes"], row["words"])
     hashes = word_hashes(words, row["lang"])
     if k == 1:    # words that may be frequent, renumbered; the rest parts pieces
         used = np.append(False, _may(bits, hashes))
@@ -464,11 +488,12 @@ def _pass(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray, least: in
     counts, buckets = Counts(ranges), Buckets(least)
     for b in batches:
         for i in range(b.num_rows):
-            row = {c: b.column(c)[i].as_py() for c in ("lang", "sign", "codes")}
-            words = pa.concat_arrays([b.column("words")[i].values.cast(pa.string())])
-            yield from _level(row, words, k, bits, counts, buckets)
+            row = {c: b.column(c)[i].as_py() for c in ("lang", "sign", "codes", "words")}
+            yield from _level(row, k, bits, counts, buckets)
             if counts.full():
                 yield from counts.rows()
+            if buckets.full():
+                yield from buckets.rows()
     yield from counts.rows()
     yield from buckets.rows()
 
@@ -480,13 +505,13 @@ def mine(docs: DataFrame, least: int = 100, shard_bytes: int = SHARD_BYTES) -> t
     ``lang, n`` (all words of the language)."""
     spark = docs.sparkSession
     d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = stored(d.mapInArrow(lambda batches: _shards(batches, shard_bytes, least), _DDL), "phrase-shards")
+    rows = stored(d.mapInArrow(lambda batches: _shards(batches, shard_bytes, least), _DDL), "phrase-shards", compression="none")
     totals = stored(rows.filter(F.col("codes").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     counted, ranges = None, max(64, shuffle_partitions(spark))
     for k in range(1, DEPTH + 1):
         bits = spark.sparkContext.broadcast(full_buckets(rows, least))
         text = rows.filter(F.col("codes").isNotNull()).select("lang", "sign", "codes", "words")
-        rows = stored(text.mapInArrow(_pass_of(k, bits, least, ranges), _DDL), f"phrase-level-{k}")
+        rows = stored(text.mapInArrow(_pass_of(k, bits, least, ranges), _DDL), f"phrase-level-{k}", compression="none")
         packed = rows.filter(F.col("phrases").isNotNull()).select("lang", "range", "phrases", "counts")
         counted = packed if counted is None else counted.unionByName(packed)
     dealt = counted.repartition("lang", "range").sortWithinPartitions("lang", "range")

@@ -6,9 +6,11 @@ import html
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from factkeeper.llm import fm_collocations, laesa_clusters, line_blocks
@@ -158,6 +160,44 @@ def test_scores_beyond_64_bits(spark):
     assert row.select(fm_collocations.score()).first()[0] == 1000 * a * n // (left * right)
 
 
+def test_memory_of_a_task():
+    """Shards take less room than their text, and a level takes little more for several than for one."""
+    rnd = np.random.default_rng(10)
+    words = np.minimum(rnd.zipf(1.3, 1_200_000), 40_000)
+    text = "".join(f"word{w}" + (". " if k % 11 == 0 else " ") for k, w in enumerate(words.tolist()))
+    docs = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text[k:k + 100_000]])], ["lang", "text"]) for k in range(0, len(text), 100_000)]
+    rows = list(fm_collocations._shards(iter(docs), fm_collocations.SHARD_BYTES, 100))
+    shards = [b.select(["lang", "sign", "codes", "words"]) for b in rows if b.column("codes").null_count == 0]
+    assert sum(b.nbytes for b in shards) < len(text) / 2
+    bits = np.full(fm_collocations.BUCKETS // 8, 255, dtype=np.uint8)
+    tracemalloc.start()
+    try:
+        for _ in fm_collocations._pass(iter(shards), 1, bits, 100, 64):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 26 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_counters_are_merged_in_little_room_and_handed_on(monkeypatch):
+    monkeypatch.setattr(fm_collocations, "HELD_BUCKETS", 1 << 20)
+    rnd = np.random.default_rng(11)
+    b, rows = fm_collocations.Buckets(100), []
+    tracemalloc.start()
+    try:
+        for _ in range(40):
+            b.add(rnd.integers(0, 2**63, 100_000, dtype=np.uint64), np.ones(100_000, dtype=np.int64))
+            if b.full():
+                rows += list(b.rows())
+        rows += list(b.rows())
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+    told = [r for x in rows for r in x.to_pylist()]
+    assert len({r["range"] for r in told}) < len(told) and not b.held    # handed on more than once
+    assert sum(int(np.frombuffer(zlib.decompress(r["counts"]), dtype=np.uint8).sum()) for r in told) == 4_000_000
+
+
 # -- clusters -----------------------------------------------------------------------
 
 def brute_clusters(rows, dim=64, scale=64, k=16, rounds=3):
